@@ -1,6 +1,12 @@
 """All registered queries."""
 
-from salesloom.catalog import queries_gold, queries_silver  # noqa: F401
+from salesloom.catalog import (  # noqa: F401
+    queries_analysis,
+    queries_gold,
+    queries_measures,
+    queries_quality,
+    queries_silver,
+)
 from salesloom.catalog.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

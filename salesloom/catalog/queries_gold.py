@@ -35,7 +35,7 @@ def source_orders(t: Tables):
 
 @query("""SELECT 'customer_unique_id' AS key_column,
     CAST(count(*) FILTER (c.customer_id IS NULL) AS BIGINT) AS missing_rows,
-    (SELECT list(k) FROM (SELECT DISTINCT r.customer_unique_id AS k FROM raw_orders o
+    (SELECT string_agg(k, ', ') FROM (SELECT DISTINCT r.customer_unique_id AS k FROM raw_orders o
         JOIN raw_customers r ON o.customer_id = r.customer_id
         WHERE r.customer_unique_id NOT IN (SELECT customer_code FROM src_customers
             WHERE customer_code IS NOT NULL) ORDER BY k LIMIT 5)) AS sample_keys
@@ -46,10 +46,10 @@ def unresolved_customers(t: Tables):
     _, report = source_tables.orders(
         t.raw_orders, t.raw_customers, t.customers, RUN_AT, t.rows("orders")
     )
-    return report
+    return report.withColumn("sample_keys", F.concat_ws(", ", "sample_keys"))
 
 
-@query(f"""WITH first_items AS (SELECT * FROM (SELECT *, row_number() OVER (
+@query(f"""SELECT * FROM (WITH first_items AS (SELECT * FROM (SELECT *, row_number() OVER (
         PARTITION BY order_id, order_item_id
         ORDER BY product_id, seller_id, price, freight_value, shipping_limit_date) AS rn
         FROM raw_order_items) WHERE rn = 1)
@@ -59,8 +59,7 @@ def unresolved_customers(t: Tables):
     {RUN} AS created_at, {RUN} AS ingested_at
     FROM first_items i JOIN source_orders o ON i.order_id = o.order_code
     JOIN source_products p ON i.product_id = p.product_code
-    JOIN source_stores s ON i.seller_id = s.store_code""".replace(
-        "WITH first_items AS (", "SELECT * FROM (WITH first_items AS (") + ")")
+    JOIN source_stores s ON i.seller_id = s.store_code)""")
 def source_order_items(t: Tables):
     items, _ = source_tables.order_items(
         t.raw_order_items, t.source_orders[0], t.source_products, t.source_stores, RUN_AT,
@@ -325,11 +324,10 @@ def known_and_unknown_payments(t: Tables):
     return parts[0].unionByName(parts[1])
 
 
-@query("""WITH grants AS (SELECT lower(c_mktsegment) || '@example.com' AS user_email, state
+@query("""SELECT * FROM (WITH grants AS (SELECT lower(c_mktsegment) || '@example.com' AS user_email, state
         FROM customer JOIN places ON c_nationkey = n_nationkey WHERE c_acctbal > 9500)
     SELECT store_id, store_code, state FROM src_stores WHERE state IN
-        (SELECT state FROM grants WHERE user_email = 'building@example.com')""".replace(
-        "WITH grants AS (", "SELECT * FROM (WITH grants AS (") + ")")
+        (SELECT state FROM grants WHERE user_email = 'building@example.com'))""")
 def visible_stores(t: Tables):
     """Row-level visibility: the states granted to one user."""
     grants = (
@@ -342,15 +340,14 @@ def visible_stores(t: Tables):
     return seen.select("store_id", "store_code", "state")
 
 
-@query(f"""SELECT c.city, date_key, CAST(sum(revenue) AS {MONEY}) AS revenue,
+@query(f"""SELECT c.city, s.date_key, CAST(sum(revenue) AS {MONEY}) AS revenue,
     max(precipitation) AS max_precipitation FROM (
         SELECT customer_id, date_key, sum(unit_price * quantity) AS revenue
         FROM sales GROUP BY ALL) s
     JOIN dim_customer c ON s.customer_id = c.customer_id
-    LEFT JOIN fact_weather w USING (date_key)
-    WHERE w.city IS NULL OR (w.city = c.normalized_city AND w.state = c.state)
-    GROUP BY ALL""".replace("LEFT JOIN fact_weather w USING (date_key)\n    WHERE w.city IS NULL OR (w.city = c.normalized_city AND w.state = c.state)",
-    "LEFT JOIN fact_weather w ON w.date_key = s.date_key AND w.city = c.normalized_city AND w.state = c.state"))
+    LEFT JOIN fact_weather w ON w.date_key = s.date_key AND w.city = c.normalized_city
+        AND w.state = c.state
+    GROUP BY ALL""")
 def city_day_weather(t: Tables):
     """Per-row weather lookup done as one composite-key join after reducing sales to city and day."""
     places = t.dim_customer.select("customer_id", "city", "normalized_city", "state")

@@ -10,6 +10,7 @@ from datetime import date, datetime
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from salesloom.functions.dates import days_between, date_key
 from salesloom.functions.text import macro_region, normalize_city
@@ -23,6 +24,9 @@ RUN_AT = datetime(2024, 2, 1, 6, 0, 0)
 # Days over which the events are spread: 1995-01-01 to 2001-07-31.
 SPREAD_DAYS = 2404
 
+# Schemas by path, so that a table read by many queries is inferred once.
+_schemas: dict[str, StructType] = {}
+
 
 class Tables:
     """Lazy DataFrames over one data folder; building one runs nothing."""
@@ -32,7 +36,10 @@ class Tables:
         self.folder = folder
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     def rows(self, name: str) -> int:
         """Row count of a raw table, from the Parquet footers."""

@@ -64,5 +64,9 @@ def share(predicate: Column) -> Column:
 
 
 def to_usd(amount: Column, rate: Column) -> Column:
-    """Amount divided by a units-per-dollar rate with four decimals, NULL without a rate."""
-    return F.round(amount / rate, 4).cast("decimal(18,4)")
+    """Amount divided by a units-per-dollar rate with four decimals, NULL without a rate.
+
+    The amount is narrowed first: a wider dividend would leave the quotient too few decimals to be
+    rounded once.
+    """
+    return F.round(amount.cast("decimal(20,2)") / rate, 4).cast("decimal(18,4)")

@@ -7,6 +7,7 @@ and referential integrity shuffle on their own keys. Every check yields one resu
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from salesloom.functions.fixed import SEVERITY_RANK
 from salesloom.functions.text import json_text
 from salesloom.operators.lookups import count_orphans
+from salesloom.sources.warehouse import append_quality_log, read_quality_log
 
 RESULT = [
     "check_name", "table_name", "category", "severity", "status", "expected_value",
@@ -353,3 +355,13 @@ def latest_run(quality_log: DataFrame) -> DataFrame:
         .groupBy("severity", "status")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+def run_lifecycle(results: DataFrame, log_path: str, run_at: datetime, halt_on: str = "CRITICAL") -> bool:
+    """Append the results to the log, then decide whether to halt; a halting run is logged too.
+
+    The decision reads the logged rows, so the checks are computed once.
+    """
+    append_quality_log(results, log_path, run_at)
+    logged = read_quality_log(results.sparkSession, log_path).where(F.col("run_at") == F.lit(run_at))
+    return halt_decision(logged, halt_on).first()["should_halt"]

@@ -140,7 +140,7 @@ def weather_revenue(sales: DataFrame, weather: DataFrame, by: list[str]) -> Data
 
 def customer_loyalty(sales: DataFrame) -> DataFrame:
     """Unique customers, orders per customer and the share of customers with several orders."""
-    per_order = sales.where("customer_id is not null").groupBy("customer_id", "order_code").agg()
+    per_order = sales.where("customer_id is not null").select("customer_id", "order_code").distinct()
     per_customer = per_order.groupBy("customer_id").agg(F.count(F.lit(1)).alias("orders"))
     customers = F.count(F.lit(1))
     return per_customer.agg(
