@@ -6,6 +6,7 @@ from salesloom.catalog import (  # noqa: F401
     queries_measures,
     queries_quality,
     queries_silver,
+    queries_sources,
 )
 from salesloom.catalog.registry import ORACLE, QUERIES
 

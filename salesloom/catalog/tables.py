@@ -97,6 +97,10 @@ class Tables:
     @cached_property
     def orders(self) -> DataFrame:
         """Orders before cleaning."""
+        return self.orders_of(self.raw("orders"))
+
+    def orders_of(self, rows: DataFrame) -> DataFrame:
+        """The order view over any rows of the raw table, such as a batch of a stream."""
         o = F.col
         day = F.when(o("o_totalprice") <= 495000, F.to_date("o_orderdate"))
         delivered = F.when(
@@ -111,7 +115,7 @@ class Tables:
             .otherwise("canceled")
         )
         stamp = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
-        return self.raw("orders").select(
+        return rows.select(
             o("o_orderkey").alias("order_id"),
             F.concat(F.lit("ORD-"), o("o_orderkey").cast("string")).alias("order_code"),
             F.when(o("o_totalprice") >= 5000, o("o_custkey")).alias("customer_id"),
