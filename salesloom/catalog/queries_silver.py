@@ -159,8 +159,8 @@ def quarantine_reasons(t: Tables):
 @query(f"""SELECT order_id, CAST(strftime(order_date, '%Y%m%d') AS INTEGER) AS date_key,
     order_date AS date_from_key, delivery_days_actual, delivery_days_estimated,
     delivery_days_actual <= delivery_days_estimated AS is_on_time,
-    order_timestamp AS parsed_at, approved_at AS approved_at_parsed,
-    CAST(order_timestamp AS DATE) AS parsed_date,
+    approved_at AS approved_at_parsed,
+    CAST(approved_at AS DATE) AS parsed_date,
     coalesce(order_status NOT IN ('delivered', 'shipped'), true) AS not_in_set,
     customer_id IS NULL OR order_date IS NULL AS lacks_key,
     CASE WHEN delivery_days_actual > delivery_days_estimated
@@ -177,9 +177,8 @@ def order_expressions(t: Tables):
         actual,
         estimated,
         dates.is_on_time(actual, estimated).alias("is_on_time"),
-        dates.parse_timestamp(F.col("order_timestamp")).alias("parsed_at"),
         dates.parse_timestamp(F.col("approved_at")).alias("approved_at_parsed"),
-        dates.parse_date(F.col("order_timestamp")).alias("parsed_date"),
+        dates.parse_date(F.col("approved_at")).alias("parsed_date"),
         numbers.is_false_or_null(F.col("order_status").isin("delivered", "shipped")).alias("not_in_set"),
         (F.col("customer_id").isNull() | F.col("order_date").isNull()).alias("lacks_key"),
         text.late_label(actual, estimated).alias("delivery_label"),

@@ -86,8 +86,9 @@ VIEWS = {
         order_date + CAST(10 + o_custkey % 15 AS INTEGER) AS estimated_delivery,
         CASE WHEN o_orderstatus = 'F'
              THEN order_date + CAST(o_orderkey * 7 % 41 - 1 AS INTEGER) END AS actual_delivery,
-        'online' AS source_channel, 'BRL' AS currency_code, {RUN} AS ingested_at
-        FROM src_orders_dated""",
+        'online' AS source_channel,
+        CASE WHEN o_totalprice > 450000 THEN 'USD' ELSE 'BRL' END AS currency_code,
+        {RUN} AS ingested_at FROM src_orders_dated""",
     "orders_with_days": """SELECT order_id, order_code, customer_id, order_status, order_date,
         order_timestamp, approved_at, estimated_delivery, actual_delivery,
         date_diff('day', order_date, actual_delivery) AS delivery_days_actual,

@@ -121,14 +121,14 @@ class Tables:
             F.when(o("o_totalprice") >= 5000, o("o_custkey")).alias("customer_id"),
             status.alias("order_status"),
             day.alias("order_date"),
-            stamp.alias("order_timestamp"),
+            o("o_orderdate").alias("order_timestamp"),
             F.when(o("o_orderpriority") == "5-LOW", "n/a").otherwise(stamp).alias("approved_at"),
             promised.alias("estimated_delivery"),
             delivered.alias("actual_delivery"),
             days_between(delivered, day).alias("delivery_days_actual"),
             days_between(promised, day).alias("delivery_days_estimated"),
             F.lit("online").alias("source_channel"),
-            F.lit("BRL").alias("currency_code"),
+            F.when(o("o_totalprice") > 450000, "USD").otherwise("BRL").alias("currency_code"),
             F.lit(RUN_AT).cast("timestamp_ntz").alias("ingested_at"),
         )
 
@@ -312,7 +312,7 @@ class Tables:
             F.col("order_code").alias("order_id"),
             F.concat(F.lit("OC-"), F.col("order_id").cast("string")).alias("customer_id"),
             "order_status",
-            F.col("order_timestamp").alias("order_purchase_timestamp"),
+            F.date_format("order_timestamp", text).alias("order_purchase_timestamp"),
             F.col("approved_at").alias("order_approved_at"),
             F.date_format("actual_delivery", text).alias("order_delivered_customer_date"),
             F.date_format("estimated_delivery", text).alias("order_estimated_delivery_date"),
@@ -399,7 +399,7 @@ class Tables:
 
     @cached_property
     def silver_fx(self) -> DataFrame:
-        return contracts.accepted(self.checked_fx)
+        return contracts.accepted(cleaning.daily_fx(self.fx, START, END, [F.col("event_id")]))
 
     @cached_property
     def checked_payments(self) -> DataFrame:

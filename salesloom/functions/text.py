@@ -123,11 +123,6 @@ def or_dash(value: Column) -> Column:
     return F.coalesce(value.cast("string"), F.lit(EM_DASH))
 
 
-def reason_text(reasons: list[Column]) -> Column:
-    """Reasons that hold joined by ' | ' (NULL entries do not hold); NULL when none holds."""
-    return F.nullif(F.concat_ws(" | ", *reasons), F.lit(""))
-
-
 def json_text(**fields: Column) -> Column:
     """JSON object text of named columns."""
     return F.to_json(F.struct(*[value.alias(name) for name, value in fields.items()]))

@@ -83,30 +83,41 @@ def clean_weather(weather: DataFrame, start: date, end: date) -> DataFrame:
     return contracts.annotate(ready, contracts.WEATHER, F.col("_reason")).drop("_reason")
 
 
-def clean_fx(rates: DataFrame, start: date, end: date, recency: list[Column]) -> DataFrame:
-    """Daily series of every currency pair over [start, end], gaps filled, plus the rejected rows.
+FX_COLUMNS = [f.name for f in contracts.FX]
+PAIR = ["base_currency", "quote_currency"]
 
-    `recency` orders rates of the same pair and day; the last one counts. Rows without a date or
-    currency, or outside the range, are rejected before filling, invalid filled days afterwards.
-    """
+
+def _early_fx_reason(start: date, end: date) -> Column:
     base, quote, day = F.col("base_currency"), F.col("quote_currency"), F.col("date")
-    reason = _first_of(
+    return _first_of(
         (day.isNull(), "null date"),
         (~day.between(F.lit(start), F.lit(end)), "date outside pipeline range"),
         (base.isNull() | quote.isNull(), "null base_currency or quote_currency"),
     )
-    raw = rates.withColumn(REASON, reason)
-    columns = ["date", "base_currency", "quote_currency", "rate"]
-    usable = raw.where(F.col(REASON).isNull())
-    pair = ["base_currency", "quote_currency"]
-    daily = keep_last(usable, [*pair, "date"], recency).select(*columns)
-    filled = fill_calendar(daily, pair, "date", "rate", start, end)
-    after = _first_of((F.col("rate").isNull(), "null exchange rate after ffill"))
-    valid = contracts.annotate(filled.select(*columns), contracts.FX, after)
-    early = raw.where(F.col(REASON).isNotNull()).select(*columns, REASON)
-    return valid.unionByName(
-        early.withColumns({f.name: F.col(f.name).try_cast(f.dtype) for f in contracts.FX})
-    )
+
+
+def rejected_quotes(rates: DataFrame, start: date, end: date) -> DataFrame:
+    """Rates rejected before filling: without a date or currency, or outside the range."""
+    typed = [F.col(f.name).try_cast(f.dtype).alias(f.name) for f in contracts.FX]
+    reasoned = rates.select(*typed, _early_fx_reason(start, end).alias(REASON))
+    return reasoned.where(F.col(REASON).isNotNull())
+
+
+def daily_fx(rates: DataFrame, start: date, end: date, recency: list[Column]) -> DataFrame:
+    """Daily series of every currency pair over [start, end], gaps filled, invalid days annotated.
+
+    `recency` orders rates of the same pair and day; the last one counts.
+    """
+    usable = rates.where(_early_fx_reason(start, end).isNull())
+    daily = keep_last(usable, [*PAIR, "date"], recency).select(*FX_COLUMNS)
+    filled = fill_calendar(daily, PAIR, "date", "rate", start, end).select(*FX_COLUMNS)
+    unfilled = _first_of((F.col("rate").isNull(), "null exchange rate after ffill"))
+    return contracts.annotate(filled, contracts.FX, unfilled)
+
+
+def clean_fx(rates: DataFrame, start: date, end: date, recency: list[Column]) -> DataFrame:
+    """The filled daily series and the rows rejected before filling."""
+    return daily_fx(rates, start, end, recency).unionByName(rejected_quotes(rates, start, end))
 
 
 def clean_payments(payments: DataFrame) -> DataFrame:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DataType, StringType
 
 from salesloom.functions.fixed import ORDER_STATUSES, PAYMENT_TYPES
 from salesloom.functions.numbers import MONEY
-from salesloom.functions.text import reason_text
 
 REASON = "quarantine_reason"
 
@@ -122,43 +122,58 @@ def _shown(value: Column, is_text: bool) -> Column:
     return F.coalesce(text, F.lit("None"))
 
 
-def _failures(field: Field, raw: Column, value: Column, is_text: bool) -> list[Column]:
-    """One Column per rule of a field: its reason where the rule is broken, else NULL."""
+@dataclass
+class _Rule:
+    """Where a contract rule is broken, and the text that says so."""
 
-    def broken(when: Column, rule: str, shown: Column) -> Column:
-        return F.when(when, F.concat(F.lit(f"{field.name}[{rule}]="), shown))
+    broken: Column
+    text: Column
+
+
+def _rules(field: Field, raw: Column, value: Column, raw_type: DataType) -> list[_Rule]:
+    def rule(broken: Column, name: str, shown: Column) -> _Rule:
+        return _Rule(broken, F.concat(F.lit(f"{field.name}[{name}]="), shown))
 
     found = []
-    if field.dtype != "string":
-        uncastable = raw.isNotNull() & value.isNull()
-        found.append(broken(uncastable, f"coerce_dtype('{field.dtype}')", _shown(raw, is_text)))
+    if not _always_casts(raw_type, field.dtype):
+        shown = _shown(raw, isinstance(raw_type, StringType))
+        found.append(rule(raw.isNotNull() & value.isNull(), f"coerce_dtype('{field.dtype}')", shown))
     if not field.nullable:
-        found.append(broken(raw.isNull(), "not_nullable", F.lit("None")))
+        found.append(rule(raw.isNull(), "not_nullable", F.lit("None")))
     for check in field.checks:
         # A NULL value makes the test unknown, and an unknown test does not break the rule.
-        found.append(broken(~check.test(value), check.name, _shown(value, field.dtype == "string")))
+        shown = _shown(value, field.dtype == "string")
+        found.append(rule(F.coalesce(~check.test(value), F.lit(False)), check.name, shown))
     return found
 
 
+def _always_casts(have: DataType, want: str) -> bool:
+    """Whether every value of a type has one in the wanted type."""
+    name = have.simpleString()
+    return want == "string" or name == want or (want == "bigint" and name in ("int", "smallint"))
+
+
 def annotate(df: DataFrame, contract: Contract, first_reason: Column | None = None) -> DataFrame:
     """Contract columns with their declared types plus `quarantine_reason`, NULL for a valid row.
 
     `first_reason` is the outcome of rules that run before the contract: where it is not NULL it
     is the only reason. Otherwise every broken contract rule is listed. Columns outside the
-    contract are kept. A missing contract column raises.
+    contract are kept. A missing contract column raises. Texts are only built for broken rows.
     """
     missing = [f.name for f in contract if f.name not in df.columns]
     if missing:
         raise ValueError(f"missing contract columns: {missing}")
-    reasons, typed = [], {}
+    rules, typed = [], {}
     for field in contract:
-        raw = F.col(field.name)
-        typed[field.name] = raw.try_cast(field.dtype)
-        is_text = isinstance(df.schema[field.name].dataType, StringType)
-        reasons += _failures(field, raw, typed[field.name], is_text)
-    reason = reason_text(reasons)
+        raw, raw_type = F.col(field.name), df.schema[field.name].dataType
+        same = raw_type.simpleString() == field.dtype
+        typed[field.name] = raw if same else raw.try_cast(field.dtype)
+        rules += _rules(field, raw, typed[field.name], raw_type)
+    any_broken = reduce(Column.__or__, [r.broken for r in rules])
+    texts = F.concat_ws(" | ", *[F.when(r.broken, r.text) for r in rules])
+    reason = F.when(any_broken, texts)
     if first_reason is not None:
-        reason = F.when(first_reason.isNotNull(), first_reason).otherwise(reason)
+        reason = F.coalesce(first_reason, reason)
     columns = [typed[c].alias(c) if c in typed else F.col(c) for c in df.columns if c != REASON]
     return df.select(*columns, reason.alias(REASON))
 

@@ -22,11 +22,13 @@ def lookup(
     for here in on:
         missing = missing | F.col(here).isNull()
     salt = F.when(missing, F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SPREAD)) + 1).otherwise(0)
+    # Always 0, but not a constant to the optimizer, which would take a constant out of the keys.
+    no_salt = F.pmod(F.xxhash64(*[F.col(f"_on_{here}") for here in on]), F.lit(1))
     condition = F.col("_salt") == F.col("_no_salt")
     for here in on:
         condition = condition & (F.col(here) == F.col(f"_on_{here}"))
-    joined = rows.withColumn("_salt", salt.cast("int")).join(
-        renamed.withColumn("_no_salt", F.lit(0)), condition, "left"
+    joined = rows.withColumn("_salt", salt.cast("long")).join(
+        renamed.withColumn("_no_salt", no_salt.cast("long")), condition, "left"
     )
     return joined.drop("_salt", "_no_salt", *[f"_on_{here}" for here in on])
 

@@ -32,21 +32,22 @@ def fill_calendar(
 ) -> DataFrame:
     """Every day of [start, end] for every entity: last known value, before it the first known one.
 
-    Each entity's days come out of one generated sequence, so no cross join is needed.
+    `series` has at most one row per entity and day, all within the range. Every known value is
+    stretched to the day before the next known one, the first one also back to the start, so the
+    series is read once and joined to nothing. An entity without any known value stays NULL.
     """
-    spine = (
-        series.select(*entity)
-        .distinct()
-        .withColumn(day, F.explode(F.sequence(F.lit(start), F.lit(end))))
+    all_days = Window.partitionBy(*entity)
+    in_order = all_days.orderBy(day)
+    known = (
+        series.select(*entity, day, value)
+        .withColumns({"_known": F.count(value).over(all_days), "_first": F.row_number().over(in_order)})
+        .where(F.col(value).isNotNull() | ((F.col("_known") == 0) & (F.col("_first") == 1)))
     )
-    to_date = Window.partitionBy(*entity).orderBy(day)
-    whole = to_date.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    known_so_far = F.last(value, ignorenulls=True).over(
-        to_date.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    first_known = F.first(value, ignorenulls=True).over(whole)
-    return spine.join(series, [*entity, day], "left").withColumn(
-        value, F.coalesce(known_so_far, first_known)
+    since = F.when(F.lag(day).over(in_order).isNull(), F.lit(start)).otherwise(F.col(day))
+    until = F.coalesce(F.date_sub(F.lead(day).over(in_order), 1), F.lit(end))
+    stretched = known.withColumns({"_since": since, "_until": until})
+    return stretched.select(
+        *entity, value, F.explode(F.sequence("_since", "_until")).alias(day)
     )
 
 

@@ -66,14 +66,10 @@ def dim_store(
 
 def currency_codes(orders: DataFrame, fx: DataFrame) -> DataFrame:
     """Distinct currency codes of orders and of both sides of the rates."""
-    parts = [
-        orders.select("currency_code"),
-        fx.select(F.col("base_currency").alias("currency_code")),
-        fx.select(F.col("quote_currency").alias("currency_code")),
-    ]
+    rate_codes = F.explode(F.array("base_currency", "quote_currency")).alias("currency_code")
     # Each part is reduced to its few codes before the union is.
-    codes = [p.where("currency_code is not null").distinct() for p in parts]
-    return codes[0].union(codes[1]).union(codes[2]).distinct()
+    codes = [orders.select("currency_code").distinct(), fx.select(rate_codes).distinct()]
+    return codes[0].union(codes[1]).where("currency_code is not null").distinct()
 
 
 def dim_currency(orders: DataFrame, fx: DataFrame) -> DataFrame:

@@ -16,6 +16,8 @@ DEFAULTS = {
     # Split skewed join partitions even if that costs one more shuffle afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the Python call site of every Column costs more than building the plan itself.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
