@@ -15,6 +15,13 @@ def parse_date(text: Column) -> Column:
     return F.to_date(parse_timestamp(text))
 
 
+def strict_timestamp(text: Column) -> Column:
+    """Timestamp without zone of a text; one that does not parse fails the job."""
+    parsed = parse_timestamp(text)
+    failure = F.raise_error(F.concat(F.lit("not a timestamp: "), text.cast("string")))
+    return F.when(text.isNotNull() & parsed.isNull(), failure.cast("timestamp_ntz")).otherwise(parsed)
+
+
 def days_between(later: Column, earlier: Column) -> Column:
     """Whole days from `earlier` to `later`, NULL if either is missing."""
     return F.datediff(later, earlier).cast("long")

@@ -10,7 +10,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from salesloom.functions.dates import parse_date, parse_timestamp
+from salesloom.functions.dates import parse_date, parse_timestamp, strict_timestamp
 from salesloom.functions.fixed import DROP_WARNING_PCT, ORDER_STATUSES
 from salesloom.functions.numbers import is_fractional, is_false_or_null, parse_number, whole_or_null
 from salesloom.functions.text import lower_trim
@@ -121,13 +121,14 @@ def clean_fx(rates: DataFrame, start: date, end: date, recency: list[Column]) ->
 
 
 def clean_payments(payments: DataFrame) -> DataFrame:
-    """Numbers are parsed tolerantly; payments without an instrument are rejected; then the contract."""
+    """Numbers are parsed tolerantly, the load time strictly; payments without an instrument are rejected; then the contract."""
     names = [f.name for f in contracts.PAYMENTS]
     parsed = payments.select(*names).withColumns(
         {
             "payment_value": parse_number(F.col("payment_value"), "decimal(18,2)"),
             "payment_sequential": parse_number(F.col("payment_sequential")),
             "payment_installments": parse_number(F.col("payment_installments")),
+            "ingested_at": strict_timestamp(F.col("ingested_at")),
         }
     )
     reason = _first_of(
