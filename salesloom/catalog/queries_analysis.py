@@ -31,7 +31,7 @@ def monthly_trend(t: Tables):
     FROM sales_by_product WHERE category IS NOT NULL GROUP BY category
     ORDER BY revenue_brl DESC, category LIMIT 15""")
 def top_categories(t: Tables):
-    return analysis.top_categories(t.sales_by_product)
+    return analysis.top_categories(t.sale_lines, t.products)
 
 
 _BY_CATEGORY = f"(SELECT coalesce(category, 'unknown') AS category, {REVENUE} AS total_revenue FROM sales_by_product GROUP BY 1)"
@@ -41,8 +41,7 @@ _BY_CATEGORY = f"(SELECT coalesce(category, 'unknown') AS category, {REVENUE} AS
     CAST(sum(total_revenue) AS {MONEY}) AS total_revenue FROM (SELECT *, row_number() OVER (
         ORDER BY total_revenue DESC, category) AS rn FROM {_BY_CATEGORY}) GROUP BY 1""")
 def categories_and_others(t: Tables):
-    named = t.sales_by_product.fillna("unknown", ["category"])
-    return analysis.categories_and_others(named)
+    return analysis.categories_and_others(t.sale_lines, t.products)
 
 
 @query(f"""SELECT customer_state, category, total_revenue FROM (SELECT *, row_number() OVER (
@@ -51,7 +50,7 @@ def categories_and_others(t: Tables):
         FROM sales_by_customer_product GROUP BY 1, 2)) WHERE rn = 1""")
 def top_category_per_state(t: Tables):
     return analysis.top_category_per_state(
-        t.sales_by_customer_product.fillna("unknown", ["category"])
+        t.lines_with_category_and_state.fillna("unknown", ["category"])
     )
 
 
@@ -86,7 +85,7 @@ _SELLERS = f"""(SELECT seller_state, store_id, count(*) AS line_items, {REVENUE}
         AS state_avg_on_time_rate FROM {_SELLERS}
     WINDOW w AS (PARTITION BY seller_state ORDER BY on_time_rate DESC NULLS LAST)""")
 def seller_scorecard(t: Tables):
-    return analysis.seller_scorecard(t.sales_by_store).select(
+    return analysis.seller_scorecard(t.sale_lines, t.stores).select(
         "seller_state", "store_id", "line_items", "total_revenue", "on_time_rate",
         F.col("peer_rank").cast("long"), F.col("peer_count").cast("long"), "peer_percent_rank",
         "state_avg_on_time_rate",
@@ -98,7 +97,7 @@ def seller_scorecard(t: Tables):
     {ratio('sum(freight_value)', 'sum(unit_price)', '0')} AS freight_ratio
     FROM sales_by_customer_product GROUP BY category, customer_state""")
 def freight_ratio(t: Tables):
-    return analysis.freight_ratio(t.sales_by_customer_product)
+    return analysis.freight_ratio(t.lines_with_category_and_state)
 
 
 @query(f"""SELECT count(*) AS days, CAST(round(corr(orders, rain), 6) AS DECIMAL(9,6)) AS correlation,
@@ -133,7 +132,7 @@ def rainy_day_orders(t: Tables):
     FROM sales_by_product JOIN day_types USING (date_key) JOIN day_counts USING (day_type)
     GROUP BY day_type, category)""")
 def extreme_temperature_shift(t: Tables):
-    return analysis.extreme_temperature_shift(t.sales_by_product, t.fact_weather, -15, 5)
+    return analysis.extreme_temperature_shift(t.lines_with_category, t.fact_weather, -15, 5)
 
 
 @query(f"""SELECT CASE WHEN weathercode IS NULL THEN NULL WHEN weathercode BETWEEN 0 AND 1 THEN 'clear'
@@ -147,11 +146,13 @@ def extreme_temperature_shift(t: Tables):
         AND w.city = lower(s.customer_city) AND w.state = s.customer_state GROUP BY 1""")
 def weather_scatter(t: Tables):
     placed = t.sales_by_customer.select(
-        F.col("order_id").alias("order_item_id"), "order_code", "date_key", "unit_price",
+        "order_id", "date_key", "price", "lines",
         is_on_time(F.col("delivery_days_actual"), F.col("delivery_days_estimated")).alias("is_on_time"),
         normalize_city(F.col("customer_city")).alias("customer_city"), "customer_state",
     )
-    sales = marts.with_daily_weather(placed, t.fact_weather, "customer_city", "customer_state")
+    sales = marts.with_daily_weather(
+        placed, t.fact_weather, "customer_city", "customer_state", ["order_id"]
+    )
     return analysis.weather_scatter(sales)
 
 
@@ -159,7 +160,8 @@ def weather_scatter(t: Tables):
     delivery_days_estimated, order_status FROM sales_by_customer WHERE order_status = 'delivered'
     ORDER BY delivery_days_actual DESC NULLS LAST, order_code, line_number, unit_price LIMIT 50""")
 def worst_deliveries(t: Tables):
-    detail = t.sales_by_customer.select(
+    places = t.customers.select("customer_id", F.col("state").alias("customer_state"))
+    detail = t.sale_lines.join(places, "customer_id").select(
         "order_code", "line_number", "customer_state", "unit_price", "delivery_days_actual",
         "delivery_days_estimated", "order_status",
     )

@@ -33,7 +33,12 @@ def source_orders(t: Tables):
     return t.source_orders[0]
 
 
-@query("""SELECT 'customer_unique_id' AS key_column,
+@query("""SELECT 'customer_id' AS key_column, count(*) AS missing_rows,
+    (SELECT string_agg(k, ', ') FROM (SELECT DISTINCT customer_id AS k FROM raw_orders
+        WHERE customer_id NOT IN (SELECT customer_id FROM raw_customers) ORDER BY k LIMIT 5))
+        AS sample_keys
+    FROM raw_orders WHERE customer_id NOT IN (SELECT customer_id FROM raw_customers)
+    UNION ALL SELECT 'customer_unique_id' AS key_column,
     CAST(count(*) FILTER (c.customer_id IS NULL) AS BIGINT) AS missing_rows,
     (SELECT string_agg(k, ', ') FROM (SELECT DISTINCT r.customer_unique_id AS k FROM raw_orders o
         JOIN raw_customers r ON o.customer_id = r.customer_id
@@ -42,7 +47,7 @@ def source_orders(t: Tables):
     FROM raw_orders o JOIN raw_customers r ON o.customer_id = r.customer_id
     LEFT JOIN src_customers c ON r.customer_unique_id = c.customer_code""")
 def unresolved_customers(t: Tables):
-    """Report of a key lookup that misses: persons without a customer code are unknown."""
+    """Report of two key lookups that miss: orders without a person, persons without a code."""
     _, report = source_tables.orders(
         t.raw_orders, t.raw_customers, t.customers, RUN_AT, t.rows("orders")
     )
@@ -352,7 +357,7 @@ def city_day_weather(t: Tables):
     """Per-row weather lookup done as one composite-key join after reducing sales to city and day."""
     places = t.dim_customer.select("customer_id", "city", "normalized_city", "state")
     per_customer = t.sales.groupBy("customer_id", "date_key").agg(
-        F.sum(F.col("unit_price") * F.col("quantity")).alias("revenue")
+        F.sum("revenue").alias("revenue")
     )
     per_city = per_customer.join(places, "customer_id").groupBy(
         "city", "normalized_city", "state", "date_key"

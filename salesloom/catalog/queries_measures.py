@@ -8,8 +8,9 @@ from salesloom.catalog.registry import query
 from salesloom.catalog.sql import MONEY, RUN, mean, ratio
 from salesloom.catalog.tables import END, RUN_AT, START, Tables
 from salesloom.functions.numbers import money_sum
-from salesloom.functions.text import change_label
+from salesloom.functions.text import change_label, normalize_city
 from salesloom.operators import timeseries
+from salesloom.operators.dedup import keep_last
 from salesloom.plans import analysis, facts, marts, measures
 from salesloom.sources import warehouse
 
@@ -144,8 +145,6 @@ def orders_against_prior_months(t: Tables):
 
 @query("SELECT date, base_currency, quote_currency, rate FROM filled_fx")
 def fx_gap_fill(t: Tables):
-    from salesloom.operators.dedup import keep_last
-
     usable = t.fx.where(F.col("date").between(F.lit(START), F.lit(END))).where("base_currency is not null")
     pair = ["base_currency", "quote_currency"]
     daily = keep_last(usable, [*pair, "date"], [F.col("event_id")]).drop("event_id")
@@ -223,8 +222,6 @@ def fx_weekly_moves(t: Tables):
         ON w.date_key = s.date_key AND w.city = lower(s.customer_city) AND w.state = s.customer_state)
     GROUP BY state""")
 def weather_revenue(t: Tables):
-    from salesloom.functions.text import normalize_city
-
     placed = t.sales_by_customer.withColumn("city", normalize_city(F.col("customer_city")))
     return measures.weather_revenue(
         placed.withColumnRenamed("customer_state", "state"), t.fact_weather, ["state"]
@@ -260,7 +257,7 @@ def weather_against_all_days(t: Tables):
 @query("""SELECT 'sales' AS table_name, count(*) AS row_count FROM sales UNION ALL
     SELECT 'weather', count(*) FROM fact_weather UNION ALL SELECT 'fx', count(*) FROM silver_fx""")
 def table_row_counts(t: Tables):
-    return measures.row_counts({"sales": t.sales, "weather": t.fact_weather, "fx": t.silver_fx})
+    return measures.row_counts({"sales": t.sale_lines, "weather": t.fact_weather, "fx": t.silver_fx})
 
 
 @query(f"""SELECT strftime(max(CASE WHEN date_key >= 19980101 THEN {RUN} ELSE {RUN} - INTERVAL 1 DAY END),

@@ -16,7 +16,7 @@ from salesloom.functions.dates import days_between, date_key
 from salesloom.functions.text import macro_region, normalize_city
 from salesloom.operators import cleaning, contracts
 from salesloom.operators.dedup import keep_first
-from salesloom.plans import dimensions, facts, source_tables
+from salesloom.plans import dimensions, facts, measures, source_tables
 
 # Processing range, a little narrower than the data so that both ends reject rows.
 START, END = date(1995, 3, 1), date(2001, 6, 30)
@@ -454,47 +454,55 @@ class Tables:
             self.silver_payments, self.silver_orders, self.dim_customer, self.dim_currency
         )
 
-    # Sales lines for measures ---------------------------------------------------------------
+    # Sales for measures ---------------------------------------------------------------------
 
     @cached_property
-    def sales(self) -> DataFrame:
-        """Every line of a Silver order with natural ids.
+    def lines(self) -> DataFrame:
+        """Every priced line, defaults filled in.
 
-        Measures need neither surrogate keys nor one row per line number, so this base joins lines
-        to orders once and leaves out the deduplication and the key lookups of the fact.
+        Measures need neither surrogate keys nor one row per line number, so this base leaves out
+        the deduplication and the key lookups of the fact.
         """
         lines = self.raw("lineitem").select(*self._line_columns()).drop("ingested_at")
-        header = self.silver_orders.select(
+        return lines.where("unit_price is not null").withColumns(
+            {
+                "quantity": F.coalesce("quantity", F.lit(1)),
+                "freight_value": F.coalesce("freight_value", F.lit(0).cast("decimal(12,2)")),
+            }
+        )
+
+    @cached_property
+    def order_headers(self) -> DataFrame:
+        return self.silver_orders.select(
             "order_id", "order_code", "customer_id", "order_status", "order_date",
             date_key(F.col("order_date")).alias("date_key"), "delivery_days_actual",
             "delivery_days_estimated",
         )
-        filled = lines.where("unit_price is not null").fillna({"quantity": 1}).withColumn(
-            "freight_value", F.coalesce("freight_value", F.lit(0).cast("decimal(12,2)"))
-        )
-        return filled.join(header, "order_id")
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        """Totals of every Silver order that has lines."""
+        return measures.order_totals(self.lines, self.order_headers)
 
     @cached_property
     def sales_by_customer(self) -> DataFrame:
-        """Sales lines with the customer's place."""
+        """Order totals with the customer's place."""
         places = self.customers.select(
             "customer_id", F.col("city").alias("customer_city"), F.col("state").alias("customer_state")
         )
         return self.sales.join(places, "customer_id")
 
     @cached_property
-    def sales_by_product(self) -> DataFrame:
-        """Sales lines with the product category."""
-        categories = self.products.select("product_id", F.col("category_name_en").alias("category"))
-        return self.sales.join(categories, "product_id", "left")
+    def sale_lines(self) -> DataFrame:
+        """Lines of Silver orders."""
+        return self.lines.join(self.order_headers, "order_id")
 
     @cached_property
-    def sales_by_customer_product(self) -> DataFrame:
-        places = self.customers.select("customer_id", F.col("state").alias("customer_state"))
-        return self.sales_by_product.join(places, "customer_id")
+    def lines_with_category(self) -> DataFrame:
+        categories = self.products.select("product_id", F.col("category_name_en").alias("category"))
+        return self.sale_lines.join(categories, "product_id", "left")
 
     @cached_property
-    def sales_by_store(self) -> DataFrame:
-        """Sales lines with the seller's state."""
-        sellers = self.stores.select("store_id", F.col("state").alias("seller_state"))
-        return self.sales.join(sellers, "store_id")
+    def lines_with_category_and_state(self) -> DataFrame:
+        places = self.customers.select("customer_id", F.col("state").alias("customer_state"))
+        return self.lines_with_category.join(places, "customer_id")

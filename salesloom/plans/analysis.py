@@ -1,4 +1,9 @@
-"""Analytic queries over sales lines and marts."""
+"""Analytic queries.
+
+`sales` stands for order totals (`measures.order_totals`), `lines` for sales lines with the
+attributes of their order. Questions about orders are asked of the former, so that only questions
+about products and sellers have to carry lines through a join.
+"""
 
 from __future__ import annotations
 
@@ -7,17 +12,18 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from salesloom.functions.dates import key_to_date, month_start
-from salesloom.functions.numbers import line_revenue, mean, money_sum, ratio, share
+from salesloom.functions.numbers import line_revenue, mean, money_sum, ratio
 from salesloom.functions.text import weather_category
 from salesloom.operators import ranking, timeseries
+from salesloom.plans.measures import line_mean, lines_where
 
 
-def _revenue() -> Column:
+def _line_revenue() -> Column:
     return money_sum(line_revenue(F.col("unit_price"), F.col("quantity")))
 
 
 def _gross() -> Column:
-    return money_sum(F.col("unit_price") + F.col("freight_value"))
+    return money_sum(F.col("price") + F.col("freight"))
 
 
 def _actual() -> Column:
@@ -28,14 +34,10 @@ def _estimated() -> Column:
     return F.col("delivery_days_estimated")
 
 
-def _both() -> Column:
-    return _actual().isNotNull() & _estimated().isNotNull()
-
-
 def top_states(sales: DataFrame, k: int = 10) -> DataFrame:
-    """States by price plus freight, with their distinct orders."""
+    """States by price plus freight, with their orders."""
     by_state = sales.groupBy("customer_state").agg(
-        F.countDistinct("order_code").alias("orders"), _gross().alias("revenue_brl")
+        F.count(F.lit(1)).alias("orders"), _gross().alias("revenue_brl")
     )
     return ranking.top(by_state, k, [F.desc("revenue_brl"), F.asc("customer_state")])
 
@@ -44,30 +46,43 @@ def monthly_trend(sales: DataFrame) -> DataFrame:
     """Price plus freight and line items by month."""
     day = F.col("order_date")
     return sales.groupBy(F.year(day).alias("year"), F.month(day).alias("month")).agg(
-        _gross().alias("revenue_brl"), F.count(F.lit(1)).alias("line_items")
+        _gross().alias("revenue_brl"), F.sum("lines").alias("line_items")
     )
 
 
-def top_categories(sales: DataFrame, k: int = 15) -> DataFrame:
-    """Categories by price, lines without a category left out."""
-    by_category = sales.where("category is not null").groupBy("category").agg(
-        F.count(F.lit(1)).alias("line_items"), money_sum(F.col("unit_price")).alias("revenue_brl")
+def _by_category(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Totals per category. Lines are summed per product before the categories are looked up."""
+    by_product = lines.groupBy("product_id").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum("unit_price").alias("price"),
+        F.sum(line_revenue(F.col("unit_price"), F.col("quantity"))).alias("revenue"),
     )
-    return ranking.top(by_category, k, [F.desc("revenue_brl"), F.asc("category")])
+    categories = products.select("product_id", F.col("category_name_en").alias("category"))
+    return by_product.join(categories, "product_id", "left").groupBy("category").agg(
+        F.sum("lines").alias("line_items"),
+        money_sum(F.col("price")).alias("revenue_brl"),
+        money_sum(F.col("revenue")).alias("total_revenue"),
+    )
+
+
+def top_categories(lines: DataFrame, products: DataFrame, k: int = 15) -> DataFrame:
+    """Categories by price, lines without a category left out."""
+    known = _by_category(lines, products).where("category is not null").drop("total_revenue")
+    return ranking.top(known, k, [F.desc("revenue_brl"), F.asc("category")])
 
 
-def categories_and_others(sales: DataFrame, k: int = 10) -> DataFrame:
+def categories_and_others(lines: DataFrame, products: DataFrame, k: int = 10) -> DataFrame:
     """Revenue of the k best categories and of all the others together."""
-    by_category = sales.groupBy("category").agg(_revenue().alias("total_revenue"))
-    ranked = ranking.top_with_others(by_category, "category", "total_revenue", k, "All Others")
+    named = _by_category(lines, products).select(
+        F.coalesce("category", F.lit("unknown")).alias("category"), "total_revenue"
+    )
+    ranked = ranking.top_with_others(named, "category", "total_revenue", k, "All Others")
     return ranked.withColumn("total_revenue", F.col("total_revenue").cast("decimal(28,2)"))
 
 
-def top_category_per_state(sales: DataFrame) -> DataFrame:
+def top_category_per_state(lines: DataFrame) -> DataFrame:
     """The category with the most revenue in each state."""
-    revenue = sales.groupBy("customer_state", "category").agg(
-        _revenue().alias("total_revenue")
-    )
+    revenue = lines.groupBy("customer_state", "category").agg(_line_revenue().alias("total_revenue"))
     return ranking.first_per_group(
         revenue, ["customer_state"], [F.desc("total_revenue"), F.asc("category")]
     )
@@ -75,48 +90,54 @@ def top_category_per_state(sales: DataFrame) -> DataFrame:
 
 def delivery_performance(sales: DataFrame) -> DataFrame:
     """Average actual and promised days and the on-time share of delivered lines."""
-    return sales.where(_both()).agg(
-        mean(_actual()).alias("avg_actual_days"),
-        mean(_estimated()).alias("avg_estimated_days"),
-        ratio(F.count_if(_actual() <= _estimated()) * 100, F.count(F.lit(1))).alias("on_time_pct"),
+    delivered = sales.where(_actual().isNotNull() & _estimated().isNotNull())
+    return delivered.agg(
+        line_mean(_actual()).alias("avg_actual_days"),
+        line_mean(_estimated()).alias("avg_estimated_days"),
+        ratio(lines_where(_actual() <= _estimated()) * 100, F.sum("lines")).alias("on_time_pct"),
     )
 
 
 def order_delivery(sales: DataFrame) -> DataFrame:
-    """Delivery measures per order instead of per line: an order's lines are collapsed first."""
-    per_order = sales.groupBy("order_code").agg(
-        F.max(_actual()).alias("actual"), F.max(_estimated()).alias("estimated")
-    )
-    actual, estimated = F.col("actual"), F.col("estimated")
-    both = actual.isNotNull() & estimated.isNotNull()
-    return per_order.agg(
+    """Delivery measures per order instead of per line."""
+    delay = _actual() - _estimated()
+    return sales.agg(
         F.count(F.lit(1)).alias("orders"),
-        F.count("actual").alias("delivered_orders"),
-        mean(actual).alias("avg_delivery_days"),
-        mean(actual - estimated).alias("avg_delivery_delay"),
-        ratio(F.count_if(both & (actual > estimated)), F.count_if(both)).alias("late_order_rate"),
+        F.count(_actual()).alias("delivered_orders"),
+        mean(_actual()).alias("avg_delivery_days"),
+        mean(delay).alias("avg_delivery_delay"),
+        ratio(F.count_if(delay > 0), F.count(delay)).alias("late_order_rate"),
     )
 
 
-def seller_scorecard(sales: DataFrame) -> DataFrame:
-    """On-time rate and volume of each seller, ranked among the sellers of its state."""
-    per_seller = sales.groupBy("seller_state", "store_id").agg(
+def seller_scorecard(lines: DataFrame, stores: DataFrame) -> DataFrame:
+    """On-time rate and volume of each seller, ranked among the sellers of its state.
+
+    Lines are summed per seller before the state is looked up. The rate has four decimals, so a
+    state has at most 10,001 distinct rates to rank.
+    """
+    both = _actual().isNotNull() & _estimated().isNotNull()
+    on_time = F.count_if(_actual() <= _estimated()).cast("double")
+    per_seller = lines.groupBy("store_id").agg(
         F.count(F.lit(1)).alias("line_items"),
-        _revenue().alias("total_revenue"),
-        F.round(
-            F.try_divide(F.count_if(_actual() <= _estimated()).cast("double"), F.count_if(_both()).cast("double")), 4
-        ).cast("decimal(5,4)").alias("on_time_rate"),
+        _line_revenue().alias("total_revenue"),
+        F.round(F.try_divide(on_time, F.count_if(both).cast("double")), 4)
+        .cast("decimal(5,4)")
+        .alias("on_time_rate"),
+    )
+    placed = per_seller.join(
+        stores.select("store_id", F.col("state").alias("seller_state")), "store_id"
     )
-    ranked = ranking.rank_within(per_seller, "seller_state", "on_time_rate")
-    by_state = per_seller.groupBy("seller_state").agg(
+    ranked = ranking.rank_within(placed, "seller_state", "on_time_rate")
+    by_state = placed.groupBy("seller_state").agg(
         mean(F.col("on_time_rate")).alias("state_avg_on_time_rate")
     )
     return ranked.join(by_state, "seller_state")
 
 
-def freight_ratio(sales: DataFrame) -> DataFrame:
+def freight_ratio(lines: DataFrame) -> DataFrame:
     """Freight as a share of price by category and region."""
-    return sales.groupBy("category", "customer_state").agg(
+    return lines.groupBy("category", "customer_state").agg(
         money_sum(F.col("freight_value")).alias("freight"),
         money_sum(F.col("unit_price")).alias("price"),
         ratio(F.sum("freight_value"), F.sum("unit_price"), 0).alias("freight_ratio"),
@@ -128,7 +149,7 @@ def weather_correlation(sales: DataFrame, weather: DataFrame, state: str) -> Dat
     orders = (
         sales.where(F.col("customer_state") == state)
         .groupBy("date_key")
-        .agg(F.countDistinct("order_code").alias("orders"))
+        .agg(F.count(F.lit(1)).alias("orders"))
     )
     rain = (
         weather.where(F.col("state") == state)
@@ -148,7 +169,7 @@ def rainy_day_orders(
     """Rainy days of a state with its orders against the average of the last seven days."""
     orders = sales.where(F.col("customer_state") == state)
     daily = timeseries.daily_totals(
-        orders, spark, "order_date", {"orders": F.countDistinct("order_code")}, start, end
+        orders, spark, "order_date", {"orders": F.count(F.lit(1))}, start, end
     ).fillna(0, ["orders"])
     smoothed = timeseries.rolling_mean(daily, "orders", 7, "orders_7d_avg")
     rain = (
@@ -163,7 +184,7 @@ def rainy_day_orders(
 
 
 def extreme_temperature_shift(
-    sales: DataFrame, weather: DataFrame, cold_below: float, hot_above: float
+    lines: DataFrame, weather: DataFrame, cold_below: float, hot_above: float
 ) -> DataFrame:
     """Average daily lines of each category on hot, cold and moderate days.
 
@@ -183,9 +204,9 @@ def extreme_temperature_shift(
             .alias("day_type"),
         )
     )
-    lines = sales.groupBy("date_key", "category").agg(F.count(F.lit(1)).alias("lines"))
+    daily = lines.groupBy("date_key", "category").agg(F.count(F.lit(1)).alias("lines"))
     day_counts = days.groupBy("day_type").agg(F.count(F.lit(1)).alias("days"))
-    per_type = lines.join(days, "date_key").groupBy("category", "day_type").agg(
+    per_type = daily.join(days, "date_key").groupBy("category", "day_type").agg(
         F.sum("lines").alias("lines")
     )
     return per_type.join(day_counts, "day_type").withColumn(
@@ -194,28 +215,28 @@ def extreme_temperature_shift(
 
 
 def weather_scatter(sales_weather: DataFrame) -> DataFrame:
-    """Revenue, orders and average rain by weather category of the order day."""
-    return sales_weather.groupBy(weather_category(F.col("weathercode")).alias("weather_category")).agg(
-        money_sum(F.col("unit_price")).alias("revenue"),
-        F.countDistinct("order_code").alias("orders"),
-        mean(F.col("precipitation")).alias("avg_precipitation"),
-        share(F.coalesce(F.col("is_on_time"), F.lit(False))).alias("on_time_share"),
+    """Revenue, orders, average rain and on-time share by weather category of the order day."""
+    category = weather_category(F.col("weathercode")).alias("weather_category")
+    return sales_weather.groupBy(category).agg(
+        money_sum(F.col("price")).alias("revenue"),
+        F.count(F.lit(1)).alias("orders"),
+        line_mean(F.col("precipitation")).alias("avg_precipitation"),
+        ratio(lines_where(F.col("is_on_time")), F.sum("lines")).alias("on_time_share"),
     )
 
 
 def monthly_revenue(sales: DataFrame, spark: SparkSession, start: date, end: date) -> DataFrame:
-    """Revenue and orders of every month of [start, end], NULL revenue in a month without sales."""
+    """Revenue and orders of every month of [start, end], NULL in a month without sales."""
     totals = sales.groupBy(month_start(F.col("order_date")).alias("month")).agg(
-        _revenue().alias("total_revenue"), F.countDistinct("order_code").alias("order_count")
+        money_sum(F.col("revenue")).alias("total_revenue"), F.count(F.lit(1)).alias("order_count")
     )
     return timeseries.months(spark, start, end).join(totals, "month", "left")
 
 
 def daily_revenue(sales: DataFrame, spark: SparkSession, start: date, end: date) -> DataFrame:
     """Revenue of every day of [start, end]."""
-    return timeseries.daily_totals(
-        sales, spark, "order_date", {"total_revenue": _revenue()}, start, end
-    )
+    revenue = {"total_revenue": money_sum(F.col("revenue"))}
+    return timeseries.daily_totals(sales, spark, "order_date", revenue, start, end)
 
 
 def worst_deliveries(detail: DataFrame, status: Column, k: int) -> DataFrame:

@@ -9,6 +9,12 @@ from salesloom.operators.keys import assign_surrogate_keys
 from salesloom.operators.lookups import lookup
 
 
+def _with_currency(rows: DataFrame, dim_currency: DataFrame) -> DataFrame:
+    """Currency key of each row. Codes are three letters, so the dimension is always small."""
+    codes = dim_currency.select("currency_code", "currency_key")
+    return rows.join(F.broadcast(codes), "currency_code", "left")
+
+
 def _keys(dim: DataFrame, natural: str, surrogate: str) -> DataFrame:
     return dim.select(natural, surrogate)
 
@@ -33,10 +39,9 @@ def fact_sales(
         (dim_customer, "customer_id", "customer_key"),
         (dim_product, "product_id", "product_key"),
         (dim_store, "store_id", "store_key"),
-        (dim_currency, "currency_code", "currency_key"),
     ):
         lines = lookup(lines, _keys(dim, natural, surrogate), {natural: natural}, row)
-    return lines.select(
+    return _with_currency(lines, dim_currency).select(
         "order_item_id", "order_id", "order_code", "line_number", "date_key", "customer_key",
         "product_key", "store_key", "currency_key", "order_status", "source_channel",
         "unit_price", "freight_value", "quantity", "delivery_days_actual", "delivery_days_estimated",
@@ -60,8 +65,8 @@ def fact_fx_rates(fx: DataFrame, dim_currency: DataFrame) -> DataFrame:
         F.col("currency_code").alias("quote_currency"), F.col("currency_key").alias("quote_currency_key")
     )
     return (
-        fx.join(base, "base_currency", "left")
-        .join(quote, "quote_currency", "left")
+        fx.join(F.broadcast(base), "base_currency", "left")
+        .join(F.broadcast(quote), "quote_currency", "left")
         .select(
             date_key(F.col("date")).alias("date_key"), "base_currency_key", "quote_currency_key",
             "base_currency", "quote_currency", "rate",
@@ -80,8 +85,7 @@ def fact_payments(
     paid = payments.join(header, "order_id")
     row = ["order_id", "payment_sequential"]
     paid = lookup(paid, _keys(dim_customer, "customer_id", "customer_key"), {"customer_id": "customer_id"}, row)
-    paid = lookup(paid, _keys(dim_currency, "currency_code", "currency_key"), {"currency_code": "currency_code"}, row)
-    return paid.select(
+    return _with_currency(paid, dim_currency).select(
         "order_id", "order_code", "payment_sequential", "date_key", "customer_key", "currency_key",
         "payment_type", "payment_installments", "payment_value",
     )

@@ -31,7 +31,8 @@ def sales_enriched(
         "product_key", F.col("category_name_en").alias("category_english"), "weight_g"
     )
     sellers = dim_store.select("store_key", F.col("state").alias("seller_state"))
-    sales = fact_sales.join(days, "date_key")
+    # One row per calendar day.
+    sales = fact_sales.join(F.broadcast(days), "date_key")
     for table, key in ((customers, "customer_key"), (products, "product_key"), (sellers, "store_key")):
         sales = lookup(sales, table, {key: key}, ROW)
     return sales.select(
@@ -43,13 +44,15 @@ def sales_enriched(
     )
 
 
-def with_daily_weather(sales: DataFrame, weather: DataFrame, city: str, state: str) -> DataFrame:
-    """Left join of daily weather on the day, the normalized city and the state."""
+def with_daily_weather(
+    sales: DataFrame, weather: DataFrame, city: str, state: str, row: list[str]
+) -> DataFrame:
+    """Left join of daily weather on the day, the normalized city and the state; `row` is the row id."""
     per_day = weather.select("date_key", "city", "state", *WEATHER).withColumnsRenamed(
         {"date_key": "_day", "city": "_city", "state": "_state"}
     )
     on = {"date_key": "_day", city: "_city", state: "_state"}
-    return lookup(sales, per_day, on, ROW)
+    return lookup(sales, per_day, on, row)
 
 
 def sales_with_weather(
@@ -63,7 +66,7 @@ def sales_with_weather(
         F.col("state").alias("customer_state"),
     )
     placed = lookup(fact_sales, customers, {"customer_key": "customer_key"}, ROW)
-    sales = with_daily_weather(placed, fact_weather, "customer_city_normalized", "customer_state")
+    sales = with_daily_weather(placed, fact_weather, "customer_city_normalized", "customer_state", ROW)
     return sales.select(
         "order_item_id", "order_code", "date_key", "customer_key", "unit_price", "freight_value",
         "delivery_days_actual", "delivery_days_estimated",
@@ -82,7 +85,8 @@ def sales_usd(fact_sales: DataFrame, fact_fx: DataFrame) -> DataFrame:
     """Sales in BRL and USD at the rate of the order day; USD is NULL outside the rate series."""
     rates = pair_rates(fact_fx, "USD", "BRL", "usd_to_brl_rate")
     rate = F.col("usd_to_brl_rate")
-    return fact_sales.join(rates, "date_key", "left").select(
+    # One row per calendar day.
+    return fact_sales.join(F.broadcast(rates), "date_key", "left").select(
         "order_item_id", "order_code", "date_key",
         F.col("unit_price").alias("unit_price_brl"),
         F.col("freight_value").alias("freight_value_brl"),
@@ -107,9 +111,11 @@ def source_detail(
     products = dim_product.select("product_key", F.col("category_name_en").alias("category_english"))
     sales = lookup(fact_sales, customers, {"customer_key": "customer_key"}, ROW)
     sales = lookup(sales, products, {"product_key": "product_key"}, ROW)
-    sales = with_daily_weather(sales, fact_weather, "_normalized", "customer_state")
+    sales = with_daily_weather(sales, fact_weather, "_normalized", "customer_state", ROW)
     for base, quote, name in (("EUR", "BRL", "eur_brl_rate"), ("EUR", "USD", "eur_usd_rate")):
-        sales = sales.join(pair_rates(fact_fx, base, quote, name), "date_key", "left")
+        # One row per calendar day.
+        rates = pair_rates(fact_fx, base, quote, name)
+        sales = sales.join(F.broadcast(rates), "date_key", "left")
     return sales.select(
         "order_code", "line_number",
         key_to_date(F.col("date_key")).alias("order_purchase_date"),

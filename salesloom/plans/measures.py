@@ -1,6 +1,6 @@
 """Named measures. A filter context is a `where`, a group context a list of columns.
 
-Base measures are aggregate expressions over sales lines; derived measures are quotients or sums of
+Base measures are aggregate expressions over order totals; derived measures are quotients or sums of
 base measures, taken after the aggregation.
 """
 
@@ -13,31 +13,62 @@ from salesloom.functions.fixed import CLEAR_DAY_CODES, HIGH_VALUE_PRICE, RAINY_D
 from salesloom.functions.numbers import MONEY_TOTAL, line_revenue, mean, money_sum, ratio, to_usd
 
 
-def _revenue() -> Column:
-    return line_revenue(F.col("unit_price"), F.col("quantity"))
+# Per-order totals, from which every measure over order attributes is computed.
+ORDER_TOTALS = {
+    "revenue": lambda: F.sum(line_revenue(F.col("unit_price"), F.col("quantity"))),
+    "high_value": lambda: F.sum(
+        F.when(
+            F.col("unit_price") > HIGH_VALUE_PRICE,
+            line_revenue(F.col("unit_price"), F.col("quantity")),
+        ).otherwise(0)
+    ),
+    "price": lambda: F.sum("unit_price"),
+    "freight": lambda: F.sum("freight_value"),
+    "units": lambda: F.sum("quantity"),
+    "lines": lambda: F.count(F.lit(1)),
+}
+
+
+def order_totals(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """Orders that have lines, with the totals of their lines.
+
+    Lines are summed per order before they are joined, partly even before they are shuffled: an
+    order with very many lines costs no more than another one, each order is one row afterwards,
+    and counting orders needs no distinct.
+    """
+    totals = lines.groupBy("order_id").agg(*[c().alias(n) for n, c in ORDER_TOTALS.items()])
+    return totals.join(orders, "order_id")
 
 
 def _delay() -> Column:
     return F.col("delivery_days_actual") - F.col("delivery_days_estimated")
 
 
+def lines_where(condition: Column) -> Column:
+    """Number of lines of the orders for which a condition holds."""
+    return F.coalesce(F.sum(F.when(condition, F.col("lines"))), F.lit(0)).cast("long")
+
+
+def line_mean(value: Column) -> Column:
+    """Average of an order attribute over lines: orders count as often as they have lines."""
+    return ratio(F.sum(value * F.col("lines")), lines_where(value.isNotNull()))
+
+
 # Functions, because a Column can only be made while a session is active.
 BASE = {
-    "total_revenue": lambda: money_sum(_revenue()),
-    "total_freight": lambda: money_sum(F.col("freight_value")),
-    "order_count": lambda: F.countDistinct("order_code"),
-    "units_sold": lambda: F.sum("quantity").cast("long"),
-    "line_count": lambda: F.count(F.lit(1)),
-    "avg_unit_price": lambda: mean(F.col("unit_price")),
-    "avg_delivery_days": lambda: mean(F.col("delivery_days_actual")),
-    "avg_delivery_delay": lambda: mean(_delay()),
-    "late_delivery_rate": lambda: ratio(F.count_if(_delay() > 0), F.count(_delay())),
-    "late_deliveries": lambda: F.count_if(_delay() > 0),
-    "high_value_revenue": lambda: money_sum(
-        F.when(F.col("unit_price") > HIGH_VALUE_PRICE, _revenue()).otherwise(0)
-    ),
-    "lines_with_customer": lambda: F.count("customer_id"),
-    "lines_without_customer": lambda: F.count_if(F.col("customer_id").isNull()),
+    "total_revenue": lambda: money_sum(F.col("revenue")),
+    "total_freight": lambda: money_sum(F.col("freight")),
+    "order_count": lambda: F.count(F.lit(1)),
+    "units_sold": lambda: F.sum("units").cast("long"),
+    "line_count": lambda: F.sum("lines").cast("long"),
+    "avg_unit_price": lambda: ratio(F.sum("price"), F.sum("lines")),
+    "avg_delivery_days": lambda: line_mean(F.col("delivery_days_actual")),
+    "avg_delivery_delay": lambda: line_mean(_delay()),
+    "late_delivery_rate": lambda: ratio(lines_where(_delay() > 0), lines_where(_delay().isNotNull())),
+    "late_deliveries": lambda: lines_where(_delay() > 0),
+    "high_value_revenue": lambda: money_sum(F.col("high_value")),
+    "lines_with_customer": lambda: lines_where(F.col("customer_id").isNotNull()),
+    "lines_without_customer": lambda: lines_where(F.col("customer_id").isNull()),
 }
 
 # Base measures a derived one needs, and its expression over them.
@@ -56,7 +87,7 @@ DERIVED = {
 
 
 def measure(sales: DataFrame, by: list[str], names: list[str]) -> DataFrame:
-    """The named measures of sales lines per group, or one row without a group."""
+    """The named measures of order totals per group of order attributes, or one row without a group."""
     needed = dict.fromkeys(b for n in names for b in (DERIVED[n][0] if n in DERIVED else [n]))
     totals = sales.groupBy(*by).agg(*[BASE[n]().alias(n) for n in needed])
 
@@ -76,7 +107,7 @@ def revenue_in_usd(sales: DataFrame, rates: DataFrame, by: list[str] | None = No
     `date_key` with `rate` in local units per dollar.
     """
     by = by or []
-    daily = sales.groupBy("date_key", *by).agg(money_sum(_revenue()).alias("revenue"))
+    daily = sales.groupBy("date_key", *by).agg(money_sum(F.col("revenue")).alias("revenue"))
     usd = F.coalesce(to_usd(F.col("revenue"), F.col("rate")), F.lit(0).cast("decimal(18,4)"))
     return (
         daily.join(rates, "date_key", "left")
@@ -117,7 +148,7 @@ def weather_revenue(sales: DataFrame, weather: DataFrame, by: list[str]) -> Data
     """
     place = ["date_key", "city", "state"]
     per_place = sales.groupBy(*place, *[c for c in by if c not in place]).agg(
-        money_sum(_revenue()).alias("revenue")
+        money_sum(F.col("revenue")).alias("revenue")
     )
     conditions = weather.groupBy(*place).agg(
         F.max("precipitation").alias("precipitation"), F.max("weathercode").alias("weathercode")
@@ -140,8 +171,9 @@ def weather_revenue(sales: DataFrame, weather: DataFrame, by: list[str]) -> Data
 
 def customer_loyalty(sales: DataFrame) -> DataFrame:
     """Unique customers, orders per customer and the share of customers with several orders."""
-    per_order = sales.where("customer_id is not null").select("customer_id", "order_code").distinct()
-    per_customer = per_order.groupBy("customer_id").agg(F.count(F.lit(1)).alias("orders"))
+    per_customer = sales.where("customer_id is not null").groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("orders")
+    )
     customers = F.count(F.lit(1))
     return per_customer.agg(
         customers.alias("unique_customers"),

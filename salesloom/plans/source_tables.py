@@ -15,7 +15,7 @@ from salesloom.functions.text import category_fallback, macro_region
 from salesloom.functions.fixed import UNKNOWN_MACRO_REGION
 from salesloom.operators.dedup import keep_first
 from salesloom.operators.keys import assign_surrogate_keys
-from salesloom.operators.lookups import resolve
+from salesloom.operators.lookups import lookup, resolve
 
 
 def _audit(at: datetime) -> dict[str, Column]:
@@ -60,7 +60,9 @@ def products(
 ) -> DataFrame:
     """One row per product; the category falls back to Portuguese, then to 'unknown'."""
     first = keep_first(raw, ["product_id"], [F.col("product_category_name")])
-    named = first.join(translations, "product_category_name", "left").select(
+    english = translations.withColumnRenamed("product_category_name", "name")
+    translated = lookup(first, english, {"product_category_name": "name"}, ["product_id"])
+    named = translated.select(
         F.col("product_id").alias("product_code"),
         F.col("product_category_name").alias("category_name_pt"),
         category_fallback(
@@ -81,7 +83,7 @@ def orders(
     at: datetime,
     rows_at_most: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Orders of known persons, and the report of the dropped ones.
+    """Orders of known persons, and a report of the dropped ones with one row per lookup.
 
     The raw order names a customer id of its own, which the raw customer file maps to the person.
     """
@@ -90,10 +92,13 @@ def orders(
         ["customer_id"],
         [F.col("customer_unique_id")],
     )
-    linked = raw.join(bridge, "customer_id").drop("customer_id")
+    named_bridge = bridge.withColumnRenamed("customer_id", "raw_id")
+    linked, unlinked = resolve(
+        raw, named_bridge, {"customer_id": "raw_id"}, ["order_id"], "customer_unique_id"
+    )
     codes = customers.select("customer_id", F.col("customer_code").alias("code"))
-    found, report = resolve(
-        linked, codes, {"customer_unique_id": "code"}, ["order_id"], "customer_id"
+    found, unknown = resolve(
+        linked.drop("customer_id"), codes, {"customer_unique_id": "code"}, ["order_id"], "customer_id"
     )
     purchased = parse_timestamp(F.col("order_purchase_timestamp"))
     day = F.to_date(purchased)
@@ -117,7 +122,7 @@ def orders(
         stamp.alias("ingested_at"),
     )
     keyed = assign_surrogate_keys(named, "order_id", [F.col("order_code")], rows_at_most=rows_at_most)
-    return keyed, report
+    return keyed, unlinked.unionByName(unknown)
 
 
 def order_items(

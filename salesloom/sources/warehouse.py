@@ -51,11 +51,13 @@ def upsert_fact(source: DataFrame, path: str, keys: list[str], loaded_at: dateti
 
     current = spark.read.parquet(path)
     new_keys = incoming.select(*keys)
-    changed = current.select(*keys, PART).join(new_keys, keys, "left_semi").select(PART)
+    touched = incoming.select(PART).distinct()
+    if "date_key" not in keys:
+        # A replaced row may have had a date in another month.
+        replaced = current.select(*keys, PART).join(new_keys, keys, "left_semi")
+        touched = touched.union(replaced.select(PART).distinct()).distinct()
     # One entry per month: bounded by the calendar, not by the data.
-    months = [
-        row[0] for row in changed.union(incoming.select(PART)).distinct().collect()
-    ]
+    months = [row[0] for row in touched.collect()]
     if not months:
         return
     kept = current.where(F.col(PART).isin(months)).join(new_keys, keys, "left_anti")
