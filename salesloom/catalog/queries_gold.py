@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from salesloom.catalog.registry import query
-from salesloom.catalog.sql import MONEY, RUN, day_key, mean, ratio
-from salesloom.catalog.tables import END, RUN_AT, START, Tables
+from salesloom.catalog.sql import MONEY, RUN, mean
+from salesloom.catalog.tables import END, RUN_AT, Tables
 from salesloom.functions.dates import date_key
 from salesloom.functions.numbers import money_sum
 from salesloom.operators import dedup, keys, lookups

@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 from salesloom.catalog.registry import query
 from salesloom.catalog.sql import MONEY, RUN, mean, ratio
 from salesloom.catalog.tables import END, RUN_AT, START, Tables
-from salesloom.functions.numbers import money_sum
 from salesloom.functions.text import change_label, normalize_city
 from salesloom.operators import timeseries
 from salesloom.operators.dedup import keep_last
 from salesloom.plans import analysis, facts, marts, measures
-from salesloom.sources import warehouse
 
 REVENUE = f"CAST(sum(unit_price * quantity) AS {MONEY})"
 FREIGHT = f"CAST(sum(freight_value) AS {MONEY})"

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from salesloom.catalog.registry import query
-from salesloom.catalog.sql import RUN, ratio
+from salesloom.catalog.sql import ratio
 from salesloom.catalog.tables import RUN_AT, Tables
 from salesloom.operators import checks
 from salesloom.plans import health, marts, measures
@@ -166,6 +166,12 @@ def fx_quality(t: Tables):
     return _fx(t).select(*RESULT)
 
 
+@query(f"{SALES_CHECKS} UNION ALL {WEATHER_CHECKS} UNION ALL {FX_CHECKS}")
+def all_quality(t: Tables):
+    """The suites of all loaded facts: 26 results."""
+    return _sales(t).unionByName(_weather(t)).unionByName(_fx(t)).select(*RESULT)
+
+
 @query(PAYMENT_CHECKS)
 def payments_quality(t: Tables):
     suite = checks.fact_payments_checks(t.dim_date, t.dim_customer)

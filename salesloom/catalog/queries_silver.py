@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from salesloom.catalog.registry import query
-from salesloom.catalog.sql import RANGE, RUN, day_key, mean, ratio
-from salesloom.catalog.tables import END, RUN_AT, START, Tables
+from salesloom.catalog.sql import RUN
+from salesloom.catalog.tables import END, RUN_AT, Tables
 from salesloom.functions import dates, numbers, text
 from salesloom.operators import cleaning, contracts, profiling
 from salesloom.plans import source_tables

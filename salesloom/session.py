@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split skewed join partitions even if that costs one more shuffle afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM does not compile methods beyond this size; such stages run faster without fused code.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Recording the Python call site of every Column costs more than building the plan itself.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
