@@ -9,7 +9,7 @@ from __future__ import annotations
 from datetime import date, datetime
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from salesloom.functions.dates import days_between, date_key
@@ -23,6 +23,7 @@ START, END = date(1995, 3, 1), date(2001, 6, 30)
 RUN_AT = datetime(2024, 2, 1, 6, 0, 0)
 # Days over which the events are spread: 1995-01-01 to 2001-07-31.
 SPREAD_DAYS = 2404
+RUN_AT_NTZ = f"TIMESTAMP_NTZ '{RUN_AT}'"
 
 # Schemas by path, so that a table read by many queries is inferred once.
 _schemas: dict[str, StructType] = {}
@@ -49,49 +50,45 @@ class Tables:
 
     def places(self) -> DataFrame:
         """Nation and two-letter region code per nation key."""
-        region = self.raw("region").select(
-            F.col("r_regionkey").alias("n_regionkey"), F.substring("r_name", 1, 2).alias("state")
+        region = self.raw("region").selectExpr(
+            "r_regionkey AS n_regionkey", "substring(r_name, 1, 2) AS state"
         )
         return self.raw("nation").join(region, "n_regionkey").select("n_nationkey", "n_name", "state")
 
     @cached_property
     def customers(self) -> DataFrame:
-        placed = self.raw("customer").join(
-            self.places(), F.col("c_nationkey") == F.col("n_nationkey")
-        )
-        return placed.select(
-            F.col("c_custkey").alias("customer_id"),
-            F.when(F.col("c_acctbal") >= -900, F.col("c_name")).alias("customer_code"),
-            F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("zip_code_prefix"),
-            F.col("n_name").alias("city"),
+        placed = self.raw("customer").withColumnRenamed("c_nationkey", "n_nationkey")
+        return placed.join(self.places(), "n_nationkey").selectExpr(
+            "c_custkey AS customer_id",
+            "CASE WHEN c_acctbal >= -900 THEN c_name END AS customer_code",
+            "lpad(string(n_nationkey), 5, '0') AS zip_code_prefix",
+            "n_name AS city",
             "state",
-            (F.col("c_acctbal") >= 0).alias("is_active"),
+            "c_acctbal >= 0 AS is_active",
         )
 
     @cached_property
     def stores(self) -> DataFrame:
-        placed = self.raw("supplier").join(
-            self.places(), F.col("s_nationkey") == F.col("n_nationkey")
-        )
-        return placed.select(
-            F.col("s_suppkey").alias("store_id"),
-            F.col("s_name").alias("store_code"),
-            F.lpad(F.col("s_nationkey").cast("string"), 5, "0").alias("zip_code_prefix"),
-            F.col("n_name").alias("city"),
+        placed = self.raw("supplier").withColumnRenamed("s_nationkey", "n_nationkey")
+        named = placed.join(self.places(), "n_nationkey").selectExpr(
+            "s_suppkey AS store_id",
+            "s_name AS store_code",
+            "lpad(string(n_nationkey), 5, '0') AS zip_code_prefix",
+            "n_name AS city",
             "state",
-            macro_region(F.col("state")).alias("region"),
-            (F.col("s_acctbal") >= 0).alias("is_active"),
+            "s_acctbal >= 0 AS is_active",
         )
+        return named.withColumn("region", macro_region(F.col("state")))
 
     @cached_property
     def products(self) -> DataFrame:
-        return self.raw("part").select(
-            F.col("p_partkey").alias("product_id"),
-            F.concat(F.lit("PRD-"), F.col("p_partkey").cast("string")).alias("product_code"),
-            F.when(F.col("p_size") > 3, F.concat_ws(" ", "p_type", "p_brand")).alias("category_name_en"),
-            F.col("p_brand").alias("category_name_pt"),
-            (F.col("p_size") * 100).cast("string").alias("weight_g"),
-            (F.col("p_retailprice") > 1000).alias("is_active"),
+        return self.raw("part").selectExpr(
+            "p_partkey AS product_id",
+            "concat('PRD-', p_partkey) AS product_code",
+            "CASE WHEN p_size > 3 THEN concat(p_type, ' ', p_brand) END AS category_name_en",
+            "p_brand AS category_name_pt",
+            "string(p_size * 100) AS weight_g",
+            "p_retailprice > 1000 AS is_active",
         )
 
     @cached_property
@@ -101,52 +98,44 @@ class Tables:
 
     def orders_of(self, rows: DataFrame) -> DataFrame:
         """The order view over any rows of the raw table, such as a batch of a stream."""
-        o = F.col
-        day = F.when(o("o_totalprice") <= 495000, F.to_date("o_orderdate"))
-        delivered = F.when(
-            o("o_orderstatus") == "F",
-            F.date_add(day, F.pmod(o("o_orderkey") * 7, F.lit(41)).cast("int") - 1),
-        )
-        promised = F.date_add(day, F.lit(10) + F.pmod(o("o_custkey"), F.lit(15)).cast("int"))
-        status = (
-            F.when(o("o_orderstatus") == "F", "delivered")
-            .when(o("o_orderstatus") == "O", "shipped")
-            .when(o("o_orderpriority") == "1-URGENT", "lost")
-            .otherwise("canceled")
-        )
-        stamp = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
-        return rows.select(
-            o("o_orderkey").alias("order_id"),
-            F.concat(F.lit("ORD-"), o("o_orderkey").cast("string")).alias("order_code"),
-            F.when(o("o_totalprice") >= 5000, o("o_custkey")).alias("customer_id"),
-            status.alias("order_status"),
-            day.alias("order_date"),
-            o("o_orderdate").alias("order_timestamp"),
-            F.when(o("o_orderpriority") == "5-LOW", "n/a").otherwise(stamp).alias("approved_at"),
-            promised.alias("estimated_delivery"),
-            delivered.alias("actual_delivery"),
-            days_between(delivered, day).alias("delivery_days_actual"),
-            days_between(promised, day).alias("delivery_days_estimated"),
-            F.lit("online").alias("source_channel"),
-            F.when(o("o_totalprice") > 450000, "USD").otherwise("BRL").alias("currency_code"),
-            F.lit(RUN_AT).cast("timestamp_ntz").alias("ingested_at"),
-        )
-
-    def _line_columns(self) -> list[Column]:
-        price = F.col("l_extendedprice").cast("decimal(12,2)")
-        return [
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_suppkey").alias("store_id"),
-            F.col("l_linenumber").alias("line_number"),
-            F.when(F.col("l_quantity") < 50, price).alias("unit_price"),
-            F.when(
-                F.col("l_tax") > 0,
-                F.round(price * F.col("l_tax").cast("decimal(4,2)"), 2).cast("decimal(12,2)"),
-            ).alias("freight_value"),
-            F.when(F.col("l_quantity") > 1, F.col("l_quantity").cast("int")).alias("quantity"),
-            F.lit(RUN_AT).cast("timestamp_ntz").alias("ingested_at"),
-        ]
+        dated = rows.selectExpr(
+            "*", "CASE WHEN o_totalprice <= 495000 THEN to_date(o_orderdate) END AS order_date"
+        )
+        named = dated.selectExpr(
+            "o_orderkey AS order_id",
+            "concat('ORD-', o_orderkey) AS order_code",
+            "CASE WHEN o_totalprice >= 5000 THEN o_custkey END AS customer_id",
+            """CASE WHEN o_orderstatus = 'F' THEN 'delivered' WHEN o_orderstatus = 'O' THEN 'shipped'
+                WHEN o_orderpriority = '1-URGENT' THEN 'lost' ELSE 'canceled' END AS order_status""",
+            "order_date",
+            "o_orderdate AS order_timestamp",
+            """CASE WHEN o_orderpriority = '5-LOW' THEN 'n/a'
+                ELSE date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') END AS approved_at""",
+            "date_add(order_date, int(10 + o_custkey % 15)) AS estimated_delivery",
+            """CASE WHEN o_orderstatus = 'F'
+                THEN date_add(order_date, int(o_orderkey * 7 % 41 - 1)) END AS actual_delivery""",
+            "'online' AS source_channel",
+            "CASE WHEN o_totalprice > 450000 THEN 'USD' ELSE 'BRL' END AS currency_code",
+            f"{RUN_AT_NTZ} AS ingested_at",
+        )
+        day = F.col("order_date")
+        return named.withColumns(
+            {
+                "delivery_days_actual": days_between(F.col("actual_delivery"), day),
+                "delivery_days_estimated": days_between(F.col("estimated_delivery"), day),
+            }
+        )
+
+    LINE_COLUMNS = [
+        "l_orderkey AS order_id",
+        "l_partkey AS product_id",
+        "l_suppkey AS store_id",
+        "l_linenumber AS line_number",
+        "CASE WHEN l_quantity < 50 THEN CAST(l_extendedprice AS DECIMAL(12,2)) END AS unit_price",
+        """CASE WHEN l_tax > 0 THEN CAST(round(CAST(l_extendedprice AS DECIMAL(12,2))
+            * CAST(l_tax AS DECIMAL(4,2)), 2) AS DECIMAL(12,2)) END AS freight_value""",
+        "CASE WHEN l_quantity > 1 THEN int(l_quantity) END AS quantity",
+    ]
 
     @cached_property
     def order_items(self) -> DataFrame:
@@ -159,99 +148,85 @@ class Tables:
             )
         ]
         lines = keep_first(self.raw("lineitem"), ["l_orderkey", "l_linenumber"], ties)
-        id_ = F.col("l_orderkey") * 100 + F.col("l_linenumber")
-        return lines.select(id_.alias("order_item_id"), *self._line_columns())
+        return lines.selectExpr(
+            "l_orderkey * 100 + l_linenumber AS order_item_id",
+            *self.LINE_COLUMNS,
+            f"{RUN_AT_NTZ} AS ingested_at",
+        )
 
     @cached_property
     def payments(self) -> DataFrame:
         """Payments before cleaning, numbers as text."""
-        o = F.col
-        kind = (
-            F.when(o("o_orderpriority") == "1-URGENT", "credit_card")
-            .when(o("o_orderpriority") == "2-HIGH", "boleto")
-            .when(o("o_orderpriority") == "3-MEDIUM", "voucher")
-            .when(o("o_orderpriority") == "5-LOW", "debit_card")
-            .otherwise("not_defined")
-        )
-        value = o("o_totalprice").cast("decimal(12,2)").cast("string")
-        return self.raw("orders").select(
-            o("o_orderkey").alias("order_id"),
-            F.lit("1").alias("payment_sequential"),
-            kind.alias("payment_type"),
-            F.pmod(o("o_custkey"), F.lit(12)).cast("string").alias("payment_installments"),
-            F.when(o("o_totalprice") < 3000, "unknown").otherwise(value).alias("payment_value"),
-            F.lit(RUN_AT).cast("timestamp_ntz").alias("ingested_at"),
+        return self.raw("orders").selectExpr(
+            "o_orderkey AS order_id",
+            "'1' AS payment_sequential",
+            """CASE o_orderpriority WHEN '1-URGENT' THEN 'credit_card' WHEN '2-HIGH' THEN 'boleto'
+                WHEN '3-MEDIUM' THEN 'voucher' WHEN '5-LOW' THEN 'debit_card'
+                ELSE 'not_defined' END AS payment_type""",
+            "string(o_custkey % 12) AS payment_installments",
+            """CASE WHEN o_totalprice < 3000 THEN 'unknown'
+                ELSE string(CAST(o_totalprice AS DECIMAL(12,2))) END AS payment_value""",
+            f"{RUN_AT_NTZ} AS ingested_at",
         )
 
-    def _event_day(self) -> Column:
-        offset = F.pmod(F.col("event_id") * 7919, F.lit(SPREAD_DAYS)).cast("int")
-        return F.date_add(F.lit(date(1995, 1, 1)), offset)
+    EVENT_DAY = f"date_add(DATE '1995-01-01', int(event_id * 7919 % {SPREAD_DAYS})) AS date"
 
     @cached_property
     def weather(self) -> DataFrame:
         """Daily weather per city before cleaning, as floats."""
-        placed = (
+        days = (
             self.raw("events")
-            .withColumn("n_nationkey", F.pmod("user_id", F.lit(25)).cast("int"))
-            .withColumn("date", self._event_day())
+            .selectExpr("*", "int(user_id % 25) AS n_nationkey", self.EVENT_DAY)
             .groupBy("date", "n_nationkey")
             .agg(
                 F.max("value").alias("high"),
                 F.min("value").alias("low"),
                 F.max("event_id").alias("last_event"),
-                F.max(F.when(F.col("event_type") != "error", F.pmod("event_id", F.lit(104)))).alias("code"),
+                F.expr("max(CASE WHEN event_type <> 'error' THEN event_id % 104 END) AS code"),
             )
-            .join(self.places(), "n_nationkey")
         )
-        def tenth(c: Column) -> Column:
-            return F.round(c.cast("decimal(12,2)"), 1).cast("double")
-
-        return placed.select(
-            F.col("n_name").alias("city"),
-            F.when(F.col("low") < 200, F.col("state")).alias("state"),
+        return days.join(self.places(), "n_nationkey").selectExpr(
+            "n_name AS city",
+            "CASE WHEN low < 200 THEN state END AS state",
             "date",
-            (tenth(F.col("high")) - 20).alias("temp_max"),
-            (tenth(F.col("low")) - 25).alias("temp_min"),
-            tenth(F.col("low") / 3).alias("precipitation"),
-            F.pmod("last_event", F.lit(90)).cast("double").alias("windspeed"),
-            F.col("code").cast("double").alias("weathercode"),
+            "double(round(CAST(high AS DECIMAL(12,2)), 1)) - 20 AS temp_max",
+            "double(round(CAST(low AS DECIMAL(12,2)), 1)) - 25 AS temp_min",
+            "double(round(CAST(low / 3 AS DECIMAL(12,2)), 1)) AS precipitation",
+            "double(last_event % 90) AS windspeed",
+            "double(code) AS weathercode",
         )
 
     @cached_property
     def fx(self) -> DataFrame:
         """Rate quotes before cleaning, several per pair and day."""
-        kind = F.col("event_type")
-        value = F.col("value").cast("decimal(12,2)")
-        rate = F.when(value > 300, None).when(value < 1, F.lit(0).cast("decimal(14,4)")).otherwise(
-            ((value + 100) * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(14,4)")
-        )
-        return self.raw("events").select(
-            self._event_day().alias("date"),
-            F.when(kind == "purchase", "USD")
-            .when(kind.isin("click", "view"), "EUR")
-            .when(kind == "signup", "GBP")
-            .alias("base_currency"),
-            F.when(kind == "view", "USD").otherwise("BRL").alias("quote_currency"),
-            rate.cast("decimal(16,6)").alias("rate"),
+        return self.raw("events").selectExpr(
+            self.EVENT_DAY,
+            """CASE WHEN event_type = 'purchase' THEN 'USD'
+                WHEN event_type IN ('click', 'view') THEN 'EUR'
+                WHEN event_type = 'signup' THEN 'GBP' END AS base_currency""",
+            "CASE WHEN event_type = 'view' THEN 'USD' ELSE 'BRL' END AS quote_currency",
+            """CAST(CASE WHEN CAST(value AS DECIMAL(12,2)) > 300 THEN NULL
+                WHEN CAST(value AS DECIMAL(12,2)) < 1 THEN 0
+                ELSE (CAST(value AS DECIMAL(12,2)) + 100) * 0.01 END AS DECIMAL(16,6)) AS rate""",
             "event_id",
         )
 
     @cached_property
     def reviews(self) -> DataFrame:
-        return self.raw("conversations").select(
-            F.col("conv_id").alias("review_id"),
-            F.col("turn").alias("order_id"),
-            (F.length("text") % 5 + 1).alias("review_score"),
-            F.col("text").alias("review_comment_message"),
+        return self.raw("conversations").selectExpr(
+            "conv_id AS review_id",
+            "turn AS order_id",
+            "length(text) % 5 + 1 AS review_score",
+            "text AS review_comment_message",
         )
 
     @cached_property
     def geolocation(self) -> DataFrame:
         """Points per zip prefix."""
-        return self.raw("events").select(
-            F.lpad(F.pmod("user_id", F.lit(25)).cast("string"), 5, "0").alias("zip_code_prefix"),
-            (F.col("value") / 10 - 30).alias("latitude"),
-            (F.minute("ts") + F.second("ts") / 60 - 60).alias("longitude"),
+        return self.raw("events").selectExpr(
+            "lpad(string(user_id % 25), 5, '0') AS zip_code_prefix",
+            "value / 10 - 30 AS latitude",
+            "minute(ts) + second(ts) / 60 - 60 AS longitude",
         )
 
     # Raw commerce files -----------------------------------------------------------------------
@@ -463,7 +438,7 @@ class Tables:
         Measures need neither surrogate keys nor one row per line number, so this base leaves out
         the deduplication and the key lookups of the fact.
         """
-        lines = self.raw("lineitem").select(*self._line_columns()).drop("ingested_at")
+        lines = self.raw("lineitem").selectExpr(*self.LINE_COLUMNS)
         return lines.where("unit_price is not null").withColumns(
             {
                 "quantity": F.coalesce("quantity", F.lit(1)),

@@ -115,11 +115,11 @@ FX: Contract = [
 ]
 
 
-def _shown(value: Column, is_text: bool) -> Column:
-    text = value.cast("string")
-    if is_text:
-        text = F.concat(F.lit("'"), text, F.lit("'"))
-    return F.coalesce(text, F.lit("None"))
+def _text(rule: str, value: Column, quoted: bool) -> Column:
+    """Text of a broken rule and the value that breaks it, which is never NULL."""
+    if quoted:
+        return F.concat(F.lit(f"{rule}'"), value, F.lit("'"))
+    return F.concat(F.lit(rule), value.cast("string"))
 
 
 @dataclass
@@ -131,19 +131,17 @@ class _Rule:
 
 
 def _rules(field: Field, raw: Column, value: Column, raw_type: DataType) -> list[_Rule]:
-    def rule(broken: Column, name: str, shown: Column) -> _Rule:
-        return _Rule(broken, F.concat(F.lit(f"{field.name}[{name}]="), shown))
-
     found = []
     if not _always_casts(raw_type, field.dtype):
-        shown = _shown(raw, isinstance(raw_type, StringType))
-        found.append(rule(raw.isNotNull() & value.isNull(), f"coerce_dtype('{field.dtype}')", shown))
+        text = _text(f"{field.name}[coerce_dtype('{field.dtype}')]=", raw, isinstance(raw_type, StringType))
+        found.append(_Rule(raw.isNotNull() & value.isNull(), text))
     if not field.nullable:
-        found.append(rule(raw.isNull(), "not_nullable", F.lit("None")))
+        found.append(_Rule(raw.isNull(), F.lit(f"{field.name}[not_nullable]=None")))
     for check in field.checks:
         # A NULL value makes the test unknown, and an unknown test does not break the rule.
-        shown = _shown(value, field.dtype == "string")
-        found.append(rule(F.coalesce(~check.test(value), F.lit(False)), check.name, shown))
+        broken = F.coalesce(~check.test(value), F.lit(False))
+        text = _text(f"{field.name}[{check.name}]=", value, field.dtype == "string")
+        found.append(_Rule(broken, text))
     return found
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 NULL_SPREAD = 1024
@@ -17,20 +19,20 @@ def lookup(
     shuffles otherwise. Rows with a NULL key match nothing, so for a shuffle they are spread over
     the partitions by a hash of `spread_by`; a hot non-null key is split by adaptive execution.
     """
-    renamed = table.withColumnsRenamed({there: f"_on_{here}" for here, there in on.items()})
-    missing = F.lit(False)
-    for here in on:
-        missing = missing | F.col(here).isNull()
-    salt = F.when(missing, F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SPREAD)) + 1).otherwise(0)
+    missing = reduce(Column.__or__, [F.col(here).isNull() for here in on])
+    salt = F.when(missing, F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SPREAD)) + 1).otherwise(F.lit(0))
     # Always 0, but not a constant to the optimizer, which would take a constant out of the keys.
-    no_salt = F.pmod(F.xxhash64(*[F.col(f"_on_{here}") for here in on]), F.lit(1))
-    condition = F.col("_salt") == F.col("_no_salt")
-    for here in on:
-        condition = condition & (F.col(here) == F.col(f"_on_{here}"))
-    joined = rows.withColumn("_salt", salt.cast("long")).join(
-        renamed.withColumn("_no_salt", no_salt.cast("long")), condition, "left"
+    no_salt = F.pmod(F.xxhash64(*on.values()), F.lit(1))
+    keys = {there: f"_on_{here}" for here, there in on.items()}
+    added = [c for c in table.columns if c not in keys]
+    right = table.select(
+        *added, *[F.col(c).alias(k) for c, k in keys.items()], no_salt.alias("_no_salt")
+    )
+    matches = [F.col(here) == F.col(f"_on_{here}") for here in on]
+    joined = rows.select("*", salt.alias("_salt")).join(
+        right, [F.col("_salt") == F.col("_no_salt"), *matches], "left"
     )
-    return joined.drop("_salt", "_no_salt", *[f"_on_{here}" for here in on])
+    return joined.select(*rows.columns, *added)
 
 
 def resolve(
