@@ -51,7 +51,8 @@ def unresolved_customers(t: Tables):
     _, report = source_tables.orders(
         t.raw_orders, t.raw_customers, t.customers, RUN_AT, t.rows("orders")
     )
-    return report.withColumn("sample_keys", F.concat_ws(", ", "sample_keys"))
+    shown = F.nullif(F.concat_ws(", ", "sample_keys"), F.lit(""))
+    return report.withColumn("sample_keys", shown)
 
 
 @query(f"""SELECT * FROM (WITH first_items AS (SELECT * FROM (SELECT *, row_number() OVER (
