@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from salesloom.operators.single_rows import side_by_side
+
 NULL_SPREAD = 1024
 
 
@@ -49,11 +51,13 @@ def resolve(
     by_key = missed.groupBy(F.col(key).cast("string").alias("key")).agg(
         F.count(F.lit(1)).alias("row_count")
     )
-    sample = by_key.select("key").orderBy("key").limit(5).agg(F.sort_array(F.collect_list("key")).alias("sample_keys"))
-    report = by_key.agg(
-        F.lit(key).alias("key_column"),
-        F.coalesce(F.sum("row_count"), F.lit(0)).alias("missing_rows"),
-    ).join(sample)
+    total = by_key.agg(
+        F.lit(key).alias("key_column"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("missing_rows")
+    )
+    # Five keys at most.
+    sample = by_key.select("key").orderBy("key").limit(5)
+    keys = sample.agg(F.sort_array(F.collect_list("key")).alias("sample_keys"))
+    report = side_by_side(total, keys)
     return joined.where(F.col(found).isNotNull()), report
 
 

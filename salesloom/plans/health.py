@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from salesloom.functions.fixed import PASS_RATE_AMBER_PCT, PASS_RATE_GREEN_PCT
 from salesloom.functions.numbers import ratio, share
+from salesloom.operators.single_rows import side_by_side
 
 
 def join_coverage(sales_weather: DataFrame, sales_usd: DataFrame) -> DataFrame:
@@ -16,8 +17,7 @@ def join_coverage(sales_weather: DataFrame, sales_usd: DataFrame) -> DataFrame:
         share(F.col("customer_key").isNull()).alias("customer_key_null_rate"),
     )
     fx = sales_usd.agg(share(F.col("usd_to_brl_rate").isNotNull()).alias("fx_coverage"))
-    # Two single rows.
-    return weather.join(F.broadcast(fx))
+    return side_by_side(weather, fx)
 
 
 def pipeline_status(
@@ -40,8 +40,7 @@ def pipeline_status(
         .when((F.col("max_deviation") > 0.005) | (rate > 0.02), "REVIEW NEEDED")
         .otherwise("NOMINAL")
     )
-    # Two single rows.
-    return checked.join(F.broadcast(null_rate)).select(
+    return side_by_side(checked, null_rate).select(
         "max_deviation", "min_rows", "null_rate", status.alias("pipeline_status")
     )
 
