@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from salesloom.catalog.sql import with_views
 from salesloom.catalog.tables import Tables
+from salesloom.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -20,7 +21,12 @@ def query(sql: str | None = None):
         name = build.__name__
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = lambda spark, folder: build(Tables(spark, folder))
+
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            tune(spark)
+            return build(Tables(spark, folder))
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = with_views(sql)
         return build

@@ -7,22 +7,33 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Planning settings that change no result; `tune` applies them to a running session.
+PLANNING = {
+    # Split skewed join partitions even if that costs one more shuffle afterwards.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM does not compile methods beyond this size; such stages run faster without fused code.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
 DEFAULTS = {
+    **PLANNING,
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Split skewed join partitions even if that costs one more shuffle afterwards.
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # The JVM does not compile methods beyond this size; such stages run faster without fused code.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Recording the Python call site of every Column costs more than building the plan itself.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
+def tune(spark: SparkSession) -> None:
+    """Apply the planning settings to a session that was built elsewhere."""
+    for key, value in PLANNING.items():
+        spark.conf.set(key, value)
+
+
 def build_session(name: str, master: str | None = None, **settings: str) -> SparkSession:
     """Session with the defaults of this library. `master` is for local runs and tests only."""
     builder = SparkSession.builder.appName(name)

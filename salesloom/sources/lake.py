@@ -104,11 +104,19 @@ def write_gold(df: DataFrame, path: str) -> None:
 
 
 def publish_silver(
-    annotated: DataFrame, silver_path: str, quarantine_path: str, name: str, day: date, at: datetime
+    annotated: DataFrame,
+    silver_path: str,
+    quarantine_path: str,
+    name: str,
+    day: date,
+    at: datetime,
+    skip_empty: bool = False,
 ) -> None:
     """Split an annotated table into the Silver table of the day and the quarantine.
 
-    The annotated rows are written once, split by outcome, so the joins behind them run once.
+    The annotated rows are written once, split by outcome, so the joins behind them run once. With
+    `skip_empty`, as for feeds that delivered nothing, no rows at all write nothing; a table whose
+    rows are all rejected is written empty.
     """
     spark = annotated.sparkSession
     staging = f"{silver_path}/_annotated-{day.isoformat()}"
@@ -117,7 +125,8 @@ def publish_silver(
         "_rejected"
     ).parquet(staging)
     rows = spark.read.schema(annotated.schema.add("_rejected", "boolean")).parquet(staging)
-    accepted = rows.where(~F.col("_rejected")).drop("_rejected", "quarantine_reason")
-    write_silver(accepted, silver_path, day)
-    write_quarantine(rows.where("_rejected").drop("_rejected"), quarantine_path, name, at)
+    if not (skip_empty and rows.isEmpty()):
+        accepted = rows.where(~F.col("_rejected")).drop("_rejected", "quarantine_reason")
+        write_silver(accepted, silver_path, day)
+        write_quarantine(rows.where("_rejected").drop("_rejected"), quarantine_path, name, at)
     paths.delete(spark, staging)

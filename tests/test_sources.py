@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from salesloom.operators import cleaning, contracts
+from salesloom.operators import contracts
 from salesloom.session import shared_folder
 from salesloom.sources import feeds, lake, manifests, paths, schemas, warehouse
 from salesloom.streaming import incremental
@@ -75,6 +75,15 @@ def test_publish_silver(spark, tmp_path, cutoff, kept):
         assert lake.read_quarantine(spark, quarantine, "t").count() == 2 * (10 - kept)
 
 
+def test_publish_silver_of_an_empty_feed(spark, tmp_path):
+    nothing = spark.range(0).withColumn(contracts.REASON, F.lit(None).cast("string"))
+    silver, quarantine = str(tmp_path / "s"), str(tmp_path / "q")
+    lake.publish_silver(nothing, silver, quarantine, "t", D(2024, 1, 1), AT, skip_empty=True)
+    assert paths.child_folders(spark, silver) == [] and not Path(quarantine).exists()
+    lake.publish_silver(nothing, silver, quarantine, "t", D(2024, 1, 1), AT)
+    assert lake.latest_snapshot(spark, silver).count() == 0
+
+
 def test_gold_keeps_old_version_when_a_write_fails(spark, tmp_path, rows):
     path = str(tmp_path / "g")
     lake.write_gold(numbers(spark, 1), path)
