@@ -6,6 +6,7 @@ import logging
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from salesloom.sources import paths
 
@@ -124,7 +125,8 @@ def publish_silver(
     annotated.withColumn("_rejected", F.col("quarantine_reason").isNotNull()).write.partitionBy(
         "_rejected"
     ).parquet(staging)
-    rows = spark.read.schema(annotated.schema.add("_rejected", "boolean")).parquet(staging)
+    outcome = StructField("_rejected", BooleanType())
+    rows = spark.read.schema(StructType([*annotated.schema.fields, outcome])).parquet(staging)
     if not (skip_empty and rows.isEmpty()):
         accepted = rows.where(~F.col("_rejected")).drop("_rejected", "quarantine_reason")
         write_silver(accepted, silver_path, day)
