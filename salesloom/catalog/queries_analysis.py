@@ -100,7 +100,8 @@ def freight_ratio(t: Tables):
     return analysis.freight_ratio(t.lines_with_category_and_state)
 
 
-@query(f"""SELECT count(*) AS days, CAST(round(corr(orders, rain), 6) AS DECIMAL(9,6)) AS correlation,
+@query(f"""SELECT count(*) AS days, CASE WHEN stddev_pop(orders) > 0
+    AND stddev_pop(rain) > 0 THEN CAST(round(corr(orders, rain), 6) AS DECIMAL(9,6)) END AS correlation,
     CAST(round(regr_r2(orders, rain), 6) AS DECIMAL(9,6)) AS r_squared FROM
     (SELECT date_key, {ORDERS} AS orders FROM sales_by_customer WHERE customer_state = 'AS' GROUP BY 1) o
     JOIN (SELECT date_key, CAST({mean('precipitation')} AS DOUBLE) AS rain FROM fact_weather

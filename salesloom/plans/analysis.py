@@ -156,9 +156,12 @@ def weather_correlation(sales: DataFrame, weather: DataFrame, state: str) -> Dat
         .groupBy("date_key")
         .agg(mean(F.col("precipitation")).cast("double").alias("rain"))
     )
+    # NULL when one of the two never varies; the built-in correlation would fail.
+    spread = F.stddev_pop("rain") * F.stddev_pop("orders")
+    correlation = F.try_divide(F.covar_pop("rain", "orders"), spread)
     return orders.join(rain, "date_key").where("rain is not null").agg(
         F.count(F.lit(1)).alias("days"),
-        F.round(F.corr("rain", "orders"), 6).cast("decimal(9,6)").alias("correlation"),
+        F.round(correlation, 6).cast("decimal(9,6)").alias("correlation"),
         F.round(F.regr_r2("orders", "rain"), 6).cast("decimal(9,6)").alias("r_squared"),
     )
 
