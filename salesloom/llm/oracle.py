@@ -90,3 +90,52 @@ SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT A
        coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.words) AS contaminated
 FROM doc_words d LEFT JOIN hits h USING (doc_id) LEFT JOIN items i USING (doc_id)
 """
+
+ORACLE["op3_substring_dedup"] = r"""
+WITH doc_words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+    FROM documents
+), spans AS (
+    SELECT doc_id, start, array_to_string(list_slice(words, start, start + 19), ' ') AS span
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS start FROM doc_words WHERE len(words) >= 20)
+), repeated AS (
+    SELECT doc_id, start
+    FROM (SELECT doc_id, start, row_number() OVER (PARTITION BY span ORDER BY doc_id, start) AS n FROM spans)
+    WHERE n > 1
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(start, start + 20)) AS place FROM repeated
+), placed AS (
+    SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM doc_words
+), kept AS (
+    SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.place) AS text, count(*) AS n
+    FROM placed p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.place = g.place
+    GROUP BY p.doc_id
+)
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, (len(d.words) - coalesce(k.n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM doc_words d LEFT JOIN kept k USING (doc_id)
+"""
+
+ORACLE["op7_embedding_dedup"] = """
+WITH RECURSIVE unit AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+), usable AS (
+    SELECT * FROM unit WHERE len(list_filter(v, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+      AND list_dot_product(v, v) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+      ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), reach(vec_id, seen) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION
+    SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.seen = l.a
+), least AS (
+    SELECT vec_id, min(seen) AS component_id FROM reach GROUP BY vec_id
+), counted AS (
+    SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT l.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, l.component_id, l.vec_id = l.component_id AS kept
+FROM least l LEFT JOIN counted c ON l.vec_id = c.a
+"""

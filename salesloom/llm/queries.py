@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import decontamination, tokens, urls, warc
+from salesloom.llm import decontamination, simhash, substrings, tokens, urls, vectors, warc
 from salesloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,24 @@ def op1_warc_archive(spark, folder):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query
+def op3_substring_dedup(spark, folder):
+    result = substrings.remove_repeats(table(spark, folder, "documents"))
+    return result.select(
+        "doc_id", "result.n_words", "result.n_removed",
+        F.sha2("result.kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op4_simhash(spark, folder):
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op7_embedding_dedup(spark, folder):
+    return vectors.near_duplicates(table(spark, folder, "embeddings"))
+
+
 #: Host and path rules of the query; they come before the pattern rules.
 URL_RULES = [
     urls.host_rule("com/", "allow"),
