@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import decontamination, simhash, substrings, tokens, urls, vectors, warc
+from salesloom.llm import (
+    decontamination, langid, packing, quality, simhash, substrings, tokens, urls, vectors, warc,
+)
 from salesloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +38,11 @@ def op1_warc_archive(spark, folder):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query
+def op2_packing(spark, folder):
+    return packing.pack(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.tiktoken"))
+
+
 @query
 def op3_substring_dedup(spark, folder):
     result = substrings.remove_repeats(table(spark, folder, "documents"))
@@ -49,6 +56,32 @@ def op4_simhash(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def fold(parts: int):
+    """CRC-32 of doc_id as text, modulo `parts`."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
+@query
+def op5_language_id(spark, folder):
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(fold(4) == 2, F.lit(True))
+    model = langid.fit(docs.where(~held_out), tokenizer("piece_bpe_32k.model"))
+    return langid.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "language.lang_pred", "language.score")
+
+
+@query
+def op6_quality(spark, folder):
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(fold(3) == 1, F.lit(True))
+    labels = table(spark, folder, "labels").where(~held_out)
+    model = quality.fit(docs, labels.select("doc_id", F.col("quality").alias("label")))
+    scored = quality.score(docs.select("doc_id", "text", "n_chars"), model)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), F.col("quality").alias("score"),
+        (F.col("quality") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op7_embedding_dedup(spark, folder):
     return vectors.near_duplicates(table(spark, folder, "embeddings"))
