@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.texts import chunks, ragged, run_hashes, utf8, word_hashes, word_table
+from salesloom.llm.texts import HashSet, chunks, ragged, run_hashes, utf8, word_hashes, word_table
 
 SHINGLE = 3
 # Item texts that one pass carries to the tasks; more items take more passes over the documents.
@@ -54,22 +54,6 @@ def item_windows(items: list[tuple[str, bytes]], size: int) -> Windows:
                    [sorted(found[w]) for w in found])
 
 
-class HashSet:
-    """Membership of 64-bit hashes: a table of bits first, then a sorted array."""
-
-    def __init__(self, values: np.ndarray):
-        self.values = np.unique(values)
-        self.bits = np.zeros(1 << 20, bool)
-        self.bits[self.values >> np.uint64(44)] = True
-
-    def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of hashes that are members, and their places among the members."""
-        at = np.flatnonzero(self.bits[hashes >> np.uint64(44)])
-        place = np.minimum(np.searchsorted(self.values, hashes[at]), max(0, len(self.values) - 1))
-        hit = self.values[place] == hashes[at] if len(self.values) else np.zeros(len(at), bool)
-        return at[hit], place[hit]
-
-
 def window_shingles(windows: Windows) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """By window, the hashes of its shingles in order, keyed with the shingle length (1 to SHINGLE)."""
     result = {}
@@ -210,7 +194,7 @@ def _covered():
 
 def find_contamination(docs: DataFrame, items: DataFrame, size: int = 13,
                        slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items (sorted as strings) and contaminated of every document.
+    """doc_id, text_key (xxhash64), n_words, n_hit, n_items, items (sorted) and contaminated of every document.
 
     A word inside any occurrence of a window is hit; a document is contaminated if at least a
     twentieth of its words, and at least one, are hit. NULL and empty texts have no words. Items
@@ -248,6 +232,6 @@ def find_contamination(docs: DataFrame, items: DataFrame, size: int = 13,
     hit = _covered()
     named = F.filter("items", lambda item: item != "")
     return found.select(
-        "doc_id", "n_words", hit.alias("n_hit"), named.alias("items"),
+        "doc_id", "text_key", "n_words", hit.alias("n_hit"), named.alias("items"),
         F.size(named).cast("long").alias("n_items"),
     ).withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesloom.llm.texts import chunks
+from salesloom.llm.texts import HashSet, chunks, mix, span_hashes
 
 SAMPLE = 1_000  # labelled texts of a language that the model is fitted on, at most
 ROUNDS = 4
@@ -62,34 +62,58 @@ def words_of(text: str | None) -> list[str]:
     return found
 
 
+def _letter_values(text: str) -> np.ndarray:
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    return mix(points + np.uint64(1))
+
+
+class Pieces:
+    """The vocabulary by length, as hashes that all substrings of many words are looked up in."""
+
+    def __init__(self, numbers: dict[str, int]):
+        self.size = len(numbers)
+        self.by_length: dict[int, tuple[HashSet, np.ndarray]] = {}
+        for length in sorted({len(p) for p in numbers}):
+            own = [p for p in numbers if len(p) == length]
+            starts = np.arange(len(own)) * length
+            hashes = span_hashes(_letter_values("".join(own)), starts, starts + length)
+            order = np.argsort(hashes)
+            self.by_length[length] = HashSet(hashes), np.array([numbers[p] for p in own], np.int64)[order]
+
+
+@lru_cache(maxsize=2)
+def pieces_of(path: str) -> Pieces:
+    return Pieces(vocabulary(path))
+
+
 class Lattice:
     """All pieces inside the words of a batch: word, where it ends, its length, and its number."""
 
-    def __init__(self, words: list[str], pieces: dict[str, int]):
+    def __init__(self, words: list[str], pieces: Pieces):
         self.sizes = np.fromiter(map(len, words), np.int64, len(words))
-        longest = max(map(len, pieces), default=1)
-        rows, ends, lengths, numbers = [], [], [], []
-        get = pieces.get
-        for row, word in enumerate(words):
-            size = len(word)
-            for start in range(size):
-                single = True
-                for end in range(start + 1, min(size, start + longest) + 1):
-                    number = get(word[start:end])
-                    if number is not None:
-                        single = single and end > start + 1
-                        rows.append(row)
-                        ends.append(end)
-                        lengths.append(end - start)
-                        numbers.append(number)
-                if single:  # a letter that is no piece
-                    rows.append(row)
-                    ends.append(start + 1)
-                    lengths.append(1)
-                    numbers.append(-1)
-        order = np.argsort(np.array(ends, np.int64), kind="stable")
+        values = _letter_values("".join(words))
+        firsts = np.cumsum(self.sizes) - self.sizes
+        owner = np.repeat(np.arange(len(words)), self.sizes)
+        place = np.arange(len(values)) - firsts[owner]
+        room = self.sizes[owner] - place
+        starts, lengths, numbers = [], [], []
+        single = np.zeros(len(values), bool)
+        for length, (members, own) in pieces.by_length.items():
+            at = np.flatnonzero(room >= length)
+            hit, found = members.places(span_hashes(values, at, at + length))
+            starts.append(at[hit])
+            lengths.append(np.full(len(hit), length))
+            numbers.append(own[found])
+            if length == 1:
+                single[at[hit]] = True
+        alone = np.flatnonzero(~single)  # letters that are no piece
+        start = np.concatenate([*starts, alone]).astype(np.int64)
+        length = np.concatenate([*lengths, np.ones(len(alone))]).astype(np.int64)
+        number = np.concatenate([*numbers, np.full(len(alone), -1)]).astype(np.int64)
+        end = place[start] + length
+        order = np.argsort(end, kind="stable")
         self.rows, self.ends, self.lengths, self.numbers = (
-            np.array(x, np.int64)[order] for x in (rows, ends, lengths, numbers))
+            x[order] for x in (owner[start], end, length, number))
         self.cuts = np.searchsorted(self.ends, np.arange(1, self.sizes.max(initial=0) + 2))
 
     def weights(self, probabilities: np.ndarray) -> np.ndarray:
@@ -130,7 +154,7 @@ class Lattice:
 BATCH = 4_000
 
 
-def word_scores(words: list[str], pieces: dict[str, int], probabilities: np.ndarray) -> np.ndarray:
+def word_scores(words: list[str], pieces: Pieces, probabilities: np.ndarray) -> np.ndarray:
     """Log-probability of each word in each language, all segmentations summed."""
     result = np.zeros((len(words), probabilities.shape[1]))
     order = sorted(range(len(words)), key=lambda i: len(words[i]))
@@ -185,13 +209,13 @@ def fit(docs: DataFrame, path: str, sample: int = SAMPLE, rounds: int = ROUNDS)
     counted = count_words(sample_texts(docs, sample)).groupBy("word").agg(
         F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("counts")).repartition("word").checkpoint()
     languages = [r["lang"] for r in counted.select(F.explode(F.map_keys("counts")).alias("lang")).distinct().sort("lang").collect()]
-    pieces = vocabulary(path)
-    probabilities = np.full((len(pieces), max(1, len(languages))), 1.0 / max(1, len(pieces)))
+    size = pieces_of(path).size
+    probabilities = np.full((size, max(1, len(languages))), 1.0 / max(1, size))
     place = {lang: i for i, lang in enumerate(languages)}
 
     def expectations(probabilities):
         def run(batches):
-            pieces = vocabulary(path)
+            pieces = pieces_of(path)
             total = np.zeros(probabilities.shape)
             for batch in batches:
                 words = batch.column("word").to_pylist()
@@ -203,7 +227,7 @@ def fit(docs: DataFrame, path: str, sample: int = SAMPLE, rounds: int = ROUNDS)
                 for start in range(0, len(order), BATCH):
                     some = order[start:start + BATCH]
                     lattice = Lattice([words[i] for i in some], pieces)
-                    total += lattice.expected(lattice.weights(probabilities), counts[some], len(pieces))
+                    total += lattice.expected(lattice.weights(probabilities), counts[some], pieces.size)
             used = np.flatnonzero(total.any(axis=1))
             yield pa.RecordBatch.from_arrays([
                 pa.array(used, pa.int32()),
@@ -226,7 +250,7 @@ class Scorer:
     """Scores texts in a task; remembers a bounded number of words."""
 
     def __init__(self, model: Model):
-        self.model, self.pieces = model, vocabulary(model.path)
+        self.model, self.pieces = model, pieces_of(model.path)
         self.known: dict[str, int] = {}
         self.table = np.zeros((0, len(model.languages)))
 

@@ -53,7 +53,14 @@ def op3_substring_dedup(spark, folder):
 
 @query
 def op4_simhash(spark, folder):
-    return simhash.near_duplicates(table(spark, folder, "documents"))
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+def language_model(docs: DataFrame) -> langid.Model:
+    """Fitted on labelled documents of the folds that are not held out."""
+    learned = ~F.coalesce(fold(4) == 2, F.lit(True))
+    return langid.fit(docs.where(learned), tokenizer("piece_bpe_32k.model"))
 
 
 def fold(parts: int):
@@ -65,8 +72,7 @@ def fold(parts: int):
 def op5_language_id(spark, folder):
     docs = table(spark, folder, "documents")
     held_out = F.coalesce(fold(4) == 2, F.lit(True))
-    model = langid.fit(docs.where(~held_out), tokenizer("piece_bpe_32k.model"))
-    return langid.identify(docs.select("doc_id", "text"), model).select(
+    return langid.identify(docs.select("doc_id", "text"), language_model(docs)).select(
         "doc_id", held_out.alias("held_out"), "language.lang_pred", "language.score")
 
 

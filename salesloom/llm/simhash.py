@@ -53,16 +53,18 @@ def fingerprints(texts: list[bytes]) -> np.ndarray:
 
 
 def fingerprint_table(docs: DataFrame) -> DataFrame:
-    """doc_id and fingerprint (64 bits in a long) of every row; no words give zero."""
+    """doc_id, a hash of the text, and fingerprint (64 bits in a long) of every row; no words give zero."""
 
     def run(batches):
         for batch in chunks(batches):
             values = fingerprints(utf8(batch.column("text"))).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(values)], ["doc_id", "fingerprint"])
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(values)],
+                ["doc_id", "text_key", "fingerprint"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, fingerprint long")
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text",
+    ).mapInArrow(run, "doc_id long, text_key long, fingerprint long")
 
 
 def position_sets(distance: int) -> list[int]:
@@ -162,7 +164,7 @@ def fingerprint_links(distinct: DataFrame, distance: int = 2) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, distance: int = 2) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id of every row.
+    """doc_id, fingerprint (16 hex digits), component_id and text_key (xxhash64) of every row.
 
     component_id is the smallest doc_id that links reach, the row itself included. Documents without
     words (NULL, empty) share fingerprint zero and are linked like any others. A NULL doc_id keeps
@@ -178,4 +180,4 @@ def near_duplicates(docs: DataFrame, distance: int = 2) -> DataFrame:
     least = placed.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     known = placed.join(least, "root").select("fingerprint", "component_id")
     return rows.join(known, "fingerprint").select(
-        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id", "text_key")
