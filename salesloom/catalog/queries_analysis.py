@@ -31,7 +31,7 @@ def monthly_trend(t: Tables):
     FROM sales_by_product WHERE category IS NOT NULL GROUP BY category
     ORDER BY revenue_brl DESC, category LIMIT 15""")
 def top_categories(t: Tables):
-    return analysis.top_categories(t.sale_lines, t.products)
+    return analysis.top_categories(t.lines, t.dim_product)
 
 
 _BY_CATEGORY = f"(SELECT coalesce(category, 'unknown') AS category, {REVENUE} AS total_revenue FROM sales_by_product GROUP BY 1)"
@@ -41,7 +41,7 @@ _BY_CATEGORY = f"(SELECT coalesce(category, 'unknown') AS category, {REVENUE} AS
     CAST(sum(total_revenue) AS {MONEY}) AS total_revenue FROM (SELECT *, row_number() OVER (
         ORDER BY total_revenue DESC, category) AS rn FROM {_BY_CATEGORY}) GROUP BY 1""")
 def categories_and_others(t: Tables):
-    return analysis.categories_and_others(t.sale_lines, t.products)
+    return analysis.categories_and_others(t.lines, t.dim_product)
 
 
 @query(f"""SELECT customer_state, category, total_revenue FROM (SELECT *, row_number() OVER (
@@ -49,9 +49,7 @@ def categories_and_others(t: Tables):
     FROM (SELECT customer_state, coalesce(category, 'unknown') AS category, {REVENUE} AS total_revenue
         FROM sales_by_customer_product GROUP BY 1, 2)) WHERE rn = 1""")
 def top_category_per_state(t: Tables):
-    return analysis.top_category_per_state(
-        t.lines_with_category_and_state.fillna("unknown", ["category"])
-    )
+    return analysis.top_category_per_state(t.lines_of_customers, t.dim_product)
 
 
 @query(f"""SELECT {mean('delivery_days_actual')} AS avg_actual_days,
@@ -85,7 +83,7 @@ _SELLERS = f"""(SELECT seller_state, store_id, count(*) AS line_items, {REVENUE}
         AS state_avg_on_time_rate FROM {_SELLERS}
     WINDOW w AS (PARTITION BY seller_state ORDER BY on_time_rate DESC NULLS LAST)""")
 def seller_scorecard(t: Tables):
-    return analysis.seller_scorecard(t.sale_lines, t.stores).select(
+    return analysis.seller_scorecard(t.sale_lines, t.dim_store).select(
         "seller_state", "store_id", "line_items", "total_revenue", "on_time_rate",
         F.col("peer_rank").cast("long"), F.col("peer_count").cast("long"), "peer_percent_rank",
         "state_avg_on_time_rate",
@@ -97,7 +95,7 @@ def seller_scorecard(t: Tables):
     {ratio('sum(freight_value)', 'sum(unit_price)', '0')} AS freight_ratio
     FROM sales_by_customer_product GROUP BY category, customer_state""")
 def freight_ratio(t: Tables):
-    return analysis.freight_ratio(t.lines_with_category_and_state)
+    return analysis.freight_ratio(t.lines_of_customers, t.dim_product)
 
 
 @query(f"""SELECT count(*) AS days, CASE WHEN stddev_pop(orders) > 0
@@ -133,7 +131,7 @@ def rainy_day_orders(t: Tables):
     FROM sales_by_product JOIN day_types USING (date_key) JOIN day_counts USING (day_type)
     GROUP BY day_type, category)""")
 def extreme_temperature_shift(t: Tables):
-    return analysis.extreme_temperature_shift(t.lines_with_category, t.fact_weather, -15, 5)
+    return analysis.extreme_temperature_shift(t.sale_lines, t.dim_product, t.fact_weather, -15, 5)
 
 
 @query(f"""SELECT CASE WHEN weathercode IS NULL THEN NULL WHEN weathercode BETWEEN 0 AND 1 THEN 'clear'
@@ -159,11 +157,11 @@ def weather_scatter(t: Tables):
 
 @query("""SELECT order_code, line_number, customer_state, unit_price, delivery_days_actual,
     delivery_days_estimated, order_status FROM sales_by_customer WHERE order_status = 'delivered'
-    ORDER BY delivery_days_actual DESC NULLS LAST, order_code, line_number, unit_price LIMIT 50""")
+    ORDER BY delivery_days_actual DESC NULLS LAST, order_code, line_number, unit_price""")
 def worst_deliveries(t: Tables):
-    places = t.customers.select("customer_id", F.col("state").alias("customer_state"))
-    detail = t.sale_lines.join(places, "customer_id").select(
+    """The whole listing, in its order."""
+    detail = t.lines_of_customers.select(
         "order_code", "line_number", "customer_state", "unit_price", "delivery_days_actual",
         "delivery_days_estimated", "order_status",
     )
-    return analysis.worst_deliveries(detail, F.lit("delivered"), 50)
+    return analysis.delivery_listing(detail, F.lit("delivered"))

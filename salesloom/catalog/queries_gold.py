@@ -49,7 +49,7 @@ def source_orders(t: Tables):
 def unresolved_customers(t: Tables):
     """Report of two key lookups that miss: orders without a person, persons without a code."""
     _, report = source_tables.orders(
-        t.raw_orders, t.raw_customers, t.customers, RUN_AT, t.rows("orders")
+        t.raw_orders, t.raw_customers, t.customers, RUN_AT
     )
     shown = F.nullif(F.concat_ws(", ", "sample_keys"), F.lit(""))
     return report.withColumn("sample_keys", shown)
@@ -68,8 +68,7 @@ def unresolved_customers(t: Tables):
     JOIN source_stores s ON i.seller_id = s.store_code)""")
 def source_order_items(t: Tables):
     items, _ = source_tables.order_items(
-        t.raw_order_items, t.source_orders[0], t.source_products, t.source_stores, RUN_AT,
-        t.rows("lineitem"),
+        t.raw_order_items, t.source_orders[0], t.source_products, t.source_stores, RUN_AT
     )
     return items
 
@@ -80,7 +79,7 @@ def source_order_items(t: Tables):
     FROM raw_payments p JOIN source_orders o ON p.order_id = o.order_code""")
 def source_payments(t: Tables):
     payments, _ = source_tables.payments(
-        t.raw_payments, t.source_orders[0], RUN_AT, t.rows("orders")
+        t.raw_payments, t.source_orders[0], RUN_AT
     )
     return payments
 
@@ -168,7 +167,7 @@ _REVIEWS = """SELECT row_number() OVER (ORDER BY review_id, order_id) AS review_
 @query(f"""SELECT review_key, review_id, order_id, CAST(review_score AS INTEGER) AS review_score,
     CAST(comment_length AS INTEGER) AS comment_length FROM ({_REVIEWS})""")
 def fact_reviews(t: Tables):
-    return facts.fact_reviews(t.reviews, t.rows("conversations"))
+    return facts.fact_reviews(t.reviews)
 
 
 # Marts.
@@ -400,7 +399,7 @@ def order_keys(t: Tables):
     """Dense keys in date order from a chosen start."""
     orders = t.silver_orders.select("order_id", "order_date")
     order = [F.col("order_date"), F.col("order_id")]
-    return keys.assign_surrogate_keys(orders, "order_key", order, 1000, t.rows("orders"))
+    return keys.assign_surrogate_keys(orders, "order_key", order, 1000)
 
 
 @query("""SELECT 'orders' AS transform_name, CAST(order_id AS VARCHAR) AS row_id, quarantine_reason

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from salesloom.catalog.registry import query
 from salesloom.catalog.sql import MONEY, RUN, mean, ratio
 from salesloom.catalog.tables import END, RUN_AT, START, Tables
+from salesloom.functions.numbers import line_revenue, money_sum
 from salesloom.functions.text import change_label, normalize_city
 from salesloom.operators import timeseries
 from salesloom.operators.dedup import keep_last
@@ -45,8 +46,8 @@ def sales_measures(t: Tables):
     count(*) FILTER ({DELAY} > 0) AS late_deliveries,
     CAST(sum(CASE WHEN unit_price > 500 THEN unit_price * quantity ELSE 0 END) AS {MONEY})
         AS high_value_revenue, {mean('unit_price')} AS avg_unit_price,
-    count(customer_id) AS lines_with_customer,
-    count(*) FILTER (customer_id IS NULL) AS lines_without_customer FROM sales""")
+    count(customer_key) AS lines_with_customer,
+    count(*) FILTER (customer_key IS NULL) AS lines_without_customer FROM sales""")
 def delivery_measures(t: Tables):
     names = [
         "avg_delivery_days", "avg_delivery_delay", "late_delivery_rate", "late_deliveries",
@@ -55,8 +56,8 @@ def delivery_measures(t: Tables):
     return measures.measure(t.sales, [], names)
 
 
-_LOYALTY = """(SELECT customer_id, count(DISTINCT order_code) AS orders FROM sales
-    WHERE customer_id IS NOT NULL GROUP BY customer_id)"""
+_LOYALTY = """(SELECT customer_key, count(DISTINCT order_code) AS orders FROM sales
+    WHERE customer_key IS NOT NULL GROUP BY customer_key)"""
 
 
 @query(f"""SELECT count(*) AS unique_customers, {ratio('sum(orders)', 'count(*)', '0')}
@@ -67,6 +68,43 @@ def customer_loyalty(t: Tables):
     return measures.customer_loyalty(t.sales)
 
 
+_SLICED = ["total_revenue", "order_count", "average_order_value", "line_count"]
+
+
+def _sliced(attribute: str, view: str) -> str:
+    return f"""SELECT {attribute}, {REVENUE} AS total_revenue, {ORDERS} AS order_count,
+        {ratio(REVENUE, ORDERS)} AS average_order_value, count(*) AS line_count
+        FROM {view} GROUP BY {attribute}"""
+
+
+@query(_sliced("category", "sales_by_product"))
+def measures_by_category(t: Tables):
+    return measures.measure(t.sales_by("category"), ["category"], _SLICED)
+
+
+@query(_sliced("seller_state", "sales_by_store"))
+def measures_by_seller_state(t: Tables):
+    return measures.measure(t.sales_by("seller_state"), ["seller_state"], _SLICED)
+
+
+_FACT_TOTALS = f"""{REVENUE} AS total_revenue, {FREIGHT} AS total_freight,
+    CAST(sum(quantity) AS BIGINT) AS units_sold, count(*) AS line_count FROM fact_sales"""
+
+
+@query(f"SELECT 'measures' AS base, {_FACT_TOTALS} UNION ALL SELECT 'fact', {_FACT_TOTALS}")
+def measures_reconcile(t: Tables):
+    """The measures over all sales, and plain aggregates of the fact: the same figures twice."""
+    names = ["total_revenue", "total_freight", "units_sold", "line_count"]
+    measured = measures.measure(t.sales, [], names).select(F.lit("measures").alias("base"), *names)
+    revenue = money_sum(line_revenue(F.col("unit_price"), F.col("quantity")))
+    plain = t.fact_sales.agg(
+        F.lit("fact").alias("base"), revenue.alias("total_revenue"),
+        money_sum(F.col("freight_value")).alias("total_freight"),
+        F.sum("quantity").cast("long").alias("units_sold"), F.count(F.lit(1)).alias("line_count"),
+    )
+    return measured.unionByName(plain)
+
+
 # Time comparisons.
 
 _DAILY = f"""(SELECT d.date, total_revenue FROM days d LEFT JOIN (
@@ -101,10 +139,7 @@ def _change(prior: str) -> str:
 def revenue_growth(t: Tables):
     monthly = analysis.monthly_revenue(t.sales, t.spark, START, END)
     with_month = timeseries.monthly_change(monthly, "total_revenue", 1, "prior_month", "mom_change")
-    earlier = timeseries.monthly_change(
-        monthly.select("month", "total_revenue"), "total_revenue", 12, "prior_year", "yoy_change"
-    ).drop("total_revenue")
-    return with_month.join(earlier, "month")
+    return timeseries.monthly_change(with_month, "total_revenue", 12, "prior_year", "yoy_change")
 
 
 @query(f"""SELECT month, CASE WHEN c > 0 THEN '▲ +' || CAST(round(abs(c) * 100, 1) AS DECIMAL(18,1)) || '% (UP)'
@@ -138,6 +173,55 @@ def orders_against_prior_months(t: Tables):
     return timeseries.compare_prior_months(monthly, "order_count", 3)
 
 
+# The same per group: every day or month of the range for every state of a customer.
+
+_STATES = "(SELECT DISTINCT customer_state FROM sales_by_customer)"
+_DAILY_BY_STATE = f"""(SELECT customer_state, date, total_revenue FROM (SELECT * FROM {_STATES}, days)
+    LEFT JOIN (SELECT customer_state, order_date AS date, {REVENUE} AS total_revenue
+        FROM sales_by_customer GROUP BY 1, 2) USING (customer_state, date))"""
+_MONTHLY_BY_STATE = f"""(SELECT customer_state, month, total_revenue, order_count
+    FROM (SELECT * FROM {_STATES}, month_list)
+    LEFT JOIN (SELECT customer_state, CAST(date_trunc('month', order_date) AS DATE) AS month,
+        {REVENUE} AS total_revenue, {ORDERS} AS order_count
+        FROM sales_by_customer GROUP BY 1, 2) USING (customer_state, month))"""
+_STATE = ["customer_state"]
+
+
+@query(f"""SELECT customer_state, date, total_revenue,
+    {_running('customer_state', 'year(date)')} AS total_revenue_ytd,
+    {_running('customer_state', 'year(date)', 'quarter(date)')} AS total_revenue_qtd,
+    {_running('customer_state', 'year(date)', 'month(date)')} AS total_revenue_mtd
+    FROM {_DAILY_BY_STATE}""")
+def revenue_to_date_by_state(t: Tables):
+    daily = analysis.daily_revenue(t.sales_by_customer, t.spark, START, END, _STATE)
+    return timeseries.to_date_totals(daily, "total_revenue", _STATE)
+
+
+_BEFORE = "OVER (PARTITION BY customer_state ORDER BY month)"
+
+
+@query(f"""SELECT customer_state, month, total_revenue, order_count,
+    lag(total_revenue) {_BEFORE} AS prior_month,
+    {_change(f'lag(total_revenue) {_BEFORE}')} AS mom_change,
+    lag(total_revenue, 12) {_BEFORE} AS prior_year,
+    {_change(f'lag(total_revenue, 12) {_BEFORE}')} AS yoy_change FROM {_MONTHLY_BY_STATE}""")
+def revenue_growth_by_state(t: Tables):
+    monthly = analysis.monthly_revenue(t.sales_by_customer, t.spark, START, END, _STATE)
+    with_month = timeseries.monthly_change(
+        monthly, "total_revenue", 1, "prior_month", "mom_change", _STATE
+    )
+    return timeseries.monthly_change(with_month, "total_revenue", 12, "prior_year", "yoy_change", _STATE)
+
+
+@query(f"""SELECT customer_state, date, total_revenue, CAST(sum(total_revenue) OVER (
+    PARTITION BY customer_state ORDER BY date
+    RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW) AS {MONEY}) AS revenue_30d
+    FROM {_DAILY_BY_STATE}""")
+def rolling_revenue_by_state(t: Tables):
+    daily = analysis.daily_revenue(t.sales_by_customer, t.spark, START, END, _STATE)
+    return timeseries.rolling_sum(daily, "total_revenue", 30, "revenue_30d", _STATE)
+
+
 # Exchange rates.
 
 
@@ -278,4 +362,4 @@ def date_span(t: Tables):
     count(*) FILTER (review_score = 5) AS five_star, count(*) FILTER (review_score = 1) AS one_star,
     {mean('length(review_comment_message)')} AS avg_comment_length FROM reviews""")
 def review_measures(t: Tables):
-    return measures.review_measures(facts.fact_reviews(t.reviews, t.rows("conversations")))
+    return measures.review_measures(facts.fact_reviews(t.reviews))

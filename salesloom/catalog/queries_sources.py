@@ -101,7 +101,7 @@ def gold_publish(t: Tables):
 def dimension_reload(t: Tables):
     """A dimension reloaded with a load time."""
     path = scratch_path(t.spark, "dim_store")
-    warehouse.reload_dimension(t.dim_store.limit(0), path, RUN_AT - timedelta(days=1))
+    warehouse.reload_dimension(t.dim_store.where("is_active"), path, RUN_AT - timedelta(days=1))
     warehouse.reload_dimension(t.dim_store, path, RUN_AT)
     return _utc(t.spark.read.parquet(path))
 
@@ -129,7 +129,7 @@ def fact_upsert(t: Tables):
         date_key(F.col("o_orderdate")).alias("date_key"),
         F.col("o_totalprice").cast("decimal(12,2)").alias("payment_value"),
     )
-    keyless = paid.limit(10).withColumn("order_id", F.lit(None).cast("long"))
+    keyless = paid.where("order_id <= 40").withColumn("order_id", F.lit(None).cast("long"))
     batch = paid.where("date_key >= 19980101").withColumn(
         "payment_value", (F.col("payment_value") * 2).cast("decimal(12,2)")
     )

@@ -238,20 +238,16 @@ VIEWS = {
         FROM silver_payments p JOIN silver_orders o ON p.order_id = o.order_id
         LEFT JOIN dim_customer c ON o.customer_id = c.customer_id
         LEFT JOIN dim_currency k ON o.currency_code = k.currency_code""",
-    "sales": f"""SELECT l.order_id, product_id, store_id, line_number, unit_price,
-        coalesce(freight_value, 0) AS freight_value, coalesce(quantity, 1) AS quantity,
-        order_code, customer_id, order_status, order_date, {day_key('order_date')} AS date_key,
-        delivery_days_actual, delivery_days_estimated
-        FROM (SELECT {LINE_COLUMNS} FROM lineitem) l
-        JOIN silver_orders o ON l.order_id = o.order_id WHERE unit_price IS NOT NULL""",
+    "sales": """SELECT f.*, o.customer_id, o.order_date FROM fact_sales f
+        JOIN silver_orders o ON f.order_id = o.order_id""",
     "sales_by_customer": """SELECT s.*, city AS customer_city, state AS customer_state
-        FROM sales s JOIN src_customers c ON s.customer_id = c.customer_id""",
+        FROM sales s JOIN dim_customer c ON s.customer_key = c.customer_key""",
     "sales_by_product": """SELECT s.*, category_name_en AS category
-        FROM sales s LEFT JOIN src_products p ON s.product_id = p.product_id""",
+        FROM sales s LEFT JOIN dim_product p ON s.product_key = p.product_key""",
     "sales_by_customer_product": """SELECT s.*, state AS customer_state
-        FROM sales_by_product s JOIN src_customers c ON s.customer_id = c.customer_id""",
-    "sales_by_store": """SELECT s.*, state AS seller_state
-        FROM sales s JOIN src_stores t ON s.store_id = t.store_id""",
+        FROM sales_by_product s JOIN dim_customer c ON s.customer_key = c.customer_key""",
+    "sales_by_store": """SELECT s.*, store_id, state AS seller_state
+        FROM sales s JOIN dim_store t ON s.store_key = t.store_key""",
     "raw_customers": """SELECT 'OC-' || o_orderkey AS customer_id, c_name AS customer_unique_id,
         lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS customer_zip_code_prefix,
         n_name AS customer_city, state AS customer_state

@@ -16,6 +16,7 @@ from salesloom.functions.dates import days_between, date_key
 from salesloom.functions.text import macro_region, normalize_city
 from salesloom.operators import cleaning, contracts
 from salesloom.operators.dedup import keep_first
+from salesloom.operators.lookups import lookup
 from salesloom.plans import dimensions, facts, measures, source_tables
 
 # Processing range, a little narrower than the data so that both ends reject rows.
@@ -30,7 +31,10 @@ _schemas: dict[str, StructType] = {}
 
 
 class Tables:
-    """Lazy DataFrames over one data folder; building one runs nothing."""
+    """DataFrames over one data folder, built when first asked for.
+
+    Building one reads schemas, and a table with surrogate keys runs the jobs that number its rows.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -42,10 +46,6 @@ class Tables:
             _schemas[path] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(_schemas[path]).parquet(path)
 
-    def rows(self, name: str) -> int:
-        """Row count of a raw table, from the Parquet footers."""
-        return self.raw(name).count()
-
     # Source tables -------------------------------------------------------------------------
 
     def places(self) -> DataFrame:
@@ -321,22 +321,22 @@ class Tables:
 
     @cached_property
     def source_customers(self) -> DataFrame:
-        return source_tables.customers(self.raw_customers, RUN_AT, self.rows("customer"))
+        return source_tables.customers(self.raw_customers, RUN_AT)
 
     @cached_property
     def source_stores(self) -> DataFrame:
-        return source_tables.stores(self.raw_sellers, RUN_AT, self.rows("supplier"))
+        return source_tables.stores(self.raw_sellers, RUN_AT)
 
     @cached_property
     def source_products(self) -> DataFrame:
         return source_tables.products(
-            self.raw_products, self.raw_translations, RUN_AT, self.rows("part")
+            self.raw_products, self.raw_translations, RUN_AT
         )
 
     @cached_property
     def source_orders(self) -> tuple[DataFrame, DataFrame]:
         return source_tables.orders(
-            self.raw_orders, self.raw_customers, self.source_customers, RUN_AT, self.rows("orders")
+            self.raw_orders, self.raw_customers, self.source_customers, RUN_AT
         )
 
     # Annotated and Silver tables ------------------------------------------------------------
@@ -393,16 +393,16 @@ class Tables:
     @cached_property
     def dim_customer(self) -> DataFrame:
         return dimensions.dim_customer(
-            self.customers, [F.col("customer_id")], self.rows("customer")
+            self.customers, [F.col("customer_id")]
         )
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return dimensions.dim_product(self.products, [F.col("product_id")], self.rows("part"))
+        return dimensions.dim_product(self.products, [F.col("product_id")])
 
     @cached_property
     def dim_store(self) -> DataFrame:
-        return dimensions.dim_store(self.stores, [F.col("store_id")], self.rows("supplier"))
+        return dimensions.dim_store(self.stores, [F.col("store_id")])
 
     @cached_property
     def dim_currency(self) -> DataFrame:
@@ -433,26 +433,28 @@ class Tables:
 
     @cached_property
     def lines(self) -> DataFrame:
-        """Every priced line, defaults filled in.
+        """The rows of the sales fact before its key lookups.
 
-        Measures need neither surrogate keys nor one row per line number, so this base leaves out
-        the deduplication and the key lookups of the fact.
+        Items of Silver orders, one per order and line number, checked by their contract. Members are
+        looked up per order, product or seller afterwards, which gives what the fact's keys give.
         """
-        lines = self.raw("lineitem").selectExpr(*self.LINE_COLUMNS)
-        return lines.where("unit_price is not null").withColumns(
-            {
-                "quantity": F.coalesce("quantity", F.lit(1)),
-                "freight_value": F.coalesce("freight_value", F.lit(0).cast("decimal(12,2)")),
-            }
+        return self.silver_items.select(
+            "order_id", "product_id", "store_id", "line_number", "unit_price", "freight_value", "quantity"
         )
 
     @cached_property
     def order_headers(self) -> DataFrame:
-        return self.silver_orders.select(
+        """Silver orders with their customer's key and place, NULL where the dimension has no member."""
+        headers = self.silver_orders.select(
             "order_id", "order_code", "customer_id", "order_status", "order_date",
             date_key(F.col("order_date")).alias("date_key"), "delivery_days_actual",
             "delivery_days_estimated",
         )
+        members = self.dim_customer.select(
+            "customer_id", "customer_key", F.col("city").alias("customer_city"),
+            F.col("state").alias("customer_state"),
+        )
+        return lookup(headers, members, {"customer_id": "customer_id"}, ["order_id"])
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -461,23 +463,25 @@ class Tables:
 
     @cached_property
     def sales_by_customer(self) -> DataFrame:
-        """Order totals with the customer's place."""
-        places = self.customers.select(
-            "customer_id", F.col("city").alias("customer_city"), F.col("state").alias("customer_state")
-        )
-        return self.sales.join(places, "customer_id")
+        """Order totals of known customers."""
+        return self.sales.where("customer_key is not null")
 
     @cached_property
     def sale_lines(self) -> DataFrame:
-        """Lines of Silver orders."""
+        """Lines with the attributes of their order."""
         return self.lines.join(self.order_headers, "order_id")
 
     @cached_property
-    def lines_with_category(self) -> DataFrame:
-        categories = self.products.select("product_id", F.col("category_name_en").alias("category"))
-        return self.sale_lines.join(categories, "product_id", "left")
+    def lines_of_customers(self) -> DataFrame:
+        """Lines of known customers."""
+        return self.sale_lines.where("customer_key is not null")
 
-    @cached_property
-    def lines_with_category_and_state(self) -> DataFrame:
-        places = self.customers.select("customer_id", F.col("state").alias("customer_state"))
-        return self.lines_with_category.join(places, "customer_id")
+    def sales_by(self, attribute: str) -> DataFrame:
+        """Totals of every order and value of a line attribute: `category` or `seller_state`."""
+        if attribute == "category":
+            members = self.dim_product.select("product_id", F.col("category_name_en").alias(attribute))
+            lines = lookup(self.lines, members, {"product_id": "product_id"}, ["order_id", "line_number"])
+        else:
+            members = self.dim_store.select("store_id", F.col("state").alias(attribute))
+            lines = lookup(self.lines, members, {"store_id": "store_id"}, ["order_id", "line_number"])
+        return measures.order_totals(lines, self.order_headers, [attribute])

@@ -6,34 +6,20 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from salesloom.session import shared_folder
 
-ROWS_PER_PARTITION = 1_000_000
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the row position in the lower 33 bits
 
 
-def assign_surrogate_keys(
-    df: DataFrame,
-    name: str,
-    order: list[Column],
-    start: int = 1,
-    rows_at_most: int | None = None,
-) -> DataFrame:
+def assign_surrogate_keys(df: DataFrame, name: str, order: list[Column], start: int = 1) -> DataFrame:
     """Number the rows start, start+1, ... in a total `order`, as the first column.
 
-    `rows_at_most` is a known upper bound of the row count; without it the rows are counted. Up to
-    `ROWS_PER_PARTITION` rows are numbered by one window. A larger table is range-partitioned by
-    the order, each partition numbered on its own and shifted by the sizes of those before it. The
-    partitioned rows are checkpointed, so that both reads of them see the same partitions even
-    after an executor is lost.
+    The rows are range-partitioned by the order, each partition is numbered on its own and shifted by
+    the sizes of those before it; `spark.sql.shuffle.partitions` says how many there are, and adaptive
+    execution merges small ones. The partitioned rows are checkpointed, so that both reads of them see
+    the same partitions even after an executor is lost.
     """
-    rows = df.count() if rows_at_most is None else rows_at_most
-    if rows <= ROWS_PER_PARTITION:
-        number = F.row_number().over(Window.orderBy(*order)) + F.lit(start - 1)
-        return df.select(number.cast("long").alias(name), "*")
-
     shared_folder(df.sparkSession)
-    partitions = -(-rows // ROWS_PER_PARTITION)
     placed = (
-        df.repartitionByRange(partitions, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_row", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_row", _POSITION_BITS))

@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from salesloom.operators.single_rows import side_by_side
 
-NULL_SPREAD = 1024
-
 
 def lookup(
     rows: DataFrame, table: DataFrame, on: dict[str, str], spread_by: list[str]
@@ -22,7 +20,7 @@ def lookup(
     the partitions by a hash of `spread_by`; a hot non-null key is split by adaptive execution.
     """
     missing = reduce(Column.__or__, [F.col(here).isNull() for here in on])
-    salt = F.when(missing, F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SPREAD)) + 1).otherwise(F.lit(0))
+    salt = F.when(missing, F.xxhash64(*spread_by)).otherwise(F.lit(0))
     # Always 0, but not a constant to the optimizer, which would take a constant out of the keys.
     no_salt = F.pmod(F.xxhash64(*on.values()), F.lit(1))
     keys = {there: f"_on_{here}" for here, there in on.items()}

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from salesloom.functions.numbers import ratio
+
 
 def top(df: DataFrame, k: int, order: list[Column]) -> DataFrame:
     """The first k rows in a total order; each task keeps k rows."""
@@ -32,7 +34,7 @@ def first_per_group(df: DataFrame, group: list[str], order: list[Column]) -> Dat
 
 
 def rank_within(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Rank (largest first), percent rank, group size and the number of equals of each row.
+    """Rank (largest first), percent rank, size and average of the group, of each row.
 
     Ranks are computed once per distinct value of a group and joined back. A value rounded to a few
     digits has few distinct values, so even a group that holds most rows is ordered cheaply.
@@ -42,12 +44,16 @@ def rank_within(df: DataFrame, group: str, value: str) -> DataFrame:
     above = F.coalesce(
         F.sum("_equals").over(largest_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
-    size = F.sum("_equals").over(Window.partitionBy(group))
+    everyone = Window.partitionBy(group)
+    size = F.sum("_equals").over(everyone)
+    known = F.sum(F.when(F.col(value).isNotNull(), F.col("_equals"))).over(everyone)
+    average = ratio(F.sum(F.col(value) * F.col("_equals")).over(everyone), known)
     ranks = per_value.select(
         F.col(group).alias("_group"),
         F.col(value).alias("_value"),
         (above + 1).alias("peer_rank"),
         size.alias("peer_count"),
+        average.alias("peer_average"),
     )
     joined = df.join(
         ranks,

@@ -51,22 +51,38 @@ def fill_calendar(
     )
 
 
+def calendar_per_group(
+    spark: SparkSession, start: date, end: date, step: str, rows: DataFrame, by: list[str]
+) -> DataFrame:
+    """Every `date` (step day) or `month` (step month) of [start, end], for every group of `rows`."""
+    if not by:
+        return calendar(spark, start, end) if step == "day" else months(spark, start, end)
+    name, first = ("date", F.lit(start)) if step == "day" else ("month", F.trunc(F.lit(start), "month"))
+    steps = F.sequence(first.cast("date"), F.lit(end), F.expr(f"interval 1 {step}"))
+    return rows.select(*by).distinct().select(*by, F.explode(steps).alias(name))
+
+
 def daily_totals(
-    rows: DataFrame, spark: SparkSession, day: str, totals: dict[str, Column], start: date, end: date
+    rows: DataFrame, spark: SparkSession, day: str, totals: dict[str, Column], start: date, end: date,
+    by: list[str] | None = None,
 ) -> DataFrame:
-    """One row per day of [start, end] with the totals of that day, NULL on days without rows."""
-    per_day = rows.groupBy(F.col(day).alias("date")).agg(*[c.alias(n) for n, c in totals.items()])
-    return calendar(spark, start, end).join(per_day, "date", "left")
+    """One row per day of [start, end] and group with the totals of that day, NULL on days without rows."""
+    by = by or []
+    per_day = rows.groupBy(*by, F.col(day).alias("date")).agg(*[c.alias(n) for n, c in totals.items()])
+    spine = calendar_per_group(spark, start, end, "day", per_day, by)
+    return spine.join(per_day, [*by, "date"], "left")
 
 
-def to_date_totals(daily: DataFrame, value: str) -> DataFrame:
-    """Year-, quarter- and month-to-date totals of a daily series."""
+def to_date_totals(daily: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
+    """Year-, quarter- and month-to-date totals of a daily series, per group."""
+    by = by or []
     year, quarter, month = F.year("date"), F.quarter("date"), F.month("date")
 
     def running(*parts: Column) -> Column:
-        return F.sum(value).over(Window.partitionBy(*parts).orderBy("date"))
+        return F.sum(value).over(Window.partitionBy(*by, *parts).orderBy("date"))
 
     return daily.select(
+        *by,
         "date",
         F.col(value),
         running(year).cast("decimal(28,2)").alias(f"{value}_ytd"),
@@ -75,39 +91,40 @@ def to_date_totals(daily: DataFrame, value: str) -> DataFrame:
     )
 
 
-def monthly_change(monthly: DataFrame, value: str, months_back: int, prior: str, change: str) -> DataFrame:
+def monthly_change(
+    monthly: DataFrame, value: str, months_back: int, prior: str, change: str, by: list[str] | None = None
+) -> DataFrame:
     """Value `months_back` months earlier and the relative change; NULL without an earlier value.
 
-    Joins on the shifted month, so a month that is missing cannot shift the comparison.
+    The series has every month of its range, per group, so the earlier month is so many rows before.
     """
-    earlier = monthly.select(
-        F.add_months("month", months_back).alias("month"), F.col(value).alias(prior)
-    )
-    return monthly.join(earlier, "month", "left").withColumn(
+    earlier = F.lag(value, months_back).over(Window.partitionBy(*(by or [])).orderBy("month"))
+    return monthly.withColumn(prior, earlier).withColumn(
         change, ratio(F.col(value) - F.col(prior), F.col(prior))
     )
 
 
-def rolling_sum(daily: DataFrame, value: str, days: int, name: str) -> DataFrame:
+def rolling_sum(daily: DataFrame, value: str, days: int, name: str, by: list[str] | None = None) -> DataFrame:
     """Sum of the last `days` calendar days, shorter at the start."""
-    return daily.withColumn(name, F.sum(value).over(_last_days(days)).cast("decimal(28,2)"))
+    return daily.withColumn(name, F.sum(value).over(_last_days(days, by)).cast("decimal(28,2)"))
 
 
-def rolling_mean(daily: DataFrame, value: str, days: int, name: str) -> DataFrame:
+def rolling_mean(daily: DataFrame, value: str, days: int, name: str, by: list[str] | None = None) -> DataFrame:
     """Average of the last `days` calendar days, shorter at the start."""
-    window = _last_days(days)
+    window = _last_days(days, by)
     return daily.withColumn(name, ratio(F.sum(value).over(window), F.count(value).over(window)))
 
 
-def _last_days(days: int):
-    return Window.orderBy(F.datediff("date", F.lit("1970-01-01").cast("date"))).rangeBetween(
-        -(days - 1), 0
-    )
+def _last_days(days: int, by: list[str] | None = None):
+    day = F.datediff("date", F.lit("1970-01-01").cast("date"))
+    return Window.partitionBy(*(by or [])).orderBy(day).rangeBetween(-(days - 1), 0)
 
 
-def compare_prior_months(monthly: DataFrame, value: str, months_before: int) -> DataFrame:
+def compare_prior_months(
+    monthly: DataFrame, value: str, months_before: int, by: list[str] | None = None
+) -> DataFrame:
     """Average of the preceding months on a complete month series, and the change against it."""
-    window = Window.orderBy("month").rowsBetween(-months_before, -1)
+    window = Window.partitionBy(*(by or [])).orderBy("month").rowsBetween(-months_before, -1)
     average = ratio(F.sum(value).over(window), F.count(value).over(window))
     return monthly.withColumn("prior_average", average).withColumn(
         "change_pct", ratio(F.col(value).cast("double") - F.col("prior_average"), F.col("prior_average"))

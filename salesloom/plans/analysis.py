@@ -50,15 +50,21 @@ def monthly_trend(sales: DataFrame) -> DataFrame:
     )
 
 
-def _by_category(lines: DataFrame, products: DataFrame) -> DataFrame:
-    """Totals per category. Lines are summed per product before the categories are looked up."""
-    by_product = lines.groupBy("product_id").agg(
+def _product_totals(lines: DataFrame, products: DataFrame, by: list[str]) -> DataFrame:
+    """Totals per product and `by`, with the product's category, looked up after the lines are summed."""
+    totals = lines.groupBy("product_id", *by).agg(
         F.count(F.lit(1)).alias("lines"),
         F.sum("unit_price").alias("price"),
+        F.sum("freight_value").alias("freight"),
         F.sum(line_revenue(F.col("unit_price"), F.col("quantity"))).alias("revenue"),
     )
     categories = products.select("product_id", F.col("category_name_en").alias("category"))
-    return by_product.join(categories, "product_id", "left").groupBy("category").agg(
+    return totals.join(categories, "product_id", "left")
+
+
+def _by_category(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Totals per category."""
+    return _product_totals(lines, products, []).groupBy("category").agg(
         F.sum("lines").alias("line_items"),
         money_sum(F.col("price")).alias("revenue_brl"),
         money_sum(F.col("revenue")).alias("total_revenue"),
@@ -80,9 +86,12 @@ def categories_and_others(lines: DataFrame, products: DataFrame, k: int = 10) ->
     return ranked.withColumn("total_revenue", F.col("total_revenue").cast("decimal(28,2)"))
 
 
-def top_category_per_state(lines: DataFrame) -> DataFrame:
-    """The category with the most revenue in each state."""
-    revenue = lines.groupBy("customer_state", "category").agg(_line_revenue().alias("total_revenue"))
+def top_category_per_state(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """The category with the most revenue in each state; products without one count as unknown."""
+    category = F.coalesce("category", F.lit("unknown")).alias("category")
+    revenue = _product_totals(lines, products, ["customer_state"]).groupBy("customer_state", category).agg(
+        money_sum(F.col("revenue")).alias("total_revenue")
+    )
     return ranking.first_per_group(
         revenue, ["customer_state"], [F.desc("total_revenue"), F.asc("category")]
     )
@@ -128,19 +137,18 @@ def seller_scorecard(lines: DataFrame, stores: DataFrame) -> DataFrame:
     placed = per_seller.join(
         stores.select("store_id", F.col("state").alias("seller_state")), "store_id"
     )
-    ranked = ranking.rank_within(placed, "seller_state", "on_time_rate")
-    by_state = placed.groupBy("seller_state").agg(
-        mean(F.col("on_time_rate")).alias("state_avg_on_time_rate")
+    return ranking.rank_within(placed, "seller_state", "on_time_rate").withColumnRenamed(
+        "peer_average", "state_avg_on_time_rate"
     )
-    return ranked.join(by_state, "seller_state")
 
 
-def freight_ratio(lines: DataFrame) -> DataFrame:
+def freight_ratio(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Freight as a share of price by category and region."""
-    return lines.groupBy("category", "customer_state").agg(
-        money_sum(F.col("freight_value")).alias("freight"),
-        money_sum(F.col("unit_price")).alias("price"),
-        ratio(F.sum("freight_value"), F.sum("unit_price"), 0).alias("freight_ratio"),
+    totals = _product_totals(lines, products, ["customer_state"])
+    return totals.groupBy("category", "customer_state").agg(
+        money_sum(F.col("freight")).alias("freight"),
+        money_sum(F.col("price")).alias("price"),
+        ratio(F.sum("freight"), F.sum("price"), 0).alias("freight_ratio"),
     )
 
 
@@ -187,7 +195,7 @@ def rainy_day_orders(
 
 
 def extreme_temperature_shift(
-    lines: DataFrame, weather: DataFrame, cold_below: float, hot_above: float
+    lines: DataFrame, products: DataFrame, weather: DataFrame, cold_below: float, hot_above: float
 ) -> DataFrame:
     """Average daily lines of each category on hot, cold and moderate days.
 
@@ -207,11 +215,10 @@ def extreme_temperature_shift(
             .alias("day_type"),
         )
     )
-    daily = lines.groupBy("date_key", "category").agg(F.count(F.lit(1)).alias("lines"))
     day_counts = days.groupBy("day_type").agg(F.count(F.lit(1)).alias("days"))
-    per_type = daily.join(days, "date_key").groupBy("category", "day_type").agg(
-        F.sum("lines").alias("lines")
-    )
+    per_type = _product_totals(lines.join(days, "date_key"), products, ["day_type"]).groupBy(
+        "category", "day_type"
+    ).agg(F.sum("lines").alias("lines"))
     return per_type.join(day_counts, "day_type").withColumn(
         "lines_per_day", ratio(F.col("lines"), F.col("days"))
     )
@@ -228,24 +235,28 @@ def weather_scatter(sales_weather: DataFrame) -> DataFrame:
     )
 
 
-def monthly_revenue(sales: DataFrame, spark: SparkSession, start: date, end: date) -> DataFrame:
-    """Revenue and orders of every month of [start, end], NULL in a month without sales."""
-    totals = sales.groupBy(month_start(F.col("order_date")).alias("month")).agg(
+def monthly_revenue(
+    sales: DataFrame, spark: SparkSession, start: date, end: date, by: list[str] | None = None
+) -> DataFrame:
+    """Revenue and orders of every month of [start, end], per group, NULL in a month without sales."""
+    by = by or []
+    totals = sales.groupBy(*by, month_start(F.col("order_date")).alias("month")).agg(
         money_sum(F.col("revenue")).alias("total_revenue"), F.count(F.lit(1)).alias("order_count")
     )
-    return timeseries.months(spark, start, end).join(totals, "month", "left")
+    spine = timeseries.calendar_per_group(spark, start, end, "month", totals, by)
+    return spine.join(totals, [*by, "month"], "left")
 
 
-def daily_revenue(sales: DataFrame, spark: SparkSession, start: date, end: date) -> DataFrame:
-    """Revenue of every day of [start, end]."""
+def daily_revenue(
+    sales: DataFrame, spark: SparkSession, start: date, end: date, by: list[str] | None = None
+) -> DataFrame:
+    """Revenue of every day of [start, end], per group."""
     revenue = {"total_revenue": money_sum(F.col("revenue"))}
-    return timeseries.daily_totals(sales, spark, "order_date", revenue, start, end)
+    return timeseries.daily_totals(sales, spark, "order_date", revenue, start, end, by)
 
 
-def worst_deliveries(detail: DataFrame, status: Column, k: int) -> DataFrame:
-    """Detail rows with the most delivery days first."""
-    return ranking.top(
-        detail.where(F.col("order_status") == status),
-        k,
-        [F.desc_nulls_last("delivery_days_actual"), F.asc("order_code"), F.asc("line_number"), F.asc("unit_price")],
+def delivery_listing(detail: DataFrame, status: Column) -> DataFrame:
+    """All detail rows of a status, those with the most delivery days first."""
+    return detail.where(F.col("order_status") == status).orderBy(
+        F.desc_nulls_last("delivery_days_actual"), "order_code", "line_number", "unit_price"
     )

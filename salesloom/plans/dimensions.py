@@ -15,7 +15,6 @@ from salesloom.operators.medians import grouped_median
 from salesloom.operators.timeseries import calendar
 
 # Currency codes are three letters, so there are at most 26 ** 3 of them.
-CURRENCY_CODES = 26**3
 
 
 def dim_date(spark: SparkSession, start: date, end: date) -> DataFrame:
@@ -37,31 +36,31 @@ def latest_members(
 
 
 def dim_customer(
-    customers: DataFrame, recency: list[Column], rows_at_most: int | None = None
+    customers: DataFrame, recency: list[Column]
 ) -> DataFrame:
     columns = ["customer_id", "customer_code", "zip_code_prefix", "city", "state", "is_active"]
     members = latest_members(customers, "customer_code", columns, recency)
     named = members.withColumn("normalized_city", normalize_city(F.col("city")))
-    return assign_surrogate_keys(named, "customer_key", [F.col("customer_code")], rows_at_most=rows_at_most)
+    return assign_surrogate_keys(named, "customer_key", [F.col("customer_code")])
 
 
 def dim_product(
-    products: DataFrame, recency: list[Column], rows_at_most: int | None = None
+    products: DataFrame, recency: list[Column]
 ) -> DataFrame:
     columns = [
         "product_id", "product_code", "category_name_en", "category_name_pt",
         parse_number(F.col("weight_g"), "decimal(10,2)").alias("weight_g"), "is_active",
     ]
     members = latest_members(products, "product_code", columns, recency)
-    return assign_surrogate_keys(members, "product_key", [F.col("product_code")], rows_at_most=rows_at_most)
+    return assign_surrogate_keys(members, "product_key", [F.col("product_code")])
 
 
 def dim_store(
-    stores: DataFrame, recency: list[Column], rows_at_most: int | None = None
+    stores: DataFrame, recency: list[Column]
 ) -> DataFrame:
     columns = ["store_id", "store_code", "zip_code_prefix", "city", "state", "region", "is_active"]
     members = latest_members(stores, "store_code", columns, recency)
-    return assign_surrogate_keys(members, "store_key", [F.col("store_code")], rows_at_most=rows_at_most)
+    return assign_surrogate_keys(members, "store_key", [F.col("store_code")])
 
 
 def currency_codes(orders: DataFrame, fx: DataFrame) -> DataFrame:
@@ -77,9 +76,7 @@ def dim_currency(orders: DataFrame, fx: DataFrame) -> DataFrame:
     named = currency_codes(orders, fx).withColumn(
         "currency_name", currency_name(F.col("currency_code"))
     )
-    return assign_surrogate_keys(
-        named, "currency_key", [F.col("currency_code")], rows_at_most=CURRENCY_CODES
-    )
+    return assign_surrogate_keys(named, "currency_key", [F.col("currency_code")])
 
 
 def dim_geolocation(points: DataFrame) -> DataFrame:

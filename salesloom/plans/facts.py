@@ -96,11 +96,11 @@ def payments_without_order(payments: DataFrame, orders: DataFrame) -> DataFrame:
     return payments.join(orders.select("order_id"), "order_id", "left_anti")
 
 
-def fact_reviews(reviews: DataFrame, rows_at_most: int | None = None) -> DataFrame:
+def fact_reviews(reviews: DataFrame) -> DataFrame:
     """Every review of every order; the same review may belong to several orders."""
     named = reviews.select(
         "review_id", "order_id", "review_score",
         F.length("review_comment_message").alias("comment_length"),
     )
     order = [F.col("review_id"), F.col("order_id")]
-    return assign_surrogate_keys(named, "review_key", order, rows_at_most=rows_at_most)
+    return assign_surrogate_keys(named, "review_key", order)

@@ -29,14 +29,17 @@ ORDER_TOTALS = {
 }
 
 
-def order_totals(lines: DataFrame, orders: DataFrame) -> DataFrame:
+def order_totals(lines: DataFrame, orders: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Orders that have lines, with the totals of their lines.
 
+    `by` names attributes of the lines, such as the category: then an order has a row for each of
+    their values, and measures grouped by them, alone or with order attributes, count it once each.
+
     Lines are summed per order before they are joined, partly even before they are shuffled: an
     order with very many lines costs no more than another one, each order is one row afterwards,
     and counting orders needs no distinct.
     """
-    totals = lines.groupBy("order_id").agg(*[c().alias(n) for n, c in ORDER_TOTALS.items()])
+    totals = lines.groupBy("order_id", *(by or [])).agg(*[c().alias(n) for n, c in ORDER_TOTALS.items()])
     return totals.join(orders, "order_id")
 
 
@@ -67,8 +70,8 @@ BASE = {
     "late_delivery_rate": lambda: ratio(lines_where(_delay() > 0), lines_where(_delay().isNotNull())),
     "late_deliveries": lambda: lines_where(_delay() > 0),
     "high_value_revenue": lambda: money_sum(F.col("high_value")),
-    "lines_with_customer": lambda: lines_where(F.col("customer_id").isNotNull()),
-    "lines_without_customer": lambda: lines_where(F.col("customer_id").isNull()),
+    "lines_with_customer": lambda: lines_where(F.col("customer_key").isNotNull()),
+    "lines_without_customer": lambda: lines_where(F.col("customer_key").isNull()),
 }
 
 # Base measures a derived one needs, and its expression over them.
@@ -171,7 +174,7 @@ def weather_revenue(sales: DataFrame, weather: DataFrame, by: list[str]) -> Data
 
 def customer_loyalty(sales: DataFrame) -> DataFrame:
     """Unique customers, orders per customer and the share of customers with several orders."""
-    per_customer = sales.where("customer_id is not null").groupBy("customer_id").agg(
+    per_customer = sales.where("customer_key is not null").groupBy("customer_key").agg(
         F.count(F.lit(1)).alias("orders")
     )
     customers = F.count(F.lit(1))

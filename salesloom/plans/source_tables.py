@@ -24,7 +24,7 @@ def _audit(at: datetime) -> dict[str, Column]:
     return {"is_active": F.lit(True), "created_at": stamp, "ingested_at": stamp}
 
 
-def customers(raw: DataFrame, at: datetime, rows_at_most: int | None = None) -> DataFrame:
+def customers(raw: DataFrame, at: datetime) -> DataFrame:
     """One row per person; the raw file has one customer id per order."""
     first = keep_first(raw, ["customer_unique_id"], [F.col("customer_id")])
     named = first.select(
@@ -33,10 +33,10 @@ def customers(raw: DataFrame, at: datetime, rows_at_most: int | None = None) ->
         F.col("customer_city").alias("city"),
         F.col("customer_state").alias("state"),
     ).withColumns({**_audit(at), "updated_at": F.lit(at).cast("timestamp_ntz")})
-    return assign_surrogate_keys(named, "customer_id", [F.col("customer_code")], rows_at_most=rows_at_most)
+    return assign_surrogate_keys(named, "customer_id", [F.col("customer_code")])
 
 
-def stores(raw: DataFrame, at: datetime, rows_at_most: int | None = None) -> DataFrame:
+def stores(raw: DataFrame, at: datetime) -> DataFrame:
     """One row per seller with the macro-region of its state."""
     order = [F.col("seller_zip_code_prefix"), F.col("seller_city"), F.col("seller_state")]
     first = keep_first(raw, ["seller_id"], order)
@@ -47,7 +47,7 @@ def stores(raw: DataFrame, at: datetime, rows_at_most: int | None = None) -> Dat
         F.col("seller_state").alias("state"),
         macro_region(F.col("seller_state")).alias("region"),
     ).withColumns(_audit(at))
-    return assign_surrogate_keys(named, "store_id", [F.col("store_code")], rows_at_most=rows_at_most)
+    return assign_surrogate_keys(named, "store_id", [F.col("store_code")])
 
 
 def unmapped_states(stores: DataFrame) -> DataFrame:
@@ -56,7 +56,7 @@ def unmapped_states(stores: DataFrame) -> DataFrame:
 
 
 def products(
-    raw: DataFrame, translations: DataFrame, at: datetime, rows_at_most: int | None = None
+    raw: DataFrame, translations: DataFrame, at: datetime
 ) -> DataFrame:
     """One row per product; the category falls back to Portuguese, then to 'unknown'."""
     first = keep_first(raw, ["product_id"], [F.col("product_category_name")])
@@ -73,7 +73,7 @@ def products(
         parse_number(F.col("product_height_cm"), "decimal(10,2)").alias("height_cm"),
         parse_number(F.col("product_width_cm"), "decimal(10,2)").alias("width_cm"),
     ).withColumns(_audit(at))
-    return assign_surrogate_keys(named, "product_id", [F.col("product_code")], rows_at_most=rows_at_most)
+    return assign_surrogate_keys(named, "product_id", [F.col("product_code")])
 
 
 def orders(
@@ -81,7 +81,6 @@ def orders(
     raw_customers: DataFrame,
     customers: DataFrame,
     at: datetime,
-    rows_at_most: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Orders of known persons, and a report of the dropped ones with one row per lookup.
 
@@ -121,7 +120,7 @@ def orders(
         stamp.alias("created_at"),
         stamp.alias("ingested_at"),
     )
-    keyed = assign_surrogate_keys(named, "order_id", [F.col("order_code")], rows_at_most=rows_at_most)
+    keyed = assign_surrogate_keys(named, "order_id", [F.col("order_code")])
     return keyed, unlinked.unionByName(unknown)
 
 
@@ -131,7 +130,6 @@ def order_items(
     products: DataFrame,
     stores: DataFrame,
     at: datetime,
-    rows_at_most: int | None = None,
 ) -> tuple[DataFrame, list[DataFrame]]:
     """Items whose order, product and store are known, and one report per lookup."""
     ties = [F.col(c) for c in ("product_id", "seller_id", "price", "freight_value", "shipping_limit_date")]
@@ -162,11 +160,11 @@ def order_items(
         stamp.alias("ingested_at"),
     )
     order = [F.col("order_id"), F.col("line_number")]
-    return assign_surrogate_keys(named, "order_item_id", order, rows_at_most=rows_at_most), reports
+    return assign_surrogate_keys(named, "order_item_id", order), reports
 
 
 def payments(
-    raw: DataFrame, orders: DataFrame, at: datetime, rows_at_most: int | None = None
+    raw: DataFrame, orders: DataFrame, at: datetime
 ) -> tuple[DataFrame, DataFrame]:
     """Payments whose order is known, and the report of the others."""
     ties = [F.col(c) for c in ("payment_type", "payment_installments", "payment_value")]
@@ -188,4 +186,4 @@ def payments(
         stamp.alias("ingested_at"),
     )
     order = [F.col("order_id"), F.col("payment_sequential")]
-    return assign_surrogate_keys(named, "payment_id", order, rows_at_most=rows_at_most), report
+    return assign_surrogate_keys(named, "payment_id", order), report
