@@ -1,6 +1,8 @@
 """Source tables, dimensions, facts, marts and the joins behind them."""
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from salesloom.catalog.registry import query
 from salesloom.catalog.sql import MONEY, RUN, mean
@@ -402,20 +404,28 @@ def order_keys(t: Tables):
     return keys.assign_surrogate_keys(orders, "order_key", order, 1000)
 
 
-@query("""SELECT 'orders' AS transform_name, CAST(order_id AS VARCHAR) AS row_id, quarantine_reason
-    FROM checked_orders WHERE quarantine_reason IS NOT NULL UNION ALL
-    SELECT 'order_items', CAST(order_item_id AS VARCHAR), quarantine_reason
-    FROM checked_items WHERE quarantine_reason IS NOT NULL""")
+_REJECTED_BY = {
+    "checked_orders": ("orders", ["order_id"]),
+    "checked_items": ("order_items", ["order_item_id"]),
+    "checked_weather": ("weather", ["date", "city", "state"]),
+    "checked_fx": ("fx", ["date", "base_currency", "quote_currency"]),
+    "checked_payments": ("payments", ["order_id", "payment_sequential"]),
+}
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{name}' AS transform_name, concat_ws('|', {', '.join(ids)}) AS row_id, quarantine_reason"
+    f" FROM {view} WHERE quarantine_reason IS NOT NULL"
+    for view, (name, ids) in _REJECTED_BY.items()
+))
 def all_rejections(t: Tables):
-    """Rejected rows of several tables under each other."""
+    """Rejected rows of all transforms under each other."""
     parts = [
-        df.where("quarantine_reason is not null").select(
+        getattr(t, view).where("quarantine_reason is not null").select(
             F.lit(name).alias("transform_name"),
-            F.col(id_).cast("string").alias("row_id"),
+            F.concat_ws("|", *[F.col(c).cast("string") for c in ids]).alias("row_id"),
             "quarantine_reason",
         )
-        for df, name, id_ in (
-            (t.checked_orders, "orders", "order_id"), (t.checked_items, "order_items", "order_item_id"),
-        )
+        for view, (name, ids) in _REJECTED_BY.items()
     ]
-    return parts[0].unionByName(parts[1], allowMissingColumns=True)
+    return reduce(DataFrame.unionByName, parts)

@@ -336,10 +336,26 @@ def weather_against_all_days(t: Tables):
 # Counts, freshness, spans, reviews.
 
 
-@query("""SELECT 'sales' AS table_name, count(*) AS row_count FROM sales UNION ALL
-    SELECT 'weather', count(*) FROM fact_weather UNION ALL SELECT 'fx', count(*) FROM silver_fx""")
+# Table, view in SQL, and attribute of the tables: everything that is read and loaded.
+_COUNTED = [
+    ("customers", "src_customers", "customers"), ("stores", "src_stores", "stores"),
+    ("products", "src_products", "products"), ("orders", "src_orders", "orders"),
+    ("order_items", "src_items", "order_items"), ("payments", "src_payments", "payments"),
+    ("weather", "src_weather", "weather"), ("fx", "src_fx", "fx"), ("reviews", "reviews", "reviews"),
+    ("geolocation", "geolocation", "geolocation"), ("dim_date", "dim_date", "dim_date"),
+    ("dim_customer", "dim_customer", "dim_customer"), ("dim_product", "dim_product", "dim_product"),
+    ("dim_store", "dim_store", "dim_store"), ("dim_currency", "dim_currency", "dim_currency"),
+    ("fact_sales", "fact_sales", "fact_sales"), ("fact_weather_daily", "fact_weather", "fact_weather"),
+    ("fact_fx_rates", "fact_fx", "fact_fx"), ("fact_payments", "fact_payments", "fact_payments"),
+]
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {view}" for name, view, _ in _COUNTED
+))
 def table_row_counts(t: Tables):
-    return measures.row_counts({"sales": t.sale_lines, "weather": t.fact_weather, "fx": t.silver_fx})
+    """Rows of all source and warehouse tables."""
+    return measures.row_counts({name: getattr(t, attribute) for name, _, attribute in _COUNTED})
 
 
 @query(f"""SELECT strftime(max(CASE WHEN date_key >= 19980101 THEN {RUN} ELSE {RUN} - INTERVAL 1 DAY END),

@@ -4,8 +4,11 @@ from pyspark.sql import functions as F
 
 from salesloom.catalog.registry import query
 from salesloom.catalog.sql import ratio
-from salesloom.catalog.tables import RUN_AT, Tables
+from salesloom.catalog.tables import END, RUN_AT, START, Tables
+from salesloom.functions.dates import key_to_date
+from salesloom.functions.numbers import ratio as ratio_of
 from salesloom.operators import checks
+from salesloom.operators.single_rows import side_by_side
 from salesloom.plans import health, marts, measures
 from salesloom.session import scratch_path
 from salesloom.sources import warehouse
@@ -126,18 +129,23 @@ RAW_CHECKS = " UNION ALL ".join([
 
 def _sales(t: Tables):
     return checks.run_checks(
-        t.fact_sales, "fact_sales", checks.fact_sales_checks(t.dim_date, t.dim_customer)
+        t.stored("fact_sales"), "fact_sales", checks.fact_sales_checks(t.dim_date, t.dim_customer)
     )
 
 
 def _weather(t: Tables):
     return checks.run_checks(
-        t.fact_weather, "fact_weather_daily", checks.fact_weather_checks(t.dim_date)
+        t.stored("fact_weather"), "fact_weather_daily", checks.fact_weather_checks(t.dim_date)
     )
 
 
 def _fx(t: Tables):
-    return checks.run_checks(t.fact_fx, "fact_fx_rates", checks.fact_fx_checks(t.dim_date))
+    return checks.run_checks(t.stored("fact_fx"), "fact_fx_rates", checks.fact_fx_checks(t.dim_date))
+
+
+def _payments(t: Tables):
+    suite = checks.fact_payments_checks(t.dim_date, t.dim_customer)
+    return checks.run_checks(t.stored("fact_payments"), "fact_payments", suite)
 
 
 def _raw(t: Tables):
@@ -174,8 +182,7 @@ def all_quality(t: Tables):
 
 @query(PAYMENT_CHECKS)
 def payments_quality(t: Tables):
-    suite = checks.fact_payments_checks(t.dim_date, t.dim_customer)
-    return checks.run_checks(t.fact_payments, "fact_payments", suite).select(*RESULT)
+    return _payments(t).select(*RESULT)
 
 
 @query(RAW_CHECKS)
@@ -183,11 +190,17 @@ def raw_quality(t: Tables):
     return _raw(t).select(*RESULT)
 
 
-RESULTS = f"({WEATHER_CHECKS} UNION ALL {FX_CHECKS} UNION ALL {RAW_CHECKS})"
+LOADED = f"{SALES_CHECKS} UNION ALL {WEATHER_CHECKS} UNION ALL {FX_CHECKS} UNION ALL {PAYMENT_CHECKS}"
+RESULTS = f"({LOADED} UNION ALL {RAW_CHECKS})"
+
+
+def _loaded(t: Tables):
+    """The suites of all four facts."""
+    return _sales(t).unionByName(_weather(t)).unionByName(_fx(t)).unionByName(_payments(t))
 
 
 def _results(t: Tables):
-    return _weather(t).unionByName(_fx(t)).unionByName(_raw(t))
+    return _loaded(t).unionByName(_raw(t))
 
 
 @query(f"""SELECT count(*) AS checks, count(*) FILTER (status = 'PASS') AS passed,
@@ -213,13 +226,13 @@ def quality_pass_rate(t: Tables):
     return health.pass_rate(_results(t))
 
 
-@query(f"SELECT severity, status, count(*) AS n FROM ({WEATHER_CHECKS}) GROUP BY ALL")
+@query(f"SELECT severity, status, count(*) AS n FROM ({LOADED}) GROUP BY ALL")
 def latest_quality_run(t: Tables):
     """Two runs appended to the log; the later one is read back by severity and status."""
     log = scratch_path(t.spark, "quality-log")
     older = RUN_AT.replace(year=RUN_AT.year - 1)
-    checks.run_lifecycle(_fx(t), log, older)
-    checks.run_lifecycle(_weather(t), log, RUN_AT)
+    checks.run_lifecycle(_raw(t), log, older)
+    checks.run_lifecycle(_loaded(t), log, RUN_AT)
     return checks.latest_run(warehouse.read_quality_log(t.spark, log))
 
 
@@ -240,29 +253,57 @@ def join_coverage(t: Tables):
     return health.join_coverage(weather, marts.sales_usd(t.fact_sales, t.fact_fx))
 
 
-@query(f"""SELECT CAST(round(max(deviation), 6)
-        AS DECIMAL(18,6)) AS max_deviation, min(n) AS min_rows, any_value(null_rate) AS null_rate,
-    CASE WHEN min(n) = 0 OR any_value(null_rate) > 0.05 THEN 'PIPELINE FAULT'
-         WHEN max(deviation) > 0.005 OR any_value(null_rate) > 0.02 THEN 'REVIEW NEEDED'
-         ELSE 'NOMINAL' END AS pipeline_status
-    FROM (SELECT n, abs(n - baseline) / CAST(baseline AS DOUBLE) AS deviation FROM (
-            SELECT count(*) AS n, 9000 AS baseline FROM fact_weather UNION ALL
-            SELECT count(*), 9700 FROM fact_fx)),
-        (SELECT {ratio('count(*) FILTER (customer_id IS NULL)', 'count(*)')} AS null_rate FROM src_orders)""")
+BASELINES = {"fact_sales": 28_700, "fact_weather_daily": 9_000, "fact_fx_rates": 9_700}
+_EXPECTED = " UNION ALL ".join(
+    f"SELECT count(*) AS n, {n} AS baseline FROM {view}"
+    for view, n in zip(("fact_sales", "fact_weather", "fact_fx"), BASELINES.values(), strict=True)
+)
+
+
+@query(f"""SELECT *, CASE WHEN min_rows = 0 OR order_id_null_rate > 0.05 OR undocumented_drop > 0.1
+            THEN 'PIPELINE FAULT'
+        WHEN max_deviation > 0.005 OR join_key_null_rate > 0.02 OR missing_days > 3 THEN 'REVIEW NEEDED'
+        ELSE 'NOMINAL' END AS pipeline_status
+    FROM (SELECT CAST(round(max(abs(n - baseline) / CAST(baseline AS DOUBLE)), 6) AS DECIMAL(18,6))
+            AS max_deviation, min(n) AS min_rows FROM ({_EXPECTED})),
+        (SELECT {ratio('count(*) FILTER (order_id IS NULL)', 'count(*)')} AS order_id_null_rate,
+            {ratio('count(*) FILTER (customer_id IS NULL)', 'count(*)')} AS join_key_null_rate FROM src_orders),
+        (SELECT {ratio('(SELECT count(*) FROM src_orders) - count(*)', '(SELECT count(*) FROM src_orders)')}
+            AS undocumented_drop FROM checked_orders),
+        (SELECT CAST(greatest(0, date_diff('day', DATE '{START}', min(date)))
+            + greatest(0, date_diff('day', max(date), DATE '{END}')) AS INTEGER) AS missing_days
+            FROM silver_weather)""")
 def pipeline_status(t: Tables):
-    counts = measures.row_counts({"fact_weather_daily": t.fact_weather, "fact_fx_rates": t.fact_fx})
-    null_rate = t.orders.agg(
-        measures.ratio(F.count_if(F.col("customer_id").isNull()), F.count(F.lit(1))).alias("null_rate")
+    """The status card over all loaded facts."""
+    counts = measures.row_counts({
+        "fact_sales": t.fact_sales, "fact_weather_daily": t.fact_weather, "fact_fx_rates": t.fact_fx})
+    rates = t.orders.agg(
+        ratio_of(F.count_if(F.col("order_id").isNull()), F.count(F.lit(1))).alias("order_id_null_rate"),
+        ratio_of(F.count_if(F.col("customer_id").isNull()), F.count(F.lit(1))).alias("join_key_null_rate"),
+        F.count(F.lit(1)).alias("rows_in"),
     )
-    baselines = {"fact_weather_daily": 9000, "fact_fx_rates": 9700}
-    return health.pipeline_status(counts, baselines, null_rate)
-
-
-@query(f"""SELECT CAST(date_trunc('month', order_date) AS DATE) AS load_month, 'orders' AS table_name,
-    count(*) AS row_count FROM silver_orders GROUP BY 1 UNION ALL
-    SELECT CAST(date_trunc('month', date) AS DATE), 'fx', count(*) FROM silver_fx GROUP BY 1""")
+    answered = t.checked_orders.agg(F.count(F.lit(1)).alias("rows_answered"))
+    dropped = side_by_side(rates, answered).select(
+        "order_id_null_rate", "join_key_null_rate",
+        ratio_of(F.col("rows_in") - F.col("rows_answered"), F.col("rows_in")).alias("undocumented_drop"),
+    )
+    first, last = F.min("date"), F.max("date")
+    missing = t.silver_weather.agg((
+        F.greatest(F.lit(0), F.datediff(first, F.lit(START)))
+        + F.greatest(F.lit(0), F.datediff(F.lit(END), last))).alias("missing_days"))
+    return health.pipeline_status(counts, BASELINES, side_by_side(dropped, missing))
+
+
+@query(" UNION ALL ".join(
+    f"""SELECT CAST(date_trunc('month', strptime(CAST(date_key AS VARCHAR), '%Y%m%d')) AS DATE) AS load_month,
+    '{name}' AS table_name, count(*) AS row_count FROM {view} GROUP BY 1"""
+    for name, view in (("fact_sales", "fact_sales"), ("fact_weather_daily", "fact_weather"), ("fact_fx_rates", "fact_fx"))
+))
 def rows_over_time(t: Tables):
-    """Rows by load month, every row being loaded on its own day."""
-    orders = t.silver_orders.withColumn("_loaded_at", F.col("order_date"))
-    fx = t.silver_fx.withColumn("_loaded_at", F.col("date"))
-    return health.rows_over_time({"orders": orders, "fx": fx})
+    """Rows by load month of the loaded facts, every row being loaded on its own day."""
+    loaded = key_to_date(F.col("date_key"))
+    return health.rows_over_time({
+        name: fact.withColumn("_loaded_at", loaded)
+        for name, fact in (
+            ("fact_sales", t.fact_sales), ("fact_weather_daily", t.fact_weather), ("fact_fx_rates", t.fact_fx))
+    })

@@ -1,6 +1,8 @@
 """Cleaning, contracts, quarantine, expressions and profiles."""
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from salesloom.catalog.registry import query
 from salesloom.catalog.sql import RUN
@@ -112,8 +114,12 @@ def weather_contract(t: Tables):
     return contracts.annotate(lower, contracts.WEATHER).select("city", "date", contracts.REASON)
 
 
-# Summaries.
+# Summaries of all transforms.
 
+TRANSFORMS = [
+    ("checked_orders", "orders"), ("checked_items", "order_items"), ("checked_weather", "weather"),
+    ("checked_fx", "fx"), ("checked_payments", "payments"),
+]
 
 def _summary_sql(view: str, name: str) -> str:
     rejected = "count(*) FILTER (quarantine_reason IS NOT NULL)"
@@ -126,31 +132,19 @@ def _summary_sql(view: str, name: str) -> str:
 
 @query(" UNION ALL ".join(
     _summary_sql(v, n)
-    for v, n in (("checked_orders", "orders"), ("checked_weather", "weather"), ("checked_payments", "payments"))
+    for v, n in TRANSFORMS
 ))
 def transform_summaries(t: Tables):
-    parts = [
-        cleaning.summarize(df, name)
-        for df, name in (
-            (t.checked_orders, "orders"), (t.checked_weather, "weather"), (t.checked_payments, "payments"),
-        )
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, [cleaning.summarize(getattr(t, v), n) for v, n in TRANSFORMS])
 
 
 @query(" UNION ALL ".join(
     f"SELECT '{n}' AS transform_name, quarantine_reason, count(*) AS row_count FROM {v}"
     " WHERE quarantine_reason IS NOT NULL GROUP BY quarantine_reason"
-    for v, n in (("checked_orders", "orders"), ("checked_items", "order_items"), ("checked_fx", "fx"))
+    for v, n in TRANSFORMS
 ))
 def quarantine_reasons(t: Tables):
-    parts = [
-        cleaning.reasons(df, name)
-        for df, name in (
-            (t.checked_orders, "orders"), (t.checked_items, "order_items"), (t.checked_fx, "fx"),
-        )
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, [cleaning.reasons(getattr(t, v), n) for v, n in TRANSFORMS])
 
 
 # Scalar expressions over whole tables.
@@ -229,7 +223,7 @@ def weather_expressions(t: Tables):
     )
 
 
-_TRIMMED = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || chr(133) || chr(160)"
+_TRIMMED = " || ".join(f"chr({ord(c)})" for c in map(chr, range(0x110000)) if c.isspace())
 
 
 @query(f"""SELECT doc_id, md5(trim(lower(strip_accents(coalesce(text, ''))), {_TRIMMED})) AS text_key
@@ -241,6 +235,14 @@ def name_normalization(t: Tables):
     )
 
 
+@query(f"""SELECT doc_id, trim(lower(strip_accents(chr(12288) || 'Épéegaが ' || doc_id || chr(8195))), {_TRIMMED})
+    AS city_key FROM documents""")
+def wide_name_normalization(t: Tables):
+    """Names with wide spaces around them and accented letters beyond the Latin ones."""
+    name = F.concat(F.lit("\u3000Épéega\u304c "), F.col("doc_id").cast("string"), F.lit("\u2003"))
+    return t.raw("documents").select("doc_id", text.normalize_city(name).alias("city_key"))
+
+
 @query("SELECT store_id, state, region FROM src_stores")
 def macro_regions(t: Tables):
     return t.stores.select("store_id", "state", text.macro_region(F.col("state")).alias("region"))

@@ -1,8 +1,9 @@
 """Readers, writers, landed feeds, loads and manifests. Files go below the cluster's shared folder."""
 
 from datetime import date, datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from salesloom.catalog.registry import query
 from salesloom.catalog.sql import RUN
@@ -24,16 +25,27 @@ def csv_scan(t: Tables):
     return lake.read_csv(t.spark, path, schemas.RAW_ORDERS)
 
 
-@query("""SELECT 'customers' AS table_name, count(*) AS row_count FROM raw_customers UNION ALL
-    SELECT 'sellers', count(*) FROM raw_sellers UNION ALL SELECT 'reviews', 0""")
+_FILES = {
+    "customers": ("raw_customers", schemas.RAW_CUSTOMERS), "sellers": ("raw_sellers", schemas.RAW_SELLERS),
+    "products": ("raw_products", schemas.RAW_PRODUCTS), "translations": ("raw_translations", schemas.RAW_TRANSLATIONS),
+    "orders": ("raw_orders", schemas.RAW_ORDERS), "order_items": ("raw_order_items", schemas.RAW_ORDER_ITEMS),
+    "payments": ("raw_payments", schemas.RAW_PAYMENTS), "reviews": ("reviews", schemas.RAW_REVIEWS),
+    "geolocation": (None, schemas.RAW_GEOLOCATION),
+}
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {view}" if view else f"SELECT '{name}', 0"
+    for name, (view, _) in _FILES.items()
+))
 def csv_snapshots(t: Tables):
-    """CSV files snapshotted as Parquet; a file that is absent counts 0."""
+    """All landed CSV files snapshotted as Parquet; the one that is absent counts 0."""
     files, lake_path = scratch_path(t.spark, "files"), scratch_path(t.spark, "bronze")
-    t.raw_customers.write.csv(f"{files}/customers", header=True)
-    t.raw_sellers.write.csv(f"{files}/sellers", header=True)
-    declared = {
-        "customers": schemas.RAW_CUSTOMERS, "sellers": schemas.RAW_SELLERS, "reviews": schemas.RAW_REVIEWS,
-    }
+    for name, (attribute, _) in _FILES.items():
+        if attribute:
+            # Comments hold line breaks, which stay inside their quotes.
+            getattr(t, attribute).write.csv(f"{files}/{name}", header=True, escape='"', quoteAll=name == "reviews")
+    declared = {name: schema for name, (_, schema) in _FILES.items()}
     return lake.snapshot_csv_files(t.spark, files, declared, lake_path, DAY)
 
 
@@ -116,13 +128,14 @@ _PAID = f"""(SELECT o_orderkey AS order_id, CAST(1 AS BIGINT) AS payment_sequent
     CAST(o_totalprice AS DECIMAL(12,2)) AS payment_value FROM orders)"""
 
 
-@query(f"""SELECT order_id, payment_sequential, date_key,
+@query(f"""SELECT order_id, payment_sequential,
+    CASE WHEN date_key < 19980101 OR order_id % 7 <> 0 THEN date_key END AS date_key,
     CAST(CASE WHEN date_key >= 19980101 THEN payment_value * 2 ELSE payment_value END AS DECIMAL(12,2))
         AS payment_value,
     CASE WHEN date_key >= 19980101 THEN {RUN} ELSE {RUN} - INTERVAL 1 DAY END AS _loaded_at
     FROM {_PAID}""")
 def fact_upsert(t: Tables):
-    """A first load up to 1999, then a batch from 1998 on with changed and new rows."""
+    """A first load up to 1999, then a batch from 1998 on with changed, new, repeated and undated rows."""
     paid = t.raw("orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.lit(1).cast("long").alias("payment_sequential"),
@@ -130,34 +143,51 @@ def fact_upsert(t: Tables):
         F.col("o_totalprice").cast("decimal(12,2)").alias("payment_value"),
     )
     keyless = paid.where("order_id <= 40").withColumn("order_id", F.lit(None).cast("long"))
-    batch = paid.where("date_key >= 19980101").withColumn(
-        "payment_value", (F.col("payment_value") * 2).cast("decimal(12,2)")
+    later = paid.where("date_key >= 19980101").withColumn(
+        "date_key", F.when(F.col("order_id") % 7 != 0, F.col("date_key"))
     )
+    # Every key comes twice; the larger value is the last one.
+    batch = later.unionByName(later.withColumn(
+        "payment_value", (F.col("payment_value") * 2).cast("decimal(12,2)")
+    ))
     path, key = scratch_path(t.spark, "fact_payments"), ["order_id", "payment_sequential"]
     warehouse.upsert_fact(paid.where("date_key < 20000101"), path, key, RUN_AT - timedelta(days=1))
-    warehouse.upsert_fact(batch.unionByName(keyless), path, key, RUN_AT)
+    warehouse.upsert_fact(batch.unionByName(keyless), path, key, RUN_AT, [F.col("payment_value")])
     return _utc(warehouse.read_fact(t.spark, path))
 
 
-@query(f"""SELECT 'dim_date' AS table_name, count(*) AS row_count, {RUN} AS loaded_at FROM dim_date
-    UNION ALL SELECT 'dim_customer', count(*), {RUN} FROM dim_customer
-    UNION ALL SELECT 'fact_weather_daily', count(*), {RUN} FROM fact_weather""")
+# Table, attribute of the tables, view in SQL, and the column that its contents are compared by.
+_WAREHOUSE = [
+    ("dim_date", "dim_date", "dim_date", "date_key"), ("dim_customer", "dim_customer", "dim_customer", "customer_key"),
+    ("dim_product", "dim_product", "dim_product", "product_key"), ("dim_store", "dim_store", "dim_store", "store_key"),
+    ("dim_currency", "dim_currency", "dim_currency", "currency_key"),
+    ("fact_sales", "fact_sales", "fact_sales", "unit_price"),
+    ("fact_weather_daily", "fact_weather", "fact_weather", "temp_max"),
+    ("fact_fx_rates", "fact_fx", "fact_fx", "rate"),
+    ("fact_payments", "fact_payments", "fact_payments", "payment_value"),
+]
+
+
+@query(" UNION ALL ".join(
+    f"""SELECT '{name}' AS table_name, count(*) AS row_count, {RUN} AS loaded_at,
+    CAST(sum({column}) AS DECIMAL(28,6)) AS total FROM {view}""" for name, _, view, column in _WAREHOUSE
+))
 def warehouse_load(t: Tables):
-    """All registered tables that Gold holds, loaded with one load time; the others are skipped."""
+    """All registered tables, loaded with one load time, counted and summed from the warehouse."""
     gold, target = scratch_path(t.spark, "gold"), scratch_path(t.spark, "warehouse")
-    for name, df in (
-        ("dim_date", t.dim_date), ("dim_customer", t.dim_customer), ("fact_weather_daily", t.fact_weather),
-    ):
-        lake.write_gold(df, f"{gold}/{name}")
+    columns = {name: column for name, _, _, column in _WAREHOUSE}
+    for name, attribute, _, _ in _WAREHOUSE:
+        lake.write_gold(getattr(t, attribute), f"{gold}/{name}")
     parts = [
         _utc(t.spark.read.parquet(f"{target}/{name}")).agg(
             F.lit(name).alias("table_name"),
             F.count(F.lit(1)).alias("row_count"),
             F.max("_loaded_at").alias("loaded_at"),
+            F.sum(columns[name]).cast("decimal(28,6)").alias("total"),
         )
         for name in warehouse.load_all(t.spark, gold, target, RUN_AT)
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("""SELECT order_id, order_date FROM silver_orders

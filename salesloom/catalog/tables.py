@@ -18,6 +18,7 @@ from salesloom.operators import cleaning, contracts
 from salesloom.operators.dedup import keep_first
 from salesloom.operators.lookups import lookup
 from salesloom.plans import dimensions, facts, measures, source_tables
+from salesloom.session import scratch_path
 
 # Processing range, a little narrower than the data so that both ends reject rows.
 START, END = date(1995, 3, 1), date(2001, 6, 30)
@@ -39,6 +40,7 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._stored: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
         path = f"{self.folder}/{name}.parquet"
@@ -429,6 +431,14 @@ class Tables:
             self.silver_payments, self.silver_orders, self.dim_customer, self.dim_currency
         )
 
+    def stored(self, name: str) -> DataFrame:
+        """A Gold table written to the shared folder and read back, so that many checks build it once."""
+        if name not in self._stored:
+            path = f"{scratch_path(self.spark, 'gold')}/{name}"
+            getattr(self, name).write.parquet(path)
+            self._stored[name] = self.spark.read.parquet(path)
+        return self._stored[name]
+
     # Sales for measures ---------------------------------------------------------------------
 
     @cached_property

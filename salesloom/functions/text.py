@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from functools import cache
 
@@ -15,16 +16,22 @@ from salesloom.functions.fixed import (
     WEATHER_CATEGORIES,
 )
 
-WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+# What Python's str.strip removes.
+WHITESPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B)))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 EM_DASH = "—"
 
 
 @cache
 def accent_alphabets() -> tuple[str, str]:
-    """Accented letters of the BMP and, position by position, their unaccented base letters."""
+    """All accented letters and, position by position, their unaccented base letters."""
     accented, plain = [], []
-    for code in range(0xC0, 0x3000):
+    for code in range(0xC0, sys.maxunicode + 1):
         letter = chr(code)
+        if not unicodedata.decomposition(letter):
+            continue
         base = [c for c in unicodedata.normalize("NFD", letter) if unicodedata.category(c) != "Mn"]
         if len(base) == 1 and base[0] != letter:
             accented.append(letter)

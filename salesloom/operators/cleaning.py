@@ -31,7 +31,10 @@ def _first_of(*rules: tuple[Column, str | Column]) -> Column:
 
 
 def clean_orders(orders: DataFrame) -> DataFrame:
-    """Canceled, undated, customerless and unknown-status orders are rejected, then the contract."""
+    """Canceled, undated, customerless and unknown-status orders are rejected, then the contract.
+
+    Text dates are parsed tolerantly but for `order_date`: one that does not parse fails the job.
+    """
     status = F.col("order_status")
     reason = _first_of(
         (status == "canceled", "canceled order excluded from Silver"),
@@ -43,8 +46,10 @@ def clean_orders(orders: DataFrame) -> DataFrame:
         ),
     )
     types = dict(orders.dtypes)
-    tolerant = {c: parse_timestamp(F.col(c)) for c in TIMESTAMPS if types.get(c) == "string"}
-    return contracts.annotate(orders.withColumns(tolerant), contracts.ORDERS, reason)
+    parsed = {c: parse_timestamp(F.col(c)) for c in TIMESTAMPS if types.get(c) == "string"}
+    if types.get("order_date") == "string":
+        parsed["order_date"] = strict_timestamp(F.col("order_date")).cast("date")
+    return contracts.annotate(orders.withColumns(parsed), contracts.ORDERS, reason)
 
 
 def clean_order_items(items: DataFrame, silver_orders: DataFrame) -> DataFrame:

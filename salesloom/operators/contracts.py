@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DataType, StringType
+from pyspark.sql.types import DataType, FractionalType, StringType
 
 from salesloom.functions.fixed import ORDER_STATUSES, PAYMENT_TYPES
 from salesloom.functions.numbers import MONEY
@@ -25,7 +25,7 @@ class Check:
 
 @dataclass(frozen=True)
 class Field:
-    """A contract column. Values are cast to `dtype`; one that cannot be cast breaks the contract."""
+    """A contract column. Values are cast to `dtype`; one that cannot be cast, or only to another value, breaks the contract."""
 
     name: str
     dtype: str
@@ -134,7 +134,7 @@ def _rules(field: Field, raw: Column, value: Column, raw_type: DataType) -> list
     found = []
     if not _always_casts(raw_type, field.dtype):
         text = _text(f"{field.name}[coerce_dtype('{field.dtype}')]=", raw, isinstance(raw_type, StringType))
-        found.append(_Rule(raw.isNotNull() & value.isNull(), text))
+        found.append(_Rule(raw.isNotNull() & (value.isNull() | _changed(field, raw, raw_type)), text))
     if not field.nullable:
         found.append(_Rule(raw.isNull(), F.lit(f"{field.name}[not_nullable]=None")))
     for check in field.checks:
@@ -145,6 +145,13 @@ def _rules(field: Field, raw: Column, value: Column, raw_type: DataType) -> list
     return found
 
 
+def _changed(field: Field, raw: Column, raw_type: DataType) -> Column:
+    """Whether a cast to a whole number cuts a fraction off."""
+    if field.dtype != "bigint" or not isinstance(raw_type, FractionalType):
+        return F.lit(False)
+    return F.coalesce(raw != F.floor(raw), F.lit(False))
+
+
 def _always_casts(have: DataType, want: str) -> bool:
     """Whether every value of a type has one in the wanted type."""
     name = have.simpleString()

@@ -96,9 +96,11 @@ def monthly_change(
 ) -> DataFrame:
     """Value `months_back` months earlier and the relative change; NULL without an earlier value.
 
-    The series has every month of its range, per group, so the earlier month is so many rows before.
+    Months are compared by their number, so one that is missing cannot shift the comparison.
     """
-    earlier = F.lag(value, months_back).over(Window.partitionBy(*(by or [])).orderBy("month"))
+    number = F.year("month") * 12 + F.month("month")
+    same_distance = Window.partitionBy(*(by or [])).orderBy(number).rangeBetween(-months_back, -months_back)
+    earlier = F.max(value).over(same_distance)
     return monthly.withColumn(prior, earlier).withColumn(
         change, ratio(F.col(value) - F.col(prior), F.col(prior))
     )

@@ -20,28 +20,37 @@ def join_coverage(sales_weather: DataFrame, sales_usd: DataFrame) -> DataFrame:
     return side_by_side(weather, fx)
 
 
-def pipeline_status(
-    counts: DataFrame, baselines: dict[str, int], null_rate: DataFrame
-) -> DataFrame:
+def pipeline_status(counts: DataFrame, baselines: dict[str, int], rates: DataFrame) -> DataFrame:
     """NOMINAL, REVIEW NEEDED or PIPELINE FAULT.
 
-    `counts` has one row per table (table_name, row_count), `null_rate` one row with the null rate
-    of the join keys. Fault: a table is empty, or more than 5 % of join keys are NULL. Review: a
-    count is off its baseline by more than 0.5 %, or more than 2 % of join keys are NULL.
+    `counts` has one row per table (table_name, row_count). `rates` is one row: `order_id_null_rate`,
+    `join_key_null_rate`, `undocumented_drop` (share of rows that left Bronze without reaching Silver
+    or the quarantine) and `missing_days` (days of the expected range that a feed did not deliver).
+
+    Fault: a table is empty, over 5 % of order ids are NULL, or over 10 % of rows went without a
+    reason. Review: a count is off its baseline by more than 0.5 %, over 2 % of join keys are NULL, or
+    more than 3 days are missing.
     """
     baseline = F.create_map(*[F.lit(x) for kv in baselines.items() for x in kv])[F.col("table_name")]
     deviation = ratio(F.abs(F.col("row_count") - baseline), baseline)
     checked = counts.agg(
         F.max(deviation).alias("max_deviation"), F.min("row_count").alias("min_rows")
     )
-    rate = F.col("null_rate")
+    c = F.col
     status = (
-        F.when((F.col("min_rows") == 0) | (rate > 0.05), "PIPELINE FAULT")
-        .when((F.col("max_deviation") > 0.005) | (rate > 0.02), "REVIEW NEEDED")
+        F.when(
+            (c("min_rows") == 0) | (c("order_id_null_rate") > 0.05) | (c("undocumented_drop") > 0.1),
+            "PIPELINE FAULT",
+        )
+        .when(
+            (c("max_deviation") > 0.005) | (c("join_key_null_rate") > 0.02) | (c("missing_days") > 3),
+            "REVIEW NEEDED",
+        )
         .otherwise("NOMINAL")
     )
-    return side_by_side(checked, null_rate).select(
-        "max_deviation", "min_rows", "null_rate", status.alias("pipeline_status")
+    return side_by_side(checked, rates).select(
+        "max_deviation", "min_rows", "order_id_null_rate", "join_key_null_rate", "undocumented_drop",
+        "missing_days", status.alias("pipeline_status"),
     )
 
 

@@ -35,6 +35,9 @@ RAW_GEOLOCATION = (
     "geolocation_city string, geolocation_state string"
 )
 
+# Schemas of files whose values may hold line breaks; such files cannot be split.
+LINE_BREAKS = frozenset({RAW_REVIEWS})
+
 # Daily weather response: parallel arrays, one entry per day.
 WEATHER_PAYLOAD = (
     "daily struct<time: array<string>, temperature_2m_max: array<double>, "

@@ -8,6 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from salesloom.operators.dedup import keep_last
 from salesloom.sources import paths
 from salesloom.sources.schemas import QUALITY_LOG, RUN_HISTORY
 
@@ -21,6 +22,7 @@ FACT_KEYS = {
     "fact_payments": ["order_id", "payment_sequential"],
 }
 PART = "month_key"
+UNDATED = 0  # month of rows without a date
 
 
 def stamped(df: DataFrame, loaded_at: datetime) -> DataFrame:
@@ -36,17 +38,28 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(PART)
 
 
-def upsert_fact(source: DataFrame, path: str, keys: list[str], loaded_at: datetime) -> None:
+def upsert_fact(
+    source: DataFrame, path: str, keys: list[str], loaded_at: datetime, recency: list[Column] | None = None
+) -> None:
     """Insert new rows and replace the rows whose key exists. Rows with a NULL key are dropped.
 
-    The fact is partitioned by month of `date_key`. Only the months that hold a changed row,
-    before or after the change, are rewritten; the others are neither read in full nor written.
+    Of several rows with one key in `source` the last one by `recency` counts, and by the values of
+    all other columns where that leaves ties or is not given. The fact is partitioned by month of
+    `date_key`, rows without a date in a month of their own. Only the months that hold a changed row,
+    before or after the change, are rewritten; the others are neither read in full nor written. The
+    batch is computed once, into a staging folder.
     """
     spark = source.sparkSession
-    month = F.floor(F.col("date_key") / 100).cast("int")
-    incoming = stamped(source.dropna(subset=keys), loaded_at).withColumn(PART, month)
+    month = F.coalesce(F.floor(F.col("date_key") / 100).cast("int"), F.lit(UNDATED))
+    others = [F.col(c) for c in source.columns if c not in keys]
+    last = keep_last(source.dropna(subset=keys), keys, [*(recency or []), *others])
+    staging = f"{path}.upsert-{uuid.uuid4().hex}"
+    stamped(last, loaded_at).withColumn(PART, month).write.partitionBy(PART).parquet(f"{staging}/batch")
+    incoming = spark.read.schema(
+        stamped(last, loaded_at).withColumn(PART, month).schema).parquet(f"{staging}/batch")
     if not paths.exists(spark, f"{path}/_SUCCESS"):
         paths.publish(incoming, path, [PART])
+        paths.delete(spark, staging)
         return
 
     current = spark.read.parquet(path)
@@ -58,18 +71,16 @@ def upsert_fact(source: DataFrame, path: str, keys: list[str], loaded_at: dateti
         touched = touched.union(replaced.select(PART).distinct()).distinct()
     # One entry per month: bounded by the calendar, not by the data.
     months = [row[0] for row in touched.collect()]
-    if not months:
-        return
-    kept = current.where(F.col(PART).isin(months)).join(new_keys, keys, "left_anti")
-    staging = f"{path}.upsert-{uuid.uuid4().hex}"
-    kept.unionByName(incoming).write.partitionBy(PART).parquet(staging)
-    written = {int(n.split("=")[1]) for n in paths.child_folders(spark, staging)}
-    if written:
-        spark.read.parquet(staging).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy(PART).parquet(path)
-    for emptied in set(months) - written:
-        paths.delete(spark, f"{path}/{PART}={emptied}")
+    if months:
+        kept = current.where(F.col(PART).isin(months)).join(new_keys, keys, "left_anti")
+        kept.unionByName(incoming).write.partitionBy(PART).parquet(f"{staging}/merged")
+        written = {int(n.split("=")[1]) for n in paths.child_folders(spark, f"{staging}/merged")}
+        if written:
+            spark.read.parquet(f"{staging}/merged").write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy(PART).parquet(path)
+        for emptied in set(months) - written:
+            paths.delete(spark, f"{path}/{PART}={emptied}")
     paths.delete(spark, staging)
 
 

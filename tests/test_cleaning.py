@@ -199,3 +199,27 @@ def test_summary_of_nothing(spark):
     df = spark.range(0).withColumn(contracts.REASON, F.lit(None).cast("string"))
     row = cleaning.summarize(df, "orders").first()
     assert (row["rows_in"], float(row["drop_pct"]), row["level"]) == (0, 0.0, "INFO")
+
+
+def test_fractions_break_whole_number_columns(spark):
+    from salesloom.operators import contracts
+
+    rows = [(1.5, "credit_card", 1.0, 1.0), (1.0, "credit_card", 2.7, 1.0), (1.0, "credit_card", 2.0, 1.0)]
+    frame = spark.createDataFrame(rows, "order_id double, payment_type string, payment_installments double, payment_value double")
+    full = frame.selectExpr("*", "1L AS payment_sequential", "TIMESTAMP_NTZ '2020-01-01' AS ingested_at")
+    reasons = [r["quarantine_reason"] for r in contracts.annotate(full, contracts.PAYMENTS).collect()]
+    assert reasons == [
+        "order_id[coerce_dtype('bigint')]=1.5", "payment_installments[coerce_dtype('bigint')]=2.7", None]
+
+
+def test_order_dates_are_strict(spark):
+    from salesloom.operators import cleaning
+
+    row = spark.createDataFrame([("not a date",)], "order_date string").selectExpr(
+        "1L AS order_id", "'a' AS order_code", "1L AS customer_id", "'delivered' AS order_status", "order_date",
+        "CAST(NULL AS TIMESTAMP_NTZ) AS order_timestamp", "CAST(NULL AS TIMESTAMP_NTZ) AS approved_at",
+        "CAST(NULL AS DATE) AS estimated_delivery", "CAST(NULL AS DATE) AS actual_delivery",
+        "CAST(NULL AS BIGINT) AS delivery_days_actual", "CAST(NULL AS BIGINT) AS delivery_days_estimated",
+        "'online' AS source_channel", "'BRL' AS currency_code", "TIMESTAMP_NTZ '2020-01-01' AS ingested_at")
+    with pytest.raises(Exception, match="not a timestamp"):
+        cleaning.clean_orders(row).collect()

@@ -87,3 +87,16 @@ def test_revenue_in_usd_counts_zero_without_a_rate(spark):
         "rate", F.col("rate").cast("decimal(16,6)")
     )
     assert float(measures.revenue_in_usd(sales, rates).first()[0]) == 10.0
+
+
+@pytest.mark.parametrize("rates, deviation_off, state", [
+    ((0.0, 0.0, 0.0, 0), 0, "NOMINAL"), ((0.0, 0.06, 0.0, 0), 0, "REVIEW NEEDED"), ((0.0, 0.0, 0.0, 4), 0, "REVIEW NEEDED"),
+    ((0.0, 0.0, 0.0, 0), 9, "REVIEW NEEDED"), ((0.06, 0.0, 0.0, 0), 0, "PIPELINE FAULT"),
+    ((0.0, 0.0, 0.2, 0), 0, "PIPELINE FAULT"), ((0.0, 0.0, 0.0, 0), 100, "PIPELINE FAULT"),
+])
+def test_pipeline_states(spark, rates, deviation_off, state):
+    from salesloom.plans import health
+
+    counts = spark.createDataFrame([("a", 100 - deviation_off)], "table_name string, row_count long")
+    one = spark.createDataFrame([rates], "order_id_null_rate double, join_key_null_rate double, undocumented_drop double, missing_days int")
+    assert health.pipeline_status(counts, {"a": 100}, one).first()["pipeline_status"] == state

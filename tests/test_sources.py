@@ -203,3 +203,25 @@ def test_stream_cleans_only_new_files(spark, tmp_path, rows):
         incremental.clean_new_files(arriving, clean, silver, quarantine, state)
     assert rows(spark.read.parquet(silver).select("id", "batch_id")) == [(1, 0), (2, 1)]
     assert rows(spark.read.parquet(quarantine).select("id")) == [(-1,), (-2,)]
+
+
+def test_plain_csv_is_split(spark, tmp_path):
+    """A CSV file without declared line breaks is read by several tasks."""
+    path = tmp_path / "orders.csv"
+    line = ",".join(["x" * 30] * 7)
+    path.write_text("\n".join([schemas.RAW_ORDERS.replace(" string", "").replace(" ", ""), *[line] * 20_000]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512k")
+    try:
+        assert lake.read_csv(spark, str(path), schemas.RAW_ORDERS).rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_upsert_of_repeated_and_undated_rows(spark, tmp_path, rows):
+    path = str(tmp_path / "f")
+    first = [(1, None, 10), (1, None, 20), (2, 20240115, 5), (None, 20240115, 1)]
+    warehouse.upsert_fact(spark.createDataFrame(first, FACT), path, ["id"], AT)
+    assert rows(warehouse.read_fact(spark, path).drop("_loaded_at")) == [(1, None, 20), (2, 20240115, 5)]
+    again = [(1, 20240220, 7), (2, None, 9), (2, None, 8)]
+    warehouse.upsert_fact(spark.createDataFrame(again, FACT), path, ["id"], AT)
+    assert rows(warehouse.read_fact(spark, path).drop("_loaded_at")) == [(1, 20240220, 7), (2, None, 9)]
