@@ -26,14 +26,20 @@ def test_dedup_limits_groups_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-@pytest.mark.parametrize("limit", [10**6, 7])
-def test_surrogate_keys_are_dense_and_ordered(spark, monkeypatch, limit):
-    """The same keys whether numbered in one window or in ranges with offsets."""
-    monkeypatch.setattr(keys, "ROWS_PER_PARTITION", limit)
+@pytest.mark.parametrize("ranges", [1, 7])
+def test_surrogate_keys_are_dense_and_ordered(spark, ranges):
+    """The same keys from however many ranges."""
     codes = [f"c{i:03d}" for i in range(60)]
     random.Random(1).shuffle(codes)
     df = spark.createDataFrame([(c,) for c in codes], "code string").repartition(5)
-    numbered = keys.assign_surrogate_keys(df, "key", [F.col("code")], start=10)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        numbered = keys.assign_surrogate_keys(df, "key", [F.col("code")], start=10)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert numbered.columns[0] == "key"
     got = {r["code"]: r["key"] for r in numbered.collect()}
     assert got == {c: i + 10 for i, c in enumerate(sorted(codes))}
