@@ -86,7 +86,31 @@ def source_payments(t: Tables):
     return payments
 
 
-# Dimensions.
+def _missed(key: str, rows: str, table: str, code: str) -> str:
+    return f"""SELECT '{key}' AS key_column, CAST(count(*) AS BIGINT) AS missing_rows,
+        (SELECT string_agg(k, ', ') FROM (SELECT DISTINCT {key} AS k FROM {rows}
+            WHERE {key} NOT IN (SELECT {code} FROM {table}) ORDER BY k LIMIT 5)) AS sample_keys
+        FROM {rows} WHERE {key} NOT IN (SELECT {code} FROM {table})"""
+
+
+@query(f"""SELECT * FROM (WITH items AS (SELECT order_id AS order_code, product_id AS product_code,
+        seller_id AS store_code FROM (SELECT *, row_number() OVER (PARTITION BY order_id, order_item_id
+        ORDER BY product_id, seller_id, price, freight_value, shipping_limit_date) AS rn
+        FROM raw_order_items) WHERE rn = 1),
+    placed AS (SELECT * FROM items WHERE order_code IN (SELECT order_code FROM source_orders)),
+    made AS (SELECT * FROM placed WHERE product_code IN (SELECT product_code FROM source_products)),
+    paid AS (SELECT order_id AS order_code FROM raw_payments)
+    {_missed('order_code', 'items', 'source_orders', 'order_code')} UNION ALL
+    {_missed('product_code', 'placed', 'source_products', 'product_code')} UNION ALL
+    {_missed('store_code', 'made', 'source_stores', 'store_code')} UNION ALL
+    {_missed('order_code', 'paid', 'source_orders', 'order_code')})""")
+def unresolved_source_keys(t: Tables):
+    """What the lookups of items and payments did not find, each with five of its keys."""
+    _, items = source_tables.order_items(
+        t.raw_order_items, t.source_orders[0], t.source_products, t.source_stores, RUN_AT)
+    _, paid = source_tables.payments(t.raw_payments, t.source_orders[0], RUN_AT)
+    shown = F.nullif(F.concat_ws(", ", "sample_keys"), F.lit(""))
+    return reduce(DataFrame.unionByName, [*items, paid]).withColumn("sample_keys", shown)
 
 
 @query("SELECT * FROM dim_date")

@@ -297,15 +297,27 @@ def fx_json_flat(t: Tables):
     return feeds.parse_fx_flat(responses, F.col("base_currency"), F.col("quote_currency"))
 
 
+_PAIRS = """(SELECT DISTINCT base_currency, quote_currency FROM silver_fx UNION
+    SELECT DISTINCT quote_currency, base_currency FROM silver_fx WHERE quote_currency = 'BRL')"""
+
+
 @query(f"""SELECT 'weather' AS source, DATE '{START}' AS start_date, DATE '{END}' AS end_date,
     CAST(26 AS BIGINT) AS requested, count(DISTINCT city) AS delivered, count(*) AS total_records,
     'partial' AS status FROM silver_weather UNION ALL
-    SELECT 'fx ' || base_currency || '/' || quote_currency, DATE '{START}', DATE '{END}', count(*),
-    count(*) FILTER (p IS NULL OR p <> rate), count(*), 'success' FROM (SELECT *, lag(rate) OVER (
+    SELECT 'fx ' || base_currency || '/' || quote_currency, DATE '{START}', DATE '{END}',
+    CAST({(END - START).days + 1} AS BIGINT), count(*) FILTER (rate IS NOT NULL AND (p IS NULL OR p <> rate)),
+    count(rate), CASE WHEN count(rate) = 0 THEN 'failed' ELSE 'success' END
+    FROM {_PAIRS} LEFT JOIN (SELECT *, lag(rate) OVER (
         PARTITION BY base_currency, quote_currency ORDER BY date) AS p FROM silver_fx)
+        USING (base_currency, quote_currency)
     GROUP BY base_currency, quote_currency""")
 def extraction_manifests(t: Tables):
-    return manifests.all_manifests(t.silver_weather, t.silver_fx, START, END, requested_cities=26)
+    """Manifests of what was asked for; the rates of BRL in other currencies were never delivered."""
+    pairs = t.silver_fx.select("base_currency", "quote_currency").distinct()
+    turned = pairs.where("quote_currency = 'BRL'").selectExpr(
+        "quote_currency AS base_currency", "base_currency AS quote_currency")
+    return manifests.all_manifests(
+        t.silver_weather, t.silver_fx, START, END, requested_cities=26, requested_pairs=pairs.union(turned))
 
 
 @query("""SELECT order_id, order_date, quarantine_reason FROM checked_orders""")

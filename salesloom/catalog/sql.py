@@ -181,6 +181,9 @@ VIEWS = {
             ORDER BY event_id DESC) AS rn FROM early_fx WHERE reason IS NULL) WHERE rn = 1""",
     "days": f"""SELECT CAST(range AS DATE) AS date
         FROM range(DATE '{START}', DATE '{END}' + 1, INTERVAL 1 DAY)""",
+    "all_days": f"""SELECT CAST(unnest(range(CAST(min(date) AS TIMESTAMP), CAST(max(date) AS TIMESTAMP)
+            + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS date
+        FROM (SELECT CAST(o_orderdate AS DATE) AS date FROM orders UNION ALL SELECT {EVENT_DAY} FROM events)""",
     "month_list": f"""SELECT CAST(range AS DATE) AS month
         FROM range(date_trunc('month', DATE '{START}'), DATE '{END}' + 1, INTERVAL 1 MONTH)""",
     "filled_fx": """SELECT s.date, s.base_currency, s.quote_currency, coalesce(
@@ -204,7 +207,7 @@ VIEWS = {
         CAST(day(date) AS INTEGER) AS day_of_month, CAST(isodow(date) - 1 AS INTEGER) AS day_of_week,
         dayname(date) AS day_name, monthname(date) AS month_name,
         'Q' || quarter(date) AS quarter_name, isodow(date) >= 6 AS is_weekend,
-        date = last_day(date) AS is_month_end FROM days""",
+        date = last_day(date) AS is_month_end FROM all_days""",
     "dim_customer": """SELECT row_number() OVER (ORDER BY customer_code) AS customer_key,
         customer_id, customer_code, zip_code_prefix, city, state, is_active,
         lower(strip_accents(coalesce(city, ''))) AS normalized_city FROM src_customers

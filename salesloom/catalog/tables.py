@@ -27,9 +27,6 @@ RUN_AT = datetime(2024, 2, 1, 6, 0, 0)
 SPREAD_DAYS = 2404
 RUN_AT_NTZ = f"TIMESTAMP_NTZ '{RUN_AT}'"
 
-# Schemas by path, so that a table read by many queries is inferred once.
-_schemas: dict[str, StructType] = {}
-
 
 class Tables:
     """DataFrames over one data folder, built when first asked for.
@@ -41,12 +38,13 @@ class Tables:
         self.spark = spark
         self.folder = folder
         self._stored: dict[str, DataFrame] = {}
+        self._schemas: dict[str, StructType] = {}
 
     def raw(self, name: str) -> DataFrame:
         path = f"{self.folder}/{name}.parquet"
-        if path not in _schemas:
-            _schemas[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_schemas[path]).parquet(path)
+        if name not in self._schemas:
+            self._schemas[name] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[name]).parquet(path)
 
     # Source tables -------------------------------------------------------------------------
 
@@ -390,7 +388,11 @@ class Tables:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return dimensions.dim_date(self.spark, START, END)
+        """Every day from the first to the last day of the orders and events."""
+        orders = self.raw("orders").selectExpr("to_date(o_orderdate) AS date")
+        days = orders.unionByName(self.raw("events").selectExpr(self.EVENT_DAY))
+        first, last = days.agg(F.min("date"), F.max("date")).first()
+        return dimensions.dim_date(self.spark, first or START, last or END)
 
     @cached_property
     def dim_customer(self) -> DataFrame:

@@ -24,31 +24,38 @@ def weather_manifest(weather: DataFrame, start: date, end: date, requested: int)
     )
 
 
-def fx_manifest(daily_rates: DataFrame, start: date, end: date) -> DataFrame:
-    """Per currency pair: calendar days, and trading days as the number of rate changes."""
-    in_order = Window.partitionBy("base_currency", "quote_currency").orderBy("date")
+def fx_manifest(
+    daily_rates: DataFrame, start: date, end: date, requested: DataFrame | None = None
+) -> DataFrame:
+    """Per currency pair: calendar days of the range, and trading days as the number of rate changes.
+
+    `requested` has the pairs that were asked for (base_currency, quote_currency); one without any
+    rate failed. Without it the delivered pairs are taken.
+    """
+    pair = ["base_currency", "quote_currency"]
+    in_order = Window.partitionBy(*pair).orderBy("date")
     changed = ~F.col("rate").eqNullSafe(F.col("_previous")) | F.col("_previous").isNull()
-    return (
-        daily_rates.withColumn("_previous", F.lag("rate").over(in_order))
-        .groupBy("base_currency", "quote_currency")
-        .agg(
-            F.concat(F.lit("fx "), F.first("base_currency"), F.lit("/"), F.first("quote_currency"))
-            .alias("source"),
-            F.lit(start).alias("start_date"),
-            F.lit(end).alias("end_date"),
-            F.count(F.lit(1)).alias("requested"),
-            F.count_if(changed).alias("delivered"),
-            F.count(F.lit(1)).alias("total_records"),
-            F.lit("success").alias("status"),
-        )
-        .drop("base_currency", "quote_currency")
+    delivered = daily_rates.withColumn("_previous", F.lag("rate").over(in_order)).groupBy(*pair).agg(
+        F.count_if(changed).alias("delivered"), F.count(F.lit(1)).alias("total_records")
+    )
+    asked = delivered.select(*pair) if requested is None else requested.select(*pair).distinct()
+    none = F.lit(0).cast("long")
+    return asked.join(delivered, pair, "left").select(
+        F.concat(F.lit("fx "), "base_currency", F.lit("/"), "quote_currency").alias("source"),
+        F.lit(start).alias("start_date"),
+        F.lit(end).alias("end_date"),
+        F.lit((end - start).days + 1).cast("long").alias("requested"),
+        F.coalesce("delivered", none).alias("delivered"),
+        F.coalesce("total_records", none).alias("total_records"),
+        F.when(F.col("total_records").isNull(), "failed").otherwise("success").alias("status"),
     )
 
 
 def all_manifests(
-    weather: DataFrame, daily_rates: DataFrame, start: date, end: date, requested_cities: int
+    weather: DataFrame, daily_rates: DataFrame, start: date, end: date, requested_cities: int,
+    requested_pairs: DataFrame | None = None,
 ) -> DataFrame:
     """Manifests of every source: for rates, requested is calendar and delivered trading days."""
     return weather_manifest(weather, start, end, requested_cities).unionByName(
-        fx_manifest(daily_rates, start, end)
+        fx_manifest(daily_rates, start, end, requested_pairs)
     )

@@ -25,9 +25,10 @@ def clean_new_files(
     """Clean everything that has arrived and stop. A batch that is repeated replaces itself."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        annotated = clean(batch)
+        annotated = clean(batch).persist()  # cleaned once for both outcomes
         for rows, path in ((accepted(annotated), silver_path), (rejected(annotated), quarantine_path)):
             rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        annotated.unpersist()
 
     query = (
         arriving.writeStream.foreachBatch(write)
