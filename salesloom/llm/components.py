@@ -9,12 +9,15 @@ from salesloom.session import shared_folder
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Link every larger neighbour of a node to the node's smallest neighbour."""
+    """Link every larger neighbour of a node to the node's smallest neighbour.
+
+    Very many nodes may give the same link; those of a task are one row before they are dealt out.
+    """
     both = edges.union(edges.select(F.col("low").alias("high"), F.col("high").alias("low"))).toDF("node", "other")
     least = both.groupBy("node").agg(F.min("other").alias("least"))
     least = least.select("node", F.least("node", "least").alias("least"))
     return both.where("other > node").join(least, "node").select(
-        F.col("other").alias("high"), F.col("least").alias("low"))
+        F.col("other").alias("high"), F.col("least").alias("low")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
