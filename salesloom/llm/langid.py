@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -26,7 +27,7 @@ SAMPLE = 1_000  # labelled texts of a language that the model is fitted on, at m
 ROUNDS = 4
 SMOOTHING = 0.1  # added to the expected count of every piece
 LETTERS = 64  # a longer word is scored in parts of so many letters
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 _SPACE = "▁"
 _WORD = re.compile(r"[^\W\d_]+")
 _SCALE = 24.0  # per letter; keeps products of a word near one
@@ -35,12 +36,12 @@ _UNKNOWN = 1e-7  # of a letter without a piece, in every language
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> dict[str, int]:
-    """Pieces of letters, with or without the space mark in front, in lower case, by number."""
+    """Pieces of lower-case letters, with or without the space mark in front, and the mark itself."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = (model.id_to_piece(i) for i in range(model.get_piece_size()) if not model.is_byte(i))
-    kept = {p for p in pieces if p.lstrip(_SPACE).isalpha() and p == p.lower() and p.count(_SPACE) < 2}
+    kept = {p for p in pieces if (p.removeprefix(_SPACE).isalpha() and p == p.lower()) or p == _SPACE}
     return {p: i for i, p in enumerate(sorted(kept))}
 
 
@@ -168,13 +169,24 @@ def word_scores(words: list[str], pieces: Pieces, probabilities: np.ndarray) ->
 
 
 def sample_texts(docs: DataFrame, size: int) -> DataFrame:
-    """lang and text of at most `size` labelled rows of a language, by a hash of the text."""
+    """lang and text of at most `size` labelled rows of a language, those with the smallest hashes.
+
+    Rows are counted per language first; a cut of the hash range that lets through little more than
+    `size` of them comes before they are put in order, so that no task sees a language as a whole.
+    The counts, and the model, have one entry per language.
+    """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("mark"), "text")
-    order = Window.partitionBy("lang").orderBy("mark")
-    marks = labelled.select("lang", "mark").distinct().withColumn("place", F.row_number().over(order))
-    chosen = marks.where(F.col("place") <= size).select("lang", "mark")
-    return labelled.join(chosen, ["lang", "mark"], "left_semi").dropDuplicates(["lang", "mark"])
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    room = size + 4 * size**0.5
+    cuts = {lang: min(int(room / n * 2**64), 2**64 - 1) - 2**63 for lang, n in counts.items()}
+    if not cuts:
+        return labelled.drop("mark").limit(0)
+    pairs = [F.lit(x) for lang, cut in cuts.items() for x in (lang, cut)]
+    order = Window.partitionBy("lang").orderBy("mark", "text")
+    placed = labelled.where(F.col("mark") <= F.create_map(*pairs)[F.col("lang")]).dropDuplicates(
+        ["lang", "mark"]).withColumn("place", F.row_number().over(order))
+    return placed.where(F.col("place") <= size).select("lang", "text")
 
 
 def count_words(sample: DataFrame) -> DataFrame:
@@ -252,11 +264,13 @@ class Scorer:
     def __init__(self, model: Model):
         self.model, self.pieces = model, pieces_of(model.path)
         self.known: dict[str, int] = {}
-        self.table = np.zeros((0, len(model.languages)))
+        self.table = np.zeros((0, model.probabilities.shape[1]))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and its posterior probability, languages equally likely beforehand."""
         languages = self.model.languages
+        if not languages:
+            return ["und"] * len(texts), np.zeros(len(texts))
         split = [words_of(text) for text in texts]
         if len(self.known) > CACHED_WORDS:
             self.known, self.table = {}, self.table[:0]
@@ -268,14 +282,13 @@ class Scorer:
         at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
         totals = np.zeros((len(texts), len(languages)))
         some = np.flatnonzero(sizes)
-        if len(some) and languages:
+        if len(some):
             totals[some] = np.add.reduceat(self.table[at], (np.cumsum(sizes) - sizes)[some], axis=0)
-            shares = np.exp(totals - totals.max(axis=1, keepdims=True))
-            shares /= shares.sum(axis=1, keepdims=True)
-            best = shares.argmax(axis=1)
-            scores = np.where(sizes > 0, shares[np.arange(len(texts)), best], 0.0)
-            return [languages[b] if n else "und" for b, n in zip(best.tolist(), sizes.tolist(), strict=True)], scores
-        return ["und"] * len(texts), np.zeros(len(texts))
+        shares = np.exp(totals - totals.max(axis=1, keepdims=True))
+        shares /= shares.sum(axis=1, keepdims=True)
+        best = shares.argmax(axis=1)
+        scores = np.where(sizes > 0, shares[np.arange(len(texts)), best], 0.0)
+        return [languages[b] if n else "und" for b, n in zip(best.tolist(), sizes.tolist(), strict=True)], scores
 
 
 _RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -293,28 +306,16 @@ def identify(docs: DataFrame, model: Model, into: str = "language") -> DataFrame
     carried = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf(_RESULT)
-    def predict(column: pa.Array) -> pa.Array:
-        scorer = _scorer(carried)
-        langs, scores = [], []
-        rows = pa.record_batch([column], ["text"])
-        for part in chunks([rows]):
-            names, values = scorer.predict(part.column("text").to_pylist())
-            langs.extend(names)
-            scores.append(values)
-        return pa.StructArray.from_arrays(
-            [pa.array(langs, pa.string()), pa.array(np.concatenate([np.zeros(0), *scores]))], ["lang_pred", "score"])
+    def predict(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scorer = Scorer(carried.value)  # of the task; words stay known from batch to batch
+        for column in columns:
+            langs, scores = [], [np.zeros(0)]
+            for part in chunks([pa.record_batch([column], ["text"])]):
+                names, values = scorer.predict(part.column("text").to_pylist())
+                langs.extend(names)
+                scores.append(values)
+            yield pa.StructArray.from_arrays(
+                [pa.array(langs, pa.string()), pa.array(np.concatenate(scores))], ["lang_pred", "score"])
 
     return docs.select(*[docs[c] for c in docs.columns], predict("text").alias(into))
 
-
-_scorers: dict[int, Scorer] = {}
-
-
-def _scorer(carried) -> Scorer:
-    """The scorer of this task's process for a model; words stay known from batch to batch."""
-    model = carried.value
-    key = id(model)
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = Scorer(model)
-    return _scorers[key]

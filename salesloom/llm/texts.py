@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BYTE_VALUES = np.random.default_rng(20).integers(1, 2**63, 256).astype(np.uint64) | np.uint64(1)
 _powers = np.ones(1, np.uint64), np.ones(1, np.uint64)
@@ -91,8 +91,18 @@ def byte_values(data: bytes) -> np.ndarray:
     return _BYTE_VALUES[np.frombuffer(data, np.uint8)]
 
 
-def word_hashes(words: Words) -> np.ndarray:
-    return span_hashes(byte_values(words.flat), words.starts, words.ends)
+def word_hashes(words: Words, block: int = 1 << 20) -> np.ndarray:
+    """Hash of every word; some bytes at a time, as the arrays take many bytes for each."""
+    result = np.empty(len(words.starts), np.uint64)
+    start = 0
+    while start < len(result):
+        base = int(words.starts[start])
+        stop = max(start + 1, int(np.searchsorted(words.ends, base + block, "right")))
+        own = slice(start, stop)
+        data = byte_values(words.flat[base:int(words.ends[stop - 1])])
+        result[own] = span_hashes(data, words.starts[own] - base, words.ends[own] - base)
+        start = stop
+    return result
 
 
 def run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
