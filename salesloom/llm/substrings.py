@@ -2,7 +2,7 @@
 
 A window is `window` consecutive words of one document. The minimiser of a window is the smallest
 hash of its runs of GRAM words; consecutive windows that share it form a super-k-mer, which travels
-as one packed string, words joined by spaces, to the minimiser's bucket. There every window of the
+packed with others in one string, words joined by spaces, to the minimiser's bucket. There every window of the
 bucket is sorted by hash, equal hashes are compared byte by byte, and every window but the earliest
 of its kind is repeated. Equal windows have equal minimisers, so that they always meet.
 
@@ -22,15 +22,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesloom.llm.texts import (
-    chunks, ragged, run_hashes, sliding_min, span_hashes, utf8, word_hashes, word_table,
+    chunks, mix, ragged, run_hashes, sliding_min, span_hashes, utf8, word_hashes, word_table,
 )
 
-GRAM = 4
+GRAM = 3
 # A minimiser of more super-k-mers than this is passed over; at most so many of them, the commonest.
 COMMON = 2_000
 COMMON_MOST = 10_000
-# Super-k-mers that a task looks at together, whole buckets only.
-ROWS = 40_000
+# Text that the super-k-mers of one bucket hold, about: what a task has in memory at a time.
+BUCKET_BYTES = 6 << 20
+# Text whose super-k-mers are packed together.
+PACKED_BYTES = 6 << 20
+_NO_ID = np.iinfo(np.int64).min
 _PASSED = np.uint64(2**64 - 1)
 _COMPARED_BYTES = 1 << 21
 
@@ -76,11 +79,12 @@ class SuperKmers:
 
 def order_ids(column: pa.Array) -> np.ndarray:
     """doc_id as numbers; NULL comes before all others."""
-    return column.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
+    return column.fill_null(_NO_ID).to_numpy(zero_copy_only=False)
 
 
-def common_minimisers(docs: DataFrame, window: int) -> np.ndarray:
-    """Minimisers that more than COMMON super-k-mers share, the commonest COMMON_MOST of them.
+def survey(docs: DataFrame, window: int) -> tuple[np.ndarray, int]:
+    """Minimisers that more than COMMON super-k-mers share, the commonest COMMON_MOST of them, and the
+    bytes of all super-k-mers.
 
     Every task counts all its super-k-mers and sends those it has seen most often. What comes out
     decides where a window is counted, never whether.
@@ -88,9 +92,11 @@ def common_minimisers(docs: DataFrame, window: int) -> np.ndarray:
 
     def run(batches):
         counts: Counter = Counter()
-        for batch in chunks(batches):
+        total = 0
+        for batch in chunks(batches, limit=PACKED_BYTES):
             found = SuperKmers(order_ids(batch.column("doc_id")), utf8(batch.column("text")), window,
                                np.zeros(0, np.uint64))
+            total += sum(map(len, found.packed))
             values, times = np.unique(found.keys, return_counts=True)
             often = times > 1
             counts.update(dict(zip(values[often].tolist(), times[often].tolist(), strict=True)))
@@ -98,39 +104,73 @@ def common_minimisers(docs: DataFrame, window: int) -> np.ndarray:
                 counts = Counter(dict(counts.most_common(COMMON_MOST)))
         top = counts.most_common(COMMON_MOST // 5)
         yield pa.RecordBatch.from_arrays([
-            pa.array(np.array([k for k, _ in top], np.uint64).view(np.int64)),
-            pa.array([n for _, n in top], pa.int64())], ["key", "n"])
+            pa.array([None, *np.array([k for k, _ in top], np.uint64).view(np.int64).tolist()], pa.int64()),
+            pa.array([total, *(n for _, n in top)], pa.int64())], ["key", "n"])
 
     counted = docs.select("doc_id", "text").mapInArrow(run, "key long, n long")
-    rows = (counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > COMMON)
-            .orderBy(F.desc("n"), "key").limit(COMMON_MOST).collect())
-    return np.sort(np.array([r["key"] for r in rows], np.int64).view(np.uint64))
+    rows = (counted.groupBy("key").agg(F.sum("n").alias("n")).where((F.col("n") > COMMON) | F.col("key").isNull())
+            .orderBy(F.col("key").isNotNull(), F.desc("n"), "key").limit(COMMON_MOST + 1).collect())
+    keys = [r["key"] for r in rows if r["key"] is not None]
+    return np.sort(np.array(keys, np.int64).view(np.uint64)), sum(r["n"] for r in rows if r["key"] is None)
 
 
-_PIECES = "bucket long, doc_id long, text_key long, place int, windows int, packed binary"
-_REPEATS = "doc_id long, text_key long, place int, words int"
+_PIECES = "bucket int, packed binary, bytes long, doc_id long, text_key int, place int, words int"
+_REPEATS = "doc_id long, text_key int, place int, words int"
+_NUMBERS = ("<i8", "<i4", "<i4", "<i4")  # doc_id, text_key, place and words of a super-k-mer
 
 
-def _split(window: int, common: np.ndarray):
-    """Super-k-mers; a row without `packed` is a run of `windows` words known to be repeated."""
+def _codec() -> pa.Codec:
+    return pa.Codec("zstd", compression_level=3)
+
+
+def pack(columns: list[np.ndarray], texts: list[bytes]) -> bytes:
+    """Super-k-mers as one string: how many, their numbers, and their words."""
+    parts = [np.array([len(texts)], "<i8"), *(c.astype(k) for c, k in zip(columns, _NUMBERS, strict=True))]
+    return b"".join([*(p.tobytes() for p in parts), b"\n".join(texts)])
+
+
+def unpack(packed: bytes) -> tuple[list[np.ndarray], list[bytes]]:
+    count, at, columns = int(np.frombuffer(packed, "<i8", 1)[0]), 8, []
+    for kind in _NUMBERS:
+        columns.append(np.frombuffer(packed, kind, count, at))
+        at += count * columns[-1].itemsize
+    return columns, packed[at:].split(b"\n")
+
+
+def _split(window: int, common: np.ndarray, buckets: int):
+    """A packed string for each chunk and bucket, and the repeats found inside the chunk."""
 
     def run(batches):
-        for batch in chunks(batches):
-            ids = order_ids(batch.column("doc_id"))
+        codec = _codec()
+        for batch in chunks(batches, limit=PACKED_BYTES):
+            ids, keys = order_ids(batch.column("doc_id")), batch.column("text_key").to_numpy()
             found = SuperKmers(ids, utf8(batch.column("text")), window, common)
+            bucket = (mix(found.keys) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.r_[0, np.flatnonzero(np.diff(bucket[order])) + 1, len(order)]
+            packed, sizes, where = [], [], []
+            for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+                own = order[start:stop]
+                if not len(own):
+                    continue
+                owner = found.owners[own]
+                raw = pack([ids[owner], keys[owner], found.places[own], found.windows[own]],
+                           [found.packed[i] for i in own.tolist()])
+                packed.append(codec.compress(raw, asbytes=True))
+                sizes.append(len(raw))
+                where.append(bucket[own[0]])
             owner, place, size = found.repeated
-            none = pa.array([None] * len(owner), pa.binary())
-            for keys, owners, places, sizes, packed in (
-                (found.keys.view(np.int64), found.owners, found.places, found.windows,
-                 pa.array(found.packed, pa.binary())),
-                (ids[owner] + place, owner, place, size, none),
-            ):
-                rows = pa.array(owners, pa.int64())
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(keys, pa.int64()), batch.column("doc_id").take(rows),
-                    batch.column("text_key").take(rows), pa.array(places, pa.int32()),
-                    pa.array(sizes, pa.int32()), packed,
-                ], ["bucket", "doc_id", "text_key", "place", "windows", "packed"])
+            known, new = len(owner), len(packed)
+            none, nothing = pa.nulls(new, pa.int64()), pa.nulls(new, pa.int32())
+            rows = pa.array(owner, pa.int64())
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.r_[where, place % buckets], pa.int32()),
+                pa.array([*packed, *[None] * known], pa.binary()), pa.array([*sizes, *[None] * known], pa.int64()),
+                pa.concat_arrays([none, batch.column("doc_id").take(rows)]),
+                pa.concat_arrays([nothing, batch.column("text_key").take(rows)]),
+                pa.concat_arrays([nothing, pa.array(place, pa.int32())]),
+                pa.concat_arrays([nothing, pa.array(size, pa.int32())]),
+            ], ["bucket", "packed", "bytes", "doc_id", "text_key", "place", "words"])
 
     return run
 
@@ -199,57 +239,47 @@ def repeated_windows(ids: np.ndarray, places: np.ndarray, texts: list[bytes], wi
 
 
 def _count(window: int):
-    """Rows come sorted by bucket; whole buckets are looked at together."""
-
-    def look(rows: pa.Table) -> pa.RecordBatch:
-        rows = rows.combine_chunks()
-        known = rows.filter(rows["packed"].is_null())
-        rows = rows.filter(rows["packed"].is_valid())
-        ids = order_ids(rows["doc_id"].combine_chunks())
-        row, place, size = repeated_windows(
-            ids, rows["place"].to_numpy().astype(np.int64), rows["packed"].to_pylist(), window)
-        found = rows.select(["doc_id", "text_key"]).take(pa.array(row, pa.int64()))
-        result = pa.table({
-            "doc_id": pa.chunked_array([*known["doc_id"].chunks, *found["doc_id"].chunks], pa.int64()),
-            "text_key": pa.chunked_array([*known["text_key"].chunks, *found["text_key"].chunks], pa.int64()),
-            "place": pa.chunked_array([*known["place"].chunks, pa.array(place, pa.int32())], pa.int32()),
-            "words": pa.chunked_array([*known["windows"].chunks, pa.array(size, pa.int32())], pa.int32()),
-        }).combine_chunks()
-        return result.to_batches()
+    """Rows come sorted by bucket; a bucket is looked at as a whole."""
+
+    def look(strings: list[bytes]) -> pa.RecordBatch:
+        parts = [unpack(s) for s in strings]
+        ids, keys, places, _ = (np.concatenate(c) for c in zip(*(p[0] for p in parts), strict=True))
+        row, place, size = repeated_windows(ids, places.astype(np.int64), [t for p in parts for t in p[1]], window)
+        docs = pa.array(ids[row], pa.int64(), mask=ids[row] == _NO_ID)
+        return pa.RecordBatch.from_arrays(
+            [docs, pa.array(keys[row], pa.int32()), pa.array(place, pa.int32()), pa.array(size, pa.int32())],
+            ["doc_id", "text_key", "place", "words"])
 
     def run(batches):
-        waiting, count = [], 0
+        codec, bucket, waiting = _codec(), None, []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            waiting.append(batch)
-            count += batch.num_rows
-            if count < ROWS:
-                continue
-            rows = pa.Table.from_batches(waiting)
-            bucket = rows["bucket"].to_numpy()
-            cut = int(np.searchsorted(bucket, bucket[-1]))
-            if cut:
-                yield from look(rows.slice(0, cut))
-                waiting = rows.slice(cut).to_batches()
-                count -= cut
+            yield batch.filter(batch.column("packed").is_null()).select(["doc_id", "text_key", "place", "words"])
+            for own, packed, size in zip(*(batch.column(n).to_pylist() for n in ("bucket", "packed", "bytes")), strict=True):
+                if packed is None:
+                    continue
+                if own != bucket and waiting:
+                    yield look(waiting)
+                    waiting = []
+                bucket = own
+                waiting.append(codec.decompress(packed, size, asbytes=True))
         if waiting:
-            yield from look(pa.Table.from_batches(waiting))
+            yield look(waiting)
 
     return run
 
 
 def text_key():
     """With doc_id, what tells rows apart: rows equal in both are one document."""
-    return F.xxhash64("text")
+    return F.hash("text")
 
 
 def find_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     """doc_id, text_key and the ranges (place, words) of repeated words, of documents that have any."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
     rows = rows.where(F.col("text").isNotNull())
-    common = common_minimisers(rows, window)
-    pieces = rows.mapInArrow(_split(window, common), _PIECES)
+    common, total = survey(rows, window)
+    buckets = int(total // BUCKET_BYTES) + 1
+    pieces = rows.mapInArrow(_split(window, common, buckets), _PIECES)
     repeats = pieces.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_count(window), _REPEATS)
     return repeats.groupBy("doc_id", "text_key").agg(
         F.collect_list(F.struct("place", "words")).alias("ranges"))
