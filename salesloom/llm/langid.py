@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesloom.llm.samples import smallest
 from salesloom.llm.texts import HashSet, chunks, mix, span_hashes
 
 SAMPLE = 1_000  # labelled texts of a language that the model is fitted on, at most
@@ -169,23 +170,17 @@ def word_scores(words: list[str], pieces: Pieces, probabilities: np.ndarray) ->
 
 
 def sample_texts(docs: DataFrame, size: int) -> DataFrame:
-    """lang and text of at most `size` labelled rows of a language, those with the smallest hashes.
+    """lang and text of at most `size` distinct labelled texts of a language, those with the smallest hashes.
 
-    Rows are counted per language first; a cut of the hash range that lets through little more than
-    `size` of them comes before they are put in order, so that no task sees a language as a whole.
-    The counts, and the model, have one entry per language.
+    Distinct texts are counted per language and step of the hash range first; a cut that lets through
+    little more than `size` of them comes before they are put in order, so that no task sees a language
+    as a whole. The counts, and the model, have a bounded number of entries per language.
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("mark"), "text")
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    room = size + 4 * size**0.5
-    cuts = {lang: min(int(room / n * 2**64), 2**64 - 1) - 2**63 for lang, n in counts.items()}
-    if not cuts:
-        return labelled.drop("mark").limit(0)
-    pairs = [F.lit(x) for lang, cut in cuts.items() for x in (lang, cut)]
     order = Window.partitionBy("lang").orderBy("mark", "text")
-    placed = labelled.where(F.col("mark") <= F.create_map(*pairs)[F.col("lang")]).dropDuplicates(
-        ["lang", "mark"]).withColumn("place", F.row_number().over(order))
+    placed = smallest(labelled, "lang", size).dropDuplicates(["lang", "mark"]).withColumn(
+        "place", F.row_number().over(order))
     return placed.where(F.col("place") <= size).select("lang", "text")
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesloom.llm.samples import smallest
 from salesloom.llm.texts import chunks, utf8, word_hashes, word_table
 
 BUCKETS = 1 << 16
@@ -154,13 +155,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     known = labels.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"),
         F.xxhash64("doc_id").alias("mark"))
-    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     # A cut of the hash range first, so that no task puts all rows of a label in order.
-    room = sample + 4 * sample**0.5
-    cuts = {label: min(int(room / n * 2**64), 2**64 - 1) - 2**63 for label, n in counts.items()}
-    cut = F.when(F.col("label") == 0, F.lit(cuts.get(0, 0))).otherwise(F.lit(cuts.get(1, 0)))
     order = Window.partitionBy("label").orderBy("mark", "doc_id")
-    chosen = known.where(F.col("mark") <= cut).distinct().withColumn(
+    chosen = smallest(known, "label", sample).distinct().withColumn(
         "place", F.row_number().over(order)).where(F.col("place") <= sample)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _sized(docs).alias("n_chars")).where(F.col("text").isNotNull()).join(
         F.broadcast(chosen.select("doc_id", "label")), "doc_id").select("label", "doc_id", "text", "n_chars")

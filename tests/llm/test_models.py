@@ -125,3 +125,17 @@ def test_quality_of_odd_tables(spark, documents):
     assert quality.score(documents(rows), empty).first()["quality"] == 0.5
     with pytest.raises(ValueError):
         quality.score(odd.withColumn("quality", F.lit(1)), model)
+
+
+def test_copies_do_not_thin_the_sample_of_a_language(documents):
+    rows = [(i, f"text {i % 5}", "aa") for i in range(2000)] + [(i, f"other {i}", "bb") for i in range(300)]
+    found = langid.sample_texts(documents(rows), 10).collect()
+    assert sorted(r["text"] for r in found if r["lang"] == "aa") == [f"text {i}" for i in range(5)]
+    assert sum(r["lang"] == "bb" for r in found) == 10
+
+
+def test_copies_do_not_thin_the_sample_of_a_label(spark, documents):
+    docs = documents([(i, "good words here" if i % 2 else "!! ## 99") for i in range(4)])
+    labels = spark.range(4000).selectExpr("id % 4 AS doc_id", "cast(id % 2 AS int) AS label")
+    rows = quality.score(docs, quality.fit(docs, labels, sample=10)).collect()
+    assert all((r["quality"] > 0.5) == (r["doc_id"] % 2 == 1) and r["quality"] != 0.5 for r in rows)
