@@ -2,10 +2,15 @@
 
 Every document is cut into full windows from its start; what is left, its tail, is packed. Tails are
 dealt to shards, and each shard has an inverted index of its tails with BM25 weights whose document
-frequencies and mean length are those of all tails. A seed tail asks the index for its best unused
-neighbours, which fill its window greedily; the one that does not fit is cut, and its rest seeds the
-next window. What a shard has left over at its end is cut into windows whose lengths are powers of
-two, which need no padding, so that no window is padded at all.
+frequencies and mean length are those of all tails. A seed tail asks the index of every shard for its
+best unused neighbours, which fill its window; the one that does not fit is cut, and its rest stays
+as a tail.
+
+That goes on in rounds. In each, some tails are seeds and the others may be claimed; a tail goes to
+the seed that scores it best, among those that need it to fill their window, and windows that are
+full are finished. All others are in the next round again. Once no more tails are left than one
+shard holds, they are packed one seed after the other, and what is over at the end is cut into
+windows whose lengths are powers of two, which need no padding, so that no window is padded at all.
 
 Terms are the token ids themselves: a fixed vocabulary, so that the table of document frequencies has
 a bound that does not depend on the corpus.
@@ -22,14 +27,17 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesloom.llm.texts import chunks, ragged
+from salesloom.llm.texts import chunks, mix, ragged
 from salesloom.session import scratch_path
 
 WINDOW = 1024
 SHARD = 2_048  # tails of a shard, about
+QUERY_BATCH = 64  # seeds scored at once
+EXACT = 1e-6  # scores that differ by this share are equal: copies, of which a hash chooses
+LEAST_FILLED = 0.5  # share of the seeds filled in a round; under it scores are told apart less finely
 QUERY_TERMS = 32  # rarest terms of a seed that the index is asked for
 K1, B = 1.2, 0.75
 CACHED_PARTS = 400_000
@@ -172,12 +180,46 @@ class ShardIndex:
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of all tails for the rarest terms of a tail."""
-        terms = self.terms[self.first[seed]:self.first[seed + 1]]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argsort(-self.idf[terms], kind="stable")[:QUERY_TERMS]]
-        at = np.searchsorted(self.known, terms)
-        own = ragged(self.starts[at], self.stops[at] - self.starts[at])
-        return np.bincount(self.postings[own], self.weights[own], self.size)
+        return self.scores_of([query_terms(self.terms[self.first[seed]:self.first[seed + 1]], self.idf)])[0]
+
+    def scores_of(self, queries: list[np.ndarray]) -> np.ndarray:
+        """BM25 of all tails, a row for each query; terms that no tail has add nothing."""
+        terms = np.concatenate(queries).astype(np.int64)
+        row = np.repeat(np.arange(len(queries)), [len(q) for q in queries])
+        at = np.minimum(np.searchsorted(self.known, terms), len(self.known) - 1)
+        hit = self.known[at] == terms
+        at, row = at[hit], row[hit]
+        sizes = self.stops[at] - self.starts[at]
+        own = ragged(self.starts[at], sizes)
+        places = np.repeat(row * self.size, sizes) + self.postings[own]
+        return np.bincount(places, self.weights[own], len(queries) * self.size).reshape(len(queries), -1)
+
+    def best(self, queries: list[np.ndarray], seeds: np.ndarray, units: np.ndarray, most: int, tolerance: float):
+        """Row, tail and value of the `most` best tails of each query with a score over 0.
+
+        The value is a class of scores, `tolerance` of a score wide, and behind the point a hash of
+        both units, so that seeds which score many tails alike do not all want the same ones.
+        """
+        scores = self.scores_of(queries)
+        least = np.zeros((len(queries), 1))
+        if most < self.size:
+            least = np.partition(scores, self.size - most, axis=1)[:, self.size - most, None]
+        with np.errstate(divide="ignore"):
+            low = np.exp(np.floor(np.log(least) / tolerance) * tolerance) * (1 - 1e-9)
+        row, tail = np.nonzero((scores >= low) & (scores > 0))
+        dice = mix(mix(seeds[row].astype(np.uint64)) + units[tail].astype(np.uint64)) >> np.uint64(11)
+        value = np.floor(np.log(scores[row, tail]) / tolerance) + dice / 2.0**53
+        order = np.lexsort((-value, row))
+        row, tail, value = row[order], tail[order], value[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        return row[place < most], tail[place < most], value[place < most]
+
+
+def query_terms(terms: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """The rarest of the distinct terms of a seed."""
+    if len(terms) > QUERY_TERMS:
+        terms = terms[np.argsort(-idf[terms], kind="stable")[:QUERY_TERMS]]
+    return terms
 
 
 def pack_shard(tails: list[np.ndarray], idf: np.ndarray, mean: float, window: int):
@@ -269,12 +311,148 @@ def _pack(idf: np.ndarray, mean: float, window: int):
     return run
 
 
+def _queries(idf: np.ndarray):
+    """Terms that each seed asks for."""
+
+    def run(batches):
+        for batch in batches:
+            terms = [query_terms(np.unique(np.frombuffer(ids, "<u2")), idf).astype("<u2").tobytes()
+                     for ids in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("unit"), pa.array(terms, pa.binary())], ["unit", "terms"])
+
+    return run
+
+
+def _search(idf: np.ndarray, mean: float, most: int, tolerance: float):
+    """Best neighbours in a shard of all seeds. Rows come sorted by shard, tails before seeds."""
+
+    def run(batches):
+        shard, index, units, lengths, tails = None, None, [], [], []
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("shard", "seed", "unit", "ids")]
+            waiting: list[tuple[int, np.ndarray]] = []
+
+            def ask():
+                for start in range(0, len(waiting) if tails else 0, QUERY_BATCH):
+                    some = waiting[start:start + QUERY_BATCH]
+                    seeds = np.array([seed for seed, _ in some], np.int64)
+                    row, tail, value = index.best([terms for _, terms in some], seeds, units, most, tolerance)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(seeds[row]), pa.array(units[tail]), pa.array(lengths[tail]), pa.array(value)],
+                        ["seed", "unit", "length", "value"])
+
+            for own, is_seed, unit, part in zip(*columns, strict=True):
+                if own != shard:
+                    yield from ask()
+                    waiting = []
+                    shard, index, units, lengths, tails = own, None, [], [], []
+                part = np.frombuffer(part, "<u2")
+                if not is_seed:
+                    tails.append(part)
+                    units.append(unit)
+                    continue
+                if index is None and tails:
+                    index = ShardIndex(tails, idf, mean)
+                    units, lengths = np.array(units, np.int64), np.array([len(t) for t in tails], np.int64)
+                waiting.append((unit, part))
+            yield from ask()
+
+    return run
+
+
+def _claims(state: DataFrame, number: int, share: float, total: int, idf: np.ndarray, mean: float,
+            most: int, tolerance: float, window: int) -> DataFrame:
+    """unit, sequence_id, offset and take of the tails that fill windows in a round."""
+    shards = math.ceil(total / SHARD)
+    is_seed = F.pmod(F.xxhash64("unit", F.lit(number)), F.lit(1 << 20)) < int(share * (1 << 20))
+    seeds = state.where(is_seed).select("unit", "ids").mapInArrow(_queries(idf), "unit long, terms binary")
+    asked = seeds.select(
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("seed"), "unit",
+        F.col("terms").alias("ids"))
+    held = state.where(~is_seed).select(
+        F.pmod(F.xxhash64("unit"), F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("seed"), "unit", "ids")
+    found = held.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "seed").mapInArrow(
+        _search(idf, mean, most, tolerance), "seed long, unit long, length long, value double")
+    ranked = Window.partitionBy("seed").orderBy(F.desc("value"), "unit")
+    best = found.withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= most)
+    lengths = state.where(is_seed).select(
+        F.col("unit").alias("seed"), (F.octet_length("ids") / 2).cast("long").alias("own"))
+    before = F.coalesce(F.sum("length").over(
+        Window.partitionBy("seed").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    wanted = best.join(lengths, "seed").withColumn("needed", F.col("own") + before < window)
+    won = wanted.groupBy("unit").agg(F.max(F.struct(
+        "needed", "value", "seed", "place", "length", "own")).alias("claim")).select("unit", "claim.*")
+    filled = won.withColumn("offset", F.col("own") + before).withColumn(
+        "tokens", F.col("own") + F.sum("length").over(Window.partitionBy("seed"))).where(
+        (F.col("tokens") >= window) & (F.col("offset") < window))
+    first = filled.where(F.col("offset") == F.col("own")).select(
+        F.col("seed").alias("unit"), F.col("seed").alias("claimed"), F.lit(0).cast("long").alias("at"), F.col("own").alias("take"))
+    return filled.select(
+        "unit", F.col("seed").alias("claimed"), F.col("offset").alias("at"),
+        F.least("length", F.lit(window) - F.col("offset")).alias("take")).unionByName(first)
+
+
+def _checked():
+    """Finished pieces from claimed tails."""
+
+    def run(batches):
+        for batch in batches:
+            checks = [crc(np.frombuffer(ids, "<u2")) for ids in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("doc_id", "start")), batch.column("take"), pa.array(checks, pa.int64()),
+                 *(batch.column(c) for c in ("doc_tokens", "claimed", "at"))],
+                [c.split()[0] for c in _PIECE.split(", ")])
+
+    return run
+
+
+_TAIL = ["doc_id", "start", "doc_tokens", "unit", "ids"]
+
+
+def claim_rounds(tails: DataFrame, total: int, tokens: int, idf: np.ndarray, window: int):
+    """Windows filled with neighbours from all shards, as pieces, and the tails that are left.
+
+    Every round searches all tails that are left. A round fills fewer than LEAST_FILLED of its seeds
+    where many seeds want the same tails; the next one then takes scores for equal that differ by
+    twice as much, from 1 % on. What is left fits in a shard, unless hardly any seed can be filled with
+    tails that score over 0 and the rounds end early.
+    """
+    spark, mean = tails.sparkSession, tokens / total
+    pieces, state, number, tolerance = [], tails.select(*_TAIL), 0, EXACT
+    while total > SHARD:
+        length = tokens / total
+        most = 2 * math.ceil(window / length) + 8
+        share = min(0.5, max(0.01, 0.5 * length / window))  # half of the tokens go to their windows
+        claims = _claims(state, number, share, total, idf, mean, most, tolerance, window)
+        path = scratch_path(spark, "packing-round")
+        state.join(claims, "unit", "left").write.parquet(path)
+        placed = spark.read.parquet(path)
+        done = F.col("claimed").isNotNull()
+        head = F.expr("substring(ids, 1, cast(2 * take as int))")
+        pieces.append(placed.where(done).select(
+            "doc_id", "start", "take", "doc_tokens", "claimed", "at", head.alias("ids")).mapInArrow(_checked(), _PIECE))
+        rest = F.expr("substring(ids, cast(2 * coalesce(take, 0) + 1 as int))")
+        state = placed.select(
+            "doc_id", (F.col("start") + F.coalesce("take", F.lit(0))).alias("start"), "doc_tokens", "unit",
+            rest.alias("ids")).where(F.octet_length("ids") > 0)
+        seeds = total * share
+        total, left = state.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("ids") / 2).cast("long"), F.lit(0))).first()
+        full = (tokens - left) / window
+        tokens, number = left, number + 1
+        if full < LEAST_FILLED * seeds:
+            if tolerance > 10 and full < 0.02 * seeds:
+                break
+            tolerance = max(0.01, 2 * tolerance)
+    return pieces, state, total
+
+
 def pack(docs: DataFrame, ranks_path: str, window: int = WINDOW) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset of every piece.
 
     A document is its ids with END behind; a NULL or empty text is END alone. Every id lies in exactly
     one piece, and the pieces of a sequence follow one another from offset 0 without a gap. All
-    sequences have `window` tokens, but for the last of each shard, whose lengths are powers of two.
+    sequences have `window` tokens, but for the last ones, whose lengths are powers of two.
     Repeated rows and rows without a doc_id are packed like any others; other columns are not read.
     `ranks_path` must exist on every executor.
     """
@@ -296,8 +474,13 @@ def pack(docs: DataFrame, ranks_path: str, window: int = WINDOW) -> DataFrame:
     for row in counted.groupBy("term").agg(F.sum("n").alias("n")).collect():
         frequencies[row["term"]] = row["n"]
     idf = np.log1p((total - frequencies + 0.5) / (frequencies + 0.5))
-    shards = math.ceil(total / SHARD)
-    dealt = tails.select("doc_id", "start", "doc_tokens", "unit", "ids", F.pmod(
+    pieces, left, over = claim_rounds(tails, total, tokens, idf, window)
+    for piece in pieces:
+        full = full.unionByName(piece)
+    if not over:
+        return full
+    shards = math.ceil(over / SHARD)
+    dealt = left.select("doc_id", "start", "doc_tokens", "unit", "ids", F.pmod(
         F.xxhash64("unit"), F.lit(shards)).cast("int").alias("shard"))
     packed = dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(
         _pack(idf, tokens / total, window), _PIECE)

@@ -107,3 +107,29 @@ def test_a_seed_gets_its_nearest_neighbour():
         tf = np.array([(tail == t).sum() for t in terms])
         want = (2.0 * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * len(tail) / 40.0)))[tf > 0].sum()
         assert index.scores(0)[other] == pytest.approx(want)
+
+
+def test_neighbours_are_found_over_all_shards(documents, tokenizer_path, monkeypatch):
+    """Pairs of near copies among more tails than a shard holds stand side by side."""
+    monkeypatch.setattr(packing, "SHARD", 32)
+    rng = random.Random(5)
+    words = [f"{a}{b}{c}" for a in "bdgklm" for b in "aeiou" for c in "bdgklmnprst"]
+    rows = []
+    for pair in range(200):
+        text = " ".join(rng.choice(words) for _ in range(30))
+        rows += [(2 * pair, text), (2 * pair + 1, text + " " + rng.choice(words))]
+    found = packing.pack(documents(rows), tokenizer_path("byte_bpe_50k.tiktoken"), 128).collect()
+    of_doc = defaultdict(set)
+    for row in found:
+        of_doc[row["doc_id"]].add(row["sequence_id"])
+    together = sum(bool(of_doc[2 * pair] & of_doc[2 * pair + 1]) for pair in range(200))
+    assert together > 120
+    ids = ids_of(tokenizer_path, [text for _, text in rows])
+    assert sum(r["length"] for r in found) == sum(map(len, ids))
+    assert len({(r["sequence_id"], r["offset"]) for r in found}) == len(found)
+    by_sequence = defaultdict(int)
+    for row in found:
+        by_sequence[row["sequence_id"]] += row["length"]
+        part = np.array(ids[row["doc_id"]][row["start"]:row["start"] + row["length"]], "<u4")
+        assert row["ids_crc32"] == zlib.crc32(part.tobytes())
+    assert sum(n != 128 for n in by_sequence.values()) <= 7
