@@ -139,3 +139,88 @@ WITH RECURSIVE unit AS (
 SELECT l.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, l.component_id, l.vec_id = l.component_id AS kept
 FROM least l LEFT JOIN counted c ON l.vec_id = c.a
 """
+
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295, flatten(list_transform(
+        string_split(doc_id::varchar, ''), lambda c: [ord(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda sum, step: CASE WHEN step >= 0 THEN xor(sum, step) ELSE xor(sum >> 1, 3988292384 * (sum & 1)) END))"""
+
+ORACLE["op11_periodic_runs"] = rf"""
+WITH split AS (
+  SELECT row_number() OVER () AS id, doc_id, {_CRC32} AS h,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+sized AS (SELECT *, len(w) AS n, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM split),
+stepped AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM sized),
+planted AS (
+  SELECT id, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(
+    range(0, n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w
+  FROM stepped),
+words AS (SELECT id, n, unnest(w) AS word, unnest(range(0, n)) AS i FROM planted),
+pairs AS (
+  SELECT x.id, y.i - x.i AS q, x.i FROM words x JOIN words y
+  ON x.id = y.id AND x.word = y.word AND y.i > x.i AND 3 * (y.i - x.i) <= x.n),
+placed AS (SELECT *, i - row_number() OVER (PARTITION BY id, q ORDER BY i) AS island FROM pairs),
+stretches AS (
+  SELECT id, q, min(i) AS start, count(*) + q AS length FROM placed GROUP BY id, q, island
+  HAVING count(*) + q >= greatest(24, 3 * q)),
+runs AS (SELECT id, start, length, min(q) AS period FROM stretches GROUP BY id, start, length),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY length::double / period DESC, start, period) AS place
+  FROM runs),
+listed AS (
+  SELECT id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period)
+    AS lines FROM runs GROUP BY id),
+dropped AS (
+  SELECT DISTINCT id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT id, string_agg(word, ' ' ORDER BY i) AS collapsed FROM words ANTI JOIN dropped USING (id, i) GROUP BY id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, (1000 * length) // period AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM planted LEFT JOIN listed USING (id) LEFT JOIN kept USING (id)
+LEFT JOIN (SELECT * FROM ranked WHERE place = 1) best USING (id)
+"""
+
+ORACLE["op12_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (
+  SELECT row_number() OVER () AS id, lang,
+    list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+words AS (SELECT id, lang, unnest(w) AS w1, unnest(range(0, len(w))) AS i FROM split),
+windows AS (
+  SELECT lang, w1, lead(w1, 1) OVER piece AS w2, lead(w1, 2) OVER piece AS w3, lead(w1, 3) OVER piece AS w4
+  FROM words WINDOW piece AS (PARTITION BY id ORDER BY i)),
+totals AS (SELECT lang, count(*) AS n FROM words GROUP BY lang),
+counts AS (
+  SELECT lang, 1 AS k, w1 AS phrase, count(*) AS f FROM windows GROUP BY ALL HAVING count(*) >= 30
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2, count(*) FROM windows WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+  UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3, count(*) FROM windows WHERE w3 IS NOT NULL
+    GROUP BY ALL HAVING count(*) >= 30
+  UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4, count(*) FROM windows WHERE w4 IS NOT NULL
+    GROUP BY ALL HAVING count(*) >= 30),
+candidates AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM counts WHERE k > 1),
+placed AS (SELECT *, unnest(range(1, k)) AS cut FROM candidates),
+parts AS (
+  SELECT *, array_to_string(w[1:cut], ' ') AS first, array_to_string(w[cut + 1:], ' ') AS rest FROM placed),
+cuts AS (
+  SELECT p.lang, p.phrase, p.a, p.cut, l.f AS l, r.f AS r, (2000000::HUGEINT * p.a // (l.f + r.f))::BIGINT AS score
+  FROM parts p JOIN counts l ON l.lang = p.lang AND l.phrase = p.first
+  JOIN counts r ON r.lang = p.lang AND r.phrase = p.rest),
+lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, a, unnest([array_to_string(w[:k - 1], ' '), array_to_string(w[2:], ' '),
+    CASE WHEN k = 4 THEN array_to_string(w[1:2], ' ') END, CASE WHEN k = 4 THEN array_to_string(w[2:3], ' ') END,
+    CASE WHEN k = 4 THEN array_to_string(w[3:4], ' ') END]) AS phrase FROM candidates WHERE k > 2),
+longest AS (SELECT lang, phrase, max(a) AS longer FROM inside WHERE phrase IS NOT NULL GROUP BY ALL),
+stay AS (
+  SELECT lowest.* FROM lowest LEFT JOIN longest USING (lang, phrase)
+  WHERE longer IS NULL OR 100 * longer::HUGEINT < 80 * a::HUGEINT)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM stay JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""

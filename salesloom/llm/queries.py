@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.llm import (
-    decontamination, langid, packing, quality, simhash, substrings, tokens, urls, vectors, warc,
+    bytebpe, collocations, decontamination, langid, packing, quality, runs, simhash, substrings, tokens, urls,
+    vectors, warc,
 )
 from salesloom.session import scratch_path
 
@@ -120,3 +121,54 @@ def op9_decontamination(spark, folder):
 @query
 def op10_token_counts(spark, folder):
     return tokens.count_tokens(table(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text; in a tenth of the documents all words from some place on repeat the first few of them."""
+    words = F.filter(F.split("text", "[ \\x09-\\x0D]+"), lambda word: word != "")
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    split = docs.select("doc_id", "text", hashed.alias("h"), F.when(hashed % 10 == 0, words).alias("words"))
+    g, n = F.expr("h div 10"), F.size("words").cast("long")
+    places = split.withColumns({"n": n, "a": F.when(n > 0, g % n)})
+    places = places.withColumn("p", F.expr("1 + (n - a) div (3 + (h div 10) % 8)"))
+    repeated = F.flatten(F.array_repeat(
+        F.slice("words", (F.col("a") + 1).cast("int"), F.col("p").cast("int")), F.expr("int((n - a) div p + 1)")))
+    planted = F.concat(
+        F.slice("words", 1, F.col("a").cast("int")), F.slice(repeated, 1, (F.col("n") - F.col("a")).cast("int")))
+    return places.select("doc_id", F.when(F.col("n") > 0, F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark, folder):
+    found = runs.find_runs(planted_periods(table(spark, folder, "documents")))
+    # Runs come by start, then period, so that the first of equal exponents stays.
+    best = F.expr("""aggregate(runs, cast(null as struct<start: bigint, length: bigint, period: bigint>),
+        (most, one) -> if(most is null or cast(one.length as decimal(38, 0)) * most.period
+                                        > cast(most.length as decimal(38, 0)) * one.period, one, most))""")
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, F.lit("\n")).otherwise(F.lit("")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op12_collocations(spark, folder):
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+@query
+def op13_byte_bpe(spark, folder):
+    import public_tokenizers
+
+    codec = bytebpe.Codec(tokenizer("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    decoded = bytebpe.decode(bytebpe.encode(table(spark, folder, "documents"), codec), codec)
+    # Tokens that share a character with the one before.
+    shared = F.aggregate(
+        F.arrays_zip(F.slice("starts", 2, F.greatest(F.size("ids") - 1, F.lit(0))), "ends"), F.lit(0).cast("long"),
+        lambda n, pair: n + F.coalesce(pair["0"] < pair["ends"], F.lit(False)).cast("long"))
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), shared.alias("n_shared"))
