@@ -1,10 +1,10 @@
 """Phrase collocations from sorted count streams, read in prefix order and in suffix order.
 
 Every word opens a window: itself and the words that follow it in its piece, up to the longest phrase.
-Tasks sort and count the windows of a chunk and deal them out by range. In a range the counts of all
-phrases that begin a window are sums of neighbouring rows, so one pass over the stream counts the
-phrases of all lengths. Groups that a range boundary cuts are the first and last of a range; only
-those are added up once more.
+Tasks sort and count the windows of a chunk and send one packed stream to each range of windows. There
+the streams are merged, and the counts of all phrases that begin a window are sums of neighbouring
+rows, so one pass counts the phrases of all lengths. Groups that a range boundary cuts are the first
+and last of a range; only those are added up once more.
 
 Frequent phrases are then read in two orders. In prefix order a phrase follows the phrases that begin
 it, in suffix order those that end it, so one pass that remembers the last phrase of each length knows
@@ -14,11 +14,11 @@ crosses range boundaries is a few numbers per range. No phrase is looked up in a
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,7 +28,8 @@ from salesloom.session import shared_folder
 
 LONGEST = 4  # words of a phrase
 CHUNK = 8 << 20  # bytes of text whose windows are counted together
-ROWS = 1 << 16  # of a batch
+RANGES = 4  # for each shuffle partition, which takes one range at a time
+SAMPLED = 64  # windows for each range
 SCALE = 2_000_000
 # Characters between pieces, and between words.
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -52,9 +53,22 @@ def word_stream(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
     return vocabulary, number[codes[~blank[codes]]]
 
 
-def _ranks(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct pairs in order, packed in one number, and the place of every pair among them."""
-    return np.unique(high << 32 | low, return_inverse=True)
+def distinct_rows(columns: list[np.ndarray], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows of columns of small numbers in order, and the sums of their counts."""
+    # Two columns become the rank of their pair, which keeps the order, until one number is left.
+    levels, key = [], columns[0]
+    for column in columns[1:]:
+        pairs, key = np.unique(key << 32 | column, return_inverse=True)
+        levels.append(pairs)
+    order = np.argsort(key, kind="stable")
+    starts = np.flatnonzero(np.diff(key[order], prepend=-1))
+    sums = np.add.reduceat(counts[order], starts) if len(starts) else counts
+    keys = key[order[starts]]
+    found = []
+    for pairs in reversed(levels):
+        found.append(pairs[keys] & 0xFFFFFFFF)
+        keys = pairs[keys] >> 32
+    return np.stack([keys, *reversed(found)], axis=1), sums
 
 
 def windows(stream: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
@@ -64,111 +78,203 @@ def windows(stream: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
     columns = [padded[:size]]
     for step in range(1, longest):
         columns.append(np.where(columns[-1] > 0, padded[step:step + size], 0))
-    own = columns[0] > 0
-    columns = [column[own] for column in columns]
-    # Pairs of columns become their rank, which keeps the order, until one number is left.
-    levels, key = [], columns[0]
-    for column in columns[1:]:
-        pairs, key = _ranks(key, column)
-        levels.append(pairs)
-    if levels:
-        counts, keys = np.bincount(key, minlength=len(levels[-1])), np.arange(len(levels[-1]))
-    else:
-        keys, counts = np.unique(key, return_counts=True)
-    rows = []
-    for pairs in reversed(levels):
-        rows.append(pairs[keys] & 0xFFFFFFFF)
-        keys = pairs[keys] >> 32
-    return np.stack([keys, *reversed(rows)], axis=1), counts
+    own = np.flatnonzero(columns[0])
+    return distinct_rows([column[own] for column in columns], np.ones(len(own), np.int64))
 
 
 def _names(longest: int) -> list[str]:
     return [f"w{k}" for k in range(1, longest + 1)]
 
 
-def count_windows(rows: DataFrame, longest: int) -> DataFrame:
-    """lang, w1 to wn, count: the windows of each chunk of texts, sorted and counted."""
-    names = _names(longest)
+def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
+    texts, langs = utf8(batch.column("text")), batch.column("lang").dictionary_encode()
+    own = langs.indices.to_numpy(zero_copy_only=False)
+    order = np.argsort(own, kind="stable")
+    edges = np.flatnonzero(np.r_[True, np.diff(own[order]) != 0]).tolist()
+    for start, stop in zip(edges, [*edges[1:], len(order)], strict=True):
+        yield langs.dictionary[int(own[order[start]])].as_py(), [texts[i] for i in order[start:stop].tolist()]
+
+
+def split_points(rows: DataFrame, longest: int, ranges: int) -> list[tuple]:
+    """Windows that begin the ranges, from a sample: (lang, words as bytes). They decide who counts what, not the counts.
+
+    The sample has about `SAMPLED` windows for each range, so that the driver's share grows with the
+    number of ranges only, as it does for any range partitioning.
+    """
+    total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    wanted = SAMPLED * ranges
+    text_bytes = 512 * wanted
+    share = min(1.0, text_bytes / max(total, 1))
+    some = rows if share == 1 else rows.sample(share, seed=12)
+    chance = min(1.0, 8 * wanted / max(1.0, total * share))
 
     def run(batches):
+        for number, batch in enumerate(chunks(batches, limit=CHUNK)):
+            luck = np.random.default_rng([TaskContext.get().partitionId(), number])
+            for lang, texts in _by_language(batch):
+                vocabulary, stream = word_stream(texts)
+                found = windows(stream, longest)[0]
+                found = found[luck.random(len(found)) < chance]
+                columns = [vocabulary.take(pa.array(c - 1, mask=c == 0)) for c in found.T]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(pa.scalar(lang, pa.string()), len(found)), *columns], ["lang", *_names(longest)])
+
+    kinds = ", ".join(f"{n} string" for n in ["lang", *_names(longest)])
+    taken = some.mapInArrow(run, kinds).distinct().collect()
+    points = sorted({(row[0].encode(), *((w or "").encode() for w in row[1:])) for row in taken})
+    return [points[len(points) * k // ranges] for k in range(1, ranges)] if len(points) > ranges else points
+
+
+def _edges(points: list[tuple], vocabulary: list[bytes], found: np.ndarray) -> list[int]:
+    """For each split point the first window that is not before it."""
+    doubled = [2 * column for column in found.T]  # words that are missing lie between two others
+    edges = []
+    for _, *words in points:
+        low, high = 0, len(found)
+        for word, column in zip(words, doubled, strict=True):
+            place = bisect_left(vocabulary, word)
+            known = place < len(vocabulary) and vocabulary[place] == word
+            code = 0 if not word else 2 * place + (2 if known else 1)
+            part = column[low:high]
+            low, high = low + np.searchsorted(part, code), low + np.searchsorted(part, code, "right")
+        edges.append(int(low))
+    return edges
+
+
+_STREAMS = "range int, lang string, words binary, word_bytes int, codes binary, rows int"
+
+
+def count_windows(rows: DataFrame, longest: int, points: list[tuple]) -> DataFrame:
+    """The windows of each chunk of texts, sorted and counted, as one packed stream for each range.
+
+    A stream has its words in order, and for each column of windows, and for the counts, one number a window.
+    """
+    langs = [point[0] for point in points]
+
+    def run(batches):
+        codec = pa.Codec("zstd")
         for batch in chunks(batches, limit=CHUNK):
-            texts, langs = utf8(batch.column("text")), batch.column("lang").dictionary_encode()
-            own = langs.indices.to_numpy(zero_copy_only=False)
-            order = np.argsort(own, kind="stable")
-            edges = np.flatnonzero(np.r_[True, np.diff(own[order]) != 0]).tolist()
-            for start, stop in zip(edges, [*edges[1:], len(order)], strict=True):
-                lang = langs.dictionary[int(own[order[start]])].as_py()
-                vocabulary, stream = word_stream([texts[i] for i in order[start:stop].tolist()])
+            for lang, texts in _by_language(batch):
+                vocabulary, stream = word_stream(texts)
                 found, counts = windows(stream, longest)
-                for at in range(0, len(counts), ROWS):
-                    part = found[at:at + ROWS]
-                    columns = [vocabulary.take(pa.array(c - 1, mask=c == 0)) for c in part.T]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.repeat(pa.scalar(lang, pa.string()), len(part)), *columns,
-                         pa.array(counts[at:at + ROWS])], ["lang", *names, "count"])
+                if not len(found):
+                    continue
+                words = vocabulary.cast(pa.binary()).to_pylist()
+                first, last = bisect_left(langs, lang.encode()), bisect_right(langs, lang.encode())
+                edges = [0, *_edges(points[first:last], words, found), len(found)]
+                out: dict[str, list] = {name.split()[0]: [] for name in _STREAMS.split(", ")}
+                for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+                    if a == b:
+                        continue
+                    used, codes = np.unique(found[a:b], return_inverse=True)
+                    if used[0]:  # 0, the end of a piece, is always known
+                        used, codes = np.r_[0, used], codes + 1
+                    listed = b" ".join([words[i - 1] for i in used[1:].tolist()])
+                    packed = np.concatenate([codes.reshape(b - a, longest).T.ravel().astype(np.int64), counts[a:b]])
+                    out["range"].append(first + k)
+                    out["lang"].append(lang)
+                    out["words"].append(codec.compress(listed, asbytes=True))
+                    out["word_bytes"].append(len(listed))
+                    out["codes"].append(codec.compress(_by_bytes(packed), asbytes=True))
+                    out["rows"].append(b - a)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(out["range"], pa.int32()), pa.array(out["lang"], pa.string()),
+                     pa.array(out["words"], pa.binary()), pa.array(out["word_bytes"], pa.int32()),
+                     pa.array(out["codes"], pa.binary()), pa.array(out["rows"], pa.int32())], list(out))
+
+    return rows.mapInArrow(run, _STREAMS)
+
+
+def _by_bytes(values: np.ndarray) -> bytes:
+    """Lowest bytes first, then the next ones: small numbers become long rows of zeros."""
+    return values.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_bytes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
+def _merge(streams: list[tuple], longest: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Streams of one range as one: words in order, windows in order, counts."""
+    codec = pa.Codec("zstd")
+    words, sizes, columns, counts = [], [], [], []
+    for packed, size, codes, rows in streams:
+        own = codec.decompress(packed, size, asbytes=True).split(b" ") if size else []
+        words += own
+        sizes.append(len(own))
+        values = _from_bytes(codec.decompress(codes, (longest + 1) * rows * 8, asbytes=True))
+        columns.append(values[:-rows].reshape(longest, rows))
+        counts.append(values[-rows:])
+    found = pa.array(words, pa.binary()).dictionary_encode()
+    distinct = found.dictionary.to_pylist()
+    order = sorted(range(len(distinct)), key=distinct.__getitem__)
+    number = np.empty(len(order), np.int64)
+    number[order] = np.arange(1, len(order) + 1)
+    numbers = number[found.indices.to_numpy(zero_copy_only=False)]
+    ends = np.cumsum(sizes)
+    for k, end in enumerate(ends.tolist()):
+        columns[k] = np.r_[0, numbers[end - sizes[k]:end]][columns[k]]
+    merged, totals = distinct_rows(list(np.concatenate(columns, axis=1)), np.concatenate(counts))
+    return pa.array([distinct[i] for i in order], pa.binary()).cast(pa.string()), merged, totals
+
 
-    kinds = ", ".join(f"{n} string" for n in names)
-    return rows.mapInArrow(run, f"lang string, {kinds}, count long")
+_PHRASES = "n int, count long, cut boolean"
 
 
-def _count_prefixes(longest: int):
-    """Sums of the phrases that begin windows, over a range of windows in order."""
+def _count_prefixes(least: int, longest: int):
+    """Sums of the phrases that begin the windows of a range. Rows come by range and language.
+
+    The first and the last phrase of each length may go on in other ranges; they are marked as cut.
+    """
     names = _names(longest)
-    kinds = [pa.string()] * (longest + 1) + [pa.int32(), pa.int64(), pa.bool_()]
-    schema = pa.schema(list(zip(["lang", *names, "n", "count", "cut"], kinds, strict=True)))
-
-    def out(keys: pa.Table, depth: int, counts: np.ndarray, cut: np.ndarray) -> pa.RecordBatch:
-        size = len(counts)
-        own = [keys.column(c).combine_chunks() if c <= depth else pa.nulls(size, pa.string()) for c in range(longest + 1)]
-        return pa.RecordBatch.from_arrays(
-            [*own, pa.array(np.full(size, depth), pa.int32()), pa.array(counts, pa.int64()), pa.array(cut)], schema=schema)
-
-    def make(least: int):
-        def run(batches: Iterator[pa.RecordBatch]):
-            # For each length the group that is still open: its row, its sum, whether it began the range.
-            last, sums, cut = None, [0] * (longest + 1), [True] * (longest + 1)
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                keys = pa.Table.from_batches([batch]).drop_columns(["count"])
-                counts = batch.column("count").to_numpy(zero_copy_only=False)
-                full = pa.concat_tables([keys.slice(0, 1) if last is None else last, keys])
-                texts = [pc.fill_null(c.combine_chunks(), "") for c in full.columns]
-                new = np.zeros(batch.num_rows, bool)
-                for depth, text in enumerate(texts):
-                    new = new | pc.not_equal(text.slice(1), text.slice(0, len(text) - 1)).to_numpy(zero_copy_only=False)
-                    real = np.ones(len(text), bool) if not depth else pc.not_equal(text, "").to_numpy(zero_copy_only=False)
-                    starts = np.flatnonzero(new)
-                    parts = np.add.reduceat(counts, np.r_[0, starts]) if not len(starts) or starts[0] else np.r_[
-                        0, np.add.reduceat(counts, starts)]
-                    parts[0] += sums[depth]
-                    # Group g ends before starts[g]; its last row there stands for it.
-                    done = np.r_[starts][: len(parts) - 1]
-                    edge = np.zeros(len(done), bool)
-                    edge[:1] = cut[depth] and len(done) > 0
-                    keep = real[done] & ((parts[:-1] >= least) | edge | (depth == 0))
-                    if keep.any():
-                        yield out(full.take(done[keep]), depth, parts[:-1][keep], edge[keep])
-                    sums[depth] = int(parts[-1])
-                    cut[depth] = cut[depth] and not len(done)
-                last = full.slice(batch.num_rows, 1)
-            if last is not None:
-                for depth in range(longest + 1):
-                    if depth == 0 or last.column(depth)[0].as_py() is not None:
-                        yield out(last, depth, np.array([sums[depth]]), np.array([True]))
-
-        return run
-
-    return make, "lang string, " + ", ".join(f"{n} string" for n in names) + ", n int, count long, cut boolean"
+
+    def count(lang: str, streams: list[tuple]) -> Iterator[pa.RecordBatch]:
+        words, found, counts = _merge(streams, longest)
+        new = np.zeros(len(found), bool)
+        new[0] = True
+        for depth in range(longest + 1):
+            if depth:
+                new[1:] |= found[1:, depth - 1] != found[:-1, depth - 1]
+            starts = np.flatnonzero(new)
+            sums = np.add.reduceat(counts, starts)
+            cut = np.zeros(len(starts), bool)
+            cut[[0, -1]] = True
+            keep = ((sums >= least) | cut) if depth else cut
+            if depth:
+                keep &= found[starts, depth - 1] > 0
+            at = starts[keep]
+            columns = [
+                words.take(pa.array(found[at, k] - 1)) if k < depth else pa.nulls(len(at), pa.string())
+                for k in range(longest)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(pa.scalar(lang, pa.string()), len(at)), *columns,
+                 pa.array(np.full(len(at), depth), pa.int32()), pa.array(sums[keep]), pa.array(cut[keep])],
+                ["lang", *names, "n", "count", "cut"])
+
+    def run(batches):
+        own, waiting = None, []
+        for batch in batches:
+            for row in zip(*(batch.column(name.split()[0]).to_pylist() for name in _STREAMS.split(", ")), strict=True):
+                if row[:2] != own and waiting:
+                    yield from count(own[1], waiting)
+                    waiting = []
+                own = row[:2]
+                waiting.append(row[2:])
+        if waiting:
+            yield from count(own[1], waiting)
+
+    return run
 
 
 def frequent_phrases(rows: DataFrame, least: int = 30, longest: int = LONGEST) -> DataFrame:
     """lang, phrase (array of words), n, count of all phrases with so many occurrences; n = 0 has all words of a lang."""
     names = _names(longest)
     keys = ["lang", *names]
-    ordered = count_windows(rows, longest).repartitionByRange(*keys).sortWithinPartitions(*keys)
-    make, schema = _count_prefixes(longest)
-    found = ordered.mapInArrow(make(least), schema).checkpoint()
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    streams = count_windows(rows, longest, split_points(rows, longest, RANGES * parts))
+    dealt = streams.repartition(parts, "range").sortWithinPartitions("range", "lang")
+    kinds = ", ".join(f"{n} string" for n in keys)
+    found = dealt.mapInArrow(_count_prefixes(least, longest), f"{kinds}, {_PHRASES}").checkpoint()
     whole = found.where(~F.col("cut")).drop("cut")
     summed = found.where("cut").groupBy(*keys, "n").agg(F.sum("count").alias("count"))
     return whole.union(summed.select(whole.columns)).where((F.col("count") >= least) | (F.col("n") == 0)).select(
