@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.texts import chunks, ragged
+from salesloom.llm.texts import chunks, ragged, utf8
 
 PIECE = 1 << 16  # characters; an encoding takes about a hundred bytes a token while it is made
 # Characters with the property White_Space.
@@ -132,18 +132,20 @@ def token_bytes(codec: Codec, ids: np.ndarray) -> np.ndarray:
     return codec.data[ragged(codec.starts[ids], codec.sizes[ids])]
 
 
-def character_spans(codec: Codec, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def character_spans(sizes: np.ndarray, text: bytes, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First character of each token in its text and the one behind its last.
 
-    Tokens that share the bytes of one character both span it.
+    `sizes` has the bytes of the tokens of all texts, which are joined in `text`; `counts` how many
+    tokens each text has. Tokens that share the bytes of one character both span it.
     """
-    data = token_bytes(codec, ids)
-    character = np.cumsum((data & 0xC0) != 0x80) - 1
-    ends = np.cumsum(codec.sizes[ids])
-    starts = ends - codec.sizes[ids]
-    text_starts = (np.cumsum(counts) - counts)[counts > 0]
-    base = np.repeat(character[starts[text_starts]], counts[counts > 0]) if len(ids) else starts
-    return (character[starts] - base).astype(np.int32), (character[ends - 1] + 1 - base).astype(np.int32)
+    if not len(sizes):
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
+    character = np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80, dtype=np.int32) - np.int32(1)
+    ends = np.cumsum(sizes)
+    first = character[ends - sizes]
+    some = counts[counts > 0]
+    base = np.repeat(first[np.cumsum(some) - some], some)
+    return first - base, character[ends - 1] + np.int32(1) - base
 
 
 def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
@@ -167,7 +169,7 @@ def encode(docs: DataFrame, codec: Codec) -> DataFrame:
         for batch in chunks(batches, limit=1 << 20):
             texts = [text or "" for text in batch.column("text").to_pylist()]
             ids, counts = encode_texts(own.state, texts)
-            starts, ends = character_spans(own, ids, counts)
+            starts, ends = character_spans(own.sizes[ids], b"".join(utf8(batch.column("text"))), counts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(_lists(v, counts) for v in (ids, starts, ends))],
                 ["doc_id", "ids", "starts", "ends"])

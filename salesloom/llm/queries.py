@@ -163,12 +163,8 @@ def op13_byte_bpe(spark, folder):
     import public_tokenizers
 
     codec = bytebpe.Codec(tokenizer("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    decoded = bytebpe.decode(bytebpe.encode(table(spark, folder, "documents"), codec), codec)
-    # Tokens that share a character with the one before.
-    shared = F.aggregate(
-        F.arrays_zip(F.slice("starts", 2, F.greatest(F.size("ids") - 1, F.lit(0))), "ends"), F.lit(0).cast("long"),
-        lambda n, pair: n + F.coalesce(pair["0"] < pair["ends"], F.lit(False)).cast("long"))
-    return decoded.select(
+    encoded = bytebpe.encode(table(spark, folder, "documents"), codec).select("doc_id", "ids")
+    return bytebpe.decode(encoded, codec).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"), shared.alias("n_shared"))
+        F.sha2("decoded", 256).alias("decoded_sha256"))
