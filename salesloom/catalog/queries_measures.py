@@ -4,9 +4,10 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from salesloom.catalog.queries_sources import LOAD_TIMES, three_loads
 from salesloom.catalog.registry import query
-from salesloom.catalog.sql import MONEY, RUN, mean, ratio
-from salesloom.catalog.tables import END, RUN_AT, START, Tables
+from salesloom.catalog.sql import MONEY, mean, ratio
+from salesloom.catalog.tables import END, START, Tables
 from salesloom.functions.numbers import line_revenue, money_sum
 from salesloom.functions.text import change_label, normalize_city
 from salesloom.operators import timeseries
@@ -358,13 +359,11 @@ def table_row_counts(t: Tables):
     return measures.row_counts({name: getattr(t, attribute) for name, _, attribute in _COUNTED})
 
 
-@query(f"""SELECT strftime(max(CASE WHEN date_key >= 19980101 THEN {RUN} ELSE {RUN} - INTERVAL 1 DAY END),
-    '%Y-%m-%d %H:%M UTC') AS data_freshness FROM sales""")
+@query(f"""SELECT strftime(max({LOAD_TIMES}), '%Y-%m-%d %H:%M UTC') AS data_freshness FROM fact_sales
+    WHERE date_key IS NOT NULL""")
 def data_freshness(t: Tables):
-    """Latest load time: recent rows were loaded on the run day, older ones a day before."""
-    older = F.lit(RUN_AT) - F.expr("interval 1 day")
-    loaded = F.when(F.col("date_key") >= 19980101, F.lit(RUN_AT)).otherwise(older)
-    return measures.data_freshness(t.sales.withColumn("_loaded_at", loaded))
+    """Latest load time of the sales fact after three loads."""
+    return measures.data_freshness(three_loads(t, {"fact_sales": "fact_sales"}).read("fact_sales"))
 
 
 @query("""SELECT min(order_date) AS first_date, max(order_date) AS last_date,

@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from salesloom.catalog.queries_sources import LOAD_TIMES, three_loads
 from salesloom.catalog.registry import query
 from salesloom.catalog.sql import ratio
 from salesloom.catalog.tables import END, RUN_AT, START, Tables
-from salesloom.functions.dates import key_to_date
 from salesloom.functions.numbers import ratio as ratio_of
 from salesloom.operators import checks
 from salesloom.operators.single_rows import side_by_side
@@ -295,15 +295,11 @@ def pipeline_status(t: Tables):
 
 
 @query(" UNION ALL ".join(
-    f"""SELECT CAST(date_trunc('month', strptime(CAST(date_key AS VARCHAR), '%Y%m%d')) AS DATE) AS load_month,
-    '{name}' AS table_name, count(*) AS row_count FROM {view} GROUP BY 1"""
+    f"""SELECT CAST(date_trunc('month', {LOAD_TIMES}) AS DATE) AS load_month,
+    '{name}' AS table_name, count(*) AS row_count FROM {view} WHERE date_key IS NOT NULL GROUP BY 1"""
     for name, view in (("fact_sales", "fact_sales"), ("fact_weather_daily", "fact_weather"), ("fact_fx_rates", "fact_fx"))
 ))
 def rows_over_time(t: Tables):
-    """Rows by load month of the loaded facts, every row being loaded on its own day."""
-    loaded = key_to_date(F.col("date_key"))
-    return health.rows_over_time({
-        name: fact.withColumn("_loaded_at", loaded)
-        for name, fact in (
-            ("fact_sales", t.fact_sales), ("fact_weather_daily", t.fact_weather), ("fact_fx_rates", t.fact_fx))
-    })
+    """Rows by load month of three facts after three loads, counted in their lists of files."""
+    facts = {"fact_sales": "fact_sales", "fact_weather_daily": "fact_weather", "fact_fx_rates": "fact_fx"}
+    return health.rows_over_time(three_loads(t, facts).snapshot(), list(facts))

@@ -12,6 +12,7 @@ from salesloom.functions.dates import date_key
 from salesloom.operators import cleaning
 from salesloom.session import scratch_path
 from salesloom.sources import feeds, lake, manifests, schemas, warehouse
+from salesloom.sources.versions import Store
 from salesloom.streaming import incremental
 
 DAY = RUN_AT.date()
@@ -104,18 +105,18 @@ def quarantine_round_trip(t: Tables):
 def gold_publish(t: Tables):
     """A Gold table replaced by a new version."""
     path = scratch_path(t.spark, "gold")
-    lake.write_gold(t.products, path)
-    lake.write_gold(t.dim_product, path)
-    return t.spark.read.parquet(path)
+    lake.write_gold({"dim_product": t.products}, path, RUN_AT - timedelta(days=1))
+    lake.write_gold({"dim_product": t.dim_product}, path, RUN_AT)
+    return lake.read_gold(t.spark, path, "dim_product")
 
 
 @query(f"SELECT *, {RUN} AS _loaded_at FROM dim_store")
 def dimension_reload(t: Tables):
     """A dimension reloaded with a load time."""
-    path = scratch_path(t.spark, "dim_store")
+    path = f"{scratch_path(t.spark, 'warehouse')}/dim_store"
     warehouse.reload_dimension(t.dim_store.where("is_active"), path, RUN_AT - timedelta(days=1))
     warehouse.reload_dimension(t.dim_store, path, RUN_AT)
-    return _utc(t.spark.read.parquet(path))
+    return _utc(warehouse.read_table(t.spark, path))
 
 
 def _utc(df):
@@ -150,7 +151,7 @@ def fact_upsert(t: Tables):
     batch = later.unionByName(later.withColumn(
         "payment_value", (F.col("payment_value") * 2).cast("decimal(12,2)")
     ))
-    path, key = scratch_path(t.spark, "fact_payments"), ["order_id", "payment_sequential"]
+    path, key = f"{scratch_path(t.spark, 'warehouse')}/fact_payments", ["order_id", "payment_sequential"]
     warehouse.upsert_fact(paid.where("date_key < 20000101"), path, key, RUN_AT - timedelta(days=1))
     warehouse.upsert_fact(batch.unionByName(keyless), path, key, RUN_AT, [F.col("payment_value")])
     return _utc(warehouse.read_fact(t.spark, path))
@@ -176,27 +177,73 @@ def warehouse_load(t: Tables):
     """All registered tables, loaded with one load time, counted and summed from the warehouse."""
     gold, target = scratch_path(t.spark, "gold"), scratch_path(t.spark, "warehouse")
     columns = {name: column for name, _, _, column in _WAREHOUSE}
-    for name, attribute, _, _ in _WAREHOUSE:
-        lake.write_gold(getattr(t, attribute), f"{gold}/{name}")
+    lake.write_gold({name: getattr(t, attribute) for name, attribute, _, _ in _WAREHOUSE}, gold, RUN_AT)
+    loaded = warehouse.load_all(t.spark, gold, target, RUN_AT)
+    tables = Store(t.spark, target).snapshot()
     parts = [
-        _utc(t.spark.read.parquet(f"{target}/{name}")).agg(
+        _utc(tables.read(name)).agg(
             F.lit(name).alias("table_name"),
             F.count(F.lit(1)).alias("row_count"),
             F.max("_loaded_at").alias("loaded_at"),
             F.sum(columns[name]).cast("decimal(28,6)").alias("total"),
         )
-        for name in warehouse.load_all(t.spark, gold, target, RUN_AT)
+        for name in loaded
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
-@query("""SELECT order_id, order_date FROM silver_orders
-    WHERE order_date >= DATE '1997-01-01' AND order_date < DATE '1997-07-01'""")
+# Three loads: up to 1996, the next two years with changes of 1996, the rest with changes of 1998.
+LOADS = [RUN_AT - timedelta(days=60), RUN_AT - timedelta(days=30), RUN_AT]
+LOAD_TIMES = f"""CASE WHEN date_key >= 19980701 THEN {RUN} WHEN date_key >= 19960701 THEN {RUN} - INTERVAL 30 DAY
+    ELSE {RUN} - INTERVAL 60 DAY END"""
+
+
+def three_loads(t: Tables, facts: dict[str, str]) -> Store:
+    """A warehouse of facts, given with their attribute of the tables, after the three loads."""
+    store = Store(t.spark, scratch_path(t.spark, "loads"))
+    for at, first, last in zip(LOADS, (0, 19960701, 19980701), (19970101, 19990101, 99999999), strict=True):
+        load = store.load(at)
+        for name, attribute in facts.items():
+            dated = t.stored(attribute).where(F.col("date_key").between(first, last - 1))
+            load.upsert(name, dated, warehouse.FACT_KEYS[name])
+        load.commit()
+    return store
+
+
+def loaded_payments(t: Tables) -> Store:
+    return three_loads(t, {"fact_payments": "fact_payments"})
+
+
+@query(f"""SELECT order_id, payment_sequential, date_key, {LOAD_TIMES} AS _loaded_at FROM fact_payments
+    WHERE date_key IS NOT NULL AND {LOAD_TIMES} >= {RUN} - INTERVAL 40 DAY AND {LOAD_TIMES} < {RUN}""")
 def load_time_range(t: Tables):
-    """Rows of a load time range, every order being loaded on its own day."""
-    loaded = t.silver_orders.withColumn("_loaded_at", F.col("order_date").cast("timestamp"))
-    part = warehouse.loaded_between(loaded, datetime(1997, 1, 1), datetime(1997, 7, 1))
-    return part.select("order_id", "order_date")
+    """Rows that one of three loads left; files of the other load days are pruned while planning."""
+    loaded = loaded_payments(t).read("fact_payments")
+    part = warehouse.loaded_between(loaded, RUN_AT - timedelta(days=40), RUN_AT)
+    return _utc(part.select("order_id", "payment_sequential", "date_key", "_loaded_at"))
+
+
+@query(f"""SELECT 1 AS number, {RUN} - INTERVAL 60 DAY AS loaded_at, 'fact_payments' AS table_name,
+    count(*) AS rows_in, 0 AS rows_replaced, count(*) AS rows_total FROM fact_payments WHERE date_key < 19970101
+    UNION ALL SELECT 2, {RUN} - INTERVAL 30 DAY, 'fact_payments', count(*) FILTER (date_key >= 19960701),
+    count(*) FILTER (date_key >= 19960701 AND date_key < 19970101), count(*) FROM fact_payments WHERE date_key < 19990101
+    UNION ALL SELECT 3, {RUN}, 'fact_payments', count(*) FILTER (date_key >= 19980701),
+    count(*) FILTER (date_key >= 19980701 AND date_key < 19990101), count(*) FROM fact_payments
+    WHERE date_key IS NOT NULL""")
+def load_history(t: Tables):
+    """What each load brought, replaced and left, from the manifests alone."""
+    return loaded_payments(t).history().select(
+        F.col("number").cast("int").alias("number"),
+        F.to_timestamp_ntz(F.date_format("loaded_at", "yyyy-MM-dd HH:mm:ss")).alias("loaded_at"), "table_name",
+        "rows_in", "rows_replaced", "rows_total")
+
+
+@query("""SELECT order_id, payment_sequential, date_key, payment_value FROM fact_payments
+    WHERE date_key BETWEEN 19960101 AND 19961231""")
+def dated_files(t: Tables):
+    """A year of a loaded fact; only files whose range of dates meets it are opened."""
+    return loaded_payments(t).read("fact_payments", date_key=(19960101, 19961231)).select(
+        "order_id", "payment_sequential", "date_key", "payment_value")
 
 
 @query("""SELECT 'orders' AS stage, 'success' AS status, (SELECT count(*) FROM silver_orders)
@@ -209,7 +256,7 @@ def run_history(t: Tables):
     for stage, df in (("orders", t.silver_orders), ("fx", t.silver_fx)):
         seen = Observation()
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        lake.write_gold(counted, scratch_path(t.spark, stage))
+        lake.write_gold({stage: counted}, scratch_path(t.spark, stage), RUN_AT)
         warehouse.append_run_history(
             t.spark, path, "run-1", stage, "success", seen.get["rows"], 0.0, RUN_AT
         )

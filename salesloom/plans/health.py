@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from salesloom.functions.fixed import PASS_RATE_AMBER_PCT, PASS_RATE_GREEN_PCT
 from salesloom.functions.numbers import ratio, share
 from salesloom.operators.single_rows import side_by_side
+from salesloom.sources.versions import Snapshot
 
 
 def join_coverage(sales_weather: DataFrame, sales_usd: DataFrame) -> DataFrame:
@@ -68,12 +71,11 @@ def pass_rate(results: DataFrame) -> DataFrame:
     )
 
 
-def rows_over_time(facts: dict[str, DataFrame]) -> DataFrame:
-    """Rows per fact and month of loading; each fact is counted before the union."""
-    parts = None
-    for name, df in facts.items():
-        part = df.groupBy(F.trunc("_loaded_at", "month").alias("load_month")).agg(
-            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count")
-        )
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+def rows_over_time(tables: Snapshot, facts: list[str]) -> DataFrame:
+    """Rows per fact and month of loading, from the lists of files; no fact is read."""
+    parts = [
+        tables.files(name).groupBy(F.trunc("load_day", "month").alias("load_month")).agg(
+            F.lit(name).alias("table_name"), F.sum("rows").alias("row_count"))
+        for name in facts
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -10,6 +10,7 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 
 from salesloom.sources import paths
 from salesloom.sources.schemas import LINE_BREAKS
+from salesloom.sources.versions import Store
 
 log = logging.getLogger(__name__)
 
@@ -103,9 +104,18 @@ def read_quarantine(spark: SparkSession, path: str, transform_name: str) -> Data
     )
 
 
-def write_gold(df: DataFrame, path: str) -> None:
-    """Replace the current state of a Gold table; readers see the old or the new one."""
-    paths.publish(df, path)
+def write_gold(tables: dict[str, DataFrame], path: str, at: datetime) -> None:
+    """Replace the current state of Gold tables, all in one step; readers see the old or the new ones."""
+    if not tables:
+        return
+    load = Store(next(iter(tables.values())).sparkSession, path).load(at)
+    for name, df in tables.items():
+        load.replace(name, df, stamp=False)
+    load.commit()
+
+
+def read_gold(spark: SparkSession, path: str, name: str) -> DataFrame:
+    return Store(spark, path).read(name)
 
 
 def publish_silver(

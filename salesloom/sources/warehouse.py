@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import logging
-import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from salesloom.operators.dedup import keep_last
-from salesloom.sources import paths
 from salesloom.sources.schemas import QUALITY_LOG, RUN_HISTORY
+from salesloom.sources.versions import LOAD_DAY, Store
 
 log = logging.getLogger(__name__)
 
@@ -21,90 +19,70 @@ FACT_KEYS = {
     "fact_fx_rates": ["date_key", "base_currency_key", "quote_currency_key"],
     "fact_payments": ["order_id", "payment_sequential"],
 }
-PART = "month_key"
-UNDATED = 0  # month of rows without a date
 
 
-def stamped(df: DataFrame, loaded_at: datetime) -> DataFrame:
-    return df.withColumn("_loaded_at", F.lit(loaded_at))
+def _place(spark: SparkSession, path: str) -> tuple[Store, str]:
+    """Store and table of a path."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return Store(spark, folder), name
 
 
 def reload_dimension(df: DataFrame, path: str, loaded_at: datetime) -> None:
-    """Replace a dimension. Facts are not touched."""
-    paths.publish(stamped(df, loaded_at), path)
+    """Replace a dimension in a load of its own. Facts are not touched."""
+    store, name = _place(df.sparkSession, path)
+    load = store.load(loaded_at)
+    load.replace(name, df)
+    load.commit()
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A dimension or a fact as the latest load left it."""
+    store, name = _place(spark, path)
+    return store.read(name)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(PART)
+    return read_table(spark, path).drop(LOAD_DAY)
 
 
 def upsert_fact(
     source: DataFrame, path: str, keys: list[str], loaded_at: datetime, recency: list[Column] | None = None
 ) -> None:
-    """Insert new rows and replace the rows whose key exists. Rows with a NULL key are dropped.
-
-    Of several rows with one key in `source` the last one by `recency` counts, and by the values of
-    all other columns where that leaves ties or is not given. The fact is partitioned by month of
-    `date_key`, rows without a date in a month of their own. Only the months that hold a changed row,
-    before or after the change, are rewritten; the others are neither read in full nor written. The
-    batch is computed once, into a staging folder.
-    """
-    spark = source.sparkSession
-    month = F.coalesce(F.floor(F.col("date_key") / 100).cast("int"), F.lit(UNDATED))
-    others = [F.col(c) for c in source.columns if c not in keys]
-    last = keep_last(source.dropna(subset=keys), keys, [*(recency or []), *others])
-    staging = f"{path}.upsert-{uuid.uuid4().hex}"
-    stamped(last, loaded_at).withColumn(PART, month).write.partitionBy(PART).parquet(f"{staging}/batch")
-    incoming = spark.read.schema(
-        stamped(last, loaded_at).withColumn(PART, month).schema).parquet(f"{staging}/batch")
-    if not paths.exists(spark, f"{path}/_SUCCESS"):
-        paths.publish(incoming, path, [PART])
-        paths.delete(spark, staging)
-        return
-
-    current = spark.read.parquet(path)
-    new_keys = incoming.select(*keys)
-    touched = incoming.select(PART).distinct()
-    if "date_key" not in keys:
-        # A replaced row may have had a date in another month.
-        replaced = current.select(*keys, PART).join(new_keys, keys, "left_semi")
-        touched = touched.union(replaced.select(PART).distinct()).distinct()
-    # One entry per month: bounded by the calendar, not by the data.
-    months = [row[0] for row in touched.collect()]
-    if months:
-        kept = current.where(F.col(PART).isin(months)).join(new_keys, keys, "left_anti")
-        kept.unionByName(incoming).write.partitionBy(PART).parquet(f"{staging}/merged")
-        written = {int(n.split("=")[1]) for n in paths.child_folders(spark, f"{staging}/merged")}
-        if written:
-            spark.read.parquet(f"{staging}/merged").write.mode("overwrite").option(
-                "partitionOverwriteMode", "dynamic"
-            ).partitionBy(PART).parquet(path)
-        for emptied in set(months) - written:
-            paths.delete(spark, f"{path}/{PART}={emptied}")
-    paths.delete(spark, staging)
+    """Upsert one fact in a load of its own; see `versions.Load.upsert`."""
+    store, name = _place(source.sparkSession, path)
+    load = store.load(loaded_at)
+    load.upsert(name, source, keys, recency)
+    load.commit()
 
 
 def load_all(
     spark: SparkSession, gold_path: str, warehouse_path: str, loaded_at: datetime
 ) -> list[str]:
-    """Load every registered table that exists in Gold, all with the same load time."""
+    """Load every registered table that Gold has, in one load: readers see all of it or nothing.
+
+    Gold is resolved once, so that the tables of one load belong together.
+    """
+    gold = Store(spark, gold_path).snapshot()
+    load = Store(spark, warehouse_path).load(loaded_at)
     loaded = []
     for name in [*DIMENSIONS, *FACT_KEYS]:
-        source = f"{gold_path}/{name}"
-        if not paths.exists(spark, source):
+        if name not in gold.tables:
             log.warning("skipping %s: not in Gold", name)
             continue
-        df = spark.read.parquet(source)
         if name in FACT_KEYS:
-            upsert_fact(df, f"{warehouse_path}/{name}", FACT_KEYS[name], loaded_at)
+            load.upsert(name, gold.read(name), FACT_KEYS[name])
         else:
-            reload_dimension(df, f"{warehouse_path}/{name}", loaded_at)
+            load.replace(name, gold.read(name))
         loaded.append(name)
+    if loaded:
+        load.commit()
     return loaded
 
 
 def loaded_between(df: DataFrame, start: datetime, end: datetime) -> DataFrame:
-    """Rows of the load time range [start, end)."""
+    """Rows of the load time range [start, end). Of a versioned fact, files of other days are not listed for reading."""
+    if LOAD_DAY in df.columns:
+        df = df.where(F.col(LOAD_DAY).between(F.lit(start.date()), F.lit(end.date())))
     return df.where((F.col("_loaded_at") >= F.lit(start)) & (F.col("_loaded_at") < F.lit(end)))
 
 

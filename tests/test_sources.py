@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from salesloom.operators import contracts
 from salesloom.session import shared_folder
 from salesloom.sources import feeds, lake, manifests, paths, schemas, warehouse
+from salesloom.sources.versions import ConflictError, Store
 from salesloom.streaming import incremental
 
 D, T = dt.date, dt.datetime
@@ -86,13 +87,14 @@ def test_publish_silver_of_an_empty_feed(spark, tmp_path):
 
 def test_gold_keeps_old_version_when_a_write_fails(spark, tmp_path, rows):
     path = str(tmp_path / "g")
-    lake.write_gold(numbers(spark, 1), path)
+    lake.write_gold({"g": numbers(spark, 1)}, path, AT)
     failing = numbers(spark, 2).withColumn("id", F.raise_error(F.lit("boom")).cast("int"))
     with pytest.raises(Exception, match="boom"):
-        lake.write_gold(failing, path)
-    assert rows(spark.read.parquet(path)) == [(1,)]
-    lake.write_gold(numbers(spark, 3), path)
-    assert rows(spark.read.parquet(path)) == [(3,)]
+        lake.write_gold({"g": failing}, path, AT)
+    assert rows(lake.read_gold(spark, path, "g")) == [(1,)]
+    lake.write_gold({"g": numbers(spark, 3)}, path, AT)
+    assert rows(lake.read_gold(spark, path, "g")) == [(3,)]
+    lake.write_gold({}, path, AT)
 
 
 FACT = "id int, date_key int, v int"
@@ -107,34 +109,107 @@ def test_upsert(spark, tmp_path, rows):
     def read():
         return rows(warehouse.read_fact(spark, path).select("id", "date_key", "v", F.date_format("_loaded_at", "dd")))
 
-    load(AT, (1, 20240115, 10), (2, 20240215, 20), (3, 20240315, 30), (None, 20240115, 0))
+    load(AT, (1, 20240115, 10), (2, 20240215, 20), (None, 20240115, 0))
+    load(AT, (3, 20240315, 30))
     assert read() == [(1, 20240115, 10, "01"), (2, 20240215, 20, "01"), (3, 20240315, 30, "01")]
-    march = {p.name: p.stat().st_mtime_ns for p in (Path(path) / "month_key=202403").iterdir()}
+    store = Store(spark, str(tmp_path))
+    before = store.snapshot()
+    march = {r["file"] for r in before.files("f").where("low.id = 3 AND high.id = 3").collect()}
+    assert len(march) == 1
     # Row 2 moves to January and empties February, row 4 is new, row 1 changes.
     load(AT + dt.timedelta(days=1), (1, 20240116, 11), (2, 20240117, 21), (4, 20240415, 40))
     assert read() == [
         (1, 20240116, 11, "02"), (2, 20240117, 21, "02"), (3, 20240315, 30, "01"), (4, 20240415, 40, "02"),
     ]
-    assert not (Path(path) / "month_key=202402").exists()
-    assert march == {p.name: p.stat().st_mtime_ns for p in (Path(path) / "month_key=202403").iterdir()}
+    # The file of row 3 is still the same one; a reader of the first load still sees it whole.
+    assert march <= {r["file"] for r in store.snapshot().files("f").collect()}
+    assert rows(before.read("f").select("id", "v")) == [(1, 10), (2, 20), (3, 30)]
     load(AT + dt.timedelta(days=2), (None, 20240101, 1))
     assert len(read()) == 4
-    assert [p.name for p in tmp_path.iterdir()] == ["f"]
+    assert store.history().select("rows_in", "rows_replaced", "rows_total").collect() == [
+        (2, 0, 2), (1, 0, 3), (3, 2, 4), (0, 0, 4)]
+    store.expire(keep=1)
+    assert store.numbers() == [4] and len(read()) == 4
+    kept = {r["file"].split("/")[0] for r in store.snapshot().files("f").collect()}
+    assert set(paths.child_folders(spark, f"{tmp_path}/data/f")) == kept
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        before.read("f").collect()
 
 
 def test_load_all_skips_missing(spark, tmp_path):
     gold, target = str(tmp_path / "g"), str(tmp_path / "w")
-    lake.write_gold(numbers(spark, 1), f"{gold}/dim_store")
+    assert warehouse.load_all(spark, gold, target, AT) == []
+    lake.write_gold({"dim_store": numbers(spark, 1)}, gold, AT)
     assert warehouse.load_all(spark, gold, target, AT) == ["dim_store"]
-    assert paths.child_folders(spark, target) == ["dim_store"]
+    assert Store(spark, target).snapshot().tables == ["dim_store"]
+
+
+def test_a_load_that_fails_between_two_tables_changes_nothing(spark, tmp_path, rows):
+    gold, target = str(tmp_path / "g"), str(tmp_path / "w")
+    good = {"dim_store": numbers(spark, 1), "dim_currency": numbers(spark, 5)}
+    lake.write_gold(good, gold, AT)
+    warehouse.load_all(spark, gold, target, AT)
+    reader = Store(spark, target).snapshot()
+    lake.write_gold({"dim_store": numbers(spark, 2)}, gold, AT)
+    load = Store(spark, target).load(AT + dt.timedelta(days=1))
+    load.replace("dim_store", numbers(spark, 2))
+    with pytest.raises(Exception, match="boom"):
+        load.replace("dim_currency", numbers(spark, 6).withColumn("id", F.raise_error(F.lit("boom")).cast("int")))
+    for tables in (reader, Store(spark, target).snapshot()):
+        assert tables.number == 1
+        assert [rows(tables.read(n).select("id")) for n in ("dim_store", "dim_currency")] == [[(1,)], [(5,)]]
+    warehouse.load_all(spark, gold, target, AT + dt.timedelta(days=2))
+    assert rows(reader.read("dim_store").select("id")) == [(1,)]
+    assert rows(Store(spark, target).read("dim_store").select("id")) == [(2,)]
+    assert rows(Store(spark, target).read("dim_currency").select("id")) == [(5,)]
+
+
+def test_the_slower_of_two_loads_is_told(spark, tmp_path, rows):
+    store = Store(spark, str(tmp_path / "s"))
+    with pytest.raises(FileNotFoundError):
+        store.read("t")
+    first, second = store.load(AT), store.load(AT)
+    first.replace("t", numbers(spark, 1))
+    second.replace("t", numbers(spark, 2))
+    first.commit()
+    with pytest.raises(ConflictError):
+        second.commit()
+    assert rows(store.read("t").select("id")) == [(1,)] and store.numbers() == [1]
+    with pytest.raises(ValueError, match="as a whole"):
+        store.load(AT).upsert("t", numbers(spark, 1), ["id"])
+
+
+def test_an_upsert_writes_changed_files_once(spark, tmp_path, rows):
+    store = Store(spark, str(tmp_path / "s"))
+    fact = spark.range(0, 40_000, numPartitions=1).selectExpr(
+        "id", "int(20240101 + id div 2000) AS date_key", "id AS v")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small files, as if they were large
+    load = store.load(AT)
+    load.upsert("f", fact.repartition(4), ["id"])
+    load.commit()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    before = {r["file"]: r["rows"] for r in store.snapshot().files("f").collect()}
+    assert len(before) > 2
+    load = store.load(AT + dt.timedelta(days=1))
+    load.upsert("f", spark.createDataFrame([(7, 20240101, -1), (8, 20240101, -2)], "id long, date_key int, v long"), ["id"])
+    after = {r["file"]: r["rows"] for r in load.commit().files("f").collect()}
+    gone, new = set(before) - set(after), set(after) - set(before)
+    assert len(gone) == 1 and sum(after[f] for f in new) == before[gone.pop()]
+    assert sum(after.values()) == 40_000 and rows(store.read("f", id=(7, 8)).select("id", "v")) == [(7, -1), (8, -2)]
+    # Of all files of the two loads, only those in the range are opened.
+    assert len(store.read("f", date_key=(20240119, 20240119)).inputFiles()) < len(after)
+    pruned = warehouse.loaded_between(store.read("f"), AT + dt.timedelta(days=1), AT + dt.timedelta(days=2))
+    assert pruned.count() == 2
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(load_day" in plan
 
 
 def test_dimension_reload_leaves_facts(spark, tmp_path):
-    fact, dim = str(tmp_path / "fact"), str(tmp_path / "dim")
+    fact, dim = str(tmp_path / "fact"), str(tmp_path / "dim")  # two tables of one store
     warehouse.upsert_fact(spark.createDataFrame([(1, 20240115, 10)], FACT), fact, ["id"], AT)
     for _ in range(2):
         warehouse.reload_dimension(numbers(spark, 1, 2), dim, AT)
-    assert warehouse.read_fact(spark, fact).count() == 1 and spark.read.parquet(dim).count() == 2
+    assert warehouse.read_fact(spark, fact).count() == 1 and warehouse.read_table(spark, dim).count() == 2
 
 
 def test_load_time_range_is_half_open(spark):
