@@ -90,6 +90,17 @@ def seller_scorecard(t: Tables):
     )
 
 
+@query("""SELECT state, customer_id, total_revenue, rank() OVER w AS peer_rank,
+    count(*) OVER (PARTITION BY state) AS peer_count,
+    CAST(round(percent_rank() OVER w, 6) AS DECIMAL(18,6)) AS peer_percent_rank FROM (
+        SELECT customer_state AS state, customer_id, CAST(sum(unit_price * quantity) AS DECIMAL(28,2)) AS total_revenue
+        FROM sales_by_customer GROUP BY ALL)
+    WINDOW w AS (PARTITION BY state ORDER BY total_revenue DESC NULLS LAST)""")
+def customer_ranks(t: Tables):
+    """All customers ranked in their state by revenue, which nearly every customer has another value of."""
+    return analysis.customer_ranks(t.sales_by_customer)
+
+
 @query(f"""SELECT category, customer_state, CAST(sum(freight_value) AS {MONEY}) AS freight,
     CAST(sum(unit_price) AS {MONEY}) AS price,
     {ratio('sum(freight_value)', 'sum(unit_price)', '0')} AS freight_ratio

@@ -9,7 +9,7 @@ from salesloom.catalog.sql import MONEY, RUN, mean
 from salesloom.catalog.tables import END, RUN_AT, Tables
 from salesloom.functions.dates import date_key
 from salesloom.functions.numbers import money_sum
-from salesloom.operators import dedup, keys, lookups
+from salesloom.operators import dedup, keys, lookups, skew
 from salesloom.plans import dimensions, facts, marts, source_tables
 
 # Source tables from the raw files.
@@ -284,7 +284,9 @@ def weather_by_month(t: Tables):
     JOIN silver_orders o ON i.order_id = o.order_id""")
 def items_with_orders(t: Tables):
     header = t.silver_orders.select("order_id", "order_code", "order_date")
-    return t.order_items.select("order_item_id", "order_id").join(header, "order_id")
+    return skew.join(
+        t.order_items.select("order_item_id", "order_id"), header, ["order_id"], t.hot_orders, ["order_item_id"]
+    ).select("order_item_id", "order_id", "order_code", "order_date")
 
 
 @query(f"""SELECT order_item_id, order_id, customer_id FROM checked_items i
@@ -346,8 +348,9 @@ def orphan_rules(t: Tables):
     SELECT 'unknown', count(*) FROM src_payments
     WHERE order_id NOT IN (SELECT order_id FROM silver_orders)""")
 def known_and_unknown_payments(t: Tables):
-    known = lookups.only_known(t.payments, t.silver_orders, "order_id")
-    unknown = lookups.only_unknown(t.payments, t.silver_orders, "order_id")
+    hot, row = skew.hot_keys(t.payments, ["order_id"]), ["order_id", "payment_sequential"]
+    known = lookups.only_known(t.payments, t.silver_orders, "order_id", hot, row)
+    unknown = lookups.only_unknown(t.payments, t.silver_orders, "order_id", hot, row)
     parts = [
         df.agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("payments"))
         for kind, df in (("known", known), ("unknown", unknown))

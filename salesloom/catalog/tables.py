@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from salesloom.functions.dates import days_between, date_key
 from salesloom.functions.text import macro_region, normalize_city
-from salesloom.operators import cleaning, contracts
+from salesloom.operators import cleaning, contracts, skew
 from salesloom.operators.dedup import keep_first
 from salesloom.operators.lookups import lookup
 from salesloom.plans import dimensions, facts, measures, source_tables
@@ -416,9 +416,14 @@ class Tables:
     def fact_sales(self) -> DataFrame:
         return facts.fact_sales(
             self.silver_items, self.silver_orders, self.dim_customer, self.dim_product,
-            self.dim_store, self.dim_currency,
+            self.dim_store, self.dim_currency, self.hot_orders,
         )
 
+    @cached_property
+    def hot_orders(self) -> dict[int, int]:
+        """Orders with very many lines, counted over the order keys alone."""
+        return skew.hot_keys(self.raw("lineitem").select(F.col("l_orderkey").alias("order_id")), ["order_id"])
+
     @cached_property
     def fact_weather(self) -> DataFrame:
         return facts.fact_weather_daily(self.silver_weather)
@@ -430,7 +435,8 @@ class Tables:
     @cached_property
     def fact_payments(self) -> DataFrame:
         return facts.fact_payments(
-            self.silver_payments, self.silver_orders, self.dim_customer, self.dim_currency
+            self.silver_payments, self.silver_orders, self.dim_customer, self.dim_currency,
+            skew.hot_keys(self.payments, ["order_id"]),
         )
 
     def stored(self, name: str) -> DataFrame:

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from salesloom.operators import skew
 from salesloom.operators.single_rows import side_by_side
 
 
@@ -76,14 +77,18 @@ def count_orphans(fact: DataFrame, dim: DataFrame, fk: str, pk: str, nulls_count
     )
 
 
-def only_known(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """Rows whose key exists in the table."""
-    return rows.join(table.select(key), key, "left_semi")
+def only_known(
+    rows: DataFrame, table: DataFrame, key: str, hot: dict[int, int] | None = None, spread_by: list[str] | None = None
+) -> DataFrame:
+    """Rows whose key exists in the table. `hot` keys, from `skew.hot_keys`, are spread by `spread_by`."""
+    return skew.join(rows, table.select(key), [key], hot or {}, spread_by or [key], "left_semi")
 
 
-def only_unknown(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """Rows whose key does not exist in the table."""
-    return rows.join(table.select(key), key, "left_anti")
+def only_unknown(
+    rows: DataFrame, table: DataFrame, key: str, hot: dict[int, int] | None = None, spread_by: list[str] | None = None
+) -> DataFrame:
+    """Rows whose key does not exist in the table; otherwise as `only_known`."""
+    return skew.join(rows, table.select(key), [key], hot or {}, spread_by or [key], "left_anti")
 
 
 def visible_to(rows: DataFrame, grants: DataFrame, user: Column, column: str) -> DataFrame:

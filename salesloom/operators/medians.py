@@ -2,48 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from salesloom.operators.ordered import running_counts
 
-def grouped_median(df: DataFrame, group: str, value: Column, name: str, cell: float) -> DataFrame:
+
+def grouped_median(df: DataFrame, group: str, value: Column, name: str) -> DataFrame:
     """Exact median of `value` per group; the mean of the two middle values for an even count.
 
-    Equal values are counted before any shuffle. The counts of cells of width `cell` tell which
-    one or two cells hold the middle of a group, and only the distinct values of those cells are
-    put in order.
+    Equal values are counted before any shuffle. Distinct values are placed by running counts over
+    ranges of values, whatever their distribution, and only the one or two in the middle of a group go on.
+    NULL values count nowhere; a group of NULL values has no median and no row.
     """
     counted = (
         df.select(F.col(group), value.cast("double").alias("_value"))
         .where("_value is not null")
         .groupBy(group, "_value")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_cell", F.floor(F.col("_value") / F.lit(cell)))
-    )
-    cells = counted.groupBy(group, "_cell").agg(F.sum("_n").alias("_cell_n"))
-    by_cell = Window.partitionBy(group).orderBy("_cell")
-    placed = cells.withColumns(
-        {
-            "_upto": F.sum("_cell_n").over(by_cell),
-            "_total": F.sum("_cell_n").over(Window.partitionBy(group)),
-        }
-    ).withColumns(
-        {
-            "_low": F.floor((F.col("_total") + 1) / 2),
-            "_high": F.floor(F.col("_total") / 2) + 1,
-            "_before": F.col("_upto") - F.col("_cell_n"),
-        }
-    )
-    middle = placed.where("_upto >= _low and _before < _high").select(
-        group, "_cell", "_before", "_low", "_high"
-    )
-    in_middle = counted.join(middle, [group, "_cell"])
-    by_value = Window.partitionBy(group, "_cell").orderBy("_value")
-    ranked = in_middle.withColumn("_last", F.col("_before") + F.sum("_n").over(by_value))
-    first = F.col("_last") - F.col("_n")
-    is_low = (first < F.col("_low")) & (F.col("_last") >= F.col("_low"))
-    is_high = (first < F.col("_high")) & (F.col("_last") >= F.col("_high"))
-    return ranked.groupBy(group).agg(
-        (
-            (F.max(F.when(is_low, F.col("_value"))) + F.max(F.when(is_high, F.col("_value")))) / 2
-        ).alias(name)
     )
+    placed = running_counts(counted, group, F.col("_value").asc(), "_n")
+    # Places count from 0; an odd total has one middle place, which is both.
+    low, high = F.floor((F.col("_total") - 1) / 2), F.floor(F.col("_total") / 2)
+
+    def holds(place: Column) -> Column:
+        return (F.col("_before") <= place) & (place < F.col("_before") + F.col("_n"))
+
+    middle = placed.withColumns({"_low": holds(low), "_high": holds(high)}).where("_low or _high")
+    return middle.groupBy(group).agg(
+        ((F.max(F.when(F.col("_low"), F.col("_value"))) + F.max(F.when(F.col("_high"), F.col("_value")))) / 2
+         ).alias(name))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from salesloom.functions.numbers import ratio
+from salesloom.operators.ordered import running_counts
 
 
 def top(df: DataFrame, k: int, order: list[Column]) -> DataFrame:
@@ -63,3 +64,23 @@ def rank_within(df: DataFrame, group: str, value: str) -> DataFrame:
         (F.col("peer_rank") - 1) / (F.col("peer_count") - 1)
     )
     return joined.withColumn("peer_percent_rank", F.round(percent, 6).cast("decimal(18,6)"))
+
+
+def rank_in_ranges(df: DataFrame, group: str, value: str) -> DataFrame:
+    """Rank (largest first, NULL last), percent rank, size and average of the group, of each row.
+
+    For values of which a group may have very many distinct ones: they are ranked by running counts
+    over ranges of values, so that a group of any size is ranked by many tasks.
+    """
+    per_value = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("_equals"))
+    placed = running_counts(per_value, group, F.desc_nulls_last(value), "_equals", {
+        "_sum": F.col(value) * F.col("_equals"), "_known": F.when(F.col(value).isNotNull(), F.col("_equals"))})
+    ranks = placed.select(
+        F.col(group).alias("_group"), F.col(value).alias("_value"), (F.col("_before") + 1).alias("peer_rank"),
+        F.col("_total").alias("peer_count"), ratio(F.col("_sum"), F.col("_known")).alias("peer_average"))
+    joined = df.join(
+        ranks, F.col(group).eqNullSafe(F.col("_group")) & F.col(value).eqNullSafe(F.col("_value")),
+    ).drop("_group", "_value")
+    percent = F.when(F.col("peer_count") == 1, F.lit(0.0)).otherwise(
+        (F.col("peer_rank") - 1) / (F.col("peer_count") - 1))
+    return joined.withColumn("peer_percent_rank", F.round(percent, 6).cast("decimal(18,6)"))

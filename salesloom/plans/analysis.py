@@ -142,6 +142,14 @@ def seller_scorecard(lines: DataFrame, stores: DataFrame) -> DataFrame:
     )
 
 
+def customer_ranks(sales: DataFrame) -> DataFrame:
+    """Revenue of each customer and its rank among the customers of its state."""
+    revenue = sales.groupBy(F.col("customer_state").alias("state"), "customer_id").agg(
+        money_sum(F.col("revenue")).alias("total_revenue"))
+    return ranking.rank_in_ranges(revenue, "state", "total_revenue").select(
+        "state", "customer_id", "total_revenue", "peer_rank", "peer_count", "peer_percent_rank")
+
+
 def freight_ratio(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Freight as a share of price by category and region."""
     totals = _product_totals(lines, products, ["customer_state"])

@@ -81,8 +81,8 @@ def dim_currency(orders: DataFrame, fx: DataFrame) -> DataFrame:
 
 def dim_geolocation(points: DataFrame) -> DataFrame:
     """Median coordinates of every zip prefix: outliers among its points do not move it."""
-    latitude = grouped_median(points, "zip_code_prefix", F.col("latitude"), "latitude", cell=0.01)
-    longitude = grouped_median(points, "zip_code_prefix", F.col("longitude"), "longitude", cell=0.01)
+    latitude = grouped_median(points, "zip_code_prefix", F.col("latitude"), "latitude")
+    longitude = grouped_median(points, "zip_code_prefix", F.col("longitude"), "longitude")
     return latitude.join(longitude, "zip_code_prefix", "full")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from salesloom.functions.dates import date_key
+from salesloom.operators import skew
 from salesloom.operators.keys import assign_surrogate_keys
 from salesloom.operators.lookups import lookup
 
@@ -26,15 +27,19 @@ def fact_sales(
     dim_product: DataFrame,
     dim_store: DataFrame,
     dim_currency: DataFrame,
+    hot_orders: dict[int, int] | None = None,
 ) -> DataFrame:
-    """Order lines: items of Silver orders with dimension keys and delivery days."""
+    """Order lines: items of Silver orders with dimension keys and delivery days.
+
+    `hot_orders` are the orders with very many lines, from `skew.hot_keys`.
+    """
     header = orders.select(
         "order_id", "order_code", "customer_id", "order_status",
         date_key(F.col("order_date")).alias("date_key"), "source_channel", "currency_code",
         "delivery_days_actual", "delivery_days_estimated",
     )
-    lines = items.join(header, "order_id")
     row = ["order_item_id"]
+    lines = skew.join(items, header, ["order_id"], hot_orders or {}, row)
     for dim, natural, surrogate in (
         (dim_customer, "customer_id", "customer_key"),
         (dim_product, "product_id", "product_key"),
@@ -75,15 +80,16 @@ def fact_fx_rates(fx: DataFrame, dim_currency: DataFrame) -> DataFrame:
 
 
 def fact_payments(
-    payments: DataFrame, orders: DataFrame, dim_customer: DataFrame, dim_currency: DataFrame
+    payments: DataFrame, orders: DataFrame, dim_customer: DataFrame, dim_currency: DataFrame,
+    hot_orders: dict[int, int] | None = None,
 ) -> DataFrame:
-    """Payments of Silver orders."""
+    """Payments of Silver orders; `hot_orders` as for `fact_sales`."""
     header = orders.select(
         "order_id", "order_code", "customer_id",
         date_key(F.col("order_date")).alias("date_key"), "currency_code",
     )
-    paid = payments.join(header, "order_id")
     row = ["order_id", "payment_sequential"]
+    paid = skew.join(payments, header, ["order_id"], hot_orders or {}, row)
     paid = lookup(paid, _keys(dim_customer, "customer_id", "customer_key"), {"customer_id": "customer_id"}, row)
     return _with_currency(paid, dim_currency).select(
         "order_id", "order_code", "payment_sequential", "date_key", "customer_key", "currency_key",

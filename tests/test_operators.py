@@ -6,7 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from salesloom.operators import checks, dedup, keys, lookups, medians, profiling, ranking, timeseries
+from salesloom.operators import checks, dedup, keys, lookups, medians, ordered, profiling, ranking, skew, timeseries
 
 D = dt.date
 
@@ -188,7 +188,7 @@ def test_grouped_median_against_brute_force(spark, seed):
     data += [(f"z{i % 5}", rng.choice([0.0, 1.5, -3.25, 80.0])) for i in range(23 + seed)]
     data += [("same", 1.0)] * 4 + [("none", None), ("far", -90.0), ("far", 90.0)]
     df = spark.createDataFrame(data, "zip string, lat double")
-    got = {r["zip"]: r["m"] for r in medians.grouped_median(df, "zip", F.col("lat"), "m", 0.01).collect()}
+    got = {r["zip"]: r["m"] for r in medians.grouped_median(df, "zip", F.col("lat"), "m").collect()}
     groups = defaultdict(list)
     for z, v in data:
         if v is not None:
@@ -196,6 +196,69 @@ def test_grouped_median_against_brute_force(spark, seed):
     assert got == pytest.approx({z: statistics.median(vs) for z, vs in groups.items()})
 
 
+def test_ranks_of_very_many_values(spark):
+    rng = random.Random(6)
+    data = [(i, "hot" if i % 3 else f"s{i % 4}", rng.choice([None, rng.randint(0, 10**6)])) for i in range(900)]
+    df = spark.createDataFrame([*data, (-1, None, 3), (-2, None, None)], "id int, state string, v int")
+    columns = ["id", "peer_rank", "peer_count", "peer_percent_rank", "peer_average"]
+    got, expected = (sorted(tuple(r) for r in rank(df, "state", "v").select(columns).collect())
+                     for rank in (ranking.rank_in_ranges, ranking.rank_within))
+    assert got == expected
+    assert ranking.rank_in_ranges(df.limit(0), "state", "v").count() == 0
+
+
+@pytest.fixture
+def wide(spark):
+    """Sixteen shuffle partitions, which adaptive execution neither merges nor splits."""
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false",
+                "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def rows_per_task(df):
+    """Rows of each task of the last stage, the most first; tasks without rows count as well."""
+    counts = df.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()
+    return sorted(counts, reverse=True)
+
+
+def test_a_group_of_very_many_values_is_counted_by_many_tasks(wide):
+    df = wide.range(100_000, numPartitions=4).selectExpr("'g' AS g", "0.01 * id / 100000 AS v", "1L AS n")
+    placed = ordered.running_counts(df, "g", F.col("v").asc(), "n")
+    assert placed.where("_before <> round(v * 10000000) OR _total <> 100000").count() == 0
+    assert rows_per_task(placed)[0] <= 50_000  # of ranges of a sixteenth, a few may meet in one task
+    assert medians.grouped_median(df, "g", F.col("v"), "m").first()["m"] == pytest.approx(0.0049999500)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_a_hot_key_is_spread(wide, how):
+    lines = wide.range(60_000, numPartitions=4).selectExpr(
+        "id AS line", "CASE WHEN id % 3 = 0 THEN 7L WHEN id % 1000 = 1 THEN NULL ELSE id END AS k")
+    orders = wide.range(0, 60_000, 1, 4).where("id % 2 = 1").selectExpr("id AS k", "id * 2 AS v")
+    hot = skew.hot_keys(lines, ["k"])
+    assert len(hot) == 1
+    plain, spread = lines.join(orders, "k", how), skew.join(lines, orders, ["k"], hot, ["line"], how)
+    assert spread.columns == plain.columns
+    assert spread.exceptAll(plain).count() == plain.exceptAll(spread).count() == 0
+    if how == "inner":
+        assert rows_per_task(plain)[0] > 20_000
+        tasks = rows_per_task(spread)
+        assert tasks[0] <= 2 * tasks[len(tasks) // 2] and tasks[-1] > 0
+        assert "_salt" in spread._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_hot_key_leaves_a_plain_join(wide):
+    lines = wide.range(1000).withColumnRenamed("id", "k")
+    assert skew.hot_keys(lines, ["k"]) == {} and skew.hot_keys(lines.where("k < 0"), ["k"]) == {}
+    assert "_salt" not in skew.join(lines, lines, ["k"], {}, ["k"])._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        skew.join(lines, lines, ["k"], {}, ["k"], "full")
+
+
 # Checks and profiles
 
 
