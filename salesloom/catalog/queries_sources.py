@@ -9,9 +9,9 @@ from salesloom.catalog.registry import query
 from salesloom.catalog.sql import RUN
 from salesloom.catalog.tables import END, RUN_AT, START, Tables
 from salesloom.functions.dates import date_key
-from salesloom.operators import cleaning
+from salesloom.operators import cleaning, contracts
 from salesloom.session import scratch_path
-from salesloom.sources import feeds, lake, manifests, schemas, warehouse
+from salesloom.sources import feeds, history, lake, manifests, schemas, warehouse
 from salesloom.sources.versions import Store
 from salesloom.streaming import incremental
 
@@ -62,22 +62,29 @@ def latest_snapshot(t: Tables):
     return lake.latest_snapshot(t.spark, path)
 
 
-@query("""SELECT 'stores' AS table_name, count(*) AS row_count FROM src_stores UNION ALL
-    SELECT 'products', count(*) FROM src_products""")
+_SOURCES = {
+    "customers": "src_customers", "stores": "src_stores", "products": "src_products", "orders": "src_orders",
+    "order_items": "src_items", "payments": "src_payments",
+}
+
+
+@query(" UNION ALL ".join([
+    *(f"SELECT '{name}' AS table_name, count(*) AS row_count, CAST(NULL AS VARCHAR) AS error FROM {view}"
+      for name, view in _SOURCES.items()),
+    "SELECT 'broken', 0, 'unreadable'"]))
 def table_snapshots(t: Tables):
-    """Several tables snapshotted, each on its own: one that cannot be read does not stop the others."""
+    """All source tables snapshotted at once, each on its own: one that cannot be read does not stop the others."""
     path = scratch_path(t.spark, "tables")
     unreadable = t.stores.select(F.raise_error(F.lit("unreadable")).alias("broken"))
-    done = lake.snapshot_tables(
-        {"stores": t.stores, "broken": unreadable, "products": t.products}, path, DAY
-    )
+    outcomes = lake.snapshot_tables(
+        {**{name: getattr(t, name) for name in _SOURCES}, "broken": unreadable}, path, DAY)
     counts = [
-        lake.latest_snapshot(t.spark, f"{path}/{name}").agg(
-            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count")
-        )
-        for name in done
+        (t.spark.range(0) if error else lake.latest_snapshot(t.spark, f"{path}/{name}")).agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
+            F.lit(error).cast("string").alias("error"))
+        for name, error in outcomes.items()
     ]
-    return counts[0].unionByName(counts[1])
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query("""SELECT order_id, order_code, order_date, customer_id FROM silver_orders""")
@@ -246,23 +253,52 @@ def dated_files(t: Tables):
         "order_id", "payment_sequential", "date_key", "payment_value")
 
 
-@query("""SELECT 'orders' AS stage, 'success' AS status, (SELECT count(*) FROM silver_orders)
-    AS rows_processed UNION ALL SELECT 'fx', 'success', (SELECT count(*) FROM silver_fx)""")
+_STAGES = {
+    "orders": ("checked_orders", "silver_orders"), "order_items": ("checked_items", "silver_items"),
+    "payments": ("checked_payments", "silver_payments"), "weather": ("checked_weather", "silver_weather"),
+    "fx": ("checked_fx", "silver_fx"),
+}
+
+
+@query(" UNION ALL ".join([
+    *(f"""SELECT '{stage}' AS stage, 'success' AS status, (SELECT count(*) FROM {silver}) AS rows_processed,
+    CAST(NULL AS VARCHAR) AS error, true AS took_time""" for stage, (_, silver) in _STAGES.items()),
+    """SELECT 'broken', 'failed', (SELECT count(*) FROM silver_orders), 'order 1 cannot be read', true"""]))
 def run_history(t: Tables):
-    """Row counts observed while two stages are written, kept as run history."""
-    from pyspark.sql import Observation
+    """The five transforms written and one stage that fails, kept as run history."""
+    path = scratch_path(t.spark, "history")
+
+    def keep(stage):
+        return lambda df: lake.write_gold({stage: df}, scratch_path(t.spark, stage), RUN_AT)
+
+    for stage, (checked, _) in _STAGES.items():
+        history.run_stage(getattr(t, checked), contracts.accepted, keep(stage), path, "run-1", stage)
+    broken = F.when(F.col("order_id") >= 0, F.raise_error(F.lit("order 1 cannot be read")).cast("long"))
+    history.run_stage(
+        t.silver_orders, lambda df: df.withColumn("order_id", broken), keep("broken"), path, "run-1", "broken")
+    return history.read_history(t.spark, path).select(
+        "stage", "status", "rows_processed", "error", (F.col("duration_seconds") > 0).alias("took_time"))
 
+
+@query("""SELECT 'readable' AS stage, 'success' AS status, count(*) AS rows_processed, CAST(NULL AS VARCHAR) AS error
+    FROM checked_payments WHERE order_id % 2 = 1
+    UNION ALL SELECT 'unreadable', 'failed', count(*), 'not a timestamp: soon' FROM checked_payments
+    WHERE order_id % 2 = 0""")
+def strict_dates(t: Tables):
+    """Two batches of payments with load times as text; the strict rule fails the one with a text that is none."""
     path = scratch_path(t.spark, "history")
-    for stage, df in (("orders", t.silver_orders), ("fx", t.silver_fx)):
-        seen = Observation()
-        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        lake.write_gold({stage: counted}, scratch_path(t.spark, stage), RUN_AT)
-        warehouse.append_run_history(
-            t.spark, path, "run-1", stage, "success", seen.get["rows"], 0.0, RUN_AT
-        )
-    return t.spark.read.schema(schemas.RUN_HISTORY).parquet(path).select(
-        "stage", "status", "rows_processed"
-    )
+    text = t.payments.withColumn("ingested_at", F.date_format("ingested_at", "yyyy-MM-dd HH:mm:ss"))
+    least = text.where("order_id % 2 = 0").agg(F.min("order_id")).first()[0]
+    spoilt = F.when(F.col("order_id") == least, F.lit("soon")).otherwise(F.col("ingested_at"))
+    batches = {
+        "readable": text.where("order_id % 2 = 1"),
+        "unreadable": text.where("order_id % 2 = 0").withColumn("ingested_at", spoilt)}
+    for stage, batch in batches.items():
+        history.run_stage(
+            batch, cleaning.clean_payments,
+            lambda df, stage=stage: lake.write_gold({stage: df}, scratch_path(t.spark, stage), RUN_AT),
+            path, "run-1", stage)
+    return history.read_history(t.spark, path).select("stage", "status", "rows_processed", "error")
 
 
 # Landed feeds: responses are made of the events with Spark, then parsed.

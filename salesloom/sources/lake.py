@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
 from salesloom.sources import paths
+from salesloom.sources.history import reason_of
 from salesloom.sources.schemas import LINE_BREAKS
 from salesloom.sources.versions import Store
 
@@ -66,16 +69,35 @@ def snapshot_csv_files(
     return counts
 
 
-def snapshot_tables(tables: dict[str, DataFrame], path: str, day: date, force=False) -> list[str]:
-    """Snapshot every table; one failing table does not stop the others. Returns what succeeded."""
-    done = []
-    for name, df in tables.items():
+def snapshot_tables(
+    tables: dict[str, DataFrame], path: str, day: date, force: bool = False, at_once: int = 4
+) -> dict[str, str | None]:
+    """Snapshot every table, some at once; NULL for each that succeeded, else why it failed.
+
+    Each table is written by a driver thread with a job group and a scheduler pool of its own, so that
+    its jobs can be told apart and cancelled, share the cluster fairly where `spark.scheduler.mode` is
+    FAIR, and fail alone.
+    """
+    def write(name: str) -> str | None:
+        context = tables[name].sparkSession.sparkContext
+        context.setJobGroup(f"snapshot {name}", f"snapshot of {name}", interruptOnCancel=True)
+        context.setLocalProperty("spark.scheduler.pool", name)
         try:
-            write_snapshot(df, f"{path}/{name}", day, force)
-            done.append(name)
-        except Exception:
+            write_snapshot(tables[name], f"{path}/{name}", day, force)
+        except Exception as error:
             log.exception("snapshot of %s failed", name)
-    return done
+            return reason_of(error)
+        finally:
+            for key in ("spark.jobGroup.id", "spark.job.description", "spark.scheduler.pool"):
+                context.setLocalProperty(key, None)
+        return None
+
+    if not tables:
+        return {}
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        # Each thread starts with a copy of the caller's local properties; threads must not share one copy.
+        running = {name: pool.submit(inheritable_thread_target(df.sparkSession)(write), name) for name, df in tables.items()}
+        return {name: future.result() for name, future in running.items()}
 
 
 def write_silver(df: DataFrame, path: str, day: date) -> None:

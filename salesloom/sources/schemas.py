@@ -58,5 +58,5 @@ QUALITY_LOG = (
 )
 RUN_HISTORY = (
     "run_id string, stage string, status string, rows_processed bigint, duration_seconds double, "
-    "started_at timestamp"
+    "started_at timestamp, error string"
 )

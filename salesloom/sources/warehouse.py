@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from salesloom.sources.schemas import QUALITY_LOG, RUN_HISTORY
+from salesloom.sources.schemas import QUALITY_LOG
 from salesloom.sources.versions import LOAD_DAY, Store
 
 log = logging.getLogger(__name__)
@@ -110,18 +110,3 @@ def append_quality_log(results: DataFrame, path: str, run_at: datetime) -> None:
 
 def read_quality_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(QUALITY_LOG).parquet(path)
-
-
-def append_run_history(
-    spark: SparkSession,
-    path: str,
-    run_id: str,
-    stage: str,
-    status: str,
-    rows_processed: int,
-    duration_seconds: float,
-    started_at: datetime,
-) -> None:
-    """Record one finished stage, its row count taken from an observation or a writer metric."""
-    row = (run_id, stage, status, rows_processed, duration_seconds, started_at)
-    spark.createDataFrame([row], RUN_HISTORY).write.mode("append").parquet(path)

@@ -1,5 +1,7 @@
 import datetime as dt
 import json
+import threading
+import time
 from pathlib import Path
 
 import pytest
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 from salesloom.operators import contracts
 from salesloom.session import shared_folder
-from salesloom.sources import feeds, lake, manifests, paths, schemas, warehouse
+from salesloom.sources import feeds, history, lake, manifests, paths, schemas, warehouse
 from salesloom.sources.versions import ConflictError, Store
 from salesloom.streaming import incremental
 
@@ -300,3 +302,39 @@ def test_upsert_of_repeated_and_undated_rows(spark, tmp_path, rows):
     again = [(1, 20240220, 7), (2, None, 9), (2, None, 8)]
     warehouse.upsert_fact(spark.createDataFrame(again, FACT), path, ["id"], AT)
     assert rows(warehouse.read_fact(spark, path).drop("_loaded_at")) == [(1, 20240220, 7), (2, None, 9)]
+
+
+def test_snapshots_overlap_and_fail_alone(spark, tmp_path):
+    slow = [spark.range(4, numPartitions=1).selectExpr(
+        "id", f"java_method('java.lang.Thread', 'sleep', {400 + i}L) AS s") for i in range(3)]
+    broken = spark.range(1).select(F.raise_error(F.lit("no such disk")).alias("b"))
+    tables = {**{f"t{i}": df for i, df in enumerate(slow)}, "broken": broken}
+    tracker, most, outcome = spark.sparkContext.statusTracker(), [], {}
+    work = threading.Thread(target=lambda: outcome.update(lake.snapshot_tables(tables, str(tmp_path), D(2024, 1, 1))))
+    work.start()
+    while work.is_alive():
+        most.append(len(tracker.getActiveJobsIds()))
+        time.sleep(0.02)
+    assert max(most) >= 2
+    assert outcome == {"t0": None, "t1": None, "t2": None, "broken": "no such disk"}
+    assert len(tracker.getJobIdsForGroup("snapshot t1")) >= 1
+    assert all(lake.latest_snapshot(spark, f"{tmp_path}/t{i}").count() == 4 for i in range(3))
+    assert lake.snapshot_tables({}, str(tmp_path), D(2024, 1, 1)) == {}
+
+
+def test_stages_are_recorded_whether_they_fail_or_not(spark, tmp_path, rows):
+    path = str(tmp_path / "h")
+    source = spark.range(10)
+
+    def run(stage, transform, source=source):
+        return history.run_stage(source, transform, lambda df: df.write.parquet(str(tmp_path / stage)), path, "r", stage)
+
+    assert run("good", lambda df: df.where("id < 4")) == "success"
+    assert run("bad", lambda df: df.select(F.raise_error(F.lit("rule 7")).alias("x"))) == "failed"
+    assert run("missing", lambda df: df.select("absent")) == "failed"
+    assert run("unreadable", lambda df: df, source.where(F.raise_error(F.lit("gone")).cast("boolean"))) == "failed"
+    found = {r["stage"]: r for r in history.read_history(spark, path).collect()}
+    assert {k: (r["status"], r["rows_processed"]) for k, r in found.items()} == {
+        "good": ("success", 4), "bad": ("failed", 10), "missing": ("failed", 10), "unreadable": ("failed", None)}
+    assert found["good"]["error"] is None and found["bad"]["error"] == "rule 7" and "absent" in found["missing"]["error"]
+    assert all(r["duration_seconds"] > 0 and r["started_at"] is not None for r in found.values())
