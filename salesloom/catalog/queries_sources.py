@@ -126,6 +126,21 @@ def dimension_reload(t: Tables):
     return _utc(warehouse.read_table(t.spark, path))
 
 
+@query("""SELECT CASE WHEN customer_id % 3 = 0 THEN (SELECT count(*) FROM dim_customer WHERE customer_id % 3 <> 0)
+        + row_number() OVER w ELSE row_number() OVER w END AS customer_key,
+    customer_id, customer_code, city, state FROM dim_customer
+    WINDOW w AS (PARTITION BY customer_id % 3 = 0 ORDER BY customer_code)""")
+def dimension_keys(t: Tables):
+    """A dimension loaded without a third of its members, then with all: old keys stay, new ones follow."""
+    store = Store(t.spark, scratch_path(t.spark, "warehouse"))
+    members = t.dim_customer.drop("customer_key")
+    for at, part in zip(LOADS, (members.where("customer_id % 3 <> 0"), members), strict=False):
+        load = store.load(at)
+        warehouse.reload_members(load, "dim_customer", part, "customer_code", "customer_key")
+        load.commit()
+    return store.read("dim_customer").select("customer_key", "customer_id", "customer_code", "city", "state")
+
+
 def _utc(df):
     """Load times without zone, as DuckDB reads them."""
     return df.withColumn("_loaded_at", F.to_timestamp_ntz(F.date_format("_loaded_at", "yyyy-MM-dd HH:mm:ss")))

@@ -37,3 +37,19 @@ def assign_surrogate_keys(df: DataFrame, name: str, order: list[Column], start:
         (position + F.col("_offset") + F.lit(start)).alias(name),
         *[c for c in df.columns],
     )
+
+
+def continue_surrogate_keys(
+    df: DataFrame, known: DataFrame, name: str, business: str, order: list[Column], start: int = 1
+) -> DataFrame:
+    """Rows with the key they had in `known` (`business`, `name`), and new ones numbered behind the largest key.
+
+    `known` has one row for each business key. Known rows are neither sorted nor numbered: only new ones
+    are, in a total `order`, so that a key never changes, whatever sorts in before it. A key whose row has
+    gone is not given away again while `known` holds it. Rows without a business key are new each time.
+    """
+    found = df.join(known.select(business, name), business, "left")
+    last = known.agg(F.max(name)).first()[0]
+    fresh = found.where(F.col(name).isNull()).select(df.columns)
+    numbered = assign_surrogate_keys(fresh, name, order, start if last is None else last + 1)
+    return found.where(F.col(name).isNotNull()).select(name, *df.columns).unionByName(numbered)

@@ -35,13 +35,18 @@ def latest_members(
     return keep_last(keyed, [key], recency).select(*columns)
 
 
+def customer_members(customers: DataFrame, recency: list[Column]) -> DataFrame:
+    """The customers of the dimension, not numbered yet."""
+    columns = ["customer_id", "customer_code", "zip_code_prefix", "city", "state", "is_active"]
+    members = latest_members(customers, "customer_code", columns, recency)
+    return members.withColumn("normalized_city", normalize_city(F.col("city")))
+
+
 def dim_customer(
     customers: DataFrame, recency: list[Column]
 ) -> DataFrame:
-    columns = ["customer_id", "customer_code", "zip_code_prefix", "city", "state", "is_active"]
-    members = latest_members(customers, "customer_code", columns, recency)
-    named = members.withColumn("normalized_city", normalize_city(F.col("city")))
-    return assign_surrogate_keys(named, "customer_key", [F.col("customer_code")])
+    return assign_surrogate_keys(
+        customer_members(customers, recency), "customer_key", [F.col("customer_code")])
 
 
 def dim_product(

@@ -199,6 +199,10 @@ class Load:
         old = view.read_files(name, files).select(*keys, self._own_path().alias("file"))
         return sorted(row[0] for row in old.join(new, keys, "left_semi").select("file").distinct().collect())
 
+    def view(self) -> Snapshot:
+        """The tables as this load will leave them, for its own use before it is committed."""
+        return Snapshot(self.spark, self.path, {"number": self.before.number + 1, "tables": self.tables})
+
     def commit(self) -> Snapshot:
         """Make the versions of this load current, in one step."""
         number = self.before.number + 1

@@ -6,9 +6,11 @@ import logging
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
+from salesloom.operators import keys
 from salesloom.sources.schemas import QUALITY_LOG
-from salesloom.sources.versions import LOAD_DAY, Store
+from salesloom.sources.versions import LOAD_DAY, Load, Store
 
 log = logging.getLogger(__name__)
 
@@ -35,6 +37,23 @@ def reload_dimension(df: DataFrame, path: str, loaded_at: datetime) -> None:
     load.commit()
 
 
+def reload_members(load: Load, name: str, members: DataFrame, business: str, surrogate: str) -> None:
+    """Replace a dimension whose members keep the keys of all earlier loads.
+
+    The keys are a table of the store, `<name>_keys`, which grows by the new members in the same load;
+    members that leave the dimension stay in it, and get their old key when they come back.
+    """
+    keys_name = f"{name}_keys"
+    if keys_name in load.tables:
+        known = load.view().read(keys_name).select(business, surrogate)
+    else:
+        kind = members.schema[business].dataType
+        known = load.spark.createDataFrame([], StructType().add(business, kind).add(surrogate, "long"))
+    load.replace(name, keys.continue_surrogate_keys(members, known, surrogate, business, [F.col(business)]))
+    new = load.view().read(name).select(business, surrogate).join(known, business, "left_anti")
+    load.upsert(keys_name, new, [business])
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A dimension or a fact as the latest load left it."""
     store, name = _place(spark, path)

@@ -158,6 +158,19 @@ def test_calendar_bounds(spark, rows):
         (D(2019, 12, 1),), (D(2020, 1, 1),), (D(2020, 2, 1),)]
 
 
+def test_keys_survive_reloads(spark, rows):
+    def members(*codes):
+        return spark.createDataFrame([(c, len(c)) for c in codes], "code string, v int")
+
+    none = members().select("code", F.lit(0).cast("long").alias("key"))
+    first = keys.continue_surrogate_keys(members("m", "b", "x"), none, "key", "code", [F.col("code")])
+    assert rows(first.select("key", "code")) == [(1, "b"), (2, "m"), (3, "x")]
+    second = keys.continue_surrogate_keys(members("x", "aa", "zz", "b"), first, "key", "code", [F.col("code")])
+    assert second.columns == ["key", "code", "v"]
+    assert rows(second.select("key", "code")) == [(1, "b"), (3, "x"), (4, "aa"), (5, "zz")]
+    assert rows(keys.continue_surrogate_keys(members("b"), first, "key", "code", [F.col("code")])) == [(1, "b", 1)]
+
+
 # Ranking and medians
 
 

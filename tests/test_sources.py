@@ -338,3 +338,15 @@ def test_stages_are_recorded_whether_they_fail_or_not(spark, tmp_path, rows):
         "good": ("success", 4), "bad": ("failed", 10), "missing": ("failed", 10), "unreadable": ("failed", None)}
     assert found["good"]["error"] is None and found["bad"]["error"] == "rule 7" and "absent" in found["missing"]["error"]
     assert all(r["duration_seconds"] > 0 and r["started_at"] is not None for r in found.values())
+
+
+def test_members_that_come_back_get_their_old_key(spark, tmp_path, rows):
+    store = Store(spark, str(tmp_path))
+    for number, codes in enumerate((["b", "m"], ["a", "m"], ["a", "b", "c"])):
+        load = store.load(AT + dt.timedelta(days=number))
+        members = spark.createDataFrame([(c,) for c in codes], "code string")
+        warehouse.reload_members(load, "dim", members, "code", "key")
+        load.commit()
+    assert rows(store.read("dim").select("code", "key")) == [("a", 3), ("b", 1), ("c", 4)]
+    assert rows(store.snapshot(1).read("dim").select("code", "key")) == [("b", 1), ("m", 2)]
+    assert rows(store.read("dim_keys").select("code", "key")) == [("a", 3), ("b", 1), ("c", 4), ("m", 2)]
