@@ -10,6 +10,7 @@ from salesloom.catalog.sql import RUN
 from salesloom.catalog.tables import END, RUN_AT, START, Tables
 from salesloom.functions.dates import date_key
 from salesloom.operators import cleaning, contracts
+from salesloom.operators.dedup import keep_first
 from salesloom.session import scratch_path
 from salesloom.sources import feeds, history, lake, manifests, schemas, warehouse
 from salesloom.sources.versions import Store
@@ -316,13 +317,60 @@ def strict_dates(t: Tables):
     return history.read_history(t.spark, path).select("stage", "status", "rows_processed", "error")
 
 
-# Landed feeds: responses are made of the events with Spark, then parsed.
+# Landed feeds: responses are made of the events, written as files, and read back by the name of the file.
+
+# A second file of every feed and city or pair, which the service broke off.
+BROKEN_OFF = "1990-01-01"
+
+
+def landed(t: Tables, feed: str, responses: DataFrame, quarantine: str) -> DataFrame:
+    """The readable files of a feed; the others go to the quarantine."""
+    path = scratch_path(t.spark, feed)
+    feeds.land(responses, path)
+    first = keep_first(
+        responses.withColumn("_of", F.regexp_replace("file_name", "_[^_]*$", "")), ["_of"], [F.col("file_name")])
+    feeds.land(first.select(
+        F.concat_ws("_", "_of", F.lit(BROKEN_OFF)).alias("file_name"),
+        F.expr("substring(payload, 1, length(payload) - 1)").alias("payload")), path)
+    good, bad = feeds.split_corrupt(feeds.read_responses(t.spark, path))
+    lake.write_quarantine(bad, quarantine, feed, RUN_AT)
+    return good
+
+
+def _pair(part: int):
+    return F.split("file_name", "_")[part]
+
+
+_CITIES = "SELECT DISTINCT city FROM src_weather WHERE state IS NOT NULL"
+_FEED_PAIRS = "SELECT DISTINCT base_currency, quote_currency FROM daily_fx WHERE rate IS NOT NULL"
+
+
+@query(f"""SELECT 'weather' AS transform_name, replace(city, ' ', '_') || '_{BROKEN_OFF}' AS file_name,
+    'unreadable JSON' AS quarantine_reason, true AS located FROM ({_CITIES})
+    UNION ALL SELECT 'fx_flat', base_currency || '_' || quote_currency || '_{BROKEN_OFF}', 'unreadable JSON', true
+    FROM ({_FEED_PAIRS})""")
+def corrupt_responses(t: Tables):
+    """The quarantine of two feeds after their files were read."""
+    quarantine = scratch_path(t.spark, "quarantine")
+    landed(t, "weather", _weather_responses(t), quarantine)
+    landed(t, "fx_flat", _flat_responses(t), quarantine)
+    parts = [lake.read_quarantine(t.spark, quarantine, feed) for feed in ("weather", "fx_flat")]
+    located = F.col("file_path").contains("file_name=") & (F.col("block_start") == 0) & (F.col("block_length") > 0)
+    return parts[0].unionByName(parts[1]).select(
+        "transform_name", "file_name", "quarantine_reason", located.alias("located"))
 
 
 @query("SELECT city, state, date, temp_max, temp_min, precipitation, windspeed, weathercode"
        " FROM src_weather WHERE state IS NOT NULL")
 def weather_json(t: Tables):
-    """One response per city and state with parallel daily arrays."""
+    """Files of one response per city with parallel daily arrays; the city comes from the name."""
+    good = landed(t, "weather", _weather_responses(t), scratch_path(t.spark, "quarantine"))
+    # Names of files have underscores for spaces; the cities of these tables have underscores only.
+    cities = t.weather.where("state is not null").select(F.translate("city", "_", " ").alias("city"), "state").distinct()
+    return feeds.parse_weather(feeds.with_city(good, cities)).withColumn("city", F.translate("city", " ", "_"))
+
+
+def _weather_responses(t: Tables) -> DataFrame:
     day = F.struct(
         F.date_format("date", "yyyy-MM-dd").alias("time"),
         F.col("temp_max").alias("temperature_2m_max"),
@@ -340,11 +388,10 @@ def weather_json(t: Tables):
         "weather_code",
     ]
     daily = F.struct(*[F.col(f"days.{n}").alias(n) for n in names])
-    responses = days.select(
-        "city", "state",
+    return days.select(
+        F.concat_ws("_", F.translate("city", " ", "_"), F.lit(str(START))).alias("file_name"),
         F.to_json(F.struct(daily.alias("daily")), {"ignoreNullFields": "false"}).alias("payload"),
     )
-    return feeds.parse_weather(responses)
 
 
 _QUOTES = "SELECT date, base_currency, quote_currency, rate FROM daily_fx WHERE rate IS NOT NULL"
@@ -357,6 +404,13 @@ def _daily_quotes(t: Tables):
     )
 
 
+def _by_pair_and_year(t: Tables, payload) -> DataFrame:
+    """Responses named `<base>_<quote>_<year>`; a year has 366 entries at most."""
+    return _daily_quotes(t).groupBy("base_currency", "quote_currency", F.year("date").alias("year")).agg(
+        payload.alias("payload")).select(
+        F.concat_ws("_", "base_currency", "quote_currency", "year").alias("file_name"), "payload")
+
+
 @query(_QUOTES)
 def fx_json_nested(t: Tables):
     """`rates` by date and currency, one response per pair and year."""
@@ -364,10 +418,9 @@ def fx_json_nested(t: Tables):
         F.date_format("date", "yyyy-MM-dd").alias("day"),
         F.create_map("quote_currency", F.col("rate").cast("double")).alias("rates"),
     )
-    responses = _daily_quotes(t).groupBy("base_currency", "quote_currency", F.year("date")).agg(
-        F.to_json(F.struct(F.map_from_entries(F.collect_list(entry)).alias("rates"))).alias("payload")
-    )
-    return feeds.parse_fx_nested(responses, F.col("base_currency"), F.col("quote_currency"))
+    responses = _by_pair_and_year(t, F.to_json(F.struct(F.map_from_entries(F.collect_list(entry)).alias("rates"))))
+    good = landed(t, "fx_nested", responses, scratch_path(t.spark, "quarantine"))
+    return feeds.parse_fx_nested(good, _pair(0), _pair(1))
 
 
 @query(_QUOTES)
@@ -379,20 +432,20 @@ def fx_json_list(t: Tables):
         F.col("quote_currency").alias("quote"),
         F.col("rate").cast("double").alias("rate"),
     )
-    responses = _daily_quotes(t).groupBy("base_currency", "quote_currency", F.year("date")).agg(
-        F.to_json(F.collect_list(entry)).alias("payload")
-    )
-    return feeds.parse_fx_list(responses)
+    responses = _by_pair_and_year(t, F.to_json(F.collect_list(entry)))
+    return feeds.parse_fx_list(landed(t, "fx_list", responses, scratch_path(t.spark, "quarantine")))
 
 
 @query(_QUOTES)
 def fx_json_flat(t: Tables):
     """A flat date map, one response per pair and year."""
+    good = landed(t, "fx_flat", _flat_responses(t), scratch_path(t.spark, "quarantine"))
+    return feeds.parse_fx_flat(good, _pair(0), _pair(1))
+
+
+def _flat_responses(t: Tables) -> DataFrame:
     entry = F.struct(F.date_format("date", "yyyy-MM-dd"), F.col("rate").cast("double"))
-    responses = _daily_quotes(t).groupBy("base_currency", "quote_currency", F.year("date")).agg(
-        F.to_json(F.map_from_entries(F.collect_list(entry))).alias("payload")
-    )
-    return feeds.parse_fx_flat(responses, F.col("base_currency"), F.col("quote_currency"))
+    return _by_pair_and_year(t, F.to_json(F.map_from_entries(F.collect_list(entry))))
 
 
 _PAIRS = """(SELECT DISTINCT base_currency, quote_currency FROM silver_fx UNION

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from salesloom.functions.dates import parse_date
 from salesloom.functions.fixed import WEATHER_CITIES
+from salesloom.operators.contracts import REASON
 from salesloom.sources.schemas import (
     FX_FLAT_PAYLOAD,
     FX_LIST_PAYLOAD,
@@ -16,11 +17,31 @@ from salesloom.sources.schemas import (
 RATE = "decimal(16,6)"
 
 
+UNREADABLE = "unreadable JSON"
+
+
+def land(responses: DataFrame, path: str) -> None:
+    """Write responses (file_name, payload) as one file each, in a folder of its name."""
+    responses.select("file_name", "payload").write.mode("append").partitionBy("file_name").text(path)
+
+
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
-    """Whole JSON files as (file name, payload text) rows."""
+    """Whole JSON files with their name, without `.json`, and where they were read.
+
+    The name is that of the file, or of its folder where `land` wrote it.
+    """
     text = spark.read.text(path, wholetext=True)
-    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1)
-    return text.select(name.alias("file_name"), F.col("value").alias("payload"))
+    named = "file_name" in text.columns
+    name = F.col("file_name").cast("string") if named else F.regexp_extract("_metadata.file_name", r"^(.*)\.json$", 1)
+    return text.select(
+        name.alias("file_name"), F.col("value").alias("payload"), F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block_start"), F.col("_metadata.file_block_length").alias("block_length"))
+
+
+def split_corrupt(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Responses that are JSON, and the others with a reason; an empty file is not JSON, a NULL payload neither."""
+    broken = F.try_parse_json("payload").isNull()
+    return responses.where(~broken), responses.where(broken).withColumn(REASON, F.lit(UNREADABLE))
 
 
 def city_list(spark: SparkSession) -> DataFrame:
