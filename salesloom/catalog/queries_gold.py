@@ -10,7 +10,7 @@ from salesloom.catalog.tables import END, RUN_AT, Tables
 from salesloom.functions.dates import date_key
 from salesloom.functions.numbers import money_sum
 from salesloom.operators import dedup, keys, lookups, skew
-from salesloom.plans import dimensions, facts, marts, source_tables
+from salesloom.plans import analysis, dimensions, facts, marts, source_tables
 
 # Source tables from the raw files.
 
@@ -240,6 +240,46 @@ def sales_usd(t: Tables):
     return marts.sales_usd(t.fact_sales, t.fact_fx)
 
 
+# Detail listings in their documented order; each is the whole listing.
+
+
+@query("""SELECT order_code, line_number, store_id, s.state AS seller_state, category_name_en AS category, unit_price,
+    freight_value, delivery_days_actual, order_status FROM fact_sales f
+    LEFT JOIN dim_store s ON f.store_key = s.store_key LEFT JOIN dim_product p ON f.product_key = p.product_key
+    WHERE date_key BETWEEN 19970101 AND 19971231""")
+def seller_listing(t: Tables):
+    """Lines of a year with their seller: by status, then the longest deliveries first."""
+    stores = t.dim_store.select("store_key", "store_id", F.col("state").alias("seller_state"))
+    products = t.dim_product.select("product_key", F.col("category_name_en").alias("category"))
+    lines = t.fact_sales.where(F.col("date_key").between(19970101, 19971231))
+    for table, key in ((stores, "store_key"), (products, "product_key")):
+        lines = lookups.lookup(lines, table, {key: key}, marts.ROW)
+    return analysis.listing(lines.select(
+        "order_code", "line_number", "store_id", "seller_state", "category", "unit_price", "freight_value",
+        "delivery_days_actual", "order_status"),
+        [F.desc("order_status"), F.desc_nulls_last("delivery_days_actual")], ["order_code", "line_number"])
+
+
+@query(f"""SELECT date_key, unit_price_brl, usd_to_brl_rate, order_code FROM ({_USD})
+    WHERE date_key BETWEEN 19970301 AND 19970331""")
+def rate_listing(t: Tables):
+    """Prices of a month with the rate of their day, by day."""
+    lines = t.fact_sales.where(F.col("date_key").between(19970301, 19970331))
+    return analysis.listing(marts.sales_usd(lines, t.fact_fx).select(
+        "date_key", "unit_price_brl", "usd_to_brl_rate", "order_code"), [F.asc("date_key")], ["order_code", "unit_price_brl"])
+
+
+@query(f"""SELECT date_key, order_code, customer_city, customer_state, precipitation FROM ({_WITH_WEATHER})
+    WHERE customer_state = 'AM'""")
+def weather_listing(t: Tables):
+    """Lines of a state with the rain of their day, the most rain first."""
+    customers = t.dim_customer.where("state = 'AM'")
+    lines = marts.sales_with_weather(t.fact_sales, customers, t.fact_weather).where("customer_state = 'AM'")
+    return analysis.listing(lines.select(
+        "date_key", "order_code", "customer_city", "customer_state", "precipitation"),
+        [F.desc_nulls_last("precipitation")], ["date_key", "order_code", "customer_city"])
+
+
 @query("""SELECT order_code, line_number, strptime(CAST(f.date_key AS VARCHAR), '%Y%m%d')::DATE
         AS order_purchase_date,
     coalesce(c.city, '—') AS customer_city, coalesce(c.state, '—') AS customer_state,

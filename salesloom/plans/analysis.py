@@ -263,6 +263,11 @@ def daily_revenue(
     return timeseries.daily_totals(sales, spark, "order_date", revenue, start, end, by)
 
 
+def listing(detail: DataFrame, order: list[Column], ties: list[str]) -> DataFrame:
+    """All detail rows in the order of the listing; `ties` decide among rows that it leaves equal."""
+    return detail.orderBy(*order, *ties)
+
+
 def delivery_listing(detail: DataFrame, status: Column) -> DataFrame:
     """All detail rows of a status, those with the most delivery days first."""
     return detail.where(F.col("order_status") == status).orderBy(

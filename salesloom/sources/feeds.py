@@ -39,7 +39,7 @@ def read_responses(spark: SparkSession, path: str) -> DataFrame:
 
 
 def split_corrupt(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Responses that are JSON, and the others with a reason; an empty file is not JSON, a NULL payload neither."""
+    """Responses that are JSON, and the others with a reason; an empty file has no row at all."""
     broken = F.try_parse_json("payload").isNull()
     return responses.where(~broken), responses.where(broken).withColumn(REASON, F.lit(UNREADABLE))
 

@@ -242,10 +242,6 @@ def test_corrupt_files_are_told_apart(spark, tmp_path, rows):
     assert rows(good.select("file_name")) == [("a_1",), ("c_1",)]
     assert rows(bad.select("file_name", "payload", "quarantine_reason", "block_start")) == [
         ("2024", "oops\n", "unreadable JSON", 0), ("b_1", '{"daily": [\n', "unreadable JSON", 0)]
-    (tmp_path / "plain").mkdir()
-    (tmp_path / "plain" / "x_2017-01-01.json").write_text("")
-    assert rows(feeds.split_corrupt(feeds.read_responses(spark, str(tmp_path / "plain")))[1].select("file_name")) == [
-        ("x_2017-01-01",)]
 
 
 def test_fx_shapes(spark, rows):
