@@ -10,6 +10,7 @@ bytes and the differing bits are then verified for every candidate pair.
 
 from __future__ import annotations
 
+import re
 from itertools import combinations
 
 import numpy as np
@@ -25,31 +26,69 @@ from salesloom.session import shared_folder
 SHINGLE = 3
 SEED = 42
 BYTES = 8
+BLOCK = 1 << 15  # shingles whose bits are summed at a time
+PIECE = 1 << 20  # bytes of a long text
+_BLANK = re.compile(rb"[\x20\x09-\x0d]")
 # Lists up to this length are compared pair by pair, longer ones by flipping bits.
 SHORT_LIST = 128
 
 
-def fingerprints(texts: list[bytes]) -> np.ndarray:
-    """A bit is set if it is set in over half of the hashes of the shingles, repeats included."""
-    words = word_table([text.lower() for text in texts])
-    sizes = np.minimum(words.counts, SHINGLE)
-    shingles = np.where(words.counts > 0, words.counts - sizes + 1, 0)
+def _pieces(text: bytes):
+    """A text in pieces of about `PIECE` bytes, cut at white space; a word stays whole."""
+    start = 0
+    while len(text) - start > PIECE:
+        cut = _BLANK.search(text, start + PIECE)
+        if not cut:
+            break
+        yield text[start:cut.start()]
+        start = cut.start()
+    yield text[start:]
+
+
+def _add(texts: list[bytes], rows: np.ndarray, sums: np.ndarray, totals: np.ndarray, whole: bool) -> list[bytes]:
+    """Add the bits of the hashes of all shingles to the rows of the texts; the last words of the last text.
+
+    With `whole`, a text of fewer words than a shingle has is a shingle by itself. Bits are summed for
+    a block of shingles at a time.
+    """
+    words = word_table(texts)
+    full = np.maximum(words.counts - SHINGLE + 1, 0)
+    shingles = np.where(words.counts > 0, np.maximum(full, 1), 0) if whole else full
     first = ragged(words.firsts, shingles)
-    last = first + np.repeat(sizes, shingles) - 1
+    owners = np.repeat(np.arange(len(texts)), shingles)
+    last = first + np.minimum(words.counts, SHINGLE)[owners] - 1
     flat, digest = words.flat, xxhash.xxh64_intdigest
-    hashes = np.fromiter(
-        (digest(flat[a:b], SEED) for a, b in zip(
-            words.starts[first].tolist(), words.ends[last].tolist(), strict=True)),
-        np.uint64, len(first))
-    result = np.zeros(len(texts), np.uint64)
-    some = np.flatnonzero(shingles)
-    if len(some):
+    for start in range(0, len(first), BLOCK):
+        own = slice(start, start + BLOCK)
+        hashes = np.fromiter(
+            (digest(flat[a:b], SEED) for a, b in zip(
+                words.starts[first[own]].tolist(), words.ends[last[own]].tolist(), strict=True)),
+            np.uint64, len(first[own]))
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, BYTES), axis=1, bitorder="little")
-        starts = (np.cumsum(shingles) - shingles)[some]
-        sums = np.add.reduceat(bits, starts, axis=0, dtype=np.int64)
-        set_bits = 2 * sums > shingles[some, None]
-        result[some] = np.packbits(set_bits, axis=1, bitorder="little").view(np.uint64).ravel()
-    return result
+        edges = np.flatnonzero(np.diff(owners[own], prepend=-1))
+        sums[rows[owners[own][edges]]] += np.add.reduceat(bits, edges, axis=0, dtype=np.int32)
+    totals[rows] += shingles
+    tail = slice(max(0, len(words.starts) - SHINGLE + 1), None)
+    return [flat[a:b] for a, b in zip(words.starts[tail].tolist(), words.ends[tail].tolist(), strict=True)]
+
+
+def fingerprints(texts: list[bytes]) -> np.ndarray:
+    """A bit is set if it is set in over half of the hashes of the shingles, repeats included.
+
+    A long text is read in pieces, each behind the last words of the one before, so that memory depends
+    on a piece, or on the longest word, and not on the text.
+    """
+    sums, totals = np.zeros((len(texts), 64), np.int64), np.zeros(len(texts), np.int64)
+    short = [i for i, text in enumerate(texts) if len(text) <= PIECE]
+    _add([texts[i].lower() for i in short], np.array(short, np.int64), sums, totals, True)
+    for row, text in enumerate(texts):
+        if len(text) > PIECE:
+            carried: list[bytes] = []
+            for piece in _pieces(text):
+                carried = _add([b" ".join([*carried, piece.lower()])], np.array([row]), sums, totals, False)
+            if not totals[row]:
+                _add([b" ".join(carried)], np.array([row]), sums, totals, True)
+    return np.packbits(2 * sums > totals[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
 
 
 def fingerprint_table(docs: DataFrame) -> DataFrame:

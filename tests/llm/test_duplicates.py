@@ -1,5 +1,6 @@
 """Substring dedup, SimHash and embedding near-duplicates against brute force."""
 
+import tracemalloc
 import hashlib
 import random
 
@@ -232,3 +233,26 @@ def test_estimates_are_unbiased_and_bounded():
 def test_digest_of_kept_text(documents):
     row = substrings.remove_repeats(documents([(1, " a\tb ")])).select(F.sha2("result.kept_text", 256)).first()
     assert row[0] == hashlib.sha256(b"a b").hexdigest()
+
+
+def test_fingerprints_do_not_depend_on_pieces_and_blocks(monkeypatch):
+    luck = random.Random(3)
+    texts = [b"", b"a", b"a b", b"A b c", " \u00e9".encode() * 5, b"\t" * 40, b"x" * 500]
+    texts += [b" ".join(luck.choice([b"ab", b"Cd", b"x" * 50, b"e"]) for _ in range(luck.randrange(300))) for _ in range(80)]
+    whole = simhash.fingerprints(texts)
+    for piece, block in ((7, 3), (64, 5), (300, 1000)):
+        monkeypatch.setattr(simhash, "PIECE", piece)
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        assert simhash.fingerprints(texts).tolist() == whole.tolist()
+
+
+def test_memory_of_fingerprints_does_not_grow_with_a_text():
+    luck = random.Random(4)
+    text = b" ".join(b"%d" % luck.randrange(10**6) for _ in range(300_000))
+    peaks = []
+    for copies in (1, 6):
+        tracemalloc.start()
+        simhash.fingerprints([text * copies])
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[0] < 40e6 and peaks[1] < 60e6  # two and twelve megabytes of text
