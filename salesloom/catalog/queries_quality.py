@@ -35,16 +35,16 @@ def _row_count(table, view, low):
     shown = f"{low:,}"
     return _check(
         table, "row_count_threshold", "row_count", "CRITICAL", f"greatest(0, {low} - count(*))",
-        f">= {shown}", "CAST(seen AS VARCHAR)", f"'Row count ' || {_n('seen')} || ' >= {shown} — OK'",
-        f"'Row count ' || {_n('seen')} || ' is below minimum {shown}'", view,
+        f">= {shown}", "CAST(seen AS VARCHAR)", f"{_n('seen')} || ' rows, at least {shown} expected'",
+        f"{_n('seen')} || ' rows, fewer than {shown}'", view,
     )
 
 
 def _no_nulls(table, view, column):
     return _check(
         table, f"no_nulls.{column}", "null_check", "CRITICAL", f"count(*) FILTER ({column} IS NULL)",
-        "0 NULLs", "bad || ' NULL(s)'", f"'No NULLs in ''{column}'' — OK'",
-        f"{_n('bad')} || ' NULL(s) in ''{column}'''", view,
+        "0 NULLs", "bad || ' NULL(s)'", f"'''{column}'' is always filled'",
+        f"{_n('bad')} || ' rows lack ''{column}'''", view,
     )
 
 
@@ -53,16 +53,16 @@ def _unique(table, view, *columns):
     groups = f"(SELECT count(*) AS n FROM {view} GROUP BY {shown} HAVING count(*) > 1)"
     return _check(
         table, f"uniqueness.{'+'.join(columns)}", "uniqueness", "CRITICAL", "count(*)",
-        "0 duplicate groups", "bad || ' duplicate group(s)'", f"'No duplicate rows on ({shown}) — OK'",
-        f"{_n('bad')} || ' duplicate group(s) found on ({shown})'", groups,
+        "0 duplicate groups", "bad || ' duplicate group(s)'", f"'each ({shown}) comes once'",
+        f"{_n('bad')} || ' values of ({shown}) come more than once'", groups,
     )
 
 
 def _range(table, view, column, name, outside, bounds, severity="CRITICAL"):
     return _check(
         table, name, "range", severity, f"count(*) FILTER ({outside})", bounds,
-        "bad || ' out-of-range'", f"'Column ''{column}'' values all within [{bounds}] — OK'",
-        f"'Column ''{column}'' has ' || {_n('bad')} || ' value(s) outside [{bounds}]'", view,
+        "bad || ' out-of-range'", f"'''{column}'' stays in [{bounds}]'",
+        f"'''{column}'' leaves [{bounds}] in ' || {_n('bad')} || ' rows'", view,
     )
 
 
@@ -70,7 +70,7 @@ def _order(table, view, upper, lower):
     return _check(
         table, f"col_order.{upper}>={lower}", "range", "WARNING",
         f"count(*) FILTER ({upper} < {lower})", f"{upper} >= {lower}", "bad || ' violation(s)'",
-        f"'''{upper}'' >= ''{lower}'' for all non-null rows — OK'",
+        f"'''{lower}'' never exceeds ''{upper}'''",
         f"{_n('bad')} || ' row(s) where ''{upper}'' < ''{lower}'''", view,
     )
 
@@ -79,8 +79,8 @@ def _references(table, view, fk, dim, pk, severity="WARNING"):
     orphans = f"(SELECT 1 FROM {view} WHERE {fk} IS NOT NULL AND {fk} NOT IN (SELECT {pk} FROM {dim}))"
     return _check(
         table, f"ri.{fk}->{dim}", "referential_integrity", severity, "count(*)",
-        "0 orphan FK values", "bad || ' orphan(s)'", f"'All non-null ''{fk}'' values match ''{dim}.{pk}'' — OK'",
-        f"{_n('bad')} || ' row(s) have ''{fk}'' values with no match in ''{dim}.{pk}'''", orphans,
+        "0 orphan FK values", "bad || ' orphan(s)'", f"'every ''{fk}'' is found in ''{dim}.{pk}'''",
+        f"{_n('bad')} || ' rows hold a ''{fk}'' unknown to ''{dim}.{pk}'''", orphans,
     )
 
 

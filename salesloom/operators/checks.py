@@ -54,8 +54,8 @@ class RowCount:
         return (
             F.lit(f">= {low}"),
             seen.cast("string"),
-            F.when(bad == 0, F.concat(F.lit("Row count "), _thousands(seen), F.lit(f" >= {low} — OK")))
-            .otherwise(F.concat(F.lit("Row count "), _thousands(seen), F.lit(f" is below minimum {low}"))),
+            F.when(bad == 0, F.concat(_thousands(seen), F.lit(f" rows, at least {low} expected")))
+            .otherwise(F.concat(_thousands(seen), F.lit(f" rows, fewer than {low}"))),
         )
 
     def details(self) -> dict[str, Column]:
@@ -82,8 +82,8 @@ class NotNull:
         return (
             F.lit("0 NULLs"),
             F.concat(seen.cast("string"), F.lit(" NULL(s)")),
-            F.when(bad == 0, F.lit(f"No NULLs in '{self.column}' — OK"))
-            .otherwise(F.concat(_thousands(bad), F.lit(f" NULL(s) in '{self.column}'"))),
+            F.when(bad == 0, F.lit(f"'{self.column}' is always filled"))
+            .otherwise(F.concat(_thousands(bad), F.lit(f" rows lack '{self.column}'"))),
         )
 
     def details(self) -> dict[str, Column]:
@@ -128,12 +128,12 @@ class InRange:
         return (
             F.lit(bounds),
             F.concat(seen.cast("string"), F.lit(" out-of-range")),
-            F.when(bad == 0, F.lit(f"Column '{self.column}' values all within [{bounds}] — OK"))
+            F.when(bad == 0, F.lit(f"'{self.column}' stays in [{bounds}]"))
             .otherwise(
                 F.concat(
-                    F.lit(f"Column '{self.column}' has "),
+                    F.lit(f"'{self.column}' leaves [{bounds}] in "),
                     _thousands(bad),
-                    F.lit(f" value(s) outside [{bounds}]"),
+                    F.lit(" rows"),
                 )
             ),
         )
@@ -167,7 +167,7 @@ class NotBelow:
         return (
             F.lit(f"{a} >= {b}"),
             F.concat(seen.cast("string"), F.lit(" violation(s)")),
-            F.when(bad == 0, F.lit(f"'{a}' >= '{b}' for all non-null rows — OK"))
+            F.when(bad == 0, F.lit(f"'{b}' never exceeds '{a}'"))
             .otherwise(F.concat(_thousands(bad), F.lit(f" row(s) where '{a}' < '{b}'"))),
         )
 
@@ -191,8 +191,8 @@ class Unique:
         return (
             F.lit("0 duplicate groups"),
             F.concat(seen.cast("string"), F.lit(" duplicate group(s)")),
-            F.when(bad == 0, F.lit(f"No duplicate rows on ({keys}) — OK"))
-            .otherwise(F.concat(_thousands(bad), F.lit(f" duplicate group(s) found on ({keys})"))),
+            F.when(bad == 0, F.lit(f"each ({keys}) comes once"))
+            .otherwise(F.concat(_thousands(bad), F.lit(f" values of ({keys}) come more than once"))),
         )
 
     def details(self) -> dict[str, Column]:
@@ -218,10 +218,10 @@ class References:
         return (
             F.lit("0 orphan FK values"),
             F.concat(seen.cast("string"), F.lit(" orphan(s)")),
-            F.when(bad == 0, F.lit(f"All non-null '{self.fk}' values match '{target}' — OK"))
+            F.when(bad == 0, F.lit(f"every '{self.fk}' is found in '{target}'"))
             .otherwise(
                 F.concat(
-                    _thousands(bad), F.lit(f" row(s) have '{self.fk}' values with no match in '{target}'")
+                    _thousands(bad), F.lit(f" rows hold a '{self.fk}' unknown to '{target}'")
                 )
             ),
         )

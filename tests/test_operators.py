@@ -298,7 +298,7 @@ def test_checks_pass_and_fail(spark):
         "present": ("FAIL", 1), "free": ("PASS", 0), "col_order.hi>=lo": ("FAIL", 2),
         "ri.v->dim": ("FAIL", 3), "ri.id->dim": ("PASS", 0),
     }
-    assert got["t.row_count_threshold"]["message"] == "Row count 4 is below minimum 5"
+    assert got["t.row_count_threshold"]["message"] == "4 rows, fewer than 5"
     assert got["t.free"]["expected_value"] == "unbounded"
     assert '"violations":2' in got["t.uniqueness.id"]["metadata"]
 
