@@ -1,16 +1,22 @@
 """Lexical retrieval packing: documents into full windows, with BM25 neighbours side by side.
 
 Every document is cut into full windows from its start; what is left, its tail, is packed. Tails are
-dealt to shards, and each shard has an inverted index of its tails with BM25 weights whose document
-frequencies and mean length are those of all tails. A seed tail asks the index of every shard for its
-best unused neighbours, which fill its window; the one that does not fit is cut, and its rest stays
-as a tail.
-
-That goes on in rounds. In each, some tails are seeds and the others may be claimed; a tail goes to
-the seed that scores it best, among those that need it to fill their window, and windows that are
-full are finished. All others are in the next round again. Once no more tails are left than one
-shard holds, they are packed one seed after the other, and what is over at the end is cut into
-windows whose lengths are powers of two, which need no padding, so that no window is padded at all.
+put in order by their content and dealt to shards of SHARD consecutive ones; each shard has an
+inverted index of its tails with BM25 weights whose document frequencies and mean length are those of
+all tails. A seed tail asks the index with all its terms for its best unused neighbours, which fill
+its window, each followed by the unused ones that are close to it; the one that does not fit is cut,
+and its rest stays as a tail.
+
+The order by content is made of weighted minwise hashes: of two tails, the first hash agrees with a
+chance equal to the share of their terms, weighted by rarity, that both have, and ties of it are
+ordered by the next hash. So near copies meet in a shard however many tails there are, and copies of
+any number are dealt to as many shards as they fill. A seed that finds no close neighbour (CLOSE of
+its own score at least) in its shard waits for the next search, which orders the tails that are left
+by other hashes. The last search fills windows with the best that its shard has; what is over there is
+chained and cut into windows whose lengths are powers of two, so that no window is padded at all.
+
+Each search shuffles the tails that are left once, and a tail meets the tails of one shard: the cost
+grows in proportion to the tails.
 
 Terms are the token ids themselves: a fixed vocabulary, so that the table of document frequencies has
 a bound that does not depend on the corpus.
@@ -27,18 +33,19 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesloom.llm.texts import chunks, mix, ragged
 from salesloom.session import scratch_path
 
 WINDOW = 1024
-SHARD = 2_048  # tails of a shard, about
-QUERY_BATCH = 64  # seeds scored at once
-EXACT = 1e-6  # scores that differ by this share are equal: copies, of which a hash chooses
-LEAST_FILLED = 0.5  # share of the seeds filled in a round; under it scores are told apart less finely
-QUERY_TERMS = 32  # rarest terms of a seed that the index is asked for
+SHARD = 1_024  # tails of a shard
+SEARCHES = 2  # orders by content
+CLOSE = 0.5  # share of a seed's own score that a neighbour needs before the last search
+HASHES = 4  # of 16 bits, in a key
+RANGE_TOKENS, MOST_TOKENS = 1 << 21, 1 << 26  # ids of a range: of small inputs, and at most
 K1, B = 1.2, 0.75
 CACHED_PARTS = 400_000
 END = 0  # id behind every document
@@ -121,6 +128,8 @@ def crc(ids: np.ndarray) -> int:
 
 
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+_ROW = f"{_PIECE}, unit long, ids binary"
+_NAMES = [column.split()[0] for column in _ROW.split(", ")]
 
 
 def _cut(path: str, window: int):
@@ -144,7 +153,7 @@ def _cut(path: str, window: int):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(owners, pa.int64())),
                  *(pa.array(c, pa.int64()) for c in rows[:7]), pa.array(rows[7], pa.binary())],
-                ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "unit", "ids"])
+                _NAMES)
 
     return run
 
@@ -161,293 +170,203 @@ def _frequencies(terms: int):
     return run
 
 
+def content_hashes(idf: np.ndarray, search: int) -> np.ndarray:
+    """Ranks of all terms for each hash of a search; the smallest rank of a tail is its hash.
+
+    The rank orders exponential draws whose rate is the rarity of the term, the same in every task.
+    """
+    terms = np.arange(len(idf), dtype=np.uint64)
+    ranks = np.empty((HASHES, len(idf)), np.int64)
+    for own in range(HASHES):
+        dice = mix(mix(terms + np.uint64(1)) + np.uint64(1 + own + HASHES * search)) >> np.uint64(11)
+        draws = -np.log((dice.astype(float) + 0.5) / 2.0**53) / np.maximum(idf, 1e-9)
+        ranks[own, np.argsort(draws, kind="stable")] = np.arange(len(idf))
+    return ranks
+
+
+def content_keys(tails: list[np.ndarray], ranks: np.ndarray) -> np.ndarray:
+    """One 64-bit number for each tail, the first hash in front."""
+    if not tails:
+        return np.zeros(0, np.int64)
+    ids = np.concatenate(tails)
+    starts = np.cumsum([0, *map(len, tails[:-1])])
+    keys = np.zeros(len(tails), np.uint64)
+    for own in ranks:
+        keys = keys << np.uint64(16) | np.minimum.reduceat(own[ids], starts).astype(np.uint64)
+    return keys.view(np.int64)
+
+
 class ShardIndex:
     """Inverted index of the tails of a shard, with BM25 weights."""
 
     def __init__(self, tails: list[np.ndarray], idf: np.ndarray, mean: float):
-        self.idf, self.size = idf, len(tails)
+        self.size = len(tails)
         lengths = np.array([len(t) for t in tails], np.int64)
         owners = np.repeat(np.arange(len(tails)), lengths)
         keys, counts = np.unique(owners << 32 | np.concatenate(tails).astype(np.int64), return_counts=True)
-        self.terms, self.owners = keys & 0xFFFFFFFF, keys >> 32
-        self.first = np.searchsorted(self.owners, np.arange(len(tails) + 1))
-        shrink = K1 * (1 - B + B * lengths[self.owners] / mean)
-        weights = idf[self.terms] * counts * (K1 + 1) / (counts + shrink)
-        by_term = np.argsort(self.terms, kind="stable")
-        self.postings, self.weights = self.owners[by_term], weights[by_term]
-        self.known, self.starts = np.unique(self.terms[by_term], return_index=True)
-        self.stops = np.r_[self.starts[1:], len(by_term)]
+        terms, owners = keys & 0xFFFFFFFF, keys >> 32
+        self.first = np.searchsorted(owners, np.arange(len(tails) + 1))
+        shrink = K1 * (1 - B + B * lengths[owners] / mean)
+        weights = idf[terms] * counts * (K1 + 1) / (counts + shrink)
+        self.own = np.add.reduceat(weights, self.first[:-1])
+        by_term = np.argsort(terms, kind="stable")
+        self.postings, self.weights = owners[by_term], weights[by_term]
+        _, self.held, self.sizes = np.unique(terms, return_inverse=True, return_counts=True)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.most = np.maximum.reduceat(self.weights, self.starts)
+
+    def terms_of(self, seed: int) -> np.ndarray:
+        return self.held[self.first[seed]:self.first[seed + 1]]
 
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 of all tails for the rarest terms of a tail."""
-        return self.scores_of([query_terms(self.terms[self.first[seed]:self.first[seed + 1]], self.idf)])[0]
-
-    def scores_of(self, queries: list[np.ndarray]) -> np.ndarray:
-        """BM25 of all tails, a row for each query; terms that no tail has add nothing."""
-        terms = np.concatenate(queries).astype(np.int64)
-        row = np.repeat(np.arange(len(queries)), [len(q) for q in queries])
-        at = np.minimum(np.searchsorted(self.known, terms), len(self.known) - 1)
-        hit = self.known[at] == terms
-        at, row = at[hit], row[hit]
-        sizes = self.stops[at] - self.starts[at]
-        own = ragged(self.starts[at], sizes)
-        places = np.repeat(row * self.size, sizes) + self.postings[own]
-        return np.bincount(places, self.weights[own], len(queries) * self.size).reshape(len(queries), -1)
-
-    def best(self, queries: list[np.ndarray], seeds: np.ndarray, units: np.ndarray, most: int, tolerance: float):
-        """Row, tail and value of the `most` best tails of each query with a score over 0.
-
-        The value is a class of scores, `tolerance` of a score wide, and behind the point a hash of
-        both units, so that seeds which score many tails alike do not all want the same ones.
+        """BM25 of all tails for the terms of one."""
+        return self._sums(self.terms_of(seed))
+
+    def _sums(self, terms: np.ndarray) -> np.ndarray:
+        own = ragged(self.starts[terms], self.sizes[terms])
+        return np.bincount(self.postings[own], self.weights[own], self.size)
+
+    def best(self, seed: int, least: float, open_tails: np.ndarray) -> list[int]:
+        """Open tails that score over 0 and at least `least`, the best first, ties in their order."""
+        scores = self.scores(seed)
+        at = np.flatnonzero(open_tails & (scores > 0) & (scores >= least))
+        return at[np.argsort(-scores[at], kind="stable")].tolist()
+
+    def may_reach(self, seed: int, need: float, open_tails: np.ndarray) -> bool:
+        """False only if no open tail but the seed scores `need` for it.
+
+        The shortest lists are read until the others cannot add more than half of it.
         """
-        scores = self.scores_of(queries)
-        least = np.zeros((len(queries), 1))
-        if most < self.size:
-            least = np.partition(scores, self.size - most, axis=1)[:, self.size - most, None]
-        with np.errstate(divide="ignore"):
-            low = np.exp(np.floor(np.log(least) / tolerance) * tolerance) * (1 - 1e-9)
-        row, tail = np.nonzero((scores >= low) & (scores > 0))
-        dice = mix(mix(seeds[row].astype(np.uint64)) + units[tail].astype(np.uint64)) >> np.uint64(11)
-        value = np.floor(np.log(scores[row, tail]) / tolerance) + dice / 2.0**53
-        order = np.lexsort((-value, row))
-        row, tail, value = row[order], tail[order], value[order]
-        place = np.arange(len(row)) - np.searchsorted(row, row)
-        return row[place < most], tail[place < most], value[place < most]
-
-
-def query_terms(terms: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """The rarest of the distinct terms of a seed."""
-    if len(terms) > QUERY_TERMS:
-        terms = terms[np.argsort(-idf[terms], kind="stable")[:QUERY_TERMS]]
-    return terms
-
-
-def pack_shard(tails: list[np.ndarray], idf: np.ndarray, mean: float, window: int):
-    """Pieces (tail, from, to, sequence, offset): every tail whole, every window full or a power of two."""
+        terms = self.terms_of(seed)
+        terms = terms[np.argsort(self.sizes[terms], kind="stable")]
+        unread = self.most[terms].sum() - np.cumsum(self.most[terms])
+        upto = min(int(np.searchsorted(-unread, -need / 2)) + 1, len(terms))
+        bound = need * (1 - 1e-9) - max(0.0, unread[upto - 1])
+        reached = self._sums(terms[:upto]) >= bound
+        reached[seed] = False
+        return bool((reached & open_tails).any())
+
+
+def fill_windows(tails: list[np.ndarray], idf: np.ndarray, mean: float, window: int, last: bool):
+    """Pieces (tail, from, to, sequence, offset), and how many ids of each tail are placed.
+
+    Seeds come in the order of the tails and take their best unused neighbours. A neighbour brings
+    its own close ones along, so that it is not parted from its copies. Unless this is the `last`
+    search, a seed without a close neighbour, or without enough of any, is left; in the last one,
+    seeds that cannot fill a window are chained at the end.
+    """
     index = ShardIndex(tails, idf, mean)
-    unused = np.ones(len(tails), bool)
-    pieces, sequence, filled = [], 0, 0
-    seed, upto, following = None, 0, 0
-    scores = None
-    last: list[tuple[int, int, int]] = []  # pieces of the open window
-
-    while True:
-        if seed is None:
-            if filled and scores is not None:
-                open_scores = np.where(unused, scores, -1.0)
-                best = int(open_scores.argmax())
-                seed = best if open_scores[best] > 0 else None
-            if seed is None:
-                while following < len(tails) and not unused[following]:
-                    following += 1
-                if following == len(tails):
-                    break
-                seed = following
-            unused[seed] = False
-            upto = 0
-        if not filled:
-            scores = index.scores(seed)
-        take = min(window - filled, len(tails[seed]) - upto)
-        last.append((seed, upto, upto + take))
-        filled += take
-        upto += take
-        if filled == window:
-            offset = 0
-            for tail, a, b in last:
-                pieces.append((tail, a, b, sequence, offset))
-                offset += b - a
-            sequence, filled, last = sequence + 1, 0, []
-        if upto == len(tails[seed]):
-            seed = None
-    # the rest in windows of falling powers of two
-    size = 1 << filled.bit_length() - 1 if filled else 0
-    offset = 0
-    for tail, a, b in last:
-        while a < b:
-            take = min(b - a, size - offset)
-            pieces.append((tail, a, a + take, sequence, offset))
-            a, offset, filled = a + take, offset + take, filled - take
-            if offset == size:
+    sizes = np.array([len(t) for t in tails], np.int64)
+    placed = np.zeros(len(tails), np.int64)
+    is_open = sizes > 0
+    pieces, sequence = [], 0
+
+    def close_to(tail: int) -> list[int]:
+        need = CLOSE * index.own[tail]
+        return index.best(tail, need, is_open) if index.may_reach(tail, need, is_open) else []
+
+    for seed in range(len(tails)):
+        if not is_open[seed]:
+            continue
+        is_open[seed] = False
+        members, room = [seed], window - int(sizes[seed] - placed[seed])
+        for own in index.best(seed, 0.0, is_open) if last or close_to(seed) else []:
+            following = [own] if is_open[own] else []
+            while following and room > 0:
+                tail = following.pop(0)
+                is_open[tail] = False
+                members.append(tail)
+                room -= int(sizes[tail] - placed[tail])
+                if tail == own and room > 0:
+                    following = close_to(tail)
+            if room <= 0:
+                break
+        if room > 0:
+            is_open[members] = True
+            continue
+        offset = 0
+        for tail in members:
+            start = int(placed[tail])
+            take = min(int(sizes[tail]) - start, window - offset)
+            pieces.append((tail, start, start + take, sequence, offset))
+            placed[tail], offset = start + take, offset + take
+        is_open[members[-1]] = placed[members[-1]] < sizes[members[-1]]
+        sequence += 1
+    if last:
+        _chain(pieces, sequence, sizes, placed, window)
+    return pieces, placed
+
+
+def _chain(pieces: list, sequence: int, sizes: np.ndarray, placed: np.ndarray, window: int) -> None:
+    """Place all that is left, one tail after the other, in windows and then in falling powers of two."""
+    left, offset = int((sizes - placed).sum()), 0
+    size = min(window, 1 << left.bit_length() - 1) if left < window else window
+    for tail in np.flatnonzero(placed < sizes).tolist():
+        while placed[tail] < sizes[tail]:
+            start = int(placed[tail])
+            take = min(int(sizes[tail]) - start, size - offset)
+            pieces.append((tail, start, start + take, sequence, offset))
+            placed[tail], offset, left = start + take, offset + take, left - take
+            if offset == size and left:
                 sequence, offset = sequence + 1, 0
-                size = 1 << filled.bit_length() - 1 if filled else 0
-    return pieces
+                size = window if left >= window else 1 << left.bit_length() - 1
 
 
-def _pack(idf: np.ndarray, mean: float, window: int):
-    """Rows come sorted by shard; the shards of a partition are packed one after the other."""
+def _search(idf: np.ndarray, mean: float, window: int, shard: int, number: int, last: bool):
+    """Rows come in order of content; every `shard` of them are packed. Tails that are left have ids."""
 
-    def finish(rows: pa.Table, number: int):
-        rows = rows.sort_by("unit")
-        tails = [np.frombuffer(ids, "<u2").astype(np.uint32) for ids in rows["ids"].to_pylist()]
-        pieces = pack_shard(tails, idf, mean, window)
-        tail, a, b, sequence, offset = (np.array(c, np.int64) for c in zip(*pieces, strict=True))
-        at = pa.array(tail)
+    def finish(rows: pa.Table, sequence: int):
+        tails = [np.frombuffer(ids, "<u2").astype(np.int64) for ids in rows["ids"].to_pylist()]
+        pieces, placed = fill_windows(tails, idf, mean, window, last)
+        tail, a, b, own, offset = np.array(pieces, np.int64).reshape(-1, 5).T
         checks = [crc(tails[t][x:y]) for t, x, y in zip(tail.tolist(), a.tolist(), b.tolist(), strict=True)]
-        start = rows["start"].to_numpy()[tail] + a
-        result = pa.table({
-            "doc_id": rows["doc_id"].take(at), "start": start, "length": b - a,
-            "ids_crc32": pa.array(checks, pa.int64()), "doc_tokens": rows["doc_tokens"].take(at),
-            "sequence_id": number + 2 * sequence, "offset": offset}).combine_chunks()
-        return result.to_batches(), number + 2 * (int(sequence.max()) + 1)
+        rest = np.flatnonzero(placed < [len(t) for t in tails])
+        start = rows["start"].to_numpy()
+        at, none = np.r_[tail, rest], [None] * len(rest)
+        kept = [tails[t][placed[t]:].astype("<u2").tobytes() for t in rest.tolist()]
+        yield pa.RecordBatch.from_arrays([
+            rows["doc_id"].take(pa.array(at)).combine_chunks(),
+            pa.array(start[at] + np.r_[a, placed[rest]]),
+            pa.array(np.r_[b - a, [len(tails[t]) - placed[t] for t in rest.tolist()]].astype(np.int64)),
+            pa.array([*checks, *none], pa.int64()),
+            rows["doc_tokens"].take(pa.array(at)).combine_chunks(),
+            pa.array([*(sequence + 2 * own).tolist(), *none], pa.int64()),
+            pa.array([*offset.tolist(), *none], pa.int64()),
+            rows["unit"].take(pa.array(at)).combine_chunks(),
+            pa.array([*[None] * len(tail), *kept], pa.binary()),
+        ], _NAMES)
 
     def run(batches):
-        number, waiting = (TaskContext.get().partitionId() << 33) + 1, None
+        sequence = (number + 1 << 58) + (TaskContext.get().partitionId() << 33) + 1
+        waiting = None
         for batch in batches:
-            if not batch.num_rows:
-                continue
             rows = pa.Table.from_batches([batch])
             waiting = rows if waiting is None else pa.concat_tables([waiting, rows])
-            while waiting.num_rows:
-                shards = waiting["shard"].to_numpy()
-                cut = int(np.searchsorted(shards, shards[0], "right"))
-                if cut == waiting.num_rows:
-                    break
-                done, number = finish(waiting.slice(0, cut), number)
-                yield from done
-                waiting = waiting.slice(cut)
+            while waiting.num_rows >= shard:
+                yield from finish(waiting.slice(0, shard), sequence)
+                # a tail is shorter than a window, so a shard has fewer windows than tails and powers of two
+                waiting, sequence = waiting.slice(shard), sequence + 2 * (shard + 64)
         if waiting is not None and waiting.num_rows:
-            yield from finish(waiting, number)[0]
-
-    return run
-
-
-def _queries(idf: np.ndarray):
-    """Terms that each seed asks for."""
-
-    def run(batches):
-        for batch in batches:
-            terms = [query_terms(np.unique(np.frombuffer(ids, "<u2")), idf).astype("<u2").tobytes()
-                     for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("unit"), pa.array(terms, pa.binary())], ["unit", "terms"])
+            yield from finish(waiting, sequence)
 
     return run
 
 
-def _search(idf: np.ndarray, mean: float, most: int, tolerance: float):
-    """Best neighbours in a shard of all seeds. Rows come sorted by shard, tails before seeds."""
-
-    def run(batches):
-        shard, index, units, lengths, tails = None, None, [], [], []
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("shard", "seed", "unit", "ids")]
-            waiting: list[tuple[int, np.ndarray]] = []
-
-            def ask():
-                for start in range(0, len(waiting) if tails else 0, QUERY_BATCH):
-                    some = waiting[start:start + QUERY_BATCH]
-                    seeds = np.array([seed for seed, _ in some], np.int64)
-                    row, tail, value = index.best([terms for _, terms in some], seeds, units, most, tolerance)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(seeds[row]), pa.array(units[tail]), pa.array(lengths[tail]), pa.array(value)],
-                        ["seed", "unit", "length", "value"])
-
-            for own, is_seed, unit, part in zip(*columns, strict=True):
-                if own != shard:
-                    yield from ask()
-                    waiting = []
-                    shard, index, units, lengths, tails = own, None, [], [], []
-                part = np.frombuffer(part, "<u2")
-                if not is_seed:
-                    tails.append(part)
-                    units.append(unit)
-                    continue
-                if index is None and tails:
-                    index = ShardIndex(tails, idf, mean)
-                    units, lengths = np.array(units, np.int64), np.array([len(t) for t in tails], np.int64)
-                waiting.append((unit, part))
-            yield from ask()
-
-    return run
+def _ordered(tails: DataFrame, tokens: int, idf: np.ndarray, search: int) -> DataFrame:
+    """Tails in ranges of their content; equal content is split by unit, so no range is hot."""
+    ranks = content_hashes(idf, search)
 
+    @F.arrow_udf(T.LongType())
+    def key(ids: pa.Array) -> pa.Array:
+        return pa.array(content_keys([np.frombuffer(i, "<u2") for i in ids.to_pylist()], ranks))
 
-def _claims(state: DataFrame, number: int, share: float, total: int, idf: np.ndarray, mean: float,
-            most: int, tolerance: float, window: int) -> DataFrame:
-    """unit, sequence_id, offset and take of the tails that fill windows in a round."""
-    shards = math.ceil(total / SHARD)
-    is_seed = F.pmod(F.xxhash64("unit", F.lit(number)), F.lit(1 << 20)) < int(share * (1 << 20))
-    seeds = state.where(is_seed).select("unit", "ids").mapInArrow(_queries(idf), "unit long, terms binary")
-    asked = seeds.select(
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("seed"), "unit",
-        F.col("terms").alias("ids"))
-    held = state.where(~is_seed).select(
-        F.pmod(F.xxhash64("unit"), F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("seed"), "unit", "ids")
-    found = held.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "seed").mapInArrow(
-        _search(idf, mean, most, tolerance), "seed long, unit long, length long, value double")
-    ranked = Window.partitionBy("seed").orderBy(F.desc("value"), "unit")
-    best = found.withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= most)
-    lengths = state.where(is_seed).select(
-        F.col("unit").alias("seed"), (F.octet_length("ids") / 2).cast("long").alias("own"))
-    before = F.coalesce(F.sum("length").over(
-        Window.partitionBy("seed").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    wanted = best.join(lengths, "seed").withColumn("needed", F.col("own") + before < window)
-    won = wanted.groupBy("unit").agg(F.max(F.struct(
-        "needed", "value", "seed", "place", "length", "own")).alias("claim")).select("unit", "claim.*")
-    filled = won.withColumn("offset", F.col("own") + before).withColumn(
-        "tokens", F.col("own") + F.sum("length").over(Window.partitionBy("seed"))).where(
-        (F.col("tokens") >= window) & (F.col("offset") < window))
-    first = filled.where(F.col("offset") == F.col("own")).select(
-        F.col("seed").alias("unit"), F.col("seed").alias("claimed"), F.lit(0).cast("long").alias("at"), F.col("own").alias("take"))
-    return filled.select(
-        "unit", F.col("seed").alias("claimed"), F.col("offset").alias("at"),
-        F.least("length", F.lit(window) - F.col("offset")).alias("take")).unionByName(first)
-
-
-def _checked():
-    """Finished pieces from claimed tails."""
+    session = int(tails.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(math.ceil(tokens / RANGE_TOKENS), max(session, math.ceil(tokens / MOST_TOKENS)))
+    keyed = tails.select("doc_id", "start", "doc_tokens", "unit", "ids", key("ids").alias("key"))
+    return keyed.repartitionByRange(max(1, ranges), "key", "unit").sortWithinPartitions("key", "unit")
 
-    def run(batches):
-        for batch in batches:
-            checks = [crc(np.frombuffer(ids, "<u2")) for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("doc_id", "start")), batch.column("take"), pa.array(checks, pa.int64()),
-                 *(batch.column(c) for c in ("doc_tokens", "claimed", "at"))],
-                [c.split()[0] for c in _PIECE.split(", ")])
-
-    return run
 
-
-_TAIL = ["doc_id", "start", "doc_tokens", "unit", "ids"]
-
-
-def claim_rounds(tails: DataFrame, total: int, tokens: int, idf: np.ndarray, window: int):
-    """Windows filled with neighbours from all shards, as pieces, and the tails that are left.
-
-    Every round searches all tails that are left. A round fills fewer than LEAST_FILLED of its seeds
-    where many seeds want the same tails; the next one then takes scores for equal that differ by
-    twice as much, from 1 % on. What is left fits in a shard, unless hardly any seed can be filled with
-    tails that score over 0 and the rounds end early.
-    """
-    spark, mean = tails.sparkSession, tokens / total
-    pieces, state, number, tolerance = [], tails.select(*_TAIL), 0, EXACT
-    while total > SHARD:
-        length = tokens / total
-        most = 2 * math.ceil(window / length) + 8
-        share = min(0.5, max(0.01, 0.5 * length / window))  # half of the tokens go to their windows
-        claims = _claims(state, number, share, total, idf, mean, most, tolerance, window)
-        path = scratch_path(spark, "packing-round")
-        state.join(claims, "unit", "left").write.parquet(path)
-        placed = spark.read.parquet(path)
-        done = F.col("claimed").isNotNull()
-        head = F.expr("substring(ids, 1, cast(2 * take as int))")
-        pieces.append(placed.where(done).select(
-            "doc_id", "start", "take", "doc_tokens", "claimed", "at", head.alias("ids")).mapInArrow(_checked(), _PIECE))
-        rest = F.expr("substring(ids, cast(2 * coalesce(take, 0) + 1 as int))")
-        state = placed.select(
-            "doc_id", (F.col("start") + F.coalesce("take", F.lit(0))).alias("start"), "doc_tokens", "unit",
-            rest.alias("ids")).where(F.octet_length("ids") > 0)
-        seeds = total * share
-        total, left = state.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("ids") / 2).cast("long"), F.lit(0))).first()
-        full = (tokens - left) / window
-        tokens, number = left, number + 1
-        if full < LEAST_FILLED * seeds:
-            if tolerance > 10 and full < 0.02 * seeds:
-                break
-            tolerance = max(0.01, 2 * tolerance)
-    return pieces, state, total
-
-
-def pack(docs: DataFrame, ranks_path: str, window: int = WINDOW) -> DataFrame:
+def pack(docs: DataFrame, ranks_path: str, window: int = WINDOW, shard: int = SHARD) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset of every piece.
 
     A document is its ids with END behind; a NULL or empty text is END alone. Every id lies in exactly
@@ -462,9 +381,10 @@ def pack(docs: DataFrame, ranks_path: str, window: int = WINDOW) -> DataFrame:
         raise ValueError("tails are stored in 16 bits an id")
     path = scratch_path(spark, "packing")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows.mapInArrow(_cut(ranks_path, window), f"{_PIECE}, unit long, ids binary").write.parquet(path)
+    rows.mapInArrow(_cut(ranks_path, window), _ROW).write.parquet(path)
     cut = spark.read.parquet(path)
-    full = cut.where(F.col("sequence_id").isNotNull()).select(*[c.split()[0] for c in _PIECE.split(", ")])
+    columns = _NAMES[:7]
+    full = cut.where(F.col("sequence_id").isNotNull()).select(*columns)
     tails = cut.where(F.col("sequence_id").isNull())
     total, tokens = tails.agg(F.count("*"), F.sum("length")).first()
     if not total:
@@ -473,15 +393,16 @@ def pack(docs: DataFrame, ranks_path: str, window: int = WINDOW) -> DataFrame:
     frequencies = np.zeros(len(sizes), np.int64)
     for row in counted.groupBy("term").agg(F.sum("n").alias("n")).collect():
         frequencies[row["term"]] = row["n"]
-    idf = np.log1p((total - frequencies + 0.5) / (frequencies + 0.5))
-    pieces, left, over = claim_rounds(tails, total, tokens, idf, window)
-    for piece in pieces:
-        full = full.unionByName(piece)
-    if not over:
-        return full
-    shards = math.ceil(over / SHARD)
-    dealt = left.select("doc_id", "start", "doc_tokens", "unit", "ids", F.pmod(
-        F.xxhash64("unit"), F.lit(shards)).cast("int").alias("shard"))
-    packed = dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(
-        _pack(idf, tokens / total, window), _PIECE)
-    return full.unionByName(packed)
+    idf, mean = np.log1p((total - frequencies + 0.5) / (frequencies + 0.5)), tokens / total
+    for search in range(SEARCHES):
+        last = search == SEARCHES - 1
+        found = _ordered(tails, tokens, idf, search).mapInArrow(
+            _search(idf, mean, window, shard, search, last), _ROW)
+        if last:
+            return full.unionByName(found.select(*columns))
+        path = scratch_path(spark, "packing-search")
+        found.write.parquet(path)
+        found = spark.read.parquet(path)
+        full = full.unionByName(found.where(F.col("sequence_id").isNotNull()).select(*columns))
+        tails = found.where(F.col("sequence_id").isNull())
+        tokens = tails.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
