@@ -299,8 +299,11 @@ def fill_windows(tails: list[np.ndarray], idf: np.ndarray, mean: float, window:
 
 def _chain(pieces: list, sequence: int, sizes: np.ndarray, placed: np.ndarray, window: int) -> None:
     """Place all that is left, one tail after the other, in windows and then in falling powers of two."""
+    def next_size() -> int:
+        return window if left >= window else 1 << left.bit_length() - 1
+
     left, offset = int((sizes - placed).sum()), 0
-    size = min(window, 1 << left.bit_length() - 1) if left < window else window
+    size = next_size() if left else 0
     for tail in np.flatnonzero(placed < sizes).tolist():
         while placed[tail] < sizes[tail]:
             start = int(placed[tail])
@@ -309,7 +312,7 @@ def _chain(pieces: list, sequence: int, sizes: np.ndarray, placed: np.ndarray, w
             placed[tail], offset, left = start + take, offset + take, left - take
             if offset == size and left:
                 sequence, offset = sequence + 1, 0
-                size = window if left >= window else 1 << left.bit_length() - 1
+                size = next_size()
 
 
 def _search(idf: np.ndarray, mean: float, window: int, shard: int, number: int, last: bool):

@@ -145,6 +145,12 @@ def test_windows_are_filled_with_the_best_unused_neighbours():
         assert last or len(pieces) == len(want)
 
 
+def test_tails_that_fill_their_windows_exactly_leave_nothing():
+    tails = [np.full(32, 7)] * 4
+    pieces, placed = packing.fill_windows(tails, np.ones(10), 32.0, 64, True)
+    assert placed.tolist() == [32] * 4 and {p[3] for p in pieces} == {0, 1}
+
+
 def test_a_bound_never_hides_a_close_neighbour():
     rng = np.random.default_rng(2)
     tails = [rng.integers(0, 90, rng.integers(1, 40)) for _ in range(80)]
