@@ -26,9 +26,9 @@ from __future__ import annotations
 
 import base64
 import math
+import re
 import zlib
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,79 +47,44 @@ CLOSE = 0.5  # share of a seed's own score that a neighbour needs before the las
 HASHES = 4  # of 16 bits, in a key
 RANGE_TOKENS, MOST_TOKENS = 1 << 21, 1 << 26  # ids of a range: of small inputs, and at most
 K1, B = 1.2, 0.75
-CACHED_PARTS = 400_000
 END = 0  # id behind every document
 #: The split pattern and the special token of the vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPECIAL = {"<|endoftext|>": 50256}
+_LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
 
 
 @lru_cache(maxsize=2)
 def encoding(path: str):
-    """The byte-level BPE whose ranks a file lists, and the bytes of each token."""
+    """The byte-level BPE whose ranks a file lists, and the number of its ids."""
     import tiktoken
 
     with open(path, "rb") as file:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
-    sizes = np.zeros(max(*ranks.values(), *SPECIAL.values()) + 1, np.int64)
-    for token, rank in [*ranks.items(), *((t.encode(), i) for t, i in SPECIAL.items())]:
-        sizes[rank] = len(token)
     coder = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
-    return coder, sizes
-
-
-class Encoder:
-    """Ids of texts. Between a space and a visible character no token is shared, so texts are encoded
-    part by part, every distinct part once; texts with other white space around a space go whole."""
-
-    def __init__(self, path: str):
-        self.coder, self.sizes = encoding(path)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids, self.starts, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def whole(self, text: str) -> list[int]:
-        return self.coder.encode(text, allowed_special="all")
-
-    def _learn(self, parts: list[str]) -> None:
-        """Encode parts, each behind a space, in one go; the bytes of the tokens tell them apart."""
-        ids = np.array(self.whole(" " + " ".join(parts)), np.uint32)
-        ends = np.cumsum(self.sizes[ids])
-        size = np.fromiter((len(p.encode()) + 1 for p in parts), np.int64, len(parts))
-        stops = np.searchsorted(ends, np.cumsum(size)) + 1
-        starts = np.r_[0, stops[:-1]]
-        self.known.update(zip(parts, range(len(self.counts), len(self.counts) + len(parts)), strict=True))
-        self.starts = np.r_[self.starts, starts + len(self.ids)]
-        self.counts = np.r_[self.counts, stops - starts]
-        self.ids = np.r_[self.ids, ids]
-
-    @staticmethod
-    def _plain(text: str, parts: list[str]) -> bool:
-        """Whether every space stands before a visible character."""
-        return all(parts) and not any(p[0].isspace() for p in parts)
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """The ids of each text, END behind them."""
-        if len(self.known) > CACHED_PARTS:
-            self._forget()
-        split = []
-        for text in texts:
-            head, *parts = (text or "").split(" ")
-            split.append((head, parts) if self._plain(text, parts) else (text, []))
-        new = list(set(chain.from_iterable(parts for _, parts in split)).difference(self.known))
-        if new:
-            self._learn(new)
-        sizes = np.fromiter((len(parts) for _, parts in split), np.int64, len(split))
-        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(parts for _, parts in split)),
-                         np.int64, int(sizes.sum()))
-        ids = self.ids[ragged(self.starts[at], self.counts[at])]
-        stops = np.r_[0, np.cumsum(self.counts[at])][np.cumsum(sizes)]
-        starts = np.r_[0, stops[:-1]]
-        return [
-            np.concatenate([np.array(self.whole(head), np.uint32), ids[a:b], np.array([END], np.uint32)])
-            for (head, _), a, b in zip(split, starts.tolist(), stops.tolist(), strict=True)]
+    return coder, max(*ranks.values(), *SPECIAL.values()) + 1
+
+
+def encode(texts: list[str | None], path: str) -> list[np.ndarray]:
+    """The ids of each whole text, END behind them; NULL is empty.
+
+    A long run of white space is one match of the pattern, but for its last character if something
+    other than a special token follows; such runs are merged without the pattern, which would
+    search them recursively.
+    """
+    coder, end = encoding(path)[0], np.array([END], np.uint32)
+    found = []
+    for text in texts:
+        text, start, parts = text or "", 0, []
+        for run in _LONG_SPACE.finditer(text):
+            parts.append(coder.encode_to_numpy(text[start:run.start()], allowed_special="all"))
+            start = run.end()
+            if start < len(text) and not text.startswith(tuple(SPECIAL), start):
+                start -= 1
+            parts.append(np.array(coder._encode_single_piece(text[run.start():start]), np.uint32))
+        parts.append(coder.encode_to_numpy(text[start:], allowed_special="all"))
+        found.append(np.concatenate([*parts, end]))
+    return found
 
 
 def crc(ids: np.ndarray) -> int:
@@ -136,11 +101,11 @@ def _cut(path: str, window: int):
     """Full windows as finished pieces, tails with their ids and without a sequence."""
 
     def run(batches):
-        encoder, number = Encoder(path), TaskContext.get().partitionId() << 33
+        number = TaskContext.get().partitionId() << 33
         for batch in chunks(batches):
             rows: list[list] = [[] for _ in range(8)]
             owners = []
-            for row, ids in enumerate(encoder.encode(batch.column("text").to_pylist())):
+            for row, ids in enumerate(encode(batch.column("text").to_pylist(), path)):
                 for start in range(0, len(ids), window):
                     part = ids[start:start + window]
                     full = len(part) == window
@@ -215,6 +180,14 @@ class ShardIndex:
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.most = np.maximum.reduceat(self.weights, self.starts)
 
+    def keep(self, open_tails: np.ndarray) -> None:
+        """Take all other tails out of the lists."""
+        kept = open_tails[self.postings]
+        terms = np.repeat(np.arange(len(self.sizes)), self.sizes)[kept]
+        self.postings, self.weights = self.postings[kept], self.weights[kept]
+        self.sizes = np.bincount(terms, minlength=len(self.sizes))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
     def terms_of(self, seed: int) -> np.ndarray:
         return self.held[self.first[seed]:self.first[seed + 1]]
 
@@ -226,12 +199,6 @@ class ShardIndex:
         own = ragged(self.starts[terms], self.sizes[terms])
         return np.bincount(self.postings[own], self.weights[own], self.size)
 
-    def best(self, seed: int, least: float, open_tails: np.ndarray) -> list[int]:
-        """Open tails that score over 0 and at least `least`, the best first, ties in their order."""
-        scores = self.scores(seed)
-        at = np.flatnonzero(open_tails & (scores > 0) & (scores >= least))
-        return at[np.argsort(-scores[at], kind="stable")].tolist()
-
     def may_reach(self, seed: int, need: float, open_tails: np.ndarray) -> bool:
         """False only if no open tail but the seed scores `need` for it.
 
@@ -261,16 +228,23 @@ def fill_windows(tails: list[np.ndarray], idf: np.ndarray, mean: float, window:
     is_open = sizes > 0
     pieces, sequence = [], 0
 
-    def close_to(tail: int) -> list[int]:
+    def neighbours(tail: int, close: bool) -> list[int]:
+        """Open tails, the best first, ties in their order; only close ones, or all if one is close or need not be."""
         need = CLOSE * index.own[tail]
-        return index.best(tail, need, is_open) if index.may_reach(tail, need, is_open) else []
-
+        if (close or not last) and not index.may_reach(tail, need, is_open):
+            return []
+        scores = index.scores(tail)
+        at = np.flatnonzero(is_open & (scores >= need if close else scores > 0))
+        at = at[np.argsort(-scores[at], kind="stable")]
+        return at.tolist() if last or len(at) and scores[at[0]] >= need else []
+
+    indexed = len(tails)
     for seed in range(len(tails)):
         if not is_open[seed]:
             continue
         is_open[seed] = False
         members, room = [seed], window - int(sizes[seed] - placed[seed])
-        for own in index.best(seed, 0.0, is_open) if last or close_to(seed) else []:
+        for own in neighbours(seed, False):
             following = [own] if is_open[own] else []
             while following and room > 0:
                 tail = following.pop(0)
@@ -278,7 +252,7 @@ def fill_windows(tails: list[np.ndarray], idf: np.ndarray, mean: float, window:
                 members.append(tail)
                 room -= int(sizes[tail] - placed[tail])
                 if tail == own and room > 0:
-                    following = close_to(tail)
+                    following = neighbours(tail, True)
             if room <= 0:
                 break
         if room > 0:
@@ -292,6 +266,9 @@ def fill_windows(tails: list[np.ndarray], idf: np.ndarray, mean: float, window:
             placed[tail], offset = start + take, offset + take
         is_open[members[-1]] = placed[members[-1]] < sizes[members[-1]]
         sequence += 1
+        if 4 * (now := int(is_open.sum())) < 3 * indexed:
+            index.keep(is_open)
+            indexed = now
     if last:
         _chain(pieces, sequence, sizes, placed, window)
     return pieces, placed
@@ -379,8 +356,8 @@ def pack(docs: DataFrame, ranks_path: str, window: int = WINDOW, shard: int = SH
     `ranks_path` must exist on every executor.
     """
     spark = docs.sparkSession
-    _, sizes = encoding(ranks_path)
-    if len(sizes) > 1 << 16:
+    _, terms = encoding(ranks_path)
+    if terms > 1 << 16:
         raise ValueError("tails are stored in 16 bits an id")
     path = scratch_path(spark, "packing")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -392,8 +369,8 @@ def pack(docs: DataFrame, ranks_path: str, window: int = WINDOW, shard: int = SH
     total, tokens = tails.agg(F.count("*"), F.sum("length")).first()
     if not total:
         return full
-    counted = tails.select("ids").mapInArrow(_frequencies(len(sizes)), "term int, n long")
-    frequencies = np.zeros(len(sizes), np.int64)
+    counted = tails.select("ids").mapInArrow(_frequencies(terms), "term int, n long")
+    frequencies = np.zeros(terms, np.int64)
     for row in counted.groupBy("term").agg(F.sum("n").alias("n")).collect():
         frequencies[row["term"]] = row["n"]
     idf, mean = np.log1p((total - frequencies + 0.5) / (frequencies + 0.5)), tokens / total

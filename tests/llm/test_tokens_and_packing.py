@@ -55,10 +55,11 @@ def ids_of(tokenizer_path, texts):
     return [[*library.encode(t or "", add_special_tokens=False).ids, 0] for t in texts]
 
 
-def test_encoder_gives_the_ids_of_the_library(tokenizer_path, texts):
-    encoder = packing.Encoder(tokenizer_path("byte_bpe_50k.tiktoken"))
-    for _ in range(2):  # the second time from memory
-        assert [x.tolist() for x in encoder.encode(texts)] == ids_of(tokenizer_path, texts)
+def test_ids_are_those_of_the_library(tokenizer_path, texts):
+    runs = [" " * 1000, "\n" * 1001, " \t" * 5000, "\u2003" * 2000, " " * 999 + "\x1c"]
+    texts = [*texts, *(f"{a}{run}{b}" for run in runs for a in ("", "x", "é'") for b in ("", "y", "<|endoftext|>", "'s", "1"))]
+    found = packing.encode(texts, tokenizer_path("byte_bpe_50k.tiktoken"))
+    assert [x.tolist() for x in found] == ids_of(tokenizer_path, texts)
 
 
 @pytest.mark.parametrize("window", [1024, 64])
