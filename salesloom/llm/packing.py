@@ -172,13 +172,13 @@ class ShardIndex:
         terms, owners = keys & 0xFFFFFFFF, keys >> 32
         self.first = np.searchsorted(owners, np.arange(len(tails) + 1))
         shrink = K1 * (1 - B + B * lengths[owners] / mean)
-        weights = idf[terms] * counts * (K1 + 1) / (counts + shrink)
-        self.own = np.add.reduceat(weights, self.first[:-1])
-        by_term = np.argsort(terms, kind="stable")
-        self.postings, self.weights = owners[by_term], weights[by_term]
+        weights = (idf[terms] * counts * (K1 + 1) / (counts + shrink)).astype(np.float32)  # lists stay in the cache
+        self.own = np.add.reduceat(weights, self.first[:-1], dtype=float)
+        by_term = np.argsort(terms.astype(np.uint16), kind="stable")  # ids have 16 bits, which are sorted by digits
+        self.postings, self.weights = owners[by_term].astype(np.int32), weights[by_term]
         _, self.held, self.sizes = np.unique(terms, return_inverse=True, return_counts=True)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.most = np.maximum.reduceat(self.weights, self.starts)
+        self.most = np.maximum.reduceat(self.weights, self.starts).astype(float)
 
     def keep(self, open_tails: np.ndarray) -> None:
         """Take all other tails out of the lists."""
@@ -199,19 +199,19 @@ class ShardIndex:
         own = ragged(self.starts[terms], self.sizes[terms])
         return np.bincount(self.postings[own], self.weights[own], self.size)
 
-    def may_reach(self, seed: int, need: float, open_tails: np.ndarray) -> bool:
-        """False only if no open tail but the seed scores `need` for it.
+    def reached(self, seed: int, need: float, open_tails: np.ndarray) -> np.ndarray | None:
+        """BM25 of all tails for the terms of one; None only if no open tail but the seed scores `need`.
 
-        The shortest lists are read until the others cannot add more than half of it.
+        The shortest lists are read first, until the others cannot add more than half of it.
         """
         terms = self.terms_of(seed)
         terms = terms[np.argsort(self.sizes[terms], kind="stable")]
         unread = self.most[terms].sum() - np.cumsum(self.most[terms])
         upto = min(int(np.searchsorted(-unread, -need / 2)) + 1, len(terms))
-        bound = need * (1 - 1e-9) - max(0.0, unread[upto - 1])
-        reached = self._sums(terms[:upto]) >= bound
-        reached[seed] = False
-        return bool((reached & open_tails).any())
+        scores = self._sums(terms[:upto])
+        hopeful = open_tails & (scores >= need * (1 - 1e-9) - max(0.0, unread[upto - 1]))
+        hopeful[seed] = False
+        return scores + self._sums(terms[upto:]) if hopeful.any() else None
 
 
 def fill_windows(tails: list[np.ndarray], idf: np.ndarray, mean: float, window: int, last: bool):
@@ -231,9 +231,9 @@ def fill_windows(tails: list[np.ndarray], idf: np.ndarray, mean: float, window:
     def neighbours(tail: int, close: bool) -> list[int]:
         """Open tails, the best first, ties in their order; only close ones, or all if one is close or need not be."""
         need = CLOSE * index.own[tail]
-        if (close or not last) and not index.may_reach(tail, need, is_open):
+        scores = index.reached(tail, need, is_open) if close or not last else index.scores(tail)
+        if scores is None:
             return []
-        scores = index.scores(tail)
         at = np.flatnonzero(is_open & (scores >= need if close else scores > 0))
         at = at[np.argsort(-scores[at], kind="stable")]
         return at.tolist() if last or len(at) and scores[at[0]] >= need else []
