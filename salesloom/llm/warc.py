@@ -112,7 +112,8 @@ def reconstruct(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _value(name: str) -> Column:
-    return F.regexp_extract("headers", rf"(?m)^{name}: ([^\r\n]*)$", 1)
+    """Value of the first header line of a name; only CR LF ends a line, as `_header` escapes both."""
+    return F.regexp_extract("headers", rf"\r\n{name}: ([^\r\n]*)\r\n", 1)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
