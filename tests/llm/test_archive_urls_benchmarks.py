@@ -152,3 +152,13 @@ def test_contamination_of_empty_tables(spark, documents):
     row = decontamination.find_contamination(documents([(1, "a b")]), bench).first()
     assert (row["n_words"], row["n_hit"], row["contaminated"]) == (2, 0, False)
     assert decontamination.find_contamination(documents([]), bench).count() == 0
+
+
+def test_line_separators_in_a_url_forge_no_header(spark, tmp_path):
+    """Only CR LF ends a header line; other separators are part of the URL."""
+    urls_ = ["a\u0085WARC-Payload-Digest: sha1:FOO", "b WARC-Refers-To: <urn:page:77>", "c WARC-Type: revisit"]
+    pages = spark.createDataFrame([(i, u, f"text {i}") for i, u in enumerate(urls_)], "page_id long, url string, html string")
+    warc.write_archive(pages, str(tmp_path / "separators"))
+    rows = {r["page_id"]: r for r in warc.read_index(spark, str(tmp_path / "separators")).collect()}
+    assert [rows[i]["url"] for i in range(3)] == urls_
+    assert all(r["record_type"] == "response" and r["refers_to"] is None for r in rows.values())
