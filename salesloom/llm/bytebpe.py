@@ -5,8 +5,10 @@ can hold the vocabulary as text, and every entry gets the one pair that its own
 pair is merged in a text only if all lower ranks are merged already, so no other pair of the same
 entry ever meets, and ids are those of merging by rank.
 
-Texts are encoded in pieces that end where a match of the pattern must end: before white space that
+Texts are read in pieces that end where a match of the pattern must end: before white space that
 follows something else. A piece without such a place stays whole, as do the merges inside one match.
+Matches of the pattern are merged apart from each other, so each distinct one of a task goes through
+the library once, and the ids of a text are gathered from those of its matches.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ import base64
 import os
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +26,9 @@ from pyspark.sql import functions as F
 
 from salesloom.llm.texts import chunks, ragged, utf8
 
-PIECE = 1 << 16  # characters; an encoding takes about a hundred bytes a token while it is made
+PIECE = 1 << 16  # characters
+GROUP = PIECE * 4  # characters of pieces that are looked up together
+REMEMBERED = 1 << 21  # characters of distinct matches that a task holds before it starts anew
 # Characters with the property White_Space.
 _SPACE = "\t-\r " + "".join(map(chr, (
     0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
@@ -60,7 +65,7 @@ class Codec:
     """What tasks need of a rank file: the tokenizer as text, and the bytes of every id."""
 
     def __init__(self, path: str, pattern: str):
-        from tokenizers import Regex, Tokenizer, models, pre_tokenizers
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         ranks = read_ranks(path)
         characters = byte_characters()
@@ -70,10 +75,8 @@ class Codec:
         # An entry that its own merges never give is found only as a whole match.
         model = models.BPE(vocab={text[t]: r for t, r in ranks.items()}, merges=merges, ignore_merges=True)
         tokenizer = Tokenizer(model)
-        tokenizer.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.Split(Regex(pattern), "isolated"),
-            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.state = tokenizer.to_str()
+        tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.state, self.pattern = tokenizer.to_str(), pattern
         values = {character: byte for byte, character in enumerate(characters)}
         tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for name, rank in tokenizer.get_vocab().items():
@@ -102,29 +105,55 @@ def pieces(text: str, size: int = PIECE) -> list[str]:
     return [*found, text[start:]]
 
 
-def encode_texts(state: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts one after the other, and how many each text has."""
-    tokenizer = _tokenizer(state)
-    parts = [pieces(text) for text in texts]
-    ids, counts, waiting, room = [], [], [], PIECE * 4
+class Encoder:
+    """Ids of texts in a task; remembers those of a bounded number of matches."""
 
-    def flush():
-        for one in tokenizer.encode_batch_fast(waiting, add_special_tokens=False):
-            ids.append(np.array(one.ids, np.int32))
-            counts.append(len(one.ids))
-        waiting.clear()
+    def __init__(self, codec: Codec):
+        import regex
 
-    held = 0
-    for part in (p for own in parts for p in own):
-        waiting.append(part)
-        held += len(part)
-        if held > room:
-            flush()
-            held = 0
-    flush()
-    ends = np.cumsum([len(own) for own in parts], dtype=np.int64)
-    sums = np.r_[0, np.cumsum(counts, dtype=np.int64)]
-    return np.concatenate([np.zeros(0, np.int32), *ids]), np.diff(sums[np.r_[0, ends]])
+        self.matches, self.tokenizer = regex.compile(codec.pattern), _tokenizer(codec.state)
+        self._forget()
+
+    def _forget(self):
+        self.places: dict[str, int] = {}
+        self.held = 0
+        self.ids, self.sizes, self.starts = (np.zeros(0, kind) for kind in (np.int32, np.int64, np.int64))
+
+    def _learn(self, words: list[str]):
+        found = [one.ids for one in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        self.places.update(zip(words, range(len(self.places), len(self.places) + len(words)), strict=True))
+        self.held += sum(map(len, words))
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.int32)])
+        self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, found), np.int64, len(found))])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def _group(self, parts: list[str]) -> tuple[np.ndarray, list[int]]:
+        split = [self.matches.findall(part) for part in parts]
+        if self.held > REMEMBERED:
+            self._forget()
+        new = list(dict.fromkeys(word for word in chain.from_iterable(split) if word not in self.places))
+        if new:
+            self._learn(new)
+        words = np.fromiter(map(len, split), np.int64, len(split))
+        at = np.fromiter(map(self.places.__getitem__, chain.from_iterable(split)), np.int64, int(words.sum()))
+        sizes = self.sizes[at]
+        sums = np.r_[0, np.cumsum(sizes)][np.r_[0, np.cumsum(words)]]
+        return self.ids[ragged(self.starts[at], sizes)], np.diff(sums)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each text has."""
+        parts = [(row, part) for row, text in enumerate(texts) for part in pieces(text)]
+        ids, counts, start = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64), 0
+        while start < len(parts):
+            stop, room = start + 1, GROUP - len(parts[start][1])
+            while stop < len(parts) and room > 0:
+                room -= len(parts[stop][1])
+                stop += 1
+            own, sizes = self._group([part for _, part in parts[start:stop]])
+            ids.append(own)
+            np.add.at(counts, [row for row, _ in parts[start:stop]], sizes)
+            start = stop
+        return np.concatenate(ids), counts
 
 
 def token_bytes(codec: Codec, ids: np.ndarray) -> np.ndarray:
@@ -166,9 +195,10 @@ def encode(docs: DataFrame, codec: Codec) -> DataFrame:
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
         own = shared.value
+        encoder = Encoder(own)
         for batch in chunks(batches, limit=1 << 20):
             texts = [text or "" for text in batch.column("text").to_pylist()]
-            ids, counts = encode_texts(own.state, texts)
+            ids, counts = encoder.encode(texts)
             starts, ends = character_spans(own.sizes[ids], b"".join(utf8(batch.column("text"))), counts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(_lists(v, counts) for v in (ids, starts, ends))],

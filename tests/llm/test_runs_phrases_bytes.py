@@ -159,7 +159,7 @@ def test_ids_and_spans_are_those_of_the_library(spark, documents, codec, library
 
 def test_every_character_class_is_split_alike(codec, library):
     texts = [f"a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}1" for c in range(0x3100) if not 0xD800 <= c < 0xE000]
-    ids, counts = bytebpe.encode_texts(codec.state, texts)
+    ids, counts = bytebpe.Encoder(codec).encode(texts)
     assert ids.tolist() == [i for t in texts for i in library.encode_ordinary(t)] and counts.sum() == len(ids)
 
 
@@ -168,7 +168,11 @@ def test_long_texts_are_cut_where_matches_end(monkeypatch, codec, library):
     monkeypatch.setattr(bytebpe, "PIECE", 50)
     parts = bytebpe.pieces(text, 50)
     assert "".join(parts) == text and len(parts) > 50
-    assert bytebpe.encode_texts(codec.state, [text])[0].tolist() == library.encode_ordinary(text)
+    for group, remembered in ((1, 1), (400, 100), (10**6, 10**6)):
+        monkeypatch.setattr(bytebpe, "GROUP", group)
+        monkeypatch.setattr(bytebpe, "REMEMBERED", remembered)
+        ids, counts = bytebpe.Encoder(codec).encode([text, "", text])
+        assert ids.tolist() == library.encode_ordinary(text) * 2 and counts.tolist() == [len(ids) // 2, 0, len(ids) // 2]
     assert bytebpe.pieces("x" * 200, 50) == ["x" * 200]
 
 
