@@ -47,8 +47,8 @@ WITH parts AS (
     GROUP BY s.page_id, s.host, s.path
 )
 SELECT page_id, host, path, rule,
-       coalesce(verdict, CASE WHEN regexp_matches(host || chr(10) || path,
-           '(^|[./\n_-])({_WORDS})([./\n_-]|$)', 'i') THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce(verdict, CASE WHEN regexp_matches(translate(host || chr(10) || path,
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(^|[./\n_-])({_WORDS})([./\n_-]|$)') THEN 'block' ELSE 'allow' END) AS verdict
 FROM best
 """
 

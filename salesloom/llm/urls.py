@@ -9,12 +9,16 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Callable
+from functools import partial
 from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_FOLD = str.maketrans(_UPPER, _LOWER)  # of tokens and expressions alike: other letters stay as they are
 _TOKEN = re.compile(r"[a-z0-9]+")
 MAX_RULES = 200_000
 
@@ -22,27 +26,36 @@ MAX_RULES = 200_000
 class Rule(NamedTuple):
     name: str
     verdict: str
-    pattern: re.Pattern  # searched in "host\npath"
+    fits: Callable[[str, str], bool]  # of host and path
     tokens: frozenset[str]  # none: the rule is tried on every URL
     priority: tuple[int, int]  # the highest that fits wins
     listed: bool = True  # reported by name
 
 
+def _ends_and_starts(ending: re.Pattern, start: str, host: str, path: str) -> bool:
+    return path.startswith(start) and ending.search(host) is not None
+
+
+def _holds(found: re.Pattern, host: str, path: str) -> bool:
+    return found.search(host) is not None or found.search(path) is not None
+
+
 def host_rule(name: str, verdict: str) -> Rule:
     """`host/path`: fits the host, its subdomains, and paths that start with the rule's path."""
     host, slash, rest = name.partition("/")
     path = slash + rest
-    pattern = re.compile(rf"(?:\A|\A[^\n]*\.){re.escape(host)}\n{re.escape(path)}")
+    ending = re.compile(rf"(?:\A|\.){re.escape(host)}\Z")
     # a token at the very end of the path may go on in a URL
     tokens = _TOKEN.findall(host) + [
-        m.group() for m in _TOKEN.finditer(path.lower()) if m.end() < len(path)]
-    return Rule(name, verdict, pattern, frozenset(tokens), (1, len(name)))
+        m.group() for m in _TOKEN.finditer(path.translate(_FOLD)) if m.end() < len(path)]
+    return Rule(name, verdict, partial(_ends_and_starts, ending, path), frozenset(tokens), (1, len(name)))
 
 
 def pattern_rule(word: str, verdict: str = "block") -> Rule:
-    """A host label or path segment that is the word, or has it between hyphens or underscores."""
-    pattern = re.compile(rf"(?i:(?:\A|[./\n_-]){re.escape(word)}(?:[./\n_-]|\Z))")
-    return Rule(word, verdict, pattern, frozenset(_TOKEN.findall(word)), (0, len(word)), False)
+    """A host label or path segment that is the word (A-Z and a-z are alike), or has it between hyphens
+    or underscores; a line break ends a label or segment too."""
+    found = re.compile(rf"(?:\A|[./\n_-]){re.escape(word)}(?:[./\n_-]|\Z)", re.ASCII | re.IGNORECASE)
+    return Rule(word, verdict, partial(_holds, found), frozenset(_TOKEN.findall(word)), (0, len(word)), False)
 
 
 #: Rules of the filter itself, for URLs that no listed rule fits. Everything else is allowed.
@@ -57,15 +70,14 @@ def split_url(url: Column) -> tuple[Column, Column]:
     """Host in lower case (A-Z only) and path; both empty without `://` or for NULL."""
     whole = F.coalesce(url, F.lit(""))
     rest = F.regexp_extract(whole, r"(?s)\A.*?://(.*)\z", 1)
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    host = F.translate(F.regexp_extract(rest, r"(?s)\A([^/?#]*)", 1), upper, lower)
+    host = F.translate(F.regexp_extract(rest, r"(?s)\A([^/?#]*)", 1), _UPPER, _LOWER)
     path = F.regexp_extract(rest, r"(?s)\A[^/?#]*([^?#]*)", 1)
     return host, path
 
 
 def token_counts(urls: DataFrame, tokens: list[str]) -> dict[str, int]:
     """URLs that hold each of the given tokens; one row per token comes back."""
-    address = F.lower(F.concat_ws("/", "host", "path"))
+    address = F.translate(F.concat_ws("/", "host", "path"), _UPPER, _LOWER)
     held = urls.select(F.explode(F.array_distinct(
         F.regexp_extract_all(address, F.lit("([a-z0-9]+)"), 1))).alias("token"))
     rows = held.where(F.col("token").isin(tokens)).groupBy("token").count().collect()
@@ -86,13 +98,13 @@ def index_rules(rules: list[Rule], counts: dict[str, int]) -> tuple[dict[str, li
 
 def judge(host: str, path: str, by_token: dict[str, list[Rule]], always: list[Rule]) -> Rule | None:
     """The rule of highest priority that fits; ties go to the smallest name."""
-    address = f"{host}\n{path}"
+    address = f"{host}/{path}".translate(_FOLD)
     best = None
-    candidates = [always, *(by_token.get(t, ()) for t in set(_TOKEN.findall(address.lower())))]
+    candidates = [always, *(by_token.get(t, ()) for t in set(_TOKEN.findall(address)))]
     for rules in candidates:
         for rule in rules:
             better = best is None or (rule.priority, best.name) > (best.priority, rule.name)
-            if better and rule.pattern.search(address):
+            if better and rule.fits(host, path):
                 best = rule
     return best
 
@@ -101,8 +113,9 @@ def filter_urls(pages: DataFrame, rules: list[Rule], patterns: list[Rule] = PATT
     """page_id, host, path, rule and verdict of every row.
 
     `rule` is the listed rule that decides, NULL where a pattern rule or none does; `verdict` is that
-    rule's, and `allow` where nothing fits. A NULL or empty URL has empty host and path. Repeated
-    rows stay; other columns are not read. The rules, at most MAX_RULES, go to every task.
+    rule's, and `allow` where nothing fits. A NULL or empty URL has empty host and path; line breaks
+    are characters of host and path like others. Only A-Z are folded. Repeated rows
+    stay; other columns are not read. The rules, at most MAX_RULES, go to every task.
     """
     rules = [*rules, *patterns]
     if len(rules) > MAX_RULES:

@@ -100,6 +100,31 @@ def test_rules(spark):
     assert urls.filter_urls(frame.limit(0), rules).count() == 0
 
 
+def test_index_and_plain_rules_agree_on_odd_urls(spark):
+    """Line breaks in hosts, and letters that look like or fold to those of a rule."""
+    rules = [urls.host_rule("com/", "allow"), urls.host_rule("k.net/Sp", "block")]
+    cases = {
+        "http://a\nb.com/": ("com/", "allow"), "http://a.com\n/": (None, "allow"), "http://\n.com/": ("com/", "allow"),
+        "http://\u017fex.org/": (None, "allow"), "http://n.net/\u017fpam": (None, "allow"), "http://n.net/SPAM": (None, "block"),
+        "http://n.net/\u0130/x\npoker\ny": (None, "block"), "http://\u212a.net/Spx": (None, "allow"),
+        "http://K.net/Spx": ("k.net/Sp", "block"), "http://a\u2028.k.net/Sp\u2028": ("k.net/Sp", "block"),
+    }
+    frame = spark.createDataFrame(list(enumerate(cases)), "page_id long, url string")
+    got = {r["page_id"]: r for r in urls.filter_urls(frame, rules).collect()}
+    everything = [*rules, *urls.PATTERN_RULES]
+    for page, want in enumerate(cases.values()):
+        row = got[page]
+        assert (row["rule"], row["verdict"]) == want
+        plain = urls.judge(row["host"], row["path"], {}, everything)
+        assert (plain.verdict if plain else "allow") == row["verdict"]
+    import duckdb
+
+    from salesloom.llm.oracle import ORACLE
+    pages = frame.toPandas()  # noqa: F841
+    sql = {r[0]: r for r in duckdb.sql(ORACLE["op8_url_filter"].replace("'net/es/'", "'k.net/Sp'").replace("'net', '/es/'", "'k.net', '/Sp'")).fetchall()}
+    assert {p: r[3:] for p, r in sql.items()} == dict(enumerate(cases.values()))
+
+
 def test_rules_are_filed_under_their_rarest_token():
     rules = [urls.host_rule("example.com/en/", "block"), urls.host_rule("com/", "allow")]
     by_token, always = urls.index_rules(rules, {"example": 9, "com": 50, "en": 3})
