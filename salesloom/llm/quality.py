@@ -141,16 +141,19 @@ def learn(samples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> M
 
 
 def _sized(docs: DataFrame):
-    """The n_chars of a row, or the length of its text where the table has none or it is NULL."""
+    """The n_chars of a row, or the length of its text where the table has none, or it is NULL or no number."""
     length = F.coalesce(F.length("text"), F.lit(0)).cast("long")
-    return F.coalesce(F.col("n_chars").cast("long"), length) if "n_chars" in docs.columns else length
+    if "n_chars" not in docs.columns or not isinstance(docs.schema["n_chars"].dataType, (T.NumericType, T.StringType)):
+        return length
+    return F.coalesce(F.col("n_chars").try_cast("long"), length)
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on `labels` (doc_id, label 0 or 1): at most `sample` rows of each label, by a hash of the id.
 
     The sample is the only thing that comes to the driver: 2 * `sample` texts at most, as inputs.
-    Labels other than 0 and 1, and rows without an id or a text of their own, teach nothing.
+    Labels other than 0 and 1, and rows without an id or a text of their own, teach nothing. Of rows
+    that share an id, the one whose text has the smallest hash teaches.
     """
     known = labels.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"),
@@ -160,7 +163,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     chosen = smallest(known, "label", sample).distinct().withColumn(
         "place", F.row_number().over(order)).where(F.col("place") <= sample)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _sized(docs).alias("n_chars")).where(F.col("text").isNotNull()).join(
-        F.broadcast(chosen.select("doc_id", "label")), "doc_id").select("label", "doc_id", "text", "n_chars")
+        F.broadcast(chosen.select("doc_id", "label")), "doc_id").groupBy("label", "doc_id").agg(
+        F.min(F.struct(F.xxhash64("text").alias("mark"), "text", "n_chars")).alias("row")).select(
+        "label", "doc_id", "row.text", "row.n_chars")
 
     def run(batches):
         for batch in chunks(batches):

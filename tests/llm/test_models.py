@@ -127,6 +127,21 @@ def test_quality_of_odd_tables(spark, documents):
         quality.score(odd.withColumn("quality", F.lit(1)), model)
 
 
+def test_repeated_ids_and_odd_sizes(spark, documents):
+    rows = [(1, f"good words here {i % 7}") for i in range(3000)] + [(2, "!! ## 99")]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 0)], "doc_id long, label int")
+    docs = documents(rows)
+    model = quality.fit(docs, labels, sample=5)
+    alone = quality.fit(docs.groupBy("doc_id").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text"), F.max("n_chars").alias("n_chars")), labels, sample=5)
+    assert np.array_equal(model.weights, alone.weights) and model.bias == alone.bias
+    sized = quality.score(documents([(1, "good words")]), model).first()["quality"]
+    for odd in (F.lit("many"), F.array(F.lit(1)), F.lit(None).cast("string"), F.lit("10")):
+        found = quality.score(documents([(1, "good words")]).withColumn("n_chars", odd), model).first()
+        assert found["quality"] == sized
+        quality.fit(docs.withColumn("n_chars", odd), labels, sample=5)
+
+
 def test_copies_do_not_thin_the_sample_of_a_language(documents):
     rows = [(i, f"text {i % 5}", "aa") for i in range(2000)] + [(i, f"other {i}", "bb") for i in range(300)]
     found = langid.sample_texts(documents(rows), 10).collect()
