@@ -203,11 +203,12 @@ def fingerprint_links(distinct: DataFrame, distance: int = 2) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, distance: int = 2) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id and text_key (xxhash64) of every row.
+    """doc_id, fingerprint (16 hex digits), component_id, text_key (xxhash64) and group_key of every row.
 
     component_id is the smallest doc_id that links reach, the row itself included. Documents without
     words (NULL, empty) share fingerprint zero and are linked like any others. A NULL doc_id keeps
-    its row and its links but is never the smallest. Equal fingerprints are one node, however many
+    its row and its links but is never the smallest; group_key, the root fingerprint as a number, tells
+    groups apart that have no doc_id at all. Equal fingerprints are one node, however many
     rows hold them; no pairs of rows are made.
     """
     shared_folder(docs.sparkSession)
@@ -217,6 +218,7 @@ def near_duplicates(docs: DataFrame, distance: int = 2) -> DataFrame:
     placed = nodes.join(roots, nodes.fingerprint == roots.node, "left").select(
         "fingerprint", "first_doc", F.coalesce("root", "fingerprint").alias("root"))
     least = placed.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    known = placed.join(least, "root").select("fingerprint", "component_id")
+    known = placed.join(least, "root").select("fingerprint", "component_id", "root")
     return rows.join(known, "fingerprint").select(
-        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id", "text_key")
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id", "text_key",
+        F.col("root").alias("group_key"))
