@@ -33,20 +33,21 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group the document with the smallest doc_id.
+    """Of every group the document with the smallest doc_id; without any id, that with the smallest text hash.
 
-    Rows equal in doc_id and text are one document. Rows without a doc_id stay where no row of their
-    group has one.
+    Rows equal in doc_id and text are one document. Rows that share a doc_id but neither text nor
+    group are different documents.
     """
     doc, key, place = (_free(docs, n) for n in ("kept_doc", "kept_key", "place"))
-    groups = simhash.near_duplicates(docs)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias(doc), F.col("text_key").alias(key))
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
+    kept = simhash.near_duplicates(docs).groupBy("group_key").agg(F.min(first).alias("first")).select(
+        F.col("first.doc_id").alias(doc), F.col("first.text_key").alias(key))
     own = F.xxhash64(docs["text"])
     stays = docs.join(kept, docs["doc_id"].eqNullSafe(F.col(doc)) & (own == F.col(key)), "left_semi")
-    one = Window.partitionBy("doc_id").orderBy("text")
-    first = stays.withColumn(place, F.row_number().over(one))
-    return first.where((F.col(place) == 1) | F.col("doc_id").isNull()).select(*[first[c] for c in docs.columns])
+    # Ids that are NULL are dealt by text; of copies, Spark sends one row per task to the window.
+    one = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("text")
+    placed = stays.withColumn(place, F.row_number().over(one))
+    return placed.where(F.col(place) == 1).select(*[placed[c] for c in docs.columns])
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
