@@ -1,5 +1,6 @@
 """Registered queries against their SQL, and the pipeline's stages."""
 
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -48,6 +49,11 @@ def test_stages_do_what_their_operators_say(spark, documents):
             (3, f"start {passage} end"), (4, f"other {passage} stop"), (5, None)]
     kept = stages["near_duplicates"](spark, documents(rows), FOLDER)
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4, 5]
+    same = "some words of one text"
+    odd = [(None, same)] * 50 + [(None, None), (None, ""), (7, "this text is by itself"), (7, "and so is that other one"),
+           (None, "one of the words in this text"), (9, "one of the words in this text")]
+    kept = stages["near_duplicates"](spark, documents(odd), FOLDER).collect()
+    assert Counter((r["doc_id"], r["text"] or "") for r in kept) == Counter([(None, same), (None, ""), *odd[52:54], odd[55]])
     cut = {r["doc_id"]: (r["text"], r["n_chars"]) for r in stages["repeated_passages"](spark, documents(rows), FOLDER).collect()}
     assert cut[4] == ("other stop", 10) and cut[3][0] == rows[3][1] and cut[1][0] == rows[0][1]
     item = spark.read.parquet(f"{FOLDER}/benchmark.parquet").first()["text"]
