@@ -43,6 +43,7 @@ from salesloom.session import scratch_path
 WINDOW = 1024
 SHARD = 1_024  # tails of a shard
 SEARCHES = 2  # orders by content
+COMMON = 16  # a term in more than this part of a shard is common
 CLOSE = 0.5  # share of a seed's own score that a neighbour needs before the last search
 HASHES = 4  # of 16 bits, in a key
 RANGE_TOKENS, MOST_TOKENS = 1 << 21, 1 << 26  # ids of a range: of small inputs, and at most
@@ -51,7 +52,9 @@ END = 0  # id behind every document
 #: The split pattern and the special token of the vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPECIAL = {"<|endoftext|>": 50256}
-_LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
+_SPACE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_LONG_SPACE = re.compile(_SPACE + "{1000,}")
+_TWO_SPACES = re.compile(_SPACE + "{2}")  # in every 500th character, wherever there is a long run
 
 
 @lru_cache(maxsize=2)
@@ -76,6 +79,9 @@ def encode(texts: list[str | None], path: str) -> list[np.ndarray]:
     found = []
     for text in texts:
         text, start, parts = text or "", 0, []
+        if not _TWO_SPACES.search(text[::500]):
+            found.append(np.concatenate([coder.encode_to_numpy(text, allowed_special="all"), end]))
+            continue
         for run in _LONG_SPACE.finditer(text):
             parts.append(coder.encode_to_numpy(text[start:run.start()], allowed_special="all"))
             start = run.end()
@@ -162,7 +168,12 @@ def content_keys(tails: list[np.ndarray], ranks: np.ndarray) -> np.ndarray:
 
 
 class ShardIndex:
-    """Inverted index of the tails of a shard, with BM25 weights."""
+    """Inverted index of the tails of a shard, with BM25 weights.
+
+    What the terms in more than one of COMMON tails add to all scores is summed at once, when the index
+    is made; the lists are those of the other terms. Weights have 32 bits and sums 64, so that the order
+    of adding does not matter.
+    """
 
     def __init__(self, tails: list[np.ndarray], idf: np.ndarray, mean: float):
         self.size = len(tails)
@@ -170,15 +181,26 @@ class ShardIndex:
         owners = np.repeat(np.arange(len(tails)), lengths)
         keys, counts = np.unique(owners << 32 | np.concatenate(tails).astype(np.int64), return_counts=True)
         terms, owners = keys & 0xFFFFFFFF, keys >> 32
-        self.first = np.searchsorted(owners, np.arange(len(tails) + 1))
         shrink = K1 * (1 - B + B * lengths[owners] / mean)
         weights = (idf[terms] * counts * (K1 + 1) / (counts + shrink)).astype(np.float32)  # lists stay in the cache
-        self.own = np.add.reduceat(weights, self.first[:-1], dtype=float)
-        by_term = np.argsort(terms.astype(np.uint16), kind="stable")  # ids have 16 bits, which are sorted by digits
+        starts = np.searchsorted(owners, np.arange(len(tails)))
+        self.own = np.add.reduceat(weights, starts, dtype=float)
+        _, held, sizes = np.unique(terms, return_inverse=True, return_counts=True)
+        common = sizes > max(1, len(tails) // COMMON)
+        dense = np.zeros((int(common.sum()), self.size))
+        many = common[held]
+        dense[(np.cumsum(common) - 1)[held[many]], owners[many]] = weights[many]
+        self.common = (dense > 0).T.astype(float) @ dense
+        owners, weights, held = owners[~many], weights[~many], held[~many]
+        self.held = held
+        self.first = np.searchsorted(owners, np.arange(len(tails) + 1))
+        by_term = np.argsort(held.astype(np.uint16), kind="stable")  # ids have 16 bits, which are sorted by digits
         self.postings, self.weights = owners[by_term].astype(np.int32), weights[by_term]
-        _, self.held, self.sizes = np.unique(terms, return_inverse=True, return_counts=True)
+        self.sizes = np.where(common, 0, sizes)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.most = np.maximum.reduceat(self.weights, self.starts).astype(float)
+        self.most = np.zeros(len(sizes))
+        if len(self.weights):
+            self.most[~common] = np.maximum.reduceat(self.weights, self.starts[~common])
 
     def keep(self, open_tails: np.ndarray) -> None:
         """Take all other tails out of the lists."""
@@ -192,26 +214,20 @@ class ShardIndex:
         return self.held[self.first[seed]:self.first[seed + 1]]
 
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 of all tails for the terms of one."""
-        return self._sums(self.terms_of(seed))
-
-    def _sums(self, terms: np.ndarray) -> np.ndarray:
+        """BM25 of all tails in the lists for the terms of one."""
+        terms = self.terms_of(seed)
         own = ragged(self.starts[terms], self.sizes[terms])
-        return np.bincount(self.postings[own], self.weights[own], self.size)
+        return self.common[seed] + np.bincount(self.postings[own], self.weights[own], self.size)
 
     def reached(self, seed: int, need: float, open_tails: np.ndarray) -> np.ndarray | None:
         """BM25 of all tails for the terms of one; None only if no open tail but the seed scores `need`.
 
-        The shortest lists are read first, until the others cannot add more than half of it.
+        The lists are read only if what they can add at most is enough for one of the tails.
         """
-        terms = self.terms_of(seed)
-        terms = terms[np.argsort(self.sizes[terms], kind="stable")]
-        unread = self.most[terms].sum() - np.cumsum(self.most[terms])
-        upto = min(int(np.searchsorted(-unread, -need / 2)) + 1, len(terms))
-        scores = self._sums(terms[:upto])
-        hopeful = open_tails & (scores >= need * (1 - 1e-9) - max(0.0, unread[upto - 1]))
+        unread = self.most[self.terms_of(seed)].sum()
+        hopeful = open_tails & (self.common[seed] >= need * (1 - 1e-9) - unread)
         hopeful[seed] = False
-        return scores + self._sums(terms[upto:]) if hopeful.any() else None
+        return self.scores(seed) if hopeful.any() else None
 
 
 def fill_windows(tails: list[np.ndarray], idf: np.ndarray, mean: float, window: int, last: bool):

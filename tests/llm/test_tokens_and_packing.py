@@ -166,6 +166,17 @@ def test_a_bound_never_hides_a_close_neighbour():
             assert found is None or found == pytest.approx(index.scores(seed))
 
 
+def test_lists_are_short_and_common_terms_count_in_full():
+    """Terms of most tails are summed once; a seed reads no list of more than a part of the shard."""
+    rng = np.random.default_rng(4)
+    tails = [np.r_[np.arange(20), rng.integers(20, 4000, 60)] for _ in range(320)]
+    idf = rng.random(4000) + 0.1
+    index = packing.ShardIndex(tails, idf, 80.0)
+    for seed in (0, 100, 319):
+        assert index.scores(seed) == pytest.approx(brute_bm25(tails, seed, idf, 80.0))
+    assert index.sizes.max() <= 320 // 16
+
+
 def test_keys_agree_as_often_as_weighted_terms():
     rng = np.random.default_rng(3)
     idf = rng.random(3000) * 8 + 0.1
