@@ -31,6 +31,8 @@ COMMON = 2_000
 COMMON_MOST = 10_000
 # Text that the super-k-mers of one bucket hold, about: what a task has in memory at a time.
 BUCKET_BYTES = 6 << 20
+# Parts of a bucket, by minimiser, whose windows are sorted one after the other.
+PARTS = 8
 # Text whose super-k-mers are packed together.
 PACKED_BYTES = 6 << 20
 _NO_ID = np.iinfo(np.int64).min
@@ -72,7 +74,6 @@ class SuperKmers:
         later = again & ((ids[owner] != ids[owner[same]]) | (place != place[same]))
         kept = np.flatnonzero(~again)
         self.keys, self.owners, self.places = keys[first][kept], owner[kept], place[kept]
-        self.windows = (last - first + 1)[kept]
         self.packed = [packed[i] for i in kept.tolist()]
         self.repeated = owner[later], place[later], (last - first + window)[later]
 
@@ -116,7 +117,7 @@ def survey(docs: DataFrame, window: int) -> tuple[np.ndarray, int]:
 
 _PIECES = "bucket int, packed binary, bytes long, doc_id long, text_key int, place int, words int"
 _REPEATS = "doc_id long, text_key int, place int, words int"
-_NUMBERS = ("<i8", "<i4", "<i4", "<i4")  # doc_id, text_key, place and words of a super-k-mer
+_NUMBERS = ("<i8", "<i4", "<i4", "u1")  # doc_id, text_key, place and part of a super-k-mer
 
 
 def _codec() -> pa.Codec:
@@ -145,7 +146,9 @@ def _split(window: int, common: np.ndarray, buckets: int):
         for batch in chunks(batches, limit=PACKED_BYTES):
             ids, keys = order_ids(batch.column("doc_id")), batch.column("text_key").to_numpy()
             found = SuperKmers(ids, utf8(batch.column("text")), window, common)
-            bucket = (mix(found.keys) % np.uint64(buckets)).astype(np.int64)
+            dealt = mix(found.keys)
+            bucket = (dealt % np.uint64(buckets)).astype(np.int64)
+            part = dealt // np.uint64(buckets) % np.uint64(PARTS)
             order = np.argsort(bucket, kind="stable")
             cuts = np.r_[0, np.flatnonzero(np.diff(bucket[order])) + 1, len(order)]
             packed, sizes, where = [], [], []
@@ -154,7 +157,7 @@ def _split(window: int, common: np.ndarray, buckets: int):
                 if not len(own):
                     continue
                 owner = found.owners[own]
-                raw = pack([ids[owner], keys[owner], found.places[own], found.windows[own]],
+                raw = pack([ids[owner], keys[owner], found.places[own], part[own]],
                            [found.packed[i] for i in own.tolist()])
                 packed.append(codec.compress(raw, asbytes=True))
                 sizes.append(len(raw))
@@ -239,16 +242,21 @@ def repeated_windows(ids: np.ndarray, places: np.ndarray, texts: list[bytes], wi
 
 
 def _count(window: int):
-    """Rows come sorted by bucket; a bucket is looked at as a whole."""
-
-    def look(strings: list[bytes]) -> pa.RecordBatch:
-        parts = [unpack(s) for s in strings]
-        ids, keys, places, _ = (np.concatenate(c) for c in zip(*(p[0] for p in parts), strict=True))
-        row, place, size = repeated_windows(ids, places.astype(np.int64), [t for p in parts for t in p[1]], window)
-        docs = pa.array(ids[row], pa.int64(), mask=ids[row] == _NO_ID)
-        return pa.RecordBatch.from_arrays(
-            [docs, pa.array(keys[row], pa.int32()), pa.array(place, pa.int32()), pa.array(size, pa.int32())],
-            ["doc_id", "text_key", "place", "words"])
+    """Rows come sorted by bucket; a bucket is looked at part by part, as equal windows share theirs."""
+
+    def look(strings: list[bytes]):
+        some = [unpack(s) for s in strings]
+        ids, keys, places, parts = (np.concatenate(c) for c in zip(*(s[0] for s in some), strict=True))
+        texts = [t for s in some for t in s[1]]
+        for part in np.unique(parts):
+            own = np.flatnonzero(parts == part)
+            row, place, size = repeated_windows(
+                ids[own], places[own].astype(np.int64), [texts[i] for i in own.tolist()], window)
+            row = own[row]
+            docs = pa.array(ids[row], pa.int64(), mask=ids[row] == _NO_ID)
+            yield pa.RecordBatch.from_arrays(
+                [docs, pa.array(keys[row], pa.int32()), pa.array(place, pa.int32()), pa.array(size, pa.int32())],
+                ["doc_id", "text_key", "place", "words"])
 
     def run(batches):
         codec, bucket, waiting = _codec(), None, []
@@ -258,12 +266,12 @@ def _count(window: int):
                 if packed is None:
                     continue
                 if own != bucket and waiting:
-                    yield look(waiting)
+                    yield from look(waiting)
                     waiting = []
                 bucket = own
                 waiting.append(codec.decompress(packed, size, asbytes=True))
         if waiting:
-            yield look(waiting)
+            yield from look(waiting)
 
     return run
 

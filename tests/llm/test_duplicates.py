@@ -5,6 +5,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -84,6 +85,28 @@ def test_passed_over_minimisers_change_nothing(documents, monkeypatch):
     assert got == brute_repeats(rows, 20)
 
 
+def test_a_bucket_is_counted_in_parts(monkeypatch):
+    """Windows are sorted for a part of a bucket at a time, and none is missed."""
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choice(words) for _ in range(60)) for _ in range(40)]
+    texts += [" ".join([*t.split()[:45], "x"]) for t in texts]
+    batch = pa.record_batch({
+        "doc_id": pa.array(range(80), pa.int64()), "text_key": pa.array(range(80), pa.int32()), "text": texts})
+    sizes, whole = [], substrings.repeated_windows
+
+    def counted(ids, places, some, window):
+        sizes.append(len(some))
+        return whole(ids, places, some, window)
+
+    monkeypatch.setattr(substrings, "repeated_windows", counted)
+    pieces = list(substrings._split(20, np.zeros(0, np.uint64), 1)([batch]))
+    found = pa.Table.from_batches(substrings._count(20)(pieces)).to_pylist()
+    assert max(sizes) < sum(sizes) / 3
+    gone = {(r["doc_id"], r["place"] + i) for r in found for i in range(r["words"])}
+    assert gone == {(doc, i) for doc in range(40, 80) for i in range(45)}
+
+
 def test_colliding_hashes_are_told_apart(monkeypatch):
     texts = [b" ".join(b"%d" % (i * j) for i in range(25)) for j in (1, 2, 1)]
     monkeypatch.setattr(substrings, "run_hashes", lambda h, n: np.zeros(max(0, len(h) - n + 1), np.uint64))
