@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from salesloom.operators import contracts
 from salesloom.session import shared_folder
 from salesloom.sources import feeds, history, lake, manifests, paths, schemas, warehouse
-from salesloom.sources.versions import ConflictError, Store
+from salesloom.sources.versions import ConflictError, Load, Store
 from salesloom.streaming import incremental
 
 D, T = dt.date, dt.datetime
@@ -181,6 +181,25 @@ def test_the_slower_of_two_loads_is_told(spark, tmp_path, rows):
         store.load(AT).upsert("t", numbers(spark, 1), ["id"])
 
 
+def test_an_upsert_looks_at_the_ranges_of_its_files_once(spark, tmp_path, monkeypatch):
+    """The list of new files is read where it is written, not made of the files again for each use."""
+    store, read = Store(spark, str(tmp_path / "s")), []
+    rows = "id long, date_key int, v long"
+    whole = Load._holding
+
+    def holding(self, view, name, listed, fresh, keys):
+        read.extend(fresh.inputFiles())
+        return whole(self, view, name, listed, fresh, keys)
+
+    monkeypatch.setattr(Load, "_holding", holding)
+    for at, ids in ((AT, (1, 2, 3)), (AT + dt.timedelta(days=1), (3, 4))):
+        load = store.load(at)
+        load.upsert("f", spark.createDataFrame([(i, 20240101, at.day) for i in ids], rows), ["id"])
+        load.commit()
+    assert read and all("/lists/f/" in file for file in read)
+    assert sorted(r["id"] for r in store.read("f").collect()) == [1, 2, 3, 4]
+
+
 def test_an_upsert_writes_changed_files_once(spark, tmp_path, rows):
     store = Store(spark, str(tmp_path / "s"))
     fact = spark.range(0, 40_000, numPartitions=1).selectExpr(
