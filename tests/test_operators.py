@@ -95,6 +95,30 @@ def test_resolve_reports_the_missing(spark, rows):
     assert row["sample_keys"] == ["k1", "k2", "k3", "k4", "k5"]
 
 
+def test_resolve_all_reports_each_lookup_over_the_rows_that_it_got(spark, rows):
+    fact = spark.createDataFrame(
+        [(1, "a", "x"), (2, "a", "x"), (3, "b", "x"), (4, None, "y"), (5, "a", "y"), (6, "a", None), (7, "c", "y")],
+        "id int, code string, other string")
+    one = spark.createDataFrame([("a", 10), ("a", 11), ("c", 12), (None, 13)], "c string, key int")
+    two = spark.createDataFrame([("x", 20), (None, 21)], "o string, key2 int")
+    found, reports = lookups.resolve_all(
+        fact, [(one, {"code": "c"}, "key"), (two, {"other": "o"}, "key2")], ["id"])
+    assert rows(found.select("id", "key", "key2")) == [(1, 10, 20), (1, 11, 20), (2, 10, 20), (2, 11, 20)]
+    assert [tuple(r.first()) for r in reports] == [("code", 2, ["b"]), ("other", 5, ["y"])]
+
+
+def test_resolve_all_gives_what_resolve_gives_in_turn(spark, rows):
+    fact = spark.range(200).selectExpr("id", "if(id % 9 = 0, null, id % 7) AS a", "id % 5 AS b")
+    one = spark.range(5).selectExpr("id AS c", "id + 100 AS key")
+    two = spark.range(3).selectExpr("id AS d", "id + 200 AS key2")
+    first, missed = lookups.resolve(fact, one, {"a": "c"}, ["id"], "key")
+    second, missed2 = lookups.resolve(first, two, {"b": "d"}, ["id"], "key2")
+    found, reports = lookups.resolve_all(fact, [(one, {"a": "c"}, "key"), (two, {"b": "d"}, "key2")], ["id"])
+    columns = ["id", "key", "key2"]
+    assert rows(found.select(columns)) == rows(second.select(columns))
+    assert [r.first() for r in reports] == [missed.first(), missed2.first()]
+
+
 def test_resolve_without_misses(spark):
     fact = spark.createDataFrame([(1, "a")], "id int, code string")
     dim = spark.createDataFrame([("a", 1)], "c string, key int")

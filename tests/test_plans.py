@@ -38,6 +38,12 @@ def test_lines_are_summed_before_the_join(spark):
     assert "partial_sum" in text[join:], "the sum per order is below the join"
 
 
+@needs_tables
+def test_reports_of_lookups_read_the_stored_rows(spark):
+    text = plan(QUERIES["unresolved_source_keys"](spark, FOLDER))
+    assert "l_orderkey" not in text and "Join" not in text, "the lookups are not made again for their reports"
+
+
 @needs_tables
 def test_scan_reads_only_needed_columns(spark):
     text = plan(measures.measure(Tables(spark, FOLDER).sales, [], ["units_sold"]))
