@@ -44,6 +44,29 @@ def test_reports_of_lookups_read_the_stored_rows(spark):
     assert "l_orderkey" not in text and "Join" not in text, "the lookups are not made again for their reports"
 
 
+@needs_tables
+@pytest.mark.parametrize("name", ["quality_gate", "quality_summary", "quality_pass_rate"])
+def test_checks_of_items_read_the_stored_items(spark, name):
+    text = plan(QUERIES[name](spark, FOLDER))
+    assert "l_shipdate" not in text, "repeated lines are not dropped once more for a check"
+
+
+@needs_tables
+def test_stored_tables_serve_what_is_built_later(spark):
+    t = Tables(spark, FOLDER)
+    items, orders = t.stored("order_items"), t.stored("silver_orders")
+    assert t.order_items is items and t.silver_orders is orders
+    text = plan(t.silver_items)
+    assert "l_shipdate" not in text and "o_orderkey" not in text
+
+
+@needs_tables
+def test_customers_are_looked_up_once_for_each_order(spark):
+    text = Tables(spark, FOLDER).fact_sales._jdf.queryExecution().analyzed().toString()
+    spread = re.findall(r"isnull\(customer_id#\d+L?\) THEN xxhash64\((\w+)#", text)
+    assert spread == ["order_id"], "rows of lines are not dealt out by customer"
+
+
 @needs_tables
 def test_scan_reads_only_needed_columns(spark):
     text = plan(measures.measure(Tables(spark, FOLDER).sales, [], ["units_sold"]))
