@@ -1,12 +1,15 @@
 import datetime as dt
 import random
 import statistics
+import time
 from collections import defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from salesloom.operators import checks, dedup, keys, lookups, medians, ordered, profiling, ranking, skew, timeseries
+from salesloom.session import stored
 
 D = dt.date
 
@@ -50,6 +53,31 @@ def test_surrogate_keys_of_nothing(spark):
     assert keys.assign_surrogate_keys(df, "key", [F.col("code")]).count() == 0
 
 
+def test_surrogate_keys_read_only_the_asked_columns(spark):
+    df = spark.range(40).selectExpr("concat('c', id) AS code", "repeat('x', 50) AS wide", "null AS untyped")
+    numbered = keys.assign_surrogate_keys(df, "key", [F.col("code")])
+    assert numbered.columns == ["key", "code", "wide", "untyped"]
+    assert dict(numbered.dtypes) == {"key": "bigint", "code": "string", "wide": "string", "untyped": "void"}
+    plan = numbered.select("key", "code")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "wide" not in plan
+
+
+def test_storing_leaves_no_shuffle_files(spark, rows):
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    folders = [Path(d) for d in env.blockManager().diskBlockManager().localDirsString()]
+
+    def files():
+        return {f.name for d in folders for f in d.rglob("shuffle_*")}
+
+    before = files()
+    kept = stored(spark.range(1000).repartition(7, "id").groupBy((F.col("id") % 3).alias("k")).count(), "few")
+    until = time.time() + 20
+    while (left := files() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert rows(kept) == [(0, 334), (1, 333), (2, 333)]
+
+
 # Joins
 
 
@@ -119,6 +147,33 @@ def test_resolve_all_gives_what_resolve_gives_in_turn(spark, rows):
     assert [r.first() for r in reports] == [missed.first(), missed2.first()]
 
 
+@pytest.mark.parametrize("most", [0, 4, 1000])
+def test_resolve_all_gives_the_same_by_shuffles_and_broadcasts(shuffled, rows, monkeypatch, most):
+    """Tables of 5, 3 and 4 rows: all dealt out, stored in between; one dealt out; none."""
+    spark, names = shuffled, []
+    monkeypatch.setattr(lookups, "BROADCAST_ROWS", most)
+    monkeypatch.setattr(lookups, "stored", lambda df, name: names.append(name) or stored(df, name))
+    fact = spark.range(200).selectExpr("id", "if(id % 9 = 0, null, id % 7) AS a", "id % 5 AS b", "id % 6 AS c")
+    tables = [spark.range(n).selectExpr(f"id AS on_{x}", f"id + {n}00 AS key_{x}") for x, n in (("a", 5), ("b", 3), ("c", 4))]
+    found, reports = lookups.resolve_all(
+        fact, [(t, {x: f"on_{x}"}, f"key_{x}") for t, x in zip(tables, "abc")], ["id"])
+    expected, missed = fact, []
+    for t, x in zip(tables, "abc"):
+        expected, report = lookups.resolve(expected, t, {x: f"on_{x}"}, ["id"], f"key_{x}")
+        missed.append(report)
+    columns = ["id", "key_a", "key_b", "key_c"]
+    assert rows(found.select(columns)) == rows(expected.select(columns))
+    assert [r.first() for r in reports] == [r.first() for r in missed]
+    assert names == {0: ["looked_up", "looked_up", "resolved"], 4: ["resolved"], 1000: ["resolved"]}[most]
+
+
+def test_lookup_tables_with_long_keys_are_not_broadcast(spark, monkeypatch):
+    table = spark.createDataFrame([("abc", 1), (None, 2)], "code string, key int")
+    assert lookups._is_small(table, ["code"]) and lookups._is_small(table.limit(0), ["code"])
+    monkeypatch.setattr(lookups, "BROADCAST_BYTES", 2)
+    assert not lookups._is_small(table, ["code"])
+
+
 def test_resolve_without_misses(spark):
     fact = spark.createDataFrame([(1, "a")], "id int, code string")
     dim = spark.createDataFrame([("a", 1)], "c string, key int")

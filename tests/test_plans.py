@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from salesloom.catalog.queries import QUERIES
 from salesloom.catalog.tables import Tables
-from salesloom.plans import dimensions, marts, measures
+from salesloom.plans import dimensions, marts, measures, source_tables
+from salesloom.session import shared_folder
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -44,6 +45,27 @@ def test_reports_of_lookups_read_the_stored_rows(spark):
     assert "l_orderkey" not in text and "Join" not in text, "the lookups are not made again for their reports"
 
 
+def test_items_are_numbered_while_they_are_stored(spark, rows):
+    """Once, and without gaps, although rows that missed a key are stored among them."""
+    raw = spark.createDataFrame(
+        [("o2", 1, "p1", "s1", 1), ("o1", 2, "p1", "s1", 2), ("o1", 1, "p9", "s1", 3), ("o1", 3, "p1", "s1", 5),
+         ("o1", 3, "p1", "s1", 4), ("o8", 1, "p1", "s1", 6), (None, 1, "p1", "s9", 7), ("o2", None, "p1", "s9", 8),
+         ("o2", 2, "p1", "s1", 9)],
+        "order_id string, order_item_id int, product_id string, seller_id string, price int",
+    ).withColumns({"freight_value": F.lit(0), "shipping_limit_date": F.lit("2018-01-02 03:04:05")})
+    tables = [
+        spark.createDataFrame(values, f"{kind}_id long, {kind}_code string")
+        for kind, values in (("order", [(1, "o1"), (2, "o2"), (3, "o2"), (4, None)]), ("product", [(7, "p1")]), ("store", [(5, "s1")]))]
+    folder = Path(shared_folder(spark))
+    before = set(folder.iterdir())
+    items, reports = source_tables.order_items(raw, *tables, dt.datetime(2024, 2, 1))
+    assert [p.name.split("-")[0] for p in set(folder.iterdir()) - before] == ["numbered"]
+    assert rows(items.select("order_item_id", "order_id", "line_number", "unit_price")) == [
+        (1, 1, 2, 2), (2, 1, 3, 4), (3, 2, 1, 1), (4, 2, 2, 9), (5, 3, 1, 1), (6, 3, 2, 9)]
+    assert [tuple(r.first()) for r in reports] == [
+        ("order_code", 2, ["o8"]), ("product_code", 1, ["p9"]), ("store_code", 2, ["s9"])]
+
+
 @needs_tables
 @pytest.mark.parametrize("name", ["quality_gate", "quality_summary", "quality_pass_rate"])
 def test_checks_of_items_read_the_stored_items(spark, name):
