@@ -147,6 +147,17 @@ def test_resolve_all_gives_what_resolve_gives_in_turn(spark, rows):
     assert [r.first() for r in reports] == [missed.first(), missed2.first()]
 
 
+def test_lookup_leaves_dealt_rows_where_they_are(shuffled, rows):
+    fact = shuffled.range(60).selectExpr("id", "if(id % 9 = 0, null, id % 7) AS code", "id % 4 AS line")
+    table = shuffled.range(5).selectExpr("id AS c", "id + 100 AS key")
+    first = dedup.keep_first(fact.repartition("code"), ["code", "line"], [F.col("id")])
+    joined = lookups.lookup(first, table, {"code": "c"}, ["line"], dealt=True)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(code") == 1 and plan.count("Exchange") == 2
+    plain = lookups.lookup(dedup.keep_first(fact, ["code", "line"], [F.col("id")]), table, {"code": "c"}, ["line"])
+    assert joined.columns == plain.columns and rows(joined) == rows(plain)
+
+
 @pytest.mark.parametrize("most", [0, 4, 1000])
 def test_resolve_all_gives_the_same_by_shuffles_and_broadcasts(shuffled, rows, monkeypatch, most):
     """Tables of 5, 3 and 4 rows: all dealt out, stored in between; one dealt out; none."""

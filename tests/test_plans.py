@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from salesloom.catalog.queries import QUERIES
 from salesloom.catalog.tables import Tables
+from salesloom.operators import skew
 from salesloom.plans import dimensions, marts, measures, source_tables
 from salesloom.session import shared_folder
 
@@ -45,8 +46,11 @@ def test_reports_of_lookups_read_the_stored_rows(spark):
     assert "l_orderkey" not in text and "Join" not in text, "the lookups are not made again for their reports"
 
 
-def test_items_are_numbered_while_they_are_stored(spark, rows):
-    """Once, and without gaps, although rows that missed a key are stored among them."""
+@pytest.mark.parametrize("dealt", [True, False])
+def test_items_are_numbered_while_they_are_stored(spark, rows, monkeypatch, dealt):
+    """Once, and without gaps, although rows that missed a key are stored among them; with hot orders or without."""
+    hot = []
+    monkeypatch.setattr(source_tables, "hot_keys", lambda df, keys: hot.append(skew.hot_keys(df, keys)) or (not dealt and hot[0]))
     raw = spark.createDataFrame(
         [("o2", 1, "p1", "s1", 1), ("o1", 2, "p1", "s1", 2), ("o1", 1, "p9", "s1", 3), ("o1", 3, "p1", "s1", 5),
          ("o1", 3, "p1", "s1", 4), ("o8", 1, "p1", "s1", 6), (None, 1, "p1", "s9", 7), ("o2", None, "p1", "s9", 8),
@@ -60,6 +64,7 @@ def test_items_are_numbered_while_they_are_stored(spark, rows):
     before = set(folder.iterdir())
     items, reports = source_tables.order_items(raw, *tables, dt.datetime(2024, 2, 1))
     assert [p.name.split("-")[0] for p in set(folder.iterdir()) - before] == ["numbered"]
+    assert len(hot[0]) > 0
     assert rows(items.select("order_item_id", "order_id", "line_number", "unit_price")) == [
         (1, 1, 2, 2), (2, 1, 3, 4), (3, 2, 1, 1), (4, 2, 2, 9), (5, 3, 1, 1), (6, 3, 2, 9)]
     assert [tuple(r.first()) for r in reports] == [
